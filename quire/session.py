@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -53,3 +54,12 @@ def cut(df: DataFrame) -> DataFrame:
 def parallelism(spark: SparkSession) -> int:
     """Tasks that Python-heavy work is spread over: three waves of the cores known to the session."""
     return max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: Rows up to which a side that is already computed may be broadcast; beyond, the join shuffles.
+BROADCAST_ROWS = 20_000
+
+
+def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if it has at most so many rows. df must be cheap to count (a step already cut)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
