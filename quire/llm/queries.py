@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import percentiles
+from quire.llm import lookalikes, percentiles
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -42,3 +42,21 @@ l as (select strategy_used, metric, value as lim from r where i = (99 * n + 99)
 select distinct ok.metric, entry_id from ok join l on ok.metric = l.metric and ok.strategy_used is not distinct from l.strategy_used where value > lim""",
     "p5_percentiles": _LEDGER + """ select strategy_used, metric, count(*) as n, q, true as within_bound from ok, (values (0.1::double), (0.25), (0.5), (0.75), (0.9), (0.95), (0.99)) t(q) group by 1, 2, 4""",
 }
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "facts").select("fact_id", "key", "document", "page", "period")
+    e = table(spark, d, "elements").where("kind = 'text'").select("element_id", "text", "doc_id", F.col("bbox.page").alias("page"))
+    col = F.col
+    a = lookalikes.same_looking(f, "fact_id", "key", [col("document"), col("page"), col("period")])
+    b = lookalikes.same_looking(e, "element_id", "text", [col("doc_id"), col("page")])
+    return a.select(F.lit("facts").alias("source"), "*").unionByName(b.select(F.lit("elements").alias("source"), "*"))
+
+
+def p3_canonical_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Each consistent form of a key, with the number of spellings and rows it brings together."""
+    keys = table(spark, d, "facts").groupBy("key").agg(F.count("*").alias("n"))
+    return keys.withColumn("form", lookalikes.canonical(F.col("key"))).groupBy("form").agg(F.count("*").alias("spellings"), F.sum("n").alias("n_rows"))
+
+
+QUERIES |= {"p3_found": p3_found, "p3_canonical_keys": p3_canonical_keys}
