@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import lookalikes, percentiles
+from quire.llm import lookalikes, percentiles, splitting
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -60,3 +60,24 @@ def p3_canonical_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p3_found": p3_found, "p3_canonical_keys": p3_canonical_keys}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.finest_needed(table(spark, d, "chunks"), "chunk_id", "content")
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """All chunks in pieces, and whether each piece keeps the limit."""
+    return splitting.split(table(spark, d, "chunks"), "chunk_id", "content", ["parent_section"]).select("chunk_id", "parent_section", "piece_no", "piece_start", "boundary", "piece_tokens", F.md5("piece").alias("piece_md5"))
+
+
+_ABBREVIATED = "|".join(sorted(x.replace(".", r"\.") for x in splitting.ABBREVIATIONS))
+_P4_SQL = rf"""with c as (select chunk_id, content, regexp_replace(regexp_replace(content, '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g'), '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g') as hidden
+  from chunks where ceil(length(content) / 4) > 900),
+s as (select chunk_id, list_max(list_transform(string_split_regex(content, '\n[^\S\n]*\n\s*'), lambda x: length(x))) as p,
+  list_max(list_transform(string_split_regex(content, '\n+'), lambda x: length(x))) as l,
+  list_max(list_transform(string_split_regex(regexp_replace(hidden, '([.!?።]["''”’»)\]]*)\s+', '\1' || chr(10), 'g'), '\n+'), lambda x: length(x))) as t,
+  list_max(list_transform(string_split_regex(content, '\s+'), lambda x: length(x))) as w from c)
+select chunk_id, case when p <= 3600 then 'paragraph' when l <= 3600 then 'line' when t <= 3600 then 'sentence' when w <= 3600 then 'word' else 'none' end as boundary from s"""
+QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces}
+SQL |= {"p4_found": _P4_SQL}
