@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import lookalikes, percentiles, splitting
+from quire.llm import lookalikes, mixing, packing, percentiles, splitting, tokens
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -81,3 +81,35 @@ s as (select chunk_id, list_max(list_transform(string_split_regex(content, '\n[^
 select chunk_id, case when p <= 3600 then 'paragraph' when l <= 3600 then 'line' when t <= 3600 then 'sentence' when w <= 3600 then 'word' else 'none' end as boundary from s"""
 QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces}
 SQL |= {"p4_found": _P4_SQL}
+
+
+def p8_packed(spark: SparkSession, d: str) -> DataFrame:
+    items = tokens.sized(table(spark, d, "documents"), "text", ["doc_id"])
+    return packing.pack(items, "doc_id", "n_tokens", table(spark, d, "pack_specs")).withColumnRenamed("id", "doc_id")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Per specification: containers, texts, and how full the containers are."""
+    boxes = p8_packed(spark, d).where("container >= 0").groupBy("spec_name", "capacity", "shard", "container").agg(F.sum("n_tokens").alias("fill"), F.count("*").alias("parts"))
+    return boxes.groupBy("spec_name", "capacity").agg(F.count("*").alias("containers"), F.sum("parts").alias("parts"), F.sum("fill").alias("n_tokens"), F.max("fill").alias("fullest"), F.round(F.avg(F.col("fill") / F.col("capacity")), 4).alias("mean_fill"))
+
+
+def _mixed(spark: SparkSession, d: str, **how) -> tuple[DataFrame, DataFrame]:
+    docs = tokens.sized(table(spark, d, "documents"), "text", [F.col("doc_id").alias("id"), "source", F.col("lang").alias("language")])
+    return mixing.mix(docs, table(spark, d, "mix_targets"), **how)
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
+def p9_shares_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The largest mix in which every source reaches its target."""
+    return _mixed(spark, d, exact=True)[1]
+
+
+QUERIES |= {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact}
