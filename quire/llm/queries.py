@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import lookalikes, mixing, packing, percentiles, splitting, tokens
+from quire.llm import lookalikes, mixing, nearduplicates, packing, percentiles, splitting, tokens
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -113,3 +113,19 @@ def p9_shares_exact(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact}
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs, members = nearduplicates.similar_texts(table(spark, d, "chunks").select("chunk_id", "content"), "chunk_id", "content", 0.8)
+    text = nearduplicates.expand(pairs, members).select(F.col("id_a").cast("string").alias("a"), F.col("id_b").cast("string").alias("b"))
+    text = text.select(F.lit("chunk").alias("level"), F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
+    files = nearduplicates.similar_sets(table(spark, d, "facts"), "document", ["key", "period", "value_raw"], 0.7, 10)
+    return text.unionByName(files.select(F.lit("document").alias("level"), "id_a", "id_b"))
+
+
+def p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    pairs, members = nearduplicates.similar_texts(table(spark, d, "chunks").select("chunk_id", "content"), "chunk_id", "content", 0.8)
+    return nearduplicates.groups(cut(pairs), members).withColumnRenamed("id", "chunk_id")
+
+
+QUERIES |= {"p7_found": p7_found, "p7_groups": p7_groups}
