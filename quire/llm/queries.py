@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import lookalikes, mixing, nearduplicates, packing, percentiles, splitting, tokens
+from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, splitting, tokens
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -129,3 +129,24 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p7_found": p7_found, "p7_groups": p7_groups}
+
+
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    contents = languages.fit(table(spark, d, "documents"), "doc_id", "text", "lang")
+    e = table(spark, d, "elements").where("kind = 'text'").select("element_id", "doc_id", F.col("bbox.page").alias("page"), "text")
+    return languages.segments(e, ["element_id", "doc_id", "page"], "text", contents)
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return languages.unstated(table(spark, d, "page_profiles"), languages.pages(_segments(spark, d)))
+
+
+def p2_segments(spark: SparkSession, d: str) -> DataFrame:
+    return _segments(spark, d)
+
+
+def p2_pages(spark: SparkSession, d: str) -> DataFrame:
+    return languages.pages(_segments(spark, d))
+
+
+QUERIES |= {"p2_found": p2_found, "p2_segments": p2_segments, "p2_pages": p2_pages}
