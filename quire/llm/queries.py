@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, splitting, tokens
+from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, scannoise, splitting, tokens
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -150,3 +150,14 @@ def p2_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p2_found": p2_found, "p2_segments": p2_segments, "p2_pages": p2_pages}
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return scannoise.noise(table(spark, d, "elements"), table(spark, d, "page_profiles"))
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    return scannoise.repaired(table(spark, d, "elements"), table(spark, d, "page_profiles"))
+
+
+QUERIES |= {"p6_found": p6_found, "p6_repaired": p6_repaired}
