@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quire.plans import quantities
+from quire.plans import answers, pages, quantities
 
-MODULES = (quantities,)
+MODULES = (quantities, pages, answers)
 
 
 def queries() -> dict:
