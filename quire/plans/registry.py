@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quire.plans import answers, pages, quantities
+from quire.plans import answers, pages, quantities, sections
 
-MODULES = (quantities, pages, answers)
+MODULES = (quantities, pages, answers, sections)
 
 
 def queries() -> dict:
