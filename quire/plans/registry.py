@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quire.plans import answers, pages, quantities, sections
+from quire.plans import answers, pages, quantities, retrieval, sections
 
-MODULES = (quantities, pages, answers, sections)
+MODULES = (quantities, pages, answers, sections, retrieval)
 
 
 def queries() -> dict:
