@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, scannoise, splitting, tokens
+from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, pii, scannoise, splitting, tokens
 from quire.session import cut, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
@@ -161,3 +161,14 @@ def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p6_found": p6_found, "p6_repaired": p6_repaired}
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"), "doc_id", "text").distinct()
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES |= {"p10_found": p10_found, "p10_redacted": p10_redacted}
