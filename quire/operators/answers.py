@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.session import cut, hinted, parallelism
 
 ROW_LIMIT, LOOKUP_LIMIT, LISTING_LIMIT, TOP = 50, 25, 1000, 3
 #: Columns by which a result row can be cited.
@@ -113,9 +114,13 @@ def routed(questions: DataFrame, cards: DataFrame, key: str = "doc_id", name: st
     t = card_tokens(cards, key)
     n = cards.count()
     df = t.select(key, "token").distinct().groupBy("token").agg(F.count("*").alias("df"))
+    df = df.where(F.col("df") < n)  # a token of every card weighs nothing
     idf = F.log((1 + F.lit(float(n))) / (1 + F.col("df")))
     weight = F.element_at(F.create_map(*[F.lit(x) for kv in WEIGHTS.items() for x in kv]), F.col("field"))
     q = questions.select("question_id", F.explode(tokens(F.col("question"))).alias("token"))
-    score = q.join(t, "token").join(df, "token").groupBy("question_id", key).agg(F.round(F.sum(weight * idf), 4).alias("score")).where("score > 0")
+    worth = t.join(df, "token").groupBy("token", key).agg(F.sum(weight * idf).alias("worth"))  # fields added up before questions multiply the rows
+    # Questions are spread first: partitioned by question they are scored and ranked without another shuffle where the cards' tokens can be broadcast.
+    q = q.repartition(parallelism(questions.sparkSession), "question_id")
+    score = q.join(hinted(cut(worth), 500_000), "token").groupBy("question_id", key).agg(F.round(F.sum("worth"), 4).alias("score")).where("score > 0")
     w = Window.partitionBy("question_id").orderBy(F.desc("score"), name, key)
     return score.join(cards.select(key, name), key).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)

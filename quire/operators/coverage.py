@@ -1,7 +1,7 @@
 """How much of a page's ink the extracted elements account for: grids, thresholds, regions, overlaps, escalation.
 
-Pages come as rows of inked cells (page key, r, c). Boxes become cells by the page's own grid. Joins are on page and cell;
-only connected_regions() needs a function over a page's cells, which are bounded by its grid.
+Boxes become rows of a page's grid with a bit mask of the columns they touch; pages are assessed by bit counts. Only the
+components of what is left need a function over a page's rows, which are bounded by its grid.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Threshold of coverage, largest share of a page one element may claim, smallest region, overlap of twins.
 TAU, CLAIM, REGION, TWIN = 0.85, 0.60, 900.0, 0.5
+#: Columns that one word of a mask holds.
+BITS = 60
 
 
 def area(b: Column) -> Column:
@@ -32,14 +34,22 @@ def flipped(b: Column, height: Column) -> Column:
     return F.struct(b["x0"].alias("x0"), (height - b["y1"]).alias("y0"), b["x1"].alias("x1"), (height - b["y0"]).alias("y1"), b["page"].alias("page"))
 
 
-def box_cells(boxes: DataFrame, keys: list[str], width: float, height: float, rows: int, cols: int) -> DataFrame:
-    """keys, r, c: cells of a rows x cols grid that boxes touch, each once."""
+def box_rows(boxes: DataFrame, keys: list[str], width: float, height: float, rows: int, cols: int, sets: dict[str, Column]) -> DataFrame:
+    """keys, r, and for each named set the mask of columns that its boxes touch in row r: <set>0, <set>1, ... of BITS columns each.
+
+    A box becomes one row per grid row it spans, and boxes of a page are united by bit_or inside the partial aggregation, so
+    cells are never rows of their own.
+    """
     clip = lambda x, n: F.least(F.greatest(x, F.lit(0)), F.lit(n)).cast("int")
     r0, r1 = clip(F.floor(F.col("bbox.y0") / height * rows), rows), clip(F.ceil(F.col("bbox.y1") / height * rows), rows)
     c0, c1 = clip(F.floor(F.col("bbox.x0") / width * cols), cols), clip(F.ceil(F.col("bbox.x1") / width * cols), cols)
-    b = boxes.select(*keys, r0.alias("r0"), r1.alias("r1"), c0.alias("c0"), c1.alias("c1")).where("r1 > r0 and c1 > c0")
-    b = b.select(*keys, "c0", "c1", F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("r"))
-    return b.select(*keys, "r", F.explode(F.sequence(F.col("c0"), F.col("c1") - 1)).alias("c")).distinct()
+    b = boxes.select(*keys, r0.alias("r0"), r1.alias("r1"), c0.alias("c0"), c1.alias("c1"), *[c.alias(f"in_{n}") for n, c in sets.items()]).where("r1 > r0 and c1 > c0")
+    words = range(-(-cols // BITS))
+    at = lambda c, k: F.least(F.greatest(F.col(c) - k * BITS, F.lit(0)), F.lit(BITS))
+    bit = lambda c, k: F.call_function("shiftleft", F.lit(1).cast("bigint"), at(c, k).cast("int"))
+    mask = lambda k: bit("c1", k) - bit("c0", k)
+    b = b.select(*keys, *[F.col(f"in_{n}") for n in sets], *[mask(k).alias(f"m{k}") for k in words], F.explode(F.sequence(F.col("r0"), F.col("r1") - 1)).alias("r"))
+    return b.groupBy(*keys, "r").agg(*[F.coalesce(F.bit_or(F.when(F.col(f"in_{n}"), F.col(f"m{k}"))), F.lit(0).cast("bigint")).alias(f"{n}{k}") for n in sets for k in words])
 
 
 def valid_claims(elements: DataFrame, page_area: float) -> DataFrame:
@@ -51,44 +61,79 @@ def valid_claims(elements: DataFrame, page_area: float) -> DataFrame:
     return e.withColumn("valid", fits | (F.coalesce(F.col("source_rung"), F.lit("")) == "C") | ((F.col("kind") == "figure") & F.coalesce("beside", F.lit(False)))).drop("beside")
 
 
-def assessed(ink: DataFrame, claimed: DataFrame, keys: list[str], tau: float = TAU) -> DataFrame:
-    """keys, inked, covered, coverage, escalate: ink cells under claimed cells; a blank page (no rows of ink) is not listed."""
-    j = ink.join(claimed.withColumn("hit", F.lit(True)), [*keys, "r", "c"], "left")
-    a = j.groupBy(*keys).agg(F.count("*").alias("inked"), F.count_if(F.coalesce("hit", F.lit(False))).alias("covered"))
+def assessed(grid: DataFrame, keys: list[str], tau: float = TAU) -> DataFrame:
+    """keys, inked, covered, coverage, escalate, of box_rows() with the sets ink and claimed; a blank page is not listed."""
+    words = sum(c.startswith("ink") for c in grid.columns)
+    total = lambda f: sum((F.bit_count(f(k)) for k in range(1, words)), F.bit_count(f(0)))
+    a = grid.groupBy(*keys).agg(F.sum(total(lambda k: F.col(f"ink{k}"))).alias("inked"), F.sum(total(lambda k: F.col(f"ink{k}").bitwiseAND(F.col(f"claimed{k}")))).alias("covered")).where("inked > 0")
     return a.withColumn("coverage", F.round(F.col("covered") / F.col("inked"), 4)).withColumn("escalate", F.col("covered") / F.col("inked") < tau)
 
 
-def connected_regions(cells: DataFrame, keys: list[str], cell_w: float, cell_h: float, least: float = REGION) -> DataFrame:
-    """keys, region, x0, y0, x1, y1, cells: 4-connected components of at least the area, by union of runs of cells in a row."""
-    schema = ", ".join(f"{k} {t}" for k, t in cells.select(*keys).dtypes) + ", region int, x0 double, y0 double, x1 double, y1 double, cells int"
-
-    def regions(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        root: dict[tuple[int, int], tuple[int, int]] = {}
-
-        def find(x: tuple[int, int]) -> tuple[int, int]:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x in sorted(set(zip(rows["r"], rows["c"]))):
-            root[x] = x
-            for y in ((x[0] - 1, x[1]), (x[0], x[1] - 1)):
-                if y in root:
-                    a, b = find(x), find(y)
-                    root[max(a, b)] = min(a, b)
-        parts: dict[tuple[int, int], list] = {}
-        for x in root:
-            parts.setdefault(find(x), []).append(x)
-        out = []
-        for first in sorted(parts):
-            rs, cs = [x[0] for x in parts[first]], [x[1] for x in parts[first]]
-            box = (min(cs) * cell_w, min(rs) * cell_h, (max(cs) + 1) * cell_w, (max(rs) + 1) * cell_h)
-            if (box[2] - box[0]) * (box[3] - box[1]) >= least:
-                out.append((*key, len(out), *map(float, box), len(rs)))
-        return pd.DataFrame(out, columns=[*keys, "region", "x0", "y0", "x1", "y1", "cells"])
-
-    return cells.groupBy(*keys).applyInPandas(regions, schema)
+def runs(mask: int) -> list[tuple[int, int]]:
+    """The stretches of set bits, as [start, end)."""
+    out = []
+    while mask:
+        a = (mask & -mask).bit_length() - 1
+        n = (~(mask >> a) & (mask >> a) + 1).bit_length() - 1
+        out.append((a, a + n))
+        mask &= ~(((1 << n) - 1) << a)
+    return out
+
+
+def components(rows: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(r0, c0, r1, c1, cells) of the 4-connected components of rows (r, mask), in order of their first cell: runs of a row that touch runs of the row above are united."""
+    root: list[int] = []
+    cells: list[tuple[int, int, int]] = []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    above: list[int] = []
+    last = None
+    for r, mask in sorted(rows):
+        here = []
+        for a, z in runs(mask):
+            i = len(root)
+            root.append(i)
+            cells.append((r, a, z))
+            here.append(i)
+            for j in above if last == r - 1 else ():
+                if cells[j][1] < z and a < cells[j][2]:
+                    x, y = find(i), find(j)
+                    root[max(x, y)] = min(x, y)
+        above, last = here, r
+    boxes: dict[int, list[int]] = {}
+    for i, (r, a, z) in enumerate(cells):
+        k = find(i)
+        b = boxes.setdefault(k, [r, a, r + 1, z, 0])
+        b[0], b[1], b[2], b[3], b[4] = min(b[0], r), min(b[1], a), max(b[2], r + 1), max(b[3], z), b[4] + z - a
+    return [tuple(boxes[k]) for k in sorted(boxes)]
+
+
+def residual_regions(grid: DataFrame, keys: list[str], cell_w: float, cell_h: float, least: float = REGION) -> DataFrame:
+    """keys, region, x0, y0, x1, y1, cells: components of at least the area in the ink that nothing claims, of box_rows() with the sets ink and claimed."""
+    words = sum(c.startswith("ink") for c in grid.columns)
+    left = grid.select(*keys, "r", *[F.col(f"ink{k}").bitwiseAND(F.bitwise_not(F.col(f"claimed{k}"))).alias(f"m{k}") for k in range(words)])
+    left = left.where(" or ".join(f"m{k} <> 0" for k in range(words)))
+    pages = left.groupBy(*keys).agg(F.collect_list(F.struct("r", *[f"m{k}" for k in range(words)])).alias("rows"))  # as many as the grid has rows
+    schema = ", ".join(f"{k} {t}" for k, t in grid.select(*keys).dtypes) + ", region int, x0 double, y0 double, x1 double, y1 double, cells int"
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for p in b.itertuples(index=False):
+                n = 0
+                for r0, c0, r1, c1, size in components([(x["r"], sum(x[f"m{k}"] << (BITS * k) for k in range(words))) for x in p.rows]):
+                    box = (c0 * cell_w, r0 * cell_h, c1 * cell_w, r1 * cell_h)
+                    if (box[2] - box[0]) * (box[3] - box[1]) >= least:
+                        out.append((*p[: len(keys)], n, *map(float, box), size))
+                        n += 1
+            yield pd.DataFrame(out, columns=[*keys, "region", "x0", "y0", "x1", "y1", "cells"])
+
+    return pages.mapInPandas(find, schema)
 
 
 def otsu(levels: DataFrame, keys: list[str]) -> DataFrame:

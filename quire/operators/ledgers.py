@@ -31,7 +31,7 @@ def rollup(rows: DataFrame) -> DataFrame:
     """doc_id, pages, mean coverage, spend, escalated pages, vision pages, whether the budget was hit."""
     ok = ~F.isnan("coverage_residual") & (F.col("coverage_residual") >= 0)
     return rows.groupBy("doc_id").agg(
-        F.count("*").alias("pages"), F.round(F.avg(F.when(ok, 1 - F.col("coverage_residual"))), 6).alias("coverage"), F.round(F.sum("cost_estimate_usd"), 6).alias("spend"),
+        F.count("*").alias("pages"), F.try_divide(F.round(F.sum(F.when(ok, 1 - F.col("coverage_residual"))), 4), F.count_if(ok)).alias("coverage"), F.round(F.sum("cost_estimate_usd"), 6).alias("spend"),
         F.count_if(F.col("strategy_used").contains("→")).alias("escalated"), F.count_if(F.col("strategy_used").contains("C")).alias("vision_pages"), F.coalesce(F.bool_or(F.col("strategy_used").contains("!budget")), F.lit(False)).alias("budget_hit"))
 
 

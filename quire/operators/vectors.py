@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
+from quire.session import parallelism
 
 DIM = 256
 
@@ -20,9 +21,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 def hash_buckets(df: DataFrame, id_col: str, text_col: str, dim: int = DIM) -> DataFrame:
     """id, bucket, weight: character 3- and 5-grams of the collapsed lower-case text, hashed by md5 to `dim` (a power of two up to 65536) buckets, L2-normalised. Texts without a gram have no bucket."""
-    t = X.collapsed(F.lower(F.col(text_col)))
-    grams = lambda n: F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - n + 1), lambda i: F.substring(t, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    g = df.select(F.col(id_col).alias("id"), F.explode(F.concat(grams(3), grams(5))).alias("g"))
+    chars = F.filter(F.split(X.collapsed(F.lower(F.col(text_col))), ""), lambda c: c != "")
+    gram = lambda n: F.slice(F.transform("chars", lambda c, i: F.concat(c, *[F.coalesce(F.get("chars", i + k), F.lit("")) for k in range(1, n)])), F.lit(1), F.greatest(F.size("chars") - n + 1, F.lit(0)))
+    src = df.select(F.col(id_col).alias("id"), chars.alias("chars")).where("chars is not null").repartition(parallelism(df.sparkSession))
+    g = src.select("id", F.explode(F.concat(gram(3), gram(5))).alias("g"))
     b = g.select("id", (F.conv(F.right(F.md5("g"), F.lit(4)), 16, 10).cast("int") % dim).alias("bucket"))
     n = b.groupBy("id", "bucket").agg(F.count("*").alias("c"))
     norm = n.groupBy("id").agg(F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("norm"))

@@ -123,7 +123,7 @@ _PAGES = rf"""pg as (select doc_id, bbox.page as page, sum(length(regexp_replace
  sum(length(regexp_replace(coalesce(text, ''), '[^ሀ-፿ᎀ-᎟ⶀ-⷟꬀-꬯]', '', 'g')))::bigint as ethiopic_chars, sum(length(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')))::bigint as latin_chars, {_VOTES} from elements where kind in ('text', 'furniture') group by 1, 2)"""
 _BEST = "greatest(" + ", ".join(f"votes_{d}" for d in triage.DOMAINS) + ")"
 _LATEST = "lp as (select * from ledger qualify row_number() over (partition by doc_id, page order by arrived_at desc, entry_id desc) = 1)"
-_ROLLUP = "rl as (select doc_id, count(*) as pages, round(avg(case when not isnan(coverage_residual) and coverage_residual >= 0 then 1 - coverage_residual end), 6) as coverage, round(sum(cost_estimate_usd), 6) as spend, count(*) filter (strategy_used like '%→%') as escalated, count(*) filter (strategy_used like '%C%') as vision_pages, coalesce(bool_or(contains(strategy_used, '!budget')), false) as budget_hit from lp group by 1)"
+_ROLLUP = "rl as (select doc_id, count(*) as pages, round(sum(case when not isnan(coverage_residual) and coverage_residual >= 0 then 1 - coverage_residual end), 4) / nullif(count(*) filter (not isnan(coverage_residual) and coverage_residual >= 0), 0) as coverage, round(sum(cost_estimate_usd), 6) as spend, count(*) filter (strategy_used like '%→%') as escalated, count(*) filter (strategy_used like '%C%') as vision_pages, coalesce(bool_or(contains(strategy_used, '!budget')), false) as budget_hit from lp group by 1)"
 _DOMINANT = "dm as (select doc_id, case when n / a >= 0.7 then origin_type else 'mixed' end as dominant_origin, round(n / a, 4) as share from (select *, sum(n) over (partition by doc_id) as a, row_number() over (partition by doc_id order by n desc, f, origin_type) as k from (select doc_id, origin_type, count(*) as n, min(page) as f from page_profiles group by 1, 2)) where k = 1)"
 
 QUERIES = {f.__name__: f for f in (parsed_cells, period_cells, content_hash_groups, page_signals, page_rules, language_backfill, dominant_origin, triage_counters, page_columns, doc_medians, ledger_latest_page, ledger_latest_run, ledger_replays, ledger_rollup, ledger_repair, ledger_trace, budget_cutoff, pending_documents, documents_listing)}

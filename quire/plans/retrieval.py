@@ -63,18 +63,19 @@ def claims_valid(spark: SparkSession, d: str) -> DataFrame:
     return coverage.valid_claims(table(spark, d, "elements"), W * H).select("element_id", "valid")
 
 
-def coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
-    """How much of the area of all elements of a page (as its ink) its text elements claim."""
+def _grid(spark: SparkSession, d: str) -> DataFrame:
+    """All elements as a page's ink, its text elements as what is claimed."""
     e = table(spark, d, "elements").select("doc_id", F.col("bbox.page").alias("page"), "bbox", "kind")
-    ink = coverage.box_cells(e, ["doc_id", "page"], W, H, ROWS, COLS)
-    return coverage.assessed(ink, coverage.box_cells(e.where("kind = 'text'"), ["doc_id", "page"], W, H, ROWS, COLS), ["doc_id", "page"])
+    return coverage.box_rows(e, ["doc_id", "page"], W, H, ROWS, COLS, {"ink": F.lit(True), "claimed": F.col("kind") == "text"})
+
+
+def coverage_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """How much of the area of all elements of a page its text elements claim."""
+    return coverage.assessed(_grid(spark, d), ["doc_id", "page"])
 
 
 def residual_regions(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "elements").select("doc_id", F.col("bbox.page").alias("page"), "bbox", "kind")
-    ink = coverage.box_cells(e, ["doc_id", "page"], W, H, ROWS, COLS)
-    left = ink.join(coverage.box_cells(e.where("kind = 'text'"), ["doc_id", "page"], W, H, ROWS, COLS), ["doc_id", "page", "r", "c"], "left_anti")
-    return coverage.connected_regions(left, ["doc_id", "page"], W / COLS, H / ROWS)
+    return coverage.residual_regions(_grid(spark, d), ["doc_id", "page"], W / COLS, H / ROWS)
 
 
 def otsu_threshold(spark: SparkSession, d: str) -> DataFrame:

@@ -136,8 +136,18 @@ def test_chunk_rules_and_references(spark):
 
 def test_regions_and_otsu(spark):
     cells = [(1, r, c) for r in range(10, 40) for c in range(10, 40)] + [(1, r, c) for r in (60, 61) for c in (60, 61)]
-    got = coverage.connected_regions(spark.createDataFrame(cells, "page int, r int, c int"), ["page"], 4.0, 4.0, 1000.0).collect()
-    assert len(got) == 1 and (got[0]["x0"], got[0]["y0"], got[0]["x1"], got[0]["cells"]) == (40.0, 40.0, 160.0, 900)
+    masks = {}
+    for _, r, c in cells:
+        masks[r] = masks.get(r, 0) | 1 << c
+    assert coverage.components(list(masks.items())) == [(10, 10, 40, 40, 900), (60, 60, 62, 62, 4)]
+    u = {1: 0b101, 2: 0b101, 3: 0b111, 5: 0b1}
+    assert coverage.components(list(u.items())) == [(1, 0, 4, 3, 7), (5, 0, 6, 1, 1)] and coverage.runs(0b1011000110) == [(1, 3), (6, 8), (9, 10)]
+    boxes = [((40.0, 40.0, 160.0, 160.0, 1), False), ((40.0, 40.0, 160.0, 80.0, 1), True), ((300.0, 300.0, 304.0, 304.0, 1), False)]
+    grid = coverage.box_rows(spark.createDataFrame([(1, *b) for b in boxes], f"page int, {BBOX}, claims boolean"), ["page"], 400.0, 400.0, 100, 100, {"ink": F.lit(True), "claimed": F.col("claims")})
+    a = coverage.assessed(grid, ["page"]).first()
+    assert (a["inked"], a["covered"], a["escalate"]) == (901, 300, True)
+    got = coverage.residual_regions(grid, ["page"], 4.0, 4.0, 1000.0).collect()
+    assert len(got) == 1 and (got[0]["x0"], got[0]["y0"], got[0]["x1"], got[0]["y1"], got[0]["cells"]) == (40.0, 80.0, 160.0, 160.0, 600)
     levels = [("p", 10)] * 50 + [("p", 200)] * 50 + [("flat", 7)] * 9
     t = {r["k"]: r["threshold"] for r in coverage.otsu(spark.createDataFrame(levels, "k string, bin int"), ["k"]).collect()}
     assert t == {"p": 10, "flat": -1}
