@@ -153,13 +153,13 @@ def references(chunks: DataFrame) -> DataFrame:
     unsplit tables (or figures). A chunk is no target of its own.
     """
     c = chunks.select("chunk_id", "doc_id", "chunk_no", "chunk_type", "content")
-    spell = lambda words: F.transform(F.regexp_extract_all("content", F.lit(r"\b(Table|Figure)\s+([0-9]+)\b"), F.lit(0)), lambda m: F.regexp_replace(m, r"\s+", " "))
+    spell = F.transform(F.regexp_extract_all("content", F.lit(r"(?i)\b(Table|Figure)\s+([0-9]+)\b"), F.lit(0)), lambda m: F.initcap(F.regexp_replace(m, r"\s+", " ")))
     kinds = c.where("chunk_type in ('table', 'figure')")
-    named = kinds.select("doc_id", "chunk_id", "chunk_no", F.explode(spell(None)).alias("label"), F.lit(0).alias("how"))
+    named = kinds.select("doc_id", "chunk_id", "chunk_no", F.explode(spell).alias("label"), F.lit(0).alias("how"))
     w = Window.partitionBy("doc_id", "chunk_type").orderBy("chunk_no", "chunk_id")
     counted = kinds.where(~F.col("content").startswith("[part")).withColumn("n", F.row_number().over(w)).select("doc_id", "chunk_id", "chunk_no", F.concat(F.initcap("chunk_type"), F.lit(" "), F.col("n")).alias("label"), F.lit(1).alias("how"))
     registry = named.unionByName(counted).groupBy("doc_id", "label").agg(F.min(F.struct("how", "chunk_no", "chunk_id")).alias("t")).select("doc_id", "label", F.col("t.chunk_id").alias("target"))
-    said = c.where("chunk_type = 'text'").select("chunk_id", "doc_id", F.explode(spell(None)).alias("label"))
+    said = c.where("chunk_type = 'text'").select("chunk_id", "doc_id", F.explode(spell).alias("label"))
     return said.join(registry, ["doc_id", "label"]).where("target <> chunk_id").select("chunk_id", "label", "target")
 
 

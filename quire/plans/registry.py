@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quire.plans import answers, pages, quantities, retrieval, sections
+from quire.plans import answers, navigation, pages, quantities, retrieval, sections
 
-MODULES = (quantities, pages, answers, sections, retrieval)
+MODULES = (quantities, pages, answers, sections, retrieval, navigation)
 
 
 def queries() -> dict:

@@ -128,7 +128,7 @@ SQL = {
     "section_children": f"with {_HEAD} select p.doc_id, p.section_no, p.title, children, first_page, last_page from pr p left join (select doc_id, parent_no, count(*) as children, min(page_start) as first_page, max(page_end) as last_page from pr where parent_no is not null group by 1, 2) k on k.doc_id = p.doc_id and k.parent_no = p.section_no",
     "page_buckets": "select doc_id, 'Pages ' || (b * 10 + 1) || '-' || (b * 10 + 10) as title, count(*) as n_elements from (select doc_id, (bbox.page - 1) // 10 as b from elements) group by 1, 2",
     "chunk_rules": r"with r as (select chunk_id, unnest([case when not coalesce(trim(content) <> '', false) then 'empty_content' end, case when not coalesce(trim(parent_section) <> '', false) then 'no_parent_section' end, case when chunk_type = 'table' and not coalesce(contains(content, '|'), false) then 'table_without_headers' end, case when greatest(1, ceil(length(coalesce(content, '')) / 4)) > 1125 then 'over_limit' end, case when coalesce(len(page_refs), 0) < 1 then 'no_page' end]) as rule from chunks) select * from r where rule is not null",
-    "chunk_references": r"with k as (select chunk_id, doc_id, chunk_no, chunk_type, content, list_transform(regexp_extract_all(content, '\b(?:Table|Figure)\s+[0-9]+\b'), lambda m: regexp_replace(m, '\s+', ' ', 'g')) as ls from chunks), g as (select doc_id, chunk_id, chunk_no, unnest(ls) as label, 0 as how from k where chunk_type in ('table', 'figure') union all select doc_id, chunk_id, chunk_no, upper(chunk_type[1]) || chunk_type[2:] || ' ' || row_number() over (partition by doc_id, chunk_type order by chunk_no, chunk_id), 1 from k where chunk_type in ('table', 'figure') and not starts_with(content, '[part')), r as (select doc_id, label, arg_min(chunk_id, (how, chunk_no, chunk_id)) as target from g group by 1, 2) select chunk_id, label, target from (select chunk_id, doc_id, unnest(ls) as label from k where chunk_type = 'text') join r using (doc_id, label) where target <> chunk_id",
+    "chunk_references": r"with k as (select chunk_id, doc_id, chunk_no, chunk_type, content, list_transform(regexp_extract_all(content, '(?i)\b(?:Table|Figure)\s+[0-9]+\b'), lambda m: upper(m[1]) || lower(regexp_replace(m[2:], '\s+', ' ', 'g'))) as ls from chunks), g as (select doc_id, chunk_id, chunk_no, unnest(ls) as label, 0 as how from k where chunk_type in ('table', 'figure') union all select doc_id, chunk_id, chunk_no, upper(chunk_type[1]) || chunk_type[2:] || ' ' || row_number() over (partition by doc_id, chunk_type order by chunk_no, chunk_id), 1 from k where chunk_type in ('table', 'figure') and not starts_with(content, '[part')), r as (select doc_id, label, arg_min(chunk_id, (how, chunk_no, chunk_id)) as target from g group by 1, 2) select chunk_id, label, target from (select chunk_id, doc_id, unnest(ls) as label from k where chunk_type = 'text') join r using (doc_id, label) where target <> chunk_id",
     "stored_references": "with r as (select doc_id, unnest(relationships) as x from chunks) select case when exists (select 1 from chunks c where c.doc_id = r.doc_id and c.content_hash = x.target_hash) then 'same document' when exists (select 1 from chunks c where c.content_hash = x.target_hash) then 'another document' else 'nowhere' end as target, count(*) as n from r group by 1",
     "chunk_entities": r"with e as (select doc_id, chunk_no, chunk_id, unnest(l) as x, generate_subscripts(l, 1) as i from (select doc_id, chunk_no, chunk_id, regexp_extract_all(content, '\b[A-Z][a-z]+(?: [A-Z][a-z]+)+') as l from chunks where chunk_type = 'text')), g as (select doc_id, regexp_replace(x, '^The ', '') as entity, count(*) as n, min((chunk_no, chunk_id, i)) as f from e group by 1, 2) select doc_id, row_number() over (partition by doc_id order by n desc, f, entity) as rank, entity, n from g qualify rank <= 5",
     "chunk_summaries": r"select chunk_id, substr(array_to_string(string_split_regex(regexp_replace(trim(regexp_replace(content, '\s+', ' ', 'g')), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))[1:2], ' '), 1, 240) as summary from chunks where chunk_type = 'text'",

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import agent, answers, coverage, ledgers, sections, tables, triage, vectors
+from quire.operators import agent, answers, coverage, ledgers, navigation, sections, tables, triage, vectors
 from quire.sources import stores
 from quire.streaming import ledger as streams
 
@@ -275,3 +275,35 @@ def test_citations(spark, facts):
     assert {r["answer_id"]: r["found"] for r in agent.resolved(c, facts).collect()} == {1: True, 2: False}
     df = spark.createDataFrame([("a [1]", ["x"]), ("a [2]", ["x"]), ("a", [])], "t string, c array<string>")
     assert [r["ok"] for r in df.select(agent.markers_ok(F.col("t"), F.col("c")).alias("ok")).collect()] == [True, False, True]
+
+
+# ---- navigation ----
+
+def test_navigation(spark):
+    tree = spark.createDataFrame([("d", 0, "Preamble", None), ("d", 1, "4. Finance", None), ("d", 2, "4.1 Tax", 1), ("d", 3, "Finance", 2)], "doc_id string, section_no long, title string, parent_no long")
+    wanted = spark.createDataFrame([("d", " finance "), ("d", "tax"), ("d", "none")], "doc_id string, wanted string")
+    assert {r["wanted"]: (r["section_no"], r["how"]) for r in navigation.found_sections(tree, wanted).collect()} == {" finance ": (3, "exact"), "tax": (2, "contains")}
+    assert {(r["root_no"], r["section_no"], r["depth"]) for r in navigation.descendants(spark, tree).collect()} == {(0, 0, 0), (1, 1, 0), (1, 2, 1), (1, 3, 2)}
+    e = spark.createDataFrame([(i, [1.0, float(i)], i % 2) for i in range(5)], "vec_id long, embedding array<float>, label int")
+    inside, wide = (navigation.search(e, [1.0, 4.0], 1, F.col("label") == x).first() for x in (1, 9))
+    assert (inside["vec_id"], inside["note"]) == (3, None) and wide["vec_id"] == 4 and wide["note"]
+
+
+def test_captions_are_taken_once(spark):
+    rows = [element(1, "figure", y0=300.0, y1=380.0), element(2, "figure", y0=300.0, y1=380.0), element(3, text="Figure 3: a", y0=390.0, y1=400.0), element(4, text="Fig.4 b", y0=385.0, y1=395.0), element(5, text="prose", y0=381.0, y1=385.0)]
+    assert {tuple(r) for r in navigation.figure_captions(spark.createDataFrame(rows, ELEMENT)).collect()} == {(1, 3), (2, 4)}
+
+
+def test_siblings_labels_and_tallies(spark, facts):
+    c = spark.createDataFrame([(1, "revenue was 3,300", "report.pdf"), (2, "revenue was 9,999", "report.pdf"), (3, None, "report.pdf")], "claim_id long, claim string, document string")
+    assert [tuple(r) for r in navigation.printed_elsewhere(c, facts).collect()] == [(1, "other.pdf")]
+    t = spark.createDataFrame([("report.pdf", "RE-VENUE", 4200.0), ("report.pdf", "Costs", 1.0), ("report.pdf", "Nothing", 1.0)], "document string, label string, value double")
+    assert {r["label"]: (r["found"], r["ok"]) for r in navigation.matched_labels(t, facts).collect()} == {"RE-VENUE": (True, True), "Costs": (True, False), "Nothing": (False, False)}
+    ranked = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (2, "b", 2)], "question_id long, source_name string, rank int")
+    truth = spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "y")], "question_id long, document string, kind string")
+    assert {r["kind"]: (r["questions"], r["first"], r["among"]) for r in navigation.routing_tally(ranked, truth).collect()} == {"x": (1, 1, 1), "y": (2, 0, 1), "ALL": (3, 1, 2)}
+
+
+def test_ink(spark):
+    px = [(1, y, x, 20 if y < 4 and x < 4 else 240) for y in range(10) for x in range(10)] + [(2, y, x, 255) for y in range(8) for x in range(8)]
+    assert [tuple(r) for r in navigation.ink_cells(spark.createDataFrame(px, "page int, y int, x int, gray int"), ["page"], 4).collect()] == [(1, 0, 0)]
