@@ -4,12 +4,12 @@ An item is a multiset (a text's words) or a set (a file's facts); its elements a
 sets of 64-bit values and similarity is that of Jaccard. The pivot distance table holds, for each item, the Hamming distances of
 its fingerprint (parity of its elements in BITS positions) to reference fingerprints. One change of an element moves a
 distance by at most 1, so two items of similarity t and sizes n and m differ in each coordinate by at most (n + m)(1 - t)/(1 + t):
-a pair with a larger difference in any coordinate is discarded for certain, before anything else of it is looked at. What survives is
-verified on the full contents, so no reported pair is wrong.
+a pair with a larger difference in any coordinate is discarded for certain, before anything else of it is looked at. What survives meets
+the same bound with its whole fingerprints, and then is verified on the full contents, so no reported pair is wrong.
 
 Distances alone give no keys to join on (random contents are nearly equally far from any reference), so the pairs put to
 the table come from equality joins: texts that share one of BANDS hashes of ROWS minima over their words (a pair of similarity 0.8
-is missed with probability (1 - 0.8^ROWS)^BANDS = 2.7 %, one of 0.9 with 1e-6), and files that share one of their rarest
+is missed with probability (1 - 0.8^ROWS)^BANDS = 0.7 %, one of 0.9 with 3e-8), and files that share one of their rarest
 facts, which loses nothing: of two files above the threshold, the rarest 1 - t of the one always meets that of the other.
 
 Exact copies are one class, represented by their smallest id; only representatives are compared, so a third of the rows being
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quire.session import cut, hinted, parallelism
 
-BITS, PIVOTS, BANDS, ROWS, SEED = 1024, 8, 32, 10, 7
+BITS, PIVOTS, BANDS, ROWS, SEED = 1024, 8, 34, 9, 7
 #: Copies of one content up to which p7_found lists all their pairs; of more, each with the representative.
 EXPAND = 200
 WORDS = re.compile(r"[^\W_]+")
@@ -89,7 +89,7 @@ def far_apart(a: str, b: str, threshold: float) -> Column:
 
 
 def text_signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, content (an order-free hash), n (words), d0.. (pivot distances, four to a number), bands: one row per text with words."""
+    """id, content (an order-free hash), n (words), d0.. (pivot distances, four to a number), bands, bits (the fingerprint): one row per text with words."""
     id_type = dict(df.dtypes)[id_col]
     packed = PIVOTS // 4
     pv = pivots()
@@ -108,14 +108,15 @@ def text_signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for s in range(0, len(low), 256):
                     np.minimum(least, (low[s : s + 256, None] * a + b).min(axis=0), out=least)
                 bands = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) - (1 << 63) for k, x in enumerate(least.reshape(BANDS, ROWS))]
-                d = np.bitwise_count(pv ^ fingerprint(h)).sum(axis=1).astype(np.uint64)
+                bits = fingerprint(h)
+                d = np.bitwise_count(pv ^ bits).sum(axis=1).astype(np.uint64)
                 d = [int(sum(int(d[4 * j + k]) << (16 * k) for k in range(4))) for j in range(packed)]
                 total = int(np.bitwise_xor.reduce(h * np.uint64(0x9E3779B97F4A7C15))) ^ (int(h.sum(dtype=np.uint64)) * 31 & _MASK)
-                rows.append((i, total - (1 << 63), len(h), *d, bands))
-            yield pd.DataFrame(rows, columns=["id", "content", "n", *[f"d{j}" for j in range(packed)], "bands"])
+                rows.append((i, total - (1 << 63), len(h), *d, bands, bits.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["id", "content", "n", *[f"d{j}" for j in range(packed)], "bands", "bits"])
 
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition(parallelism(df.sparkSession))
-    return src.mapInPandas(sign, f"id {id_type}, content bigint, n int, {', '.join(f'd{j} bigint' for j in range(packed))}, bands array<bigint>")
+    return src.mapInPandas(sign, f"id {id_type}, content bigint, n int, {', '.join(f'd{j} bigint' for j in range(packed))}, bands array<bigint>, bits array<bigint>")
 
 
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -127,7 +128,11 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     keys = reps.select("id", "n", *[f"d{j}" for j in range(PIVOTS // 4)], F.posexplode("bands").alias("band", "key")).withColumn("key", F.col("key").bitwiseXOR(F.col("band").cast("bigint"))).drop("band")
     a, b = keys.alias("a"), keys.alias("b")
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & ~far_apart("a", "b", threshold))
-    pairs = cut(pairs.select(F.col("a.id").alias("rep_a"), F.col("b.id").alias("rep_b")).distinct())
+    pairs = pairs.select(F.col("a.id").alias("rep_a"), F.col("b.id").alias("rep_b")).distinct()
+    whole = sig.select("id", F.col("n").alias("m"), "bits")
+    pairs = pairs.join(whole.withColumnsRenamed({"id": "rep_a", "m": "m_a", "bits": "bits_a"}), "rep_a").join(whole.withColumnsRenamed({"id": "rep_b", "m": "m_b", "bits": "bits_b"}), "rep_b")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    pairs = cut(pairs.where(apart <= (F.col("m_a") + F.col("m_b")) * ((1 - threshold) / (1 + threshold)) + 1e-9).select("rep_a", "rep_b"))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     both = pairs.join(texts.withColumnsRenamed({"id": "rep_a", "text": "text_a"}), "rep_a").join(texts.withColumnsRenamed({"id": "rep_b", "text": "text_b"}), "rep_b")
     id_type = dict(df.dtypes)[id_col]
