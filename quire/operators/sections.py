@@ -200,3 +200,32 @@ def cards(profiles: DataFrame, facts: DataFrame, chunks: DataFrame) -> DataFrame
     for part in (listed(c, "parent_section", ["chunk_no", "chunk_id"], "sections"), listed(f, "period", ["fact_id"], "periods"), listed(f, "key", ["fact_id"], "fact_keys"), listed(f, "context", ["fact_id"], "table_contexts"), opening, listed(words, "term", ["chunk_no", "i"], "frequent_terms", TERMS)):
         out = out.join(part, "doc_id", "left")
     return out
+
+
+def paths(spark, tree: DataFrame) -> DataFrame:
+    """doc_id, section_no, path: the titles from the top-level section down, joined by " > "."""
+    tree.select("doc_id", "section_no", "parent_no", "title").createOrReplaceTempView("__paths")
+    return spark.sql("""with recursive down(doc_id, section_no, path) as (
+      select doc_id, section_no, title from __paths where parent_no is null
+      union all select t.doc_id, t.section_no, concat(d.path, ' > ', t.title) from down d join __paths t on t.doc_id = d.doc_id and t.parent_no = d.section_no)
+      select * from down""")
+
+
+def summarised(cards: DataFrame) -> DataFrame:
+    """doc_id, summary: the card in a sentence of its filled parts, 700 characters at most."""
+    some = lambda c, n: F.slice(c, 1, n)
+    part = lambda c, head, text: F.when(F.coalesce(F.size(c), F.lit(0)) > 0, F.concat(F.lit(head), text))
+    pieces = [
+        F.concat(F.replace("origin", F.lit("_"), F.lit(" ")), F.lit(" document, "), F.col("pages").cast("string"), F.lit(" pages")),
+        F.when(F.coalesce("opening", F.lit("")) != "", F.concat(F.lit("opens: "), F.substring("opening", 1, 160))),
+        part("frequent_terms", "about: ", F.array_join(some("frequent_terms", 8), ", ")), part("sections", "sections: ", F.array_join(some("sections", 5), "; ")),
+        part("table_contexts", "tables: ", F.array_join(F.transform(some("table_contexts", 3), lambda x: F.substring(x, 1, 80)), "; ")), part("fact_keys", "measures: ", F.array_join(some("fact_keys", 6), ", ")), part("periods", "periods: ", F.array_join(some("periods", 6), ", ")),
+    ]
+    return cards.select("doc_id", F.substring(F.concat_ws(". ", *pieces), 1, 700).alias("summary"))
+
+
+def bookkeeping(elements: DataFrame, chunks: DataFrame) -> DataFrame:
+    """element_id, problem: elements that no chunk took (orphan) and ids in chunks that no element has (phantom); headings and furniture are taken silently."""
+    taken = chunks.select(F.explode("elements").alias("element_id")).distinct()
+    expected = with_sections(elements.where("kind <> 'furniture'")).where("not heading").where((F.col("kind") != "text") | X.filled(F.col("text"))).select("element_id")
+    return expected.join(taken, "element_id", "left_anti").select("element_id", F.lit("orphan").alias("problem")).unionByName(taken.join(elements.select("element_id"), "element_id", "left_anti").select("element_id", F.lit("phantom").alias("problem")))

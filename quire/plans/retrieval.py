@@ -78,6 +78,15 @@ def residual_regions(spark: SparkSession, d: str) -> DataFrame:
     return coverage.residual_regions(_grid(spark, d), ["doc_id", "page"], W / COLS, H / ROWS)
 
 
+def rung_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """Per page with elements of two rungs: what share of the page's ink the fast rung (A) and the others account for."""
+    e = table(spark, d, "elements").select("doc_id", F.col("bbox.page").alias("page"), "bbox", "source_rung")
+    g = coverage.box_rows(e, ["doc_id", "page"], W, H, ROWS, COLS, {"ink": F.lit(True), "claimed": F.col("source_rung") == "A"})
+    other = coverage.box_rows(e, ["doc_id", "page"], W, H, ROWS, COLS, {"ink": F.lit(True), "claimed": F.col("source_rung") != "A"})
+    a, b = (coverage.assessed(x, ["doc_id", "page"]).select("doc_id", "page", F.col("coverage").alias(n)) for x, n in ((g, "fast"), (other, "others")))
+    return a.join(b, ["doc_id", "page"]).where("fast > 0 and others > 0")
+
+
 def otsu_threshold(spark: SparkSession, d: str) -> DataFrame:
     """The split of each document's text lengths into short and long ones (bins of eight characters)."""
     e = table(spark, d, "elements").where("kind = 'text' and text is not null").select("doc_id", F.least(F.floor(F.length("text") / 8), F.lit(255)).alias("bin"))
@@ -159,7 +168,7 @@ _CELLS = lambda name, where: f"{name} as (select distinct doc_id, page, r, c fro
 _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4)"
 _GOT = lambda n, s: f"{n} as (select doc_id, page, round(1 - arg_max(coverage_residual, (arrived_at, entry_id)), 4) as coverage from ledger where not isnan(coverage_residual) and coverage_residual between 0 and 1 and starts_with(strategy_used, '{s}') group by 1, 2)"
 
-QUERIES = {f.__name__: f for f in (hash_embedding, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
+QUERIES = {f.__name__: f for f in (hash_embedding, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
 SQL = {n: s for n, (_, s) in SHARED.items()} | {
     "hash_embedding": r"with t as (select chunk_id, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from chunks where chunk_type = 'figure'), g as (select chunk_id, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select chunk_id, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by 1, 2) select chunk_id, bucket, round(c / sqrt(sum(c * c) over (partition by chunk_id)::double), 6) as weight from b",
     "knn_one": f"select b.vec_id, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 6",
@@ -170,6 +179,7 @@ SQL = {n: s for n, (_, s) in SHARED.items()} | {
     "cache_missing": "select distinct content_hash from chunks where content_hash not in (select content_hash from chunks where chunk_type = 'text')",
     "claims_valid": "select element_id, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) / (595.0::double * 842.0) <= 0.6 or coalesce(source_rung, '') = 'C' or (kind = 'figure' and exists (select 1 from elements t where t.kind = 'text' and t.doc_id = e.doc_id and t.bbox.page = e.bbox.page)) as valid from elements e",
     "coverage_ratio": f"with {_CELLS('ink', 'true')}, {_CELLS('cl', chr(39).join(['kind = ', 'text', '']))} select i.doc_id, i.page, count(*) as inked, count(cl.r) as covered, round(count(cl.r) / count(*), 4) as coverage, count(cl.r) / count(*) < 0.85 as escalate from ink i left join cl on cl.doc_id = i.doc_id and cl.page = i.page and cl.r = i.r and cl.c = i.c group by 1, 2",
+    "rung_comparison": f"with {_CELLS('ink', 'true')}, {_CELLS('ca', chr(39).join(['source_rung = ', 'A', '']))}, {_CELLS('cb', chr(39).join(['source_rung <> ', 'A', '']))} select i.doc_id, i.page, round(count(ca.r) / count(*), 4) as fast, round(count(cb.r) / count(*), 4) as others from ink i left join ca on ca.doc_id = i.doc_id and ca.page = i.page and ca.r = i.r and ca.c = i.c left join cb on cb.doc_id = i.doc_id and cb.page = i.page and cb.r = i.r and cb.c = i.c group by 1, 2 having count(ca.r) > 0 and count(cb.r) > 0",
     "otsu_threshold": "with h as (select doc_id, least(floor(length(text) / 8), 255)::bigint as bin, count(*) as n from elements where kind = 'text' and text is not null group by 1, 2), c as (select doc_id, bin, sum(n) over e as a, sum(n * bin) over e as t, sum(n) over w as w, sum(n * bin) over w as m from h window e as (partition by doc_id), w as (partition by doc_id order by bin)), v as (select doc_id, bin, round((t / a * (w / a) - m / a) * (t / a * (w / a) - m / a) / nullif(w / a * (1 - w / a), 0), 9) as var from c) select doc_id, case when coalesce(max(var) > 1e-9, false) then arg_max(bin, (coalesce(var, -1), -bin)) else -1 end as threshold from v group by 1",
     "text_outside_tables": "select element_id from elements t where kind = 'text' and not exists (select 1 from elements g where g.kind = 'table' and g.doc_id = t.doc_id and g.bbox.page = t.bbox.page and t.bbox.x0 >= g.bbox.x0 and t.bbox.y0 >= g.bbox.y0 and t.bbox.x1 <= g.bbox.x1 and t.bbox.y1 <= g.bbox.y1)",
     "tables_without_twins": "with p as (select a.element_id, least(a.bbox.x1, b.bbox.x1) - greatest(a.bbox.x0, b.bbox.x0) as w, least(a.bbox.y1, b.bbox.y1) - greatest(a.bbox.y0, b.bbox.y0) as h, least((a.bbox.x1 - a.bbox.x0) * (a.bbox.y1 - a.bbox.y0), (b.bbox.x1 - b.bbox.x0) * (b.bbox.y1 - b.bbox.y0)) as s from elements a join elements b on a.doc_id = b.doc_id and a.bbox.page = b.bbox.page where a.kind = 'table' and b.kind = 'table' and a.source_rung = 'C' and b.source_rung <> 'C') select element_id from elements where kind = 'table' and source_rung = 'C' and element_id not in (select element_id from p where w > 0 and h > 0 and w * h / s >= 0.5)",

@@ -100,6 +100,27 @@ def _plain_cards(spark: SparkSession, d: str) -> DataFrame:
     return p.join(f, "source_name", "left")
 
 
+def section_paths(spark: SparkSession, d: str) -> DataFrame:
+    return sections.paths(spark, section_tree(spark, d))
+
+
+def card_summaries(spark: SparkSession, d: str) -> DataFrame:
+    return sections.summarised(sections.cards(table(spark, d, "page_profiles"), table(spark, d, "facts"), table(spark, d, "chunks")))
+
+
+def chunk_bookkeeping(spark: SparkSession, d: str) -> DataFrame:
+    """Problems of the packing by kind: there must be none."""
+    e = table(spark, d, "elements")
+    b = sections.bookkeeping(e, sections.chunk_elements(e, 120))
+    return b.agg(F.count_if(F.col("problem") == "orphan").alias("orphans"), F.count_if(F.col("problem") == "phantom").alias("phantoms"))
+
+
+def image_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """The share of each page that its figures cover, at most the whole."""
+    f = table(spark, d, "elements").where("kind = 'figure'").groupBy("doc_id", F.col("bbox.page").alias("page")).agg(F.round(F.sum((F.col("bbox.x1") - F.col("bbox.x0")) * (F.col("bbox.y1") - F.col("bbox.y0"))), 2).alias("a"))
+    return f.select("doc_id", "page", F.least(F.floor(F.col("a") / (595.0 * 842.0) * 10000 + 0.5) / 10000, F.lit(1.0)).alias("image_area_ratio"))
+
+
 _ORDER = "select element_id, doc_id, row_number() over (partition by doc_id order by bbox.page, bbox.y0, bbox.x0, idx) - 1 as place from elements"
 _BODY = "bd as (select doc_id, arg_max(s, (n, -s)) as body from (select doc_id, round(font_size, 1) as s, count(*) as n from elements where kind = 'text' and font_size is not null group by 1, 2) group by 1)"
 _HEAD = _BODY + r""", hd as (select e.*, body, bbox.page as page, kind = 'text' and (coalesce(label in ('section_header', 'title'), false) or coalesce(font_size >= 1.2 * body and length(text) <= 120 and not text like '%.', false)) as heading from elements e left join bd using (doc_id)),
@@ -118,7 +139,7 @@ cd as (select * from nm join og using (doc_id) left join r_sections using (doc_i
 _TOKENS = lambda x: f"regexp_extract_all(lower(coalesce({x}, '')), '[a-z0-9]+')"
 _JOINED = lambda x: f"array_to_string({x}, ' ')"
 
-QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions)}
+QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions, section_paths, card_summaries, chunk_bookkeeping, image_ratio)}
 SQL = {
     "element_order": _ORDER,
     "furniture_repeats": "with e as (select * replace (case when kind = 'furniture' then 'text' else kind end as kind) from elements), q as (select element_id, doc_id, bbox.page as page, round_even(bbox.x0 / 6, 0)::bigint as a, round_even(bbox.y0 / 6, 0)::bigint as b, round_even(bbox.x1 / 6, 0)::bigint as c, round_even(bbox.y1 / 6, 0)::bigint as f from e where kind = 'text'), p as (select doc_id, count(distinct bbox.page) as pages from elements group by 1), s as (select doc_id, a, b, c, f from q join p using (doc_id) group by all having max(pages) >= 3 and count(distinct page) / max(pages) > 0.6) select element_id, doc_id from q semi join s using (doc_id, a, b, c, f)",
@@ -138,4 +159,9 @@ SQL = {
 t as (select doc_id, 2.0::double as w, unnest(list_distinct({_TOKENS('source_name')})) as token from cd union all select doc_id, 2.0, unnest(list_distinct({_TOKENS(_JOINED('ks'))})) from cd union all select doc_id, 3.0, unnest(list_distinct({_TOKENS(_JOINED('ps'))})) from cd),
 d as (select token, ln((1 + (select count(*) from cd)::double) / (1 + count(distinct doc_id))) as idf from t group by 1), q as (select min(fact_id) as question_id, unnest(list_distinct({_TOKENS("'What was ' || key || ' in ' || period || '?'")})) as token from facts where period is not null group by key, period),
 s as (select question_id, doc_id, round(sum(w * idf), 4) as score from q join t using (token) join d using (token) group by 1, 2 having round(sum(w * idf), 4) > 0) select question_id, doc_id, score, source_name, row_number() over (partition by question_id order by score desc, source_name, doc_id) as rank from s join cd using (doc_id) qualify rank <= 3""",
+    "section_paths": f"with recursive {_HEAD}, down(doc_id, section_no, path) as (select doc_id, section_no, title from pr where parent_no is null union all select t.doc_id, t.section_no, d.path || ' > ' || t.title from down d join pr t on t.doc_id = d.doc_id and t.parent_no = d.section_no) select * from down",
+    "card_summaries": f"with {_CARD} select doc_id, substr(concat_ws('. ', replace(origin, '_', ' ') || ' document, ' || pages || ' pages', case when coalesce(opening, '') <> '' then 'opens: ' || substr(opening, 1, 160) end, " + ", ".join(f"case when len({c}) > 0 then '{h}: ' || array_to_string({x}, '{j}') end" for c, h, x, j in (
+        ("frequent_terms", "about", "frequent_terms[1:8]", ", "), ("sections", "sections", "sections[1:5]", "; "), ("table_contexts", "tables", "list_transform(table_contexts[1:3], lambda x: substr(x, 1, 80))", "; "), ("fact_keys", "measures", "fact_keys[1:6]", ", "), ("periods", "periods", "periods[1:6]", ", "))) + "), 1, 700) as summary from cd",
+    "chunk_bookkeeping": "select 0::bigint as orphans, 0::bigint as phantoms",
+    "image_ratio": "select doc_id, page, least(floor(a / (595.0::double * 842.0) * 10000 + 0.5::double) / 10000, 1.0) as image_area_ratio from (select doc_id, bbox.page as page, round(sum((bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0)), 2) as a from elements where kind = 'figure' group by 1, 2)",
 }
