@@ -153,8 +153,8 @@ def find(m: Model, texts: list[str]) -> list[list[tuple[int, int, str]]]:
     return out
 
 
-def _each(batches: Iterator[pd.DataFrame], path: str) -> Iterator[tuple[pd.DataFrame, list[list[tuple[int, int, str]]]]]:
-    m = model(path)
+def _each(batches: Iterator[pd.DataFrame], path: str | None) -> Iterator[tuple[pd.DataFrame, list[list[tuple[int, int, str]]]]]:
+    m = model(path or str(WEIGHTS))  # where this worker has the package
     for b in batches:
         at, size = 0, 0
         texts = [t or "" for t in b["text"]]
@@ -169,7 +169,7 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition(parallelism(df.sparkSession))
 
 
-def found(df: DataFrame, id_col: str, text_col: str, path: str = str(WEIGHTS)) -> DataFrame:
+def found(df: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
     """id, kind, found: each distinct string of personal information in each text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b, spans in _each(batches, path):
@@ -179,7 +179,7 @@ def found(df: DataFrame, id_col: str, text_col: str, path: str = str(WEIGHTS)) -
     return _texts(df.where(F.length(text_col) > 0), id_col, text_col).mapInPandas(run, f"id {dict(df.dtypes)[id_col]}, kind string, found string").withColumnRenamed("id", id_col)
 
 
-def redacted(df: DataFrame, id_col: str, text_col: str, path: str = str(WEIGHTS)) -> DataFrame:
+def redacted(df: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
     """id, text with a typed placeholder for each span, otherwise unchanged; n_found."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b, spans in _each(batches, path):
