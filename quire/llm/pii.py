@@ -65,6 +65,22 @@ def emissions(m: Model, ids: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def worth(m: Model, e: np.ndarray) -> np.ndarray:
+    """For each character, more than the best span that begins there can gain over O, less what single transitions add (slack())."""
+    out, t = np.full(len(e), -np.inf), m.p["trans"].astype(np.float64)
+    for k in range(len(KINDS)):
+        b, i = 2 * k + 1, 2 * k + 2
+        sums = np.cumsum(e[:, i].astype(np.float64) - e[:, 0] + t[i, i] - t[0, 0])
+        ahead = np.maximum.accumulate(sums[::-1])[::-1] - sums
+        np.maximum(out, e[:, b] - e[:, 0] + ahead, out=out)
+    return out
+
+
+def slack(m: Model) -> float:
+    """The most that the transitions into, out of and between spans can add to a span's gain, and a bit for rounding."""
+    return float(6 * np.abs(m.p["trans"][m.bad == 0]).max() + np.abs(m.p["start"]).max() + 1.0)
+
+
 def viterbi(m: Model, e: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Tags of all characters of the texts that end at `ends`: stretches of STRETCH characters, which overlap by SEAM, are decoded side by side.
 
@@ -76,8 +92,10 @@ def viterbi(m: Model, e: np.ndarray, ends: np.ndarray) -> np.ndarray:
     for z in ends.tolist():
         rows += [(s, min(z, s + STRETCH), s == a) for s in range(a, max(a + 1, z - SEAM), STRETCH - SEAM) if z > a]
         a = z
-    got: dict[int, np.ndarray] = {}
-    order = sorted(range(len(rows)), key=lambda k: rows[k][1] - rows[k][0])
+    # A stretch in which no span can gain anything is O throughout, whatever the transitions; the others are decoded.
+    gain, least = worth(m, e), -slack(m)
+    got = {k: np.zeros(z - a, np.int8) for k, (a, z, _) in enumerate(rows) if gain[a:z].max() <= least}
+    order = sorted((k for k in range(len(rows)) if k not in got), key=lambda k: rows[k][1] - rows[k][0])
     for i in range(0, len(order), ROWS):
         part = order[i : i + ROWS]
         n, b = rows[part[-1]][1] - rows[part[-1]][0], len(part)
