@@ -52,7 +52,7 @@ HEADING = r"\(([^)]*)\)|, (?:in|en|em) ([^,]*)$|, (በ[^,]*)$|all amounts in (.*
 
 def unit_spellings() -> list[tuple[str, float, str | None]]:
     """(spelling, scale, unit_name): every unit, scale, and scale with unit in the orders that print."""
-    names = [(a, u) for u, words in UNIT_SPELLINGS.items() for part in words.split("|") for a in ([part] if part.count(" ") and part.split()[0] in _PHRASE else part.split())]
+    names = [(a, u) for u, words in UNIT_SPELLINGS.items() for part in words.split("|") for a in ([part] if part.count(" ") and part.split()[0] in PHRASES else part.split())]
     scales = [(a, f) for f, words in SCALE_SPELLINGS.items() for a in words.split("|")]
     out: dict[str, tuple[float, str | None]] = {}
     for s, f in scales:
@@ -66,7 +66,7 @@ def unit_spellings() -> list[tuple[str, float, str | None]]:
     return [(k, *v) for k, v in out.items()]
 
 
-_PHRASE = {"cents", "cent", "santims", "metric", "cubic", "cu.", "cu", "mètres", "metros", "us", "u.s.", "kilowatt", "megawatt", "gigawatt", "sq", "sq.", "square", "kilomètres", "ኪሎ", "ሜትር", "ሜጋ", "ጊጋ", "ኪሎዋት", "ሜጋዋት", "ጊጋዋት", "ካሬ"}
+PHRASES = {"cents", "cent", "santims", "metric", "cubic", "cu.", "cu", "mètres", "metros", "us", "u.s.", "kilowatt", "megawatt", "gigawatt", "sq", "sq.", "square", "kilomètres", "ኪሎ", "ሜትር", "ሜጋ", "ጊጋ", "ኪሎዋት", "ሜጋዋት", "ጊጋዋት", "ካሬ"}
 
 
 def spelled(text: Column) -> Column:

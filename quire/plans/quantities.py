@@ -22,7 +22,7 @@ def p1_totals(spark: SparkSession, d: str) -> DataFrame:
 
 def _words(spellings: dict) -> str:
     def split(text: str) -> list[str]:
-        return [a for part in text.split("|") for a in ([part] if " " in part and part.split()[0] in units._PHRASE else part.split())]
+        return [a for part in text.split("|") for a in ([part] if " " in part and part.split()[0] in units.PHRASES else part.split())]
 
     return ", ".join(f"('{a}', '{u}')" for u, text in spellings.items() for a in split(text))
 

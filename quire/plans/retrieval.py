@@ -7,8 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import text as X
-from quire.operators import agent, coverage, sections, vectors
+from quire.operators import agent, coverage, vectors
 from quire.sources import stores
 from quire.streaming import ledger as streams
 from quire.session import table
