@@ -149,13 +149,16 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     return both.mapInPandas(verify, f"rep_a {id_type}, rep_b {id_type}"), members
 
 
-def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float, least: int) -> DataFrame:
-    """id_a < id_b (strings): items with at least `least` distinct parts that share the threshold of their union."""
+def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float, least: int) -> tuple[DataFrame, DataFrame]:
+    """(rep_a, rep_b) of similar classes, and the members (id, rep, copies): items with at least `least` distinct parts that share the threshold of their union."""
     item = F.col(id_col)
     rows = df.where(item.isNotNull()).select(item.alias("id"), F.xxhash64(*[F.coalesce(F.col(c), F.lit("\x00")) for c in parts], F.concat(*[F.col(c).isNull().cast("string") for c in parts])).alias("h")).distinct()
     rows = cut(rows)
-    size = cut(rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") >= least))
-    rows = rows.join(hinted(size), "id")
+    size = cut(rows.groupBy("id").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h")).alias("y")).where(F.col("n") >= least))
+    # Items of the same parts are one class; its smallest id stands for all.
+    classes = size.groupBy("n", "x", "y").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
+    members = size.join(classes, ["n", "x", "y"]).select("id", "rep", "copies")
+    rows = rows.join(hinted(cut(classes.select(F.col("rep").alias("id"), "n"))), "id")
     # The pivot table by sums over the bits: a position set in both the item and a pivot is one that is not different.
     bits = np.stack([np.unpackbits(p.view(np.uint8)) for p in pivots()])
     table = F.array(*[F.lit(int(sum(int(bits[p, k]) << p for p in range(PIVOTS)))) for k in range(BITS)])
@@ -177,7 +180,7 @@ def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float,
     near = near.select("id_a", "id_b", F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
     left = near.join(rows.select(F.col("id").alias("id_a"), "h"), "id_a")
     shared = left.join(rows.select(F.col("id").alias("id_b"), "h"), ["id_b", "h"]).groupBy("id_a", "id_b", "n_a", "n_b").agg(F.count("*").alias("c"))
-    return shared.where(F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c")) - 1e-9).select("id_a", "id_b")
+    return shared.where(F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c")) - 1e-9).select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b")), members
 
 
 def expand(pairs: DataFrame, members: DataFrame, most: int = EXPAND) -> DataFrame:

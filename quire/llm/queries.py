@@ -120,6 +120,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     text = nearduplicates.expand(pairs, members).select(F.col("id_a").cast("string").alias("a"), F.col("id_b").cast("string").alias("b"))
     text = text.select(F.lit("chunk").alias("level"), F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b"))
     files = nearduplicates.similar_sets(table(spark, d, "facts"), "document", ["key", "period", "value_raw"], 0.7, 10)
+    files = nearduplicates.expand(*files)
     return text.unionByName(files.select(F.lit("document").alias("level"), "id_a", "id_b"))
 
 

@@ -181,9 +181,10 @@ def test_similar_sets(spark):
     for i in range(20, 35):
         base = list(sets[f"d{r.randrange(20)}"])
         sets[f"d{i}"] = set(r.sample(base, int(len(base) * r.uniform(0.6, 1.0)))) | {("x", str(i), str(j)) for j in range(r.randint(0, 5))}
+    sets["copy1"] = sets["copy2"] = sets["d3"]
     rows = [(d, *x) for d, s in sets.items() for x in s] * 2 + [("small", "a", "b", "c"), (None, "a", "b", "c")]
     df = spark.createDataFrame([(*x, 1) for x in rows], "document string, key string, period string, value_raw string, n int")
-    got = {tuple(x) for x in nearduplicates.similar_sets(df, "document", ["key", "period", "value_raw"], 0.7, 10).collect()}
+    got = {tuple(x) for x in nearduplicates.expand(*nearduplicates.similar_sets(df, "document", ["key", "period", "value_raw"], 0.7, 10)).collect()}
     names = [d for d in sets if len(sets[d]) >= 10]
     assert got == {(a, b) for a in names for b in names if a < b and len(sets[a] & sets[b]) >= 0.7 * len(sets[a] | sets[b]) - 1e-9}
 
