@@ -66,6 +66,11 @@ def lookup(facts: DataFrame, words: list[str], documents: list[str] | None = Non
     return rows.where(cond).orderBy("fact_id").limit(limit)
 
 
+def prefix_depth(words: Column, key: Column) -> Column:
+    """How many words, from the first on, the key contains all of."""
+    return F.size(F.filter(F.sequence(F.lit(1), F.size(words)), lambda i: F.forall(F.slice(words, F.lit(1), i), lambda w: key.contains(w))))
+
+
 def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tolerance: float = 1e-9) -> DataFrame:
     """claim_id, status, document, fact_id, printed_value for claims (claim_id, claim, document).
 
@@ -75,13 +80,12 @@ def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tole
     meet keys in an equality join on the document, and nothing is looped over.
     """
     c = claims.select("claim_id", "claim", "document", X.claim_value(F.col("claim")).alias("value"), X.claim_words(F.col("claim")).alias("words"))
-    f = facts.select("fact_id", "document", "key", "period", "value_raw", "value_num", F.lower("key").alias("k"))
-    # Only facts that contain the first word can be candidates, so that join comes before the longer prefixes.
-    hit = c.where("value is not null and size(words) > 0").join(f, "document").where(F.col("k").contains(F.col("words")[0]))
-    depth = F.size(F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.forall(F.slice("words", F.lit(1), i), lambda w: F.col("k").contains(w))))
-    hit = hit.withColumn("size", depth)
-    best = F.max("size").over(Window.partitionBy("claim_id"))
-    hit = hit.withColumn("best", best).where("size = best")
+    # Words meet each key of a document once, however many facts have it; facts join only under the keys that are kept.
+    keys = facts.where("key is not null").select("document", "key").distinct().withColumn("k", F.lower("key"))
+    hit = c.where("value is not null and size(words) > 0").join(keys, "document").where(F.col("k").contains(F.col("words")[0]))
+    hit = hit.withColumn("size", prefix_depth(F.col("words"), F.col("k")))
+    hit = hit.withColumn("best", F.max("size").over(Window.partitionBy("claim_id"))).where("size = best").drop("k")
+    hit = hit.join(facts.select("fact_id", "document", "key", "period", "value_raw", "value_num"), ["document", "key"])
     hit = hit.withColumn("nth", F.row_number().over(Window.partitionBy("claim_id").orderBy("fact_id"))).where(F.col("nth") <= limit)
     same = F.coalesce(F.abs(F.col("value_num") - F.col("value")) <= tolerance, F.lit(False))
     years = F.regexp_extract_all("claim", F.lit(r"\b(?:19|20)[0-9]{2}\b"), F.lit(0))

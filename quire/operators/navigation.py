@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import vectors
-from quire.operators.answers import LOOKUP_LIMIT
+from quire.operators.answers import LOOKUP_LIMIT, prefix_depth
 
 CAPTION_PT = 40.0
 # Fixed value: how a caption begins.
@@ -74,10 +74,10 @@ def printed_elsewhere(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_L
     f = facts.select("fact_id", "document", F.lower("key").alias("k"), "value_num")
     same = c.withColumn("v", F.round("value", digits)).join(f.where("value_num is not null").withColumn("v", F.round("value_num", digits)), "v").where("own <> document")
     pairs = same.where(F.col("k").contains(F.col("words")[0])).select("claim_id", "document", "value", "words").distinct()
-    depth = F.size(F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.forall(F.slice("words", F.lit(1), i), lambda w: F.col("k").contains(w))))
-    hit = pairs.join(f, "document").where(F.col("k").contains(F.col("words")[0])).withColumn("depth", depth)
+    keys = facts.where("key is not null").select("document", "key").distinct().withColumn("k", F.lower("key"))
+    hit = pairs.join(keys, "document").where(F.col("k").contains(F.col("words")[0])).withColumn("depth", prefix_depth(F.col("words"), F.col("k")))
     w = Window.partitionBy("claim_id", "document")
-    hit = hit.withColumn("best", F.max("depth").over(w)).where("depth = best").withColumn("nth", F.row_number().over(w.orderBy("fact_id"))).where(F.col("nth") <= limit)
+    hit = hit.withColumn("best", F.max("depth").over(w)).where("depth = best").join(facts.select("document", "key", "fact_id", "value_num"), ["document", "key"]).withColumn("nth", F.row_number().over(w.orderBy("fact_id"))).where(F.col("nth") <= limit)
     return hit.where(F.round("value_num", digits) == F.round("value", digits)).select("claim_id", "document").distinct()
 
 

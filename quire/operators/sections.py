@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,24 +58,26 @@ def level(text: Column, size: Column, body: Column) -> Column:
 
 
 def with_sections(elements: DataFrame) -> DataFrame:
-    """Elements with section_no (running count of headings before them in their document) and what makes a heading of them."""
+    """Elements with section_no (running count of headings before them in their document; ten pages each where it has none) and what makes a heading of them."""
     e = elements.join(body_size(elements), "doc_id", "left")
     e = e.withColumn("heading", (F.col("kind") == "text") & is_heading(F.col("label"), F.col("font_size"), F.col("body"), F.col("text")))
     e = e.withColumn("level", F.when(F.col("heading"), level(F.col("text"), F.col("font_size"), F.col("body"))))
     # Running counts over a document go by pages first, so a hot document is counted in pieces.
     page = F.col("bbox.page")
     per = e.groupBy("doc_id", page.alias("page")).agg(F.count_if("heading").alias("h"))
-    per = per.withColumn("before", F.sum("h").over(Window.partitionBy("doc_id").orderBy("page")) - F.col("h")).drop("h")
+    per = per.withColumns({"before": F.sum("h").over(Window.partitionBy("doc_id").orderBy("page")) - F.col("h"), "bucketed": F.sum("h").over(Window.partitionBy("doc_id")) == 0}).drop("h")
     e = e.withColumn("page", page).join(per, ["doc_id", "page"])
     w = Window.partitionBy("doc_id", "page").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
-    return e.withColumn("section_no", F.col("before") + F.sum(F.col("heading").cast("int")).over(w)).drop("before")
+    count = F.col("before") + F.sum(F.col("heading").cast("int")).over(w)
+    return e.withColumn("section_no", F.when(F.col("bucketed"), F.floor((F.col("page") - 1) / BUCKET)).otherwise(count)).drop("before")
 
 
 def sections(elements: DataFrame) -> DataFrame:
-    """doc_id, section_no, title, level, page_start, page_end, n_elements; what stands before the first heading is the Preamble."""
+    """doc_id, section_no, title, level, page_start, page_end, n_elements; what stands before the first heading is the Preamble, a document without any heading has ten-page sections."""
     e = with_sections(elements)
-    s = e.groupBy("doc_id", "section_no").agg(F.max(F.when(F.col("heading"), F.col("text"))).alias("title"), F.max("level").alias("level"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.count("*").alias("n_elements"))
-    return s.withColumns({"title": F.coalesce("title", F.lit("Preamble")), "level": F.coalesce("level", F.lit(1))})
+    s = e.groupBy("doc_id", "section_no").agg(F.max(F.when(F.col("heading"), F.col("text"))).alias("title"), F.max("level").alias("level"), F.min("page").alias("page_start"), F.max("page").alias("page_end"), F.count("*").alias("n_elements"), F.first("bucketed").alias("bucketed"))
+    pages = F.format_string("Pages %d-%d", F.col("section_no") * BUCKET + 1, F.col("section_no") * BUCKET + BUCKET)
+    return s.withColumns({"title": F.when(F.col("bucketed"), pages).otherwise(F.coalesce("title", F.lit("Preamble"))), "level": F.coalesce("level", F.lit(1))}).drop("bucketed")
 
 
 def page_buckets(elements: DataFrame) -> DataFrame:

@@ -66,6 +66,7 @@ def unit_spellings() -> list[tuple[str, float, str | None]]:
     return [(k, *v) for k, v in out.items()]
 
 
+#: Words that begin a spelling of several words.
 PHRASES = {"cents", "cent", "santims", "metric", "cubic", "cu.", "cu", "mètres", "metros", "us", "u.s.", "kilowatt", "megawatt", "gigawatt", "sq", "sq.", "square", "kilomètres", "ኪሎ", "ሜትር", "ሜጋ", "ጊጋ", "ኪሎዋት", "ሜጋዋት", "ጊጋዋት", "ካሬ"}
 
 

@@ -123,8 +123,8 @@ def image_ratio(spark: SparkSession, d: str) -> DataFrame:
 _ORDER = "select element_id, doc_id, row_number() over (partition by doc_id order by bbox.page, bbox.y0, bbox.x0, idx) - 1 as place from elements"
 _BODY = "bd as (select doc_id, arg_max(s, (n, -s)) as body from (select doc_id, round(font_size, 1) as s, count(*) as n from elements where kind = 'text' and font_size is not null group by 1, 2) group by 1)"
 _HEAD = _BODY + r""", hd as (select e.*, body, bbox.page as page, kind = 'text' and (coalesce(label in ('section_header', 'title'), false) or coalesce(font_size >= 1.2 * body and length(text) <= 120 and not text like '%.', false)) as heading from elements e left join bd using (doc_id)),
-lv as (select *, case when heading then case when regexp_matches(text, '^[0-9]+(?:\.[0-9]+)*\s+\S') then len(regexp_extract_all(regexp_extract(text, '^([0-9]+(?:\.[0-9]+)*)\s', 1), '\.')) + 1 when coalesce(font_size >= 1.5 * body, false) then 1 else 2 end end as level, sum(heading::int) over (partition by doc_id order by page, idx rows unbounded preceding)::bigint as section_no from hd),
-sc as (select doc_id, section_no, coalesce(max(case when heading then text end), 'Preamble') as title, coalesce(max(level), 1)::int as level, min(page) as page_start, max(page) as page_end, count(*) as n_elements from lv group by 1, 2),
+lv as (select *, case when heading then case when regexp_matches(text, '^[0-9]+(?:\.[0-9]+)*\s+\S') then len(regexp_extract_all(regexp_extract(text, '^([0-9]+(?:\.[0-9]+)*)\s', 1), '\.')) + 1 when coalesce(font_size >= 1.5 * body, false) then 1 else 2 end end as level, sum(heading::int) over (partition by doc_id) = 0 as bucketed, case when sum(heading::int) over (partition by doc_id) = 0 then (page - 1) // 10 else sum(heading::int) over (partition by doc_id order by page, idx rows unbounded preceding) end::bigint as section_no from hd),
+sc as (select doc_id, section_no, case when bool_or(bucketed) then 'Pages ' || (section_no * 10 + 1) || '-' || (section_no * 10 + 10) else coalesce(max(case when heading then text end), 'Preamble') end as title, coalesce(max(level), 1)::int as level, min(page) as page_start, max(page) as page_end, count(*) as n_elements from lv group by 1, 2),
 pr as (select a.*, (select max(b.section_no) from sc b where b.doc_id = a.doc_id and b.section_no < a.section_no and b.level < a.level) as parent_no from sc a)"""
 _CARD = f"""nm as (select doc_id, min(source_name) as source_name, count(distinct page) as pages from page_profiles group by 1), dn as (select distinct doc_id, source_name as document from page_profiles),
 og as (select doc_id, case when n / a >= 0.7 then origin_type else 'mixed' end as origin from (select *, sum(n) over (partition by doc_id) as a, row_number() over (partition by doc_id order by n desc, f, origin_type) as k from (select doc_id, origin_type, count(*) as n, min(page) as f from page_profiles group by 1, 2)) where k = 1),

@@ -117,6 +117,11 @@ def test_sections_and_chunks(spark):
     assert {r["chunk_type"] for r in c} == {"text", "table", "figure"} and any(r["content"].startswith("Item | Value") for r in c)
 
 
+def test_headless_documents_have_page_sections(spark):
+    e = spark.createDataFrame([element(i, text="Plain paragraph.", page=p) for i, p in enumerate((1, 10, 11, 25))], ELEMENT)
+    assert sorted(r["title"] for r in sections.sections(e).collect()) == ["Pages 1-10", "Pages 11-20", "Pages 21-30"]
+
+
 def test_furniture(spark):
     rows = [element(p, text="Header", page=p, y0=20.0, y1=34.0) for p in range(1, 11)] + [element(100 + p, text="Body", page=p, y0=100.0 + 7 * p, y1=120.0 + 7 * p) for p in range(1, 11)] + [element(200 + p, text="Header", page=p, doc="two") for p in (1, 2)]
     assert sorted(r["element_id"] for r in sections.furniture(spark.createDataFrame(rows, ELEMENT)).collect()) == list(range(1, 11))
