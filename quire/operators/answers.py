@@ -127,4 +127,4 @@ def routed(questions: DataFrame, cards: DataFrame, key: str = "doc_id", name: st
     q = q.repartition(parallelism(questions.sparkSession), "question_id")
     score = q.join(hinted(cut(worth), 500_000), "token").groupBy("question_id", key).agg(F.round(F.sum("worth"), 4).alias("score")).where("score > 0")
     w = Window.partitionBy("question_id").orderBy(F.desc("score"), name, key)
-    return score.join(cards.select(key, name), key).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    return score.join(cards.select(key, name), key).withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top)

@@ -178,7 +178,7 @@ def most_frequent(rows: DataFrame, key: str, value: str, order: list[str], top:
     """key, rank, value, n: the most frequent values of each key, equals by first appearance."""
     n = rows.groupBy(key, value).agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("first"))
     w = Window.partitionBy(key).orderBy(F.desc("n"), "first", value)
-    return n.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select(key, "rank", value, "n")
+    return n.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= top).select(key, "rank", value, "n")
 
 
 def cards(profiles: DataFrame, facts: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def nearest_all(points: DataFrame, queries: DataFrame, k: int = 6, block: int =
 
     near = pts.join(packed, "block").select("qs", "ps").mapInPandas(score, "query_id bigint, vec_id bigint, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return near.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
 
 def upserted(points: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ def sql_scoped(spark: SparkSession, d: str) -> DataFrame:
 
 def sql_any(spark: SparkSession, d: str) -> DataFrame:
     """A statement with a derived table, a window and a self-join, over all documents."""
-    return answers.scoped_query(table(spark, d, "facts"), """SELECT document, n, n_pages, rank() OVER (ORDER BY n DESC, document) AS place FROM (SELECT document, COUNT(*) AS n, COUNT(DISTINCT page) AS n_pages FROM facts WHERE value_num IS NOT NULL AND lower(key) LIKE '%e%' GROUP BY document HAVING COUNT(*) > 5) ORDER BY place""", None, 0)
+    return answers.scoped_query(table(spark, d, "facts"), """SELECT document, n, n_pages, CAST(rank() OVER (ORDER BY n DESC, document) AS BIGINT) AS place FROM (SELECT document, COUNT(*) AS n, COUNT(DISTINCT page) AS n_pages FROM facts WHERE value_num IS NOT NULL AND lower(key) LIKE '%e%' GROUP BY document HAVING COUNT(*) > 5) ORDER BY place""", None, 0)
 
 
 def _claims(spark: SparkSession, d: str) -> DataFrame:

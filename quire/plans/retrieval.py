@@ -147,9 +147,9 @@ def _sql(spark: SparkSession, d: str, *names: str) -> None:
 SHARED = {
     "sql_join_agg": (("region", "nation", "customer", "orders", "lineitem"), "select n_name, count(*) as n_lines, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey where o_orderdate >= timestamp '1996-01-01 00:00:00' and o_orderdate < timestamp '1998-01-01 00:00:00' group by n_name"),
     "sql_semi_anti": (("customer", "orders"), "select c_mktsegment, count(*) as n_customers from customer c where exists (select 1 from orders o where o.o_custkey = c.c_custkey and o_orderpriority = '1-URGENT') and not exists (select 1 from orders o where o.o_custkey = c.c_custkey and o_orderstatus = 'P') group by c_mktsegment"),
-    "sql_window_rank": (("orders",), "select * from (select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as place, round(sum(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows between 2 preceding and current row), 2) as last_three from orders) t where place <= 3"),
+    "sql_window_rank": (("orders",), "select * from (select o_custkey, o_orderkey, cast(row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as bigint) as place, round(sum(o_totalprice) over (partition by o_custkey order by o_orderdate, o_orderkey rows between 2 preceding and current row), 2) as last_three from orders) t where place <= 3"),
     "sql_setops": (("customer", "supplier"), "(select c_nationkey as k from customer except select s_nationkey from supplier where s_acctbal > 5000) union (select s_nationkey from supplier intersect select c_nationkey from customer where c_acctbal < 0)"),
-    "sql_rollup": (("lineitem",), "select l_returnflag, l_linestatus, grouping(l_linestatus) as level, count(*) as n, round(sum(l_quantity), 2) as quantity from lineitem group by rollup (l_returnflag, l_linestatus)"),
+    "sql_rollup": (("lineitem",), "select l_returnflag, l_linestatus, cast(grouping(l_linestatus) as bigint) as level, count(*) as n, round(sum(l_quantity), 2) as quantity from lineitem group by rollup (l_returnflag, l_linestatus)"),
     "sql_subquery": (("part", "lineitem"), "select p_brand, count(*) as n, round(avg(l_extendedprice), 4) as mean from lineitem join part on l_partkey = p_partkey where l_quantity < (select avg(l_quantity) from lineitem) group by p_brand having count(*) > 1"),
     "sql_topk": (("orders", "customer"), "select c_name, o_orderkey, o_totalprice from orders join customer on o_custkey = c_custkey order by o_totalprice desc, o_orderkey limit 25"),
 }
