@@ -66,9 +66,13 @@ def ranges(df: DataFrame, id_col: str, text_col: str, size: int = RANGE, halo: i
     return df.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.explode(pieces).alias("r")).select("id", "r.*")
 
 
+def _ranges_of(path: str, size: int) -> int:
+    return max(1, -(-os.path.getsize(path) // size))
+
+
 def file_ranges(spark: SparkSession, path: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
     """ranges() of one file on a folder that all workers see, by bytes; a range holds the characters that begin in its bytes."""
-    n = max(1, -(-os.path.getsize(path) // size))
+    n = _ranges_of(path, size)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with open(path, "rb") as f:
@@ -169,3 +173,31 @@ def split(df: DataFrame, id_col: str, text_col: str, keep: list[str], limit: int
     texts = F.transform("pieces", lambda p: F.struct(p["start"].alias("piece_start"), p["boundary"].alias("boundary"), F.substring(F.col(text_col), (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).alias("piece")))
     big = big.select(id_col, *keep, F.posexplode(texts).alias("piece_no", "p")).select(id_col, *keep, "piece_no", "p.piece_start", "p.boundary", tokens(F.col("p.piece")).alias("piece_tokens"), "p.piece")
     return small.unionByName(big)
+
+
+def split_file(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int = OVERLAP, size: int = RANGE, halo: int = HALO) -> DataFrame:
+    """piece_no, piece_start, boundary, piece of one file: no worker reads more than a range and a piece of it at a time.
+
+    The prefix sums of the ranges' lengths say in which range a piece begins; its worker seeks there and reads on to its end.
+    """
+    ranges_ = file_ranges(spark, path, size, halo)
+    found = boundaries(ranges_, "string")
+    chosen = cuts(found, "string", limit, overlap).select(F.posexplode("pieces").alias("piece_no", "p")).select("piece_no", "p.*")
+    at = found.where("level = 'length'").select("range_no", "at", "n_chars")
+    # A range holds at most `size` characters, so it lies in at most two of the equally long buckets that pieces are looked up by.
+    at = at.select("*", F.explode(F.expr(f"sequence(at div {size}, (at + greatest(n_chars, 1) - 1) div {size})")).alias("bucket"))
+    placed = chosen.withColumn("bucket", F.expr(f"start div {size}")).join(at, "bucket").where("start >= at and start < at + n_chars").select("piece_no", "start", "end", "boundary", "range_no", (F.col("start") - F.col("at")).alias("skip"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with open(path, "rb") as f:
+            for b in batches:
+                rows = []
+                for r in b.itertuples(index=False):
+                    f.seek(int(r.range_no) * size)
+                    raw = f.read(4 * int(r.skip + r.end - r.start + 2))
+                    lead = int(np.argmax((np.frombuffer(raw[:4], np.uint8) & 0xC0) != 0x80)) if raw else 0
+                    text = raw[lead:].decode("utf-8", "ignore")[r.skip : r.skip + r.end - r.start]
+                    rows.append((r.piece_no, r.start, r.boundary, text))
+                yield pd.DataFrame(rows, columns=["piece_no", "piece_start", "boundary", "piece"])
+
+    return placed.repartition(parallelism(spark), "range_no").mapInPandas(read, "piece_no int, piece_start bigint, boundary string, piece string")

@@ -96,6 +96,9 @@ def test_file_ranges(spark, tmp_path):
     assert r.agg(F.sum("n_chars")).first()[0] == len(text)
     pieces = splitting.cuts(splitting.boundaries(r, "string"), "string").first()["pieces"]
     assert pieces[-1]["end"] == len(text) and all(p["end"] - p["start"] <= 3600 for p in pieces)
+    got = splitting.split_file(spark, str(f), size=10_000, halo=60).orderBy("piece_no").collect()
+    assert [r["piece_start"] for r in got] == [p["start"] for p in pieces]
+    assert "".join(r["piece"][160 if i else 0 :] for i, r in enumerate(got)) == text
 
 
 # ---- 5: percentiles ----
