@@ -10,6 +10,7 @@ with a null amount). Empty tables give empty results; repeated rows are judged e
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,7 +95,8 @@ def printed_number(digits: Column) -> Column:
 
 def spelling_table(spark: SparkSession, units: DataFrame) -> DataFrame:
     """The spellings with what unit_reference says of their units; its size is fixed by this module."""
-    known = spark.createDataFrame(unit_spellings(), "spelling string, scale double, unit_name string")
+    words, scales, names = zip(*unit_spellings())
+    known = spark.createDataFrame(pa.table({"spelling": pa.array(words, pa.string()), "scale": pa.array(scales, pa.float64()), "unit_name": pa.array(names, pa.string())}))
     return known.join(F.broadcast(units.select("unit_name", "family", "common_unit", F.col("factor").cast("double"))), "unit_name", "left").where("unit_name is null or family is not null")
 
 
