@@ -9,6 +9,7 @@ from quire.functions import text as X
 from quire.operators import navigation
 from quire.plans import answers as claims
 from quire.plans import sections as tree
+from quire.plans.retrieval import _first_vector
 from quire.session import table
 
 
@@ -24,8 +25,7 @@ def section_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 def search_with_fallback(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    q = e.where("vec_id = 0").first()["embedding"]
-    return navigation.search(e, q, 4, F.col("label") == 99).select("vec_id", "score", "note")
+    return navigation.search(e, _first_vector(e), 4, F.col("label") == 99).select("vec_id", "score", "note")
 
 
 def figures_captioned(spark: SparkSession, d: str) -> DataFrame:

@@ -21,16 +21,20 @@ def hash_embedding(spark: SparkSession, d: str) -> DataFrame:
     return v.withColumn("weight", F.round("weight", 6))
 
 
+def _first_vector(e: DataFrame) -> list[float]:
+    """The vector with id 0 as the question; zeros, which are near to nothing, where there is none."""
+    r = e.where("vec_id = 0").select("embedding").first()
+    return r["embedding"] if r else [0.0]
+
+
 def knn_one(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    q = e.where("vec_id = 0").first()["embedding"]
-    return vectors.nearest(e, q).select("vec_id", "score")
+    return vectors.nearest(e, _first_vector(e)).select("vec_id", "score")
 
 
 def knn_filtered(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    q = e.where("vec_id = 0").first()["embedding"]
-    return vectors.nearest(e, q, 6, F.col("label").isin(1, 2)).select("vec_id", "label", "score")
+    return vectors.nearest(e, _first_vector(e), 6, F.col("label").isin(1, 2)).select("vec_id", "label", "score")
 
 
 def knn_queries(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,17 @@ def build_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "8g"
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, however the driver came to import it."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, have]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder; columns are pruned by whatever selects from it."""
+    importable(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
@@ -53,6 +63,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def parallelism(spark: SparkSession) -> int:
     """Tasks that Python-heavy work is spread over: three waves of the cores known to the session."""
+    importable(spark)
     return max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 

@@ -64,8 +64,11 @@ def _versions(spark: SparkSession, target: str, before: int | None = None) -> di
     return {int(k): int(v) for k, v in json.loads(text).items()}
 
 
-def read_latest(spark: SparkSession, target: str) -> DataFrame:
+def read_latest(spark: SparkSession, target: str, empty: DataFrame | None = None) -> DataFrame:
+    """What the last manifest names; `empty` where no batch has brought a row yet."""
     v = _versions(spark, target)
+    if not v and empty is not None:
+        return empty.limit(0)
     return spark.read.option("basePath", target).parquet(*[f"{target}/v{n}/bucket={k}" for k, n in sorted(v.items())])
 
 
@@ -76,7 +79,7 @@ def latest_of_files(spark: SparkSession, path: str) -> DataFrame:
     where = path if os.path.isdir(urlparse(path).path) else os.path.join(os.path.dirname(path), os.path.basename(path))
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 4).parquet(where if where.endswith("/") or os.path.isdir(urlparse(where).path) else where.replace(".parquet", ".parque[t]"))
     latest_into(stream, f"{base}/latest", f"{base}/checkpoint").awaitTermination()
-    return read_latest(spark, f"{base}/latest")
+    return read_latest(spark, f"{base}/latest", src)
 
 
 def latest_by_window(rows: DataFrame) -> DataFrame:
