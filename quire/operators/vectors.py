@@ -47,6 +47,8 @@ def nearest_all(points: DataFrame, queries: DataFrame, k: int = 6, block: int =
     import numpy as np
     import pandas as pd
 
+    # Points without a vector are near to nothing.
+    points, queries = (x.where("vec_id is not null and size(embedding) > 0 and not exists(embedding, x -> x is null)") for x in (points, queries))
     blocks = max(1, -(-queries.count() // block))
     packed = queries.select(F.col("vec_id").alias("query_id"), "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).groupBy("block").agg(F.collect_list(F.struct("query_id", "embedding")).alias("qs"))
     pts = points.select("vec_id", "embedding", F.floor(F.monotonically_increasing_id() / pack).alias("part")).withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")))
