@@ -10,7 +10,7 @@ The order of an epoch is a hash of (seed, epoch, id). Prefix sums go by ranges o
 first, and only the range in which the budget ends is put in order, so a leaf of any size is never sorted in one task.
 
 Sources without a target, and null sources, take no part. Texts without tokens can be chosen but add nothing. Targets need not
-sum to 1. An empty corpus gives an empty mix. A null or unreadable language counts as "und".
+sum to 1; a null share is none, a null limit of repeats is 1. An empty corpus gives an empty mix. A null or unreadable language counts as "und".
 """
 
 from __future__ import annotations
@@ -76,6 +76,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 1, total: int | None =
     domain = F.coalesce(F.create_map(*[F.lit(x) for d, names in DOMAINS.items() for n in names.split() for x in (n, d)])[F.col("source")], F.lit("other"))
     code = F.regexp_extract(F.lower("language"), "^([a-z]{2})([-_ ].*)?$", 1)
     docs = docs.select("id", "source", domain.alias("domain"), F.when(code != "", code).otherwise("und").alias("language"), "n_tokens")
+    targets = targets.withColumns({"target_share": F.coalesce("target_share", F.lit(0.0)), "max_repeats": F.coalesce("max_repeats", F.lit(1))})
     docs = cut(docs.join(hinted(targets.select("source", "target_share", "max_repeats")), "source"))
     # One row per leaf: at most the listed sources times two-letter codes.
     leaves = docs.groupBy(*LEVELS, "target_share", "max_repeats").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0").toPandas().sort_values(LEVELS, ignore_index=True)
