@@ -13,7 +13,7 @@ is missed with probability (1 - 0.8^ROWS)^BANDS = 0.7 %, one of 0.9 with 3e-8),
 facts, which loses nothing: of two files above the threshold, the rarest 1 - t of the one always meets that of the other.
 
 Exact copies are one class, represented by their smallest id; only representatives are compared, so a third of the rows being
-copies of one text costs one comparison. Items without elements (null, empty, no letters or digits) are similar to none.
+copies of one text costs one comparison; expand() lists the pairs of all members. Items without elements (null, empty, no letters or digits) are similar to none.
 Repeated rows of a file's fact count once. Very long texts are hashed word by word and verified one pair at a time.
 """
 
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from quire.session import cut, hinted, parallelism
 
 BITS, PIVOTS, BANDS, ROWS, SEED = 1024, 8, 34, 9, 7
-#: Copies of one content up to which p7_found lists all their pairs; of more, each with the representative.
-EXPAND = 200
+#: Members of a class that are paired in one block.
+BLOCK = 1000
 WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
 
@@ -183,16 +183,21 @@ def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float,
     return shared.where(F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c")) - 1e-9).select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b")), members
 
 
-def expand(pairs: DataFrame, members: DataFrame, most: int = EXPAND) -> DataFrame:
-    """id_a, id_b: pairs of classes as pairs of their members, and the copies of a class among themselves (see EXPAND)."""
-    m = cut(members)
-    small = m.where((F.col("copies") <= most) | (F.col("id") == F.col("rep"))).select("id", "rep")
-    a, b = small.withColumnsRenamed({"id": "x", "rep": "rep_a"}), small.withColumnsRenamed({"id": "y", "rep": "rep_b"})
-    across = pairs.join(a, "rep_a").join(b, "rep_b").select("x", "y")
-    some = m.where(f"copies > 1 and copies <= {most}").select("id", "rep")
-    within = some.alias("a").join(some.alias("b"), (F.col("a.rep") == F.col("b.rep")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
-    many = m.where(f"copies > {most}").where("id <> rep").select(F.col("rep").alias("x"), F.col("id").alias("y"))
-    return across.unionByName(within).unionByName(many).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
+def expand(pairs: DataFrame, members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """id_a, id_b: all pairs of members, of similar classes and of each class with itself, whatever its size.
+
+    Members are dealt to blocks of about `block`, and each block meets each block of the other class in a key of its own, so
+    a class that holds a third of all rows is no single task.
+    """
+    m = members.select("id", "rep", F.pmod(F.xxhash64("id"), F.ceil(F.col("copies") / block)).alias("block"), "copies").distinct()
+    m = cut(m)
+    sizes = m.where("id = rep").select("rep", F.ceil(F.col("copies") / block).alias("blocks"), "copies")
+    both = pairs.join(sizes.select(F.col("rep").alias("rep_a"), F.col("blocks").alias("n_a")), "rep_a").join(sizes.select(F.col("rep").alias("rep_b"), F.col("blocks").alias("n_b")), "rep_b").select("rep_a", "rep_b", "n_a", "n_b")
+    both = both.unionByName(sizes.where("copies > 1").select(F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b"), F.col("blocks").alias("n_a"), F.col("blocks").alias("n_b")))
+    both = both.withColumn("i", F.explode(F.expr("sequence(0L, n_a - 1)"))).withColumn("j", F.explode(F.expr("sequence(0L, n_b - 1)"))).where("rep_a <> rep_b or i <= j")
+    a, b = m.select(F.col("id").alias("x"), F.col("rep").alias("rep_a"), F.col("block").alias("i")), m.select(F.col("id").alias("y"), F.col("rep").alias("rep_b"), F.col("block").alias("j"))
+    met = both.join(a, ["rep_a", "i"]).join(b, ["rep_b", "j"]).where("rep_a <> rep_b or i < j or x < y")
+    return met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
 def groups(pairs: DataFrame, members: DataFrame) -> DataFrame:

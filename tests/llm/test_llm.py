@@ -167,6 +167,17 @@ def test_similar_texts(spark):
     assert 900 not in groups and groups[903] == 903
 
 
+@pytest.mark.parametrize("how", [{}, {"block": 40}])
+def test_large_classes_keep_all_pairs(spark, how):
+    """A third of the rows is one boilerplate, in other cases and word orders; it resembles another class."""
+    w = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(w[i % 40 :] + w[: i % 40]).upper() if i % 2 else " ".join(w)) for i in range(230)]
+    texts += [(300 + i, " ".join(w[:-1] + ["other"])) for i in range(3)] + [(400 + i, f"nothing alike {i} {i * i}") for i in range(20)]
+    df = spark.createDataFrame(texts, "cid long, body string")
+    got = [tuple(x) for x in nearduplicates.expand(*nearduplicates.similar_texts(df, "cid", "body"), **how).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_texts(texts)
+
+
 def test_pivots_lose_nothing():
     """The coordinates of two sets never differ by more than the sets do."""
     r = np.random.default_rng(1)
