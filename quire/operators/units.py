@@ -43,7 +43,7 @@ UNIT_SPELLINGS = {
 SCALE_SPELLINGS = {
     1e3: "'000|'000s|000s|000's|k|thousand|thousands|thou|tausend|tsd.|millier|milliers|mil|miles|milhar|milhares|ሺህ",
     1e6: "m|mn|mln|mio|mio.|million|millions|millionen|millones|millón|milhão|milhões|ሚሊዮን",
-    1e9: "b|bn|bln|mrd|mrd.|billion|billions|milliard|milliards|milliarden|mil millones|mil milhões|ቢሊዮን",
+    1e9: "b|bn|bln|mrd|mrd.|billion|billions|milliard|milliards|milliarden|mil millones|miles de millones|mil milhões|milhares de milhões|bilhão|bilhões|bilhao|bilhoes|ቢሊዮን",
 }
 #: Groups of the cell pattern: prefix, sign, number, closing parenthesis, suffix.
 CELL = r"^([^0-9(\-−–]*)([(\-−–]*)\s*([0-9][0-9.,\s\x{A0}\x{202F}\x{2009}]*[0-9]|[0-9])\s*(\)?)(.*)$"
@@ -136,6 +136,14 @@ def to_common_units(facts: DataFrame, units: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
+def unread_spellings(facts: DataFrame, units: DataFrame) -> DataFrame:
+    """side (cell, unit), spelling, n_facts: what stands beside a number and is no spelling of the table, so that its facts give no amount."""
+    part = lambda g: F.regexp_extract("value_raw", CELL, g)
+    sides = F.explode(F.array(F.struct(F.lit("cell").alias("side"), spelled(F.concat_ws(" ", part(1), part(5))).alias("spelling")), F.struct(F.lit("unit").alias("side"), spelled(F.coalesce("unit", F.lit(""))).alias("spelling")))).alias("s")
+    seen = facts.where(part(3) != "").select(sides).select("s.*").where("spelling <> ''").groupBy("side", "spelling").agg(F.count("*").alias("n_facts"))
+    return seen.join(F.broadcast(spelling_table(facts.sparkSession, units).select("spelling")), "spelling", "left_anti").select("side", "spelling", "n_facts")
+
+
 def misread_amounts(facts: DataFrame, units: DataFrame) -> DataFrame:
     """fact_id, common_unit, common_value of the facts whose value_num is not their amount in the common unit."""
     df = to_common_units(facts.select("fact_id", "value_raw", "value_num", "unit", "context"), units)

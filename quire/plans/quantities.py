@@ -20,6 +20,11 @@ def p1_totals(spark: SparkSession, d: str) -> DataFrame:
         F.count("*").alias("n_amounts"), F.round(F.min("common_amount"), 2).alias("least"), F.round(F.max("common_amount"), 2).alias("most"))
 
 
+def p1_unread(spark: SparkSession, d: str) -> DataFrame:
+    """What is printed beside numbers and not known as a unit or scale; percentages are among it."""
+    return units.unread_spellings(table(spark, d, "facts").select("value_raw", "unit"), table(spark, d, "unit_reference"))
+
+
 def _words(spellings: dict) -> str:
     def split(text: str) -> list[str]:
         return [a for part in text.split("|") for a in ([part] if " " in part and part.split()[0] in units.PHRASES else part.split())]
@@ -62,7 +67,7 @@ amounts as (select fact_id, value_num, case when cfam is not null then cfam when
 """
 
 
-QUERIES = {"p1_found": p1_found, "p1_totals": p1_totals}
+QUERIES = {"p1_found": p1_found, "p1_totals": p1_totals, "p1_unread": p1_unread}
 SQL = {
     "p1_found": _amounts_sql() + "select distinct fact_id, common_unit, round(amount)::bigint as common_value from amounts where amount is not null and common_unit is not null and not coalesce(round(value_num) = round(amount), false)",
     "p1_totals": _amounts_sql() + "select unit_family, common_unit, count(*) as n_amounts, round(min(amount), 2) as least, round(max(amount), 2) as most from amounts where amount is not null group by 1, 2",

@@ -36,6 +36,17 @@ def test_misread_amounts(spark, reference):
     assert units.misread_amounts(df.limit(0), reference).count() == 0
 
 
+def test_spanish_and_portuguese_billions(spark, reference):
+    want = {"birres 82,1 miles de millones de": 82.1e9, "99.5 miles de millones de birres": 99.5e9, "3 miles de millones": 3e9, "2 milhares de milhões de birres": 2e9, "1,5 bilhão": 1.5e9, "4 bilhões de birres": 4e9, "4 bilhoes": 4e9}
+    df = spark.createDataFrame([(k, "Table 1 (birr)") for k in want], "value_raw string, context string").selectExpr("value_raw", "cast(null as double) value_num", "cast(null as string) unit", "context")
+    assert {r["value_raw"]: r["common_amount"] for r in units.to_common_units(df, reference).collect()} == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_unread_spellings(spark, reference):
+    df = spark.createDataFrame([("5 zillion birr", None), ("6 zillion birr", "kg"), ("7 kg", "stones"), ("8", None), ("n/a zillion", "kg"), (None, None), ("9%", None)], "value_raw string, unit string")
+    assert {tuple(r) for r in units.unread_spellings(df, reference).collect()} == {("cell", "zillion birr", 2), ("unit", "stones", 1), ("cell", "%", 1)}
+
+
 def test_parse_number(spark):
     want = {"4,200": (4200, None), "12.5%": (12.5, "%"), "(300)": (-300, None), "4.2 billion": (4.2e9, "billion"), "n/a": (None, None), "12 birr": (None, None), ",": (None, None), ".5": (None, None), "$5": (5, None), "(4.2) m": (-4.2e6, "m"), "": (None, None), None: (None, None), "3k": (3000, "k")}
     v, u = X.parse_number(F.col("raw"))
