@@ -87,10 +87,8 @@ def heading_unit(context: Column) -> Column:
 
 def printed_number(digits: Column) -> Column:
     """A dot, comma or space before exactly three digits groups thousands; another one is the decimal mark."""
-    t = F.concat(digits, F.lit("#"))
-    for _ in range(3):  # neighbouring groups share their mark, so one pass takes every other one
-        t = F.regexp_replace(t, r"[.,\s\x{A0}\x{202F}\x{2009}]([0-9]{3})([^0-9])", "$1$2")
-    return F.regexp_replace(F.regexp_replace(t, "#", ""), r"[,\s\x{A0}\x{202F}\x{2009}]", ".").try_cast("double")
+    t = F.regexp_replace(digits, r"[.,\s\x{A0}\x{202F}\x{2009}](?=[0-9]{3}(?![0-9]))", "")
+    return F.regexp_replace(t, r"[,\s\x{A0}\x{202F}\x{2009}]", ".").try_cast("double")
 
 
 def spelling_table(spark: SparkSession, units: DataFrame) -> DataFrame:

@@ -47,6 +47,12 @@ def test_unread_spellings(spark, reference):
     assert {tuple(r) for r in units.unread_spellings(df, reference).collect()} == {("cell", "zillion birr", 2), ("unit", "stones", 1), ("cell", "%", 1)}
 
 
+def test_any_number_of_thousands_marks(spark):
+    want = {"1,234,567,890": 1234567890.0, "12.345.678.901,50": 12345678901.5, "1 234 567 890 123": 1234567890123.0, "1,234,567,890,123.25": 1234567890123.25, "1,234,567": 1234567.0, "1.234,5": 1234.5, "1234.5678": 1234.5678, "1,23": 1.23, "7": 7.0}
+    df = spark.createDataFrame([(k,) for k in want], "d string")
+    assert {r["d"]: r["n"] for r in df.select("d", units.printed_number(F.col("d")).alias("n")).collect()} == want
+
+
 def test_parse_number(spark):
     want = {"4,200": (4200, None), "12.5%": (12.5, "%"), "(300)": (-300, None), "4.2 billion": (4.2e9, "billion"), "n/a": (None, None), "12 birr": (None, None), ",": (None, None), ".5": (None, None), "$5": (5, None), "(4.2) m": (-4.2e6, "m"), "": (None, None), None: (None, None), "3k": (3000, "k")}
     v, u = X.parse_number(F.col("raw"))
