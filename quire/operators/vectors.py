@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,38 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def hash_buckets(df: DataFrame, id_col: str, text_col: str, dim: int = DIM) -> DataFrame:
-    """id, bucket, weight: character 3- and 5-grams of the collapsed lower-case text, hashed by md5 to `dim` (a power of two up to 65536) buckets, L2-normalised. Texts without a gram have no bucket."""
-    chars = F.filter(F.split(X.collapsed(F.lower(F.col(text_col))), ""), lambda c: c != "")
-    gram = lambda n: F.slice(F.transform("chars", lambda c, i: F.concat(c, *[F.coalesce(F.get("chars", i + k), F.lit("")) for k in range(1, n)])), F.lit(1), F.greatest(F.size("chars") - n + 1, F.lit(0)))
-    src = df.select(F.col(id_col).alias("id"), chars.alias("chars")).where("chars is not null").repartition(parallelism(df.sparkSession))
-    g = src.select("id", F.explode(F.concat(gram(3), gram(5))).alias("g"))
-    b = g.select("id", (F.conv(F.right(F.md5("g"), F.lit(4)), 16, 10).cast("int") % dim).alias("bucket"))
-    n = b.groupBy("id", "bucket").agg(F.count("*").alias("c"))
-    norm = n.groupBy("id").agg(F.sqrt(F.sum(F.col("c") * F.col("c")).cast("double")).alias("norm"))
-    return n.join(norm, "id").select(F.col("id").alias(id_col), "bucket", (F.col("c") / F.col("norm")).alias("weight"))
+    """id, bucket, weight: character 3- and 5-grams of the collapsed lower-case text, hashed by md5 to `dim` (a power of two up to 65536) buckets, L2-normalised. Texts without a gram have no bucket.
+
+    A text has two grams a character, most of them seen before, so they are looked up in Python and never become rows.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def count(batches):
+        known: dict[str, int] = {}
+        for b in batches:
+            rows, buckets, weights = [], [], []
+            for i, texts in enumerate(b.column("texts").to_pylist()):
+                n = np.zeros(dim, np.int64)
+                for t in texts:
+                    for k in (3, 5):
+                        for s in range(0, len(t) - k + 1, 65_536):
+                            grams = [t[j : j + k] for j in range(s, min(s + 65_536, len(t) - k + 1))]
+                            for g in set(grams).difference(known):
+                                known[g] = int.from_bytes(hashlib.md5(g.encode()).digest()[-2:], "big") % dim
+                            n += np.bincount([known[g] for g in grams], minlength=dim)
+                            if len(known) > 500_000:
+                                known.clear()
+                at = np.flatnonzero(n)
+                rows.append(np.full(len(at), i))
+                buckets.append(at)
+                weights.append(n[at] / np.sqrt(float((n * n).sum())))
+            if rows:
+                yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(np.concatenate(rows), pa.int64())), pa.array(np.concatenate(buckets), pa.int32()), pa.array(np.concatenate(weights), pa.float64())], names=["id", "bucket", "weight"])
+
+    src = df.select(F.col(id_col).alias("id"), X.collapsed(F.lower(F.col(text_col))).alias("text")).where("text is not null")
+    src = src.groupBy("id").agg(F.collect_list("text").alias("texts")).repartition(parallelism(df.sparkSession))
+    return src.mapInArrow(count, f"id {dict(df.dtypes)[id_col]}, bucket int, weight double").withColumnRenamed("id", id_col)
 
 
 def nearest(points: DataFrame, query: list[float], k: int = 6, where: Column | None = None) -> DataFrame:

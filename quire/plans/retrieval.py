@@ -17,10 +17,17 @@ ROWS, COLS = 211, 149
 
 
 def hash_embedding(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of figures only, as the SQL has them; hash_embedding_all takes all."""
     v = vectors.hash_buckets(table(spark, d, "chunks").where("chunk_type = 'figure'"), "chunk_id", "content")
     return v.withColumn("weight", F.round("weight", 6))
 
 
+def hash_embedding_all(spark: SparkSession, d: str) -> DataFrame:
+    """The embedding of every chunk, whatever its type."""
+    v = vectors.hash_buckets(table(spark, d, "chunks"), "chunk_id", "content")
+    return v.withColumn("weight", F.round("weight", 6))
+
+
 def _first_vector(e: DataFrame) -> list[float]:
     """The vector with id 0 as the question; zeros, which are near to nothing, where there is none."""
     r = e.where("vec_id = 0").select("embedding").first()
@@ -171,7 +178,7 @@ _CELLS = lambda name, where: f"{name} as (select distinct doc_id, page, r, c fro
 _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4)"
 _GOT = lambda n, s: f"{n} as (select doc_id, page, round(1 - arg_max(coverage_residual, (arrived_at, entry_id)), 4) as coverage from ledger where not isnan(coverage_residual) and coverage_residual between 0 and 1 and starts_with(strategy_used, '{s}') group by 1, 2)"
 
-QUERIES = {f.__name__: f for f in (hash_embedding, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
+QUERIES = {f.__name__: f for f in (hash_embedding, hash_embedding_all, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
 SQL = {n: s for n, (_, s) in SHARED.items()} | {
     "hash_embedding": r"with t as (select chunk_id, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from chunks where chunk_type = 'figure'), g as (select chunk_id, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select chunk_id, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by 1, 2) select chunk_id, bucket, round(c / sqrt(sum(c * c) over (partition by chunk_id)::double), 6) as weight from b",
     "knn_one": f"select b.vec_id, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 6",

@@ -1,7 +1,10 @@
 """Tables, facts, claims, sections, coverage, vectors, the agent loop, stores and the stream."""
 
+import collections
 import datetime
+import hashlib
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -230,6 +233,20 @@ def test_vectors(spark):
     assert got == {(4, 1): 3, (4, 2): 2}
 
 
+def test_all_chunks_are_embedded(spark, tmp_path):
+    from quire.plans import retrieval
+
+    rows = [(1, "figure", "Figure 1:  Trend"), (2, "text", "ሰላም ለዓለም 😀 abc"), (3, "table", "a | b\nc | d"), (4, "list", "- one\n- two " * 9000), (5, "text", "ab"), (6, "text", None)]
+    spark.createDataFrame(rows, "chunk_id long, chunk_type string, content string").write.parquet(str(tmp_path / "chunks.parquet"))
+    want = {}
+    for i, _, t in rows:
+        t = re.sub(r"\s+", " ", (t or "").lower()).strip()
+        c = collections.Counter(int(hashlib.md5(t[j : j + k].encode()).hexdigest()[-4:], 16) % 256 for k in (3, 5) for j in range(len(t) - k + 1))
+        norm = sum(x * x for x in c.values()) ** 0.5
+        want |= {(i, b): pytest.approx(x / norm, abs=1e-6) for b, x in c.items()}
+    assert {(r["chunk_id"], r["bucket"]): r["weight"] for r in retrieval.hash_embedding_all(spark, str(tmp_path)).collect()} == want
+
+
 def test_stores(spark, tmp_path, monkeypatch):
     (tmp_path / "f").mkdir()
     (tmp_path / "f" / "a.txt").write_text("x")
