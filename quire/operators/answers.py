@@ -80,13 +80,16 @@ def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tole
     meet keys in an equality join on the document, and nothing is looped over.
     """
     c = claims.select("claim_id", "claim", "document", X.claim_value(F.col("claim")).alias("value"), X.claim_words(F.col("claim")).alias("words"))
-    # Words meet each key of a document once, however many facts have it; facts join only under the keys that are kept.
+    # Words meet each key of a document once, however many claims say them and facts have it; facts join only under the keys that are
+    # kept, and are ranked once for all claims of the same words.
     keys = facts.where("key is not null").select("document", "key").distinct().withColumn("k", F.lower("key"))
-    hit = c.where("value is not null and size(words) > 0").join(keys, "document").where(F.col("k").contains(F.col("words")[0]))
+    asked = c.where("value is not null and size(words) > 0").select("document", "words").distinct()
+    hit = asked.join(keys, "document").where(F.col("k").contains(F.col("words")[0]))
     hit = hit.withColumn("size", prefix_depth(F.col("words"), F.col("k")))
-    hit = hit.withColumn("best", F.max("size").over(Window.partitionBy("claim_id"))).where("size = best").drop("k")
+    hit = hit.withColumn("best", F.max("size").over(Window.partitionBy("document", "words"))).where("size = best").drop("k")
     hit = hit.join(facts.select("fact_id", "document", "key", "period", "value_raw", "value_num"), ["document", "key"])
-    hit = hit.withColumn("nth", F.row_number().over(Window.partitionBy("claim_id").orderBy("fact_id"))).where(F.col("nth") <= limit)
+    hit = hit.withColumn("nth", F.row_number().over(Window.partitionBy("document", "words").orderBy("fact_id"))).where(F.col("nth") <= limit)
+    hit = c.where("value is not null").join(hit, ["document", "words"])
     same = F.coalesce(F.abs(F.col("value_num") - F.col("value")) <= tolerance, F.lit(False))
     years = F.regexp_extract_all("claim", F.lit(r"\b(?:19|20)[0-9]{2}\b"), F.lit(0))
     said = F.lower(F.concat_ws(" ", "key", "period"))

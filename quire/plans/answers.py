@@ -82,6 +82,11 @@ def audit_verdicts(spark: SparkSession, d: str) -> DataFrame:
     return answers.audited(one, table(spark, d, "facts"))
 
 
+def audit_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every claim, judged against all facts of its document."""
+    return answers.audited(_claims(spark, d), table(spark, d, "facts"))
+
+
 _TABLES = "t as (select element_id, doc_id, idx, table_data.headers as h, table_data.rows as r, table_data.row_periods as b, table_data.context as cx from elements where kind = 'table')"
 _PERIOD = lambda c: "coalesce(" + " or ".join(f"regexp_matches({c}, '{p}')" for p in X.PERIODS) + ", false)"
 _FILLED = "coalesce(trim(c) <> '', false)"
@@ -102,7 +107,7 @@ _CLAIM = r"""cl as (select fact_id as claim_id, document, case when fact_id % 3
 cv as (select *, list_filter(list_transform(regexp_extract_all(lower(claim), '[a-z]{3,}'), lambda w: w), lambda w: w not in (""" + ", ".join(f"'{w}'" for w in X.CLAIM_STOP) + r""")) as words, list_filter(list_transform(regexp_extract_all(claim, '(?i)-?\$?[0-9,]+(?:\.[0-9]+)?\s*(?:%|bn|billion|m|million|k|thousand)?'), lambda x: """ + _PARSE("trim(replace(x, '$', ''))") + r"""), lambda v: v is not null) as vs from {src}),
 cp as (select * exclude (vs), coalesce(list_filter(vs, lambda v: not (v = floor(v) and v between 1900 and 2100))[1], vs[1]) as value from cv)"""
 
-QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, facts_listing, facts_lookup, sql_scoped, sql_any, claim_parts, audit_verdicts)}
+QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, facts_listing, facts_lookup, sql_scoped, sql_any, claim_parts, audit_verdicts, audit_all)}
 SQL = {
     "table_checks": f"with {_TABLES} select element_id, array_to_string(list_filter([case when len(h) < 2 then 'too_few_columns' end, case when len(r) = 0 then 'no_rows' end, case when len(h) > 0 and {_FILL('h')} < 0.5 then 'empty_headers' end, case when len(r) > 0 and {_FILL('flatten(r)')} < 0.4 then 'mostly_empty_cells' end], lambda x: x is not null), ',') as failed, {_DOWN} as down from t",
     "table_contexts": r"with t as (select element_id, doc_id, bbox.page as page, bbox.y0 as y0, bbox.y1 as y1, table_data.context as own, substr(caption, 1, 300) as caption from elements where kind = 'table'), c as (select doc_id, bbox.page as page, idx, bbox.y0 as a0, bbox.y1 as a1, substr(text, 1, 300) as words from elements where kind = 'text' and regexp_matches(text, '(?i)^table\s*[0-9]+\b')), n as (select element_id, arg_min(words, (gap, idx)) as near from (select element_id, words, idx, least(abs(y0 - a1), abs(a0 - y1)) as gap from t join c using (doc_id, page) where own is null and caption is null) where gap < 73 group by 1) select element_id, coalesce(own, caption, near) as context from t left join n using (element_id)",

@@ -4,11 +4,13 @@ import collections
 import datetime
 import hashlib
 import json
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import text as X
 from quire.operators import agent, answers, coverage, ledgers, navigation, sections, tables, triage, vectors
 from quire.sources import stores
 from quire.streaming import ledger as streams
@@ -99,6 +101,34 @@ def test_audit(spark, facts):
     assert got == {1: ("VERIFIED", "4,200"), 2: ("REFUTED", "4,200"), 3: ("UNVERIFIABLE", None), 4: ("UNVERIFIABLE", None), 5: ("UNVERIFIABLE", None), 6: ("UNVERIFIABLE", None), 7: ("VERIFIED", "3,300")}
 
 
+def brute_audit(claim, document, facts):
+    stop, numbers = set(X.CLAIM_STOP), re.findall(r"-?[0-9,]+(?:\.[0-9]+)?", claim)
+    values = [float(x.replace(",", "")) for x in numbers if x.strip(",")]
+    value = next((v for v in values if not (v == int(v) and 1900 <= v <= 2100)), values[0])
+    words = [w for w in re.findall("[a-z]{3,}", claim.lower()) if w not in stop]
+    depth = lambda key: next((i for i, w in enumerate(words) if w not in key.lower()), len(words))
+    own = sorted((f for f in facts if f["document"] == document and f["key"] is not None and words and depth(f["key"])), key=lambda f: f["fact_id"])
+    best = [f for f in own if depth(f["key"]) == max(depth(g["key"]) for g in own)][:25]
+    same = [f for f in best if f["value_num"] is not None and abs(f["value_num"] - value) <= 1e-9]
+    said = set(words) | set(re.findall(r"\b(?:19|20)[0-9]{2}\b", claim))
+    near = sorted(best, key=lambda f: -sum(w in f"{f['key']} {f['period'] or ''}".lower() for w in said))
+    return ("VERIFIED", same[0]["fact_id"]) if same else ("REFUTED", near[0]["fact_id"]) if near else ("UNVERIFIABLE", None)
+
+
+def test_all_claims_are_audited(spark, tmp_path):
+    from quire.plans import answers as plans
+
+    keys, r = ["Net revenue", "Net official transfers", "Fuel stock", "Fuel stock at port", "Costs"], random.Random(4)
+    facts = [(i, r.choice(keys), f"{2018 + i % 5}", str(v := r.randint(3000, 3040)), None if i % 11 == 0 else float(v), "hot.pdf" if i % 3 else f"d{i % 4}.pdf") for i in range(240)]
+    schema = "fact_id long, key string, period string, value_raw string, value_num double, document string"
+    spark.createDataFrame(facts, schema).write.parquet(str(tmp_path / "facts.parquet"))
+    rows = spark.createDataFrame(facts, schema).collect()
+    claims = plans._claims(spark, str(tmp_path)).collect()
+    got = {x["claim_id"]: (x["status"], x["fact_id"]) for x in plans.audit_all(spark, str(tmp_path)).collect()}
+    assert len(claims) == len(got) == sum(x[4] is not None for x in facts)
+    assert got == {c["claim_id"]: brute_audit(c["claim"], c["document"], rows) for c in claims}
+
+
 def test_routing(spark):
     cards = spark.createDataFrame([("a", "bulletin-june", ["June EFY 2017"]), ("b", "bulletin-july", ["July EFY 2017"]), ("c", "other", ["2019"])], "doc_id string, source_name string, periods array<string>")
     q = spark.createDataFrame([(1, "What was inflation in July EFY 2017?"), (2, ""), (3, None)], "question_id long, question string")
