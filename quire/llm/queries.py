@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
+import uuid
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import languages, lookalikes, mixing, nearduplicates, packing, percentiles, pii, scannoise, splitting, tokens
-from quire.session import cut, table
+from quire.session import cut, shared_folder, table
 
 METRICS = ["coverage_residual", "processing_time_s"]
 QS = [0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
@@ -71,6 +75,18 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split(table(spark, d, "chunks"), "chunk_id", "content", ["parent_section"]).select("chunk_id", "parent_section", "piece_no", "piece_start", "boundary", "piece_tokens", F.md5("piece").alias("piece_md5"))
 
 
+def p4_file(spark: SparkSession, d: str) -> DataFrame:
+    """All documents written as one file, in pieces cut by byte ranges of it."""
+    folder = f"{shared_folder(spark).removesuffix('/')}/p4-{uuid.uuid4().hex}"
+    local = Path(folder.removeprefix("file://").removeprefix("file:"))
+    table(spark, d, "documents").where("text is not null").orderBy("doc_id").select("text").coalesce(1).write.text(folder)
+    path = next(local.glob("part-*"), local / "_SUCCESS")  # no row, no part
+    pieces = splitting.split_file(spark, str(path)).where("piece <> ''").select("piece_no", "piece_start", "boundary", splitting.tokens(F.col("piece")).alias("piece_tokens"), F.md5("piece").alias("piece_md5"))
+    pieces = cut(pieces)
+    shutil.rmtree(local)
+    return pieces
+
+
 _ABBREVIATED = "|".join(sorted(x.replace(".", r"\.") for x in splitting.ABBREVIATIONS))
 _P4_SQL = rf"""with c as (select chunk_id, content, regexp_replace(regexp_replace(content, '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g'), '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g') as hidden
   from chunks where ceil(length(content) / 4) > 900),
@@ -79,7 +95,7 @@ s as (select chunk_id, list_max(list_transform(string_split_regex(content, '\n[^
   list_max(list_transform(string_split_regex(regexp_replace(hidden, '([.!?።]["''”’»)\]]*)\s+', '\1' || chr(10), 'g'), '\n+'), lambda x: length(x))) as t,
   list_max(list_transform(string_split_regex(content, '\s+'), lambda x: length(x))) as w from c)
 select chunk_id, case when p <= 3600 then 'paragraph' when l <= 3600 then 'line' when t <= 3600 then 'sentence' when w <= 3600 then 'word' else 'none' end as boundary from s"""
-QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces}
+QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces, "p4_file": p4_file}
 SQL |= {"p4_found": _P4_SQL}
 
 

@@ -2,7 +2,7 @@
 
 An oversized text is never handled as a whole. It is cut into ranges; each range, with a halo of its neighbours' text on both
 sides, is searched for boundaries by some worker (boundaries()). The boundary tables are stitched by the prefix sum of the
-ranges' lengths, and cuts() picks the cut offsets from the offsets alone. Pieces are then taken out by offset. Giant files are
+ranges' lengths, and chosen() picks the cut offsets range by range, from the offsets alone. Pieces are then taken out by offset. Giant files are
 read the same way: file_ranges() has workers seek to their bytes, whole characters only, so no worker holds a file.
 
 Sizes are characters (code points); a token is CHARS characters, a part of one counting as one. A text of up to `limit` tokens
@@ -58,9 +58,9 @@ def spans(text: str, level: str) -> np.ndarray:
 
 
 def ranges(df: DataFrame, id_col: str, text_col: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
-    """id, range_no, before, part, n_chars: the text's ranges; `before` is how much of the part is the halo on the left."""
+    """id, range_no, before, part, n_chars, at (the offset of its first character): the text's ranges; `before` is how much of the part is the halo on the left."""
     pieces = F.transform(F.sequence(F.lit(0), F.expr(f"cast((length({text_col}) - 1) div {size} as int)")), lambda i: F.struct(
-        i.alias("range_no"), F.least(i * size, F.lit(halo)).alias("before"),
+        i.alias("range_no"), (i * F.lit(size).cast("bigint")).alias("at"), F.least(i * size, F.lit(halo)).alias("before"),
         F.substring(F.col(text_col), F.greatest(i * size - halo, F.lit(0)) + 1, F.least(i * size, F.lit(halo)) + size + halo).alias("part"),
         F.least(F.lit(size), F.length(text_col) - i * size).alias("n_chars")))
     return df.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.explode(pieces).alias("r")).select("id", "r.*")
@@ -70,15 +70,31 @@ def _ranges_of(path: str, size: int) -> int:
     return max(1, -(-os.path.getsize(path) // size))
 
 
-def file_ranges(spark: SparkSession, path: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
-    """ranges() of one file on a folder that all workers see, by bytes; a range holds the characters that begin in its bytes."""
+def file_offsets(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
+    """range_no, n_chars, at: how many characters begin in each range of bytes, and in those before it. Only these rows are summed up."""
     n = _ranges_of(path, size)
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with open(path, "rb") as f:
             for b in batches:
                 rows = []
                 for i in b["range_no"]:
+                    f.seek(i * size)
+                    rows.append((int(i), int(((np.frombuffer(f.read(size), np.uint8) & 0xC0) != 0x80).sum())))
+                yield pd.DataFrame(rows, columns=["range_no", "n_chars"])
+
+    numbers = spark.range(n).select(F.col("id").cast("int").alias("range_no")).repartition(min(n, parallelism(spark)))
+    lengths = numbers.mapInPandas(count, "range_no int, n_chars bigint")
+    return lengths.withColumn("at", F.sum("n_chars").over(Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_chars"))
+
+
+def file_ranges(spark: SparkSession, path: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
+    """ranges() of one file on a folder that all workers see, by bytes; a range holds the characters that begin in its bytes."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with open(path, "rb") as f:
+            for b in batches:
+                rows = []
+                for i, first in zip(b["range_no"], b["at"]):
                     at = max(0, i * size - 4 * halo)
                     f.seek(at)
                     raw = f.read(i * size - at + size + 4 * halo)
@@ -86,15 +102,15 @@ def file_ranges(spark: SparkSession, path: str, size: int = RANGE, halo: int = H
                     a, z = np.searchsorted(starts, [i * size - at, i * size - at + size])
                     left, right = max(0, a - halo), min(len(starts), z + halo)
                     edge = [*starts, len(raw)]
-                    rows.append((path, int(i), int(a - left), raw[edge[left]:edge[right]].decode("utf-8", "replace"), int(z - a)))
-                yield pd.DataFrame(rows, columns=["id", "range_no", "before", "part", "n_chars"])
+                    rows.append((path, int(i), int(a - left), raw[edge[left]:edge[right]].decode("utf-8", "replace"), int(z - a), first))
+                yield pd.DataFrame(rows, columns=["id", "range_no", "before", "part", "n_chars", "at"])
 
-    numbers = spark.range(n).select(F.col("id").cast("int").alias("range_no")).repartition(min(n, parallelism(spark)))
-    return numbers.mapInPandas(read, "id string, range_no int, before int, part string, n_chars int")
+    spread = file_offsets(spark, path, size).select("range_no", "at").repartition(min(_ranges_of(path, size), parallelism(spark)))
+    return spread.mapInPandas(read, "id string, range_no int, before int, part string, n_chars int, at bigint")
 
 
 def boundaries(parts: DataFrame, id_type: str) -> DataFrame:
-    """id, range_no, n_chars, and per level in the range: first start, last end, longest segment between, and cut offsets (all within the range)."""
+    """id, range_no, n_chars, at, and per level in the range: first start, last end, longest segment between, and cut offsets, counted from the start of the text."""
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
@@ -105,13 +121,11 @@ def boundaries(parts: DataFrame, id_type: str) -> DataFrame:
                     if len(s):
                         ends = s[:, 1]
                         cut = ends if level != "word" else ends[np.unique(ends // GRID, return_index=True)[1]]
-                        rows.append((r.id, r.range_no, r.n_chars, level, s[0, 0], ends[-1], int((s[1:, 0] - ends[:-1]).max(initial=0)), cut))
-                rows.append((r.id, r.range_no, r.n_chars, "length", None, None, 0, None))
-            yield pd.DataFrame(rows, columns=["id", "range_no", "n_chars", "level", "first", "last", "longest", "cuts"])
+                        rows.append((r.id, r.range_no, r.n_chars, r.at, level, s[0, 0] + r.at, ends[-1] + r.at, int((s[1:, 0] - ends[:-1]).max(initial=0)), cut + r.at))
+                rows.append((r.id, r.range_no, r.n_chars, r.at, "length", None, None, 0, None))
+            yield pd.DataFrame(rows, columns=["id", "range_no", "n_chars", "at", "level", "first", "last", "longest", "cuts"])
 
-    out = parts.repartition(parallelism(parts.sparkSession), "id", "range_no").mapInPandas(search, f"id {id_type}, range_no int, n_chars bigint, level string, first bigint, last bigint, longest bigint, cuts array<bigint>")
-    before = F.sum(F.expr("case when level = 'length' then n_chars else 0 end")).over(Window.partitionBy("id").orderBy("range_no", F.col("level") != "length"))
-    return out.withColumn("at", before - F.col("n_chars")).withColumns({"first": F.col("first") + F.col("at"), "last": F.col("last") + F.col("at"), "cuts": F.transform("cuts", lambda c: c + F.col("at"))})
+    return parts.repartition(parallelism(parts.sparkSession), "id", "range_no").mapInPandas(search, f"id {id_type}, range_no int, n_chars bigint, at bigint, level string, first bigint, last bigint, longest bigint, cuts array<bigint>")
 
 
 def finest_needed(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT) -> DataFrame:
@@ -133,33 +147,65 @@ def finest_needed(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT)
     return wide.select(F.col("id").alias(id_col), choice.alias("boundary"))
 
 
+def _next_cut(by_level: list[np.ndarray], s: int, limit: int, overlap: int) -> tuple[int, str]:
+    """End and boundary of the piece that begins at s: the coarsest boundary in the upper half of what fits, or anywhere in it."""
+    for low in (s + limit // 2, s + overlap + 1):
+        for level, cuts in zip(LEVELS, by_level):
+            i = np.searchsorted(cuts, s + limit, "right") - 1
+            if i >= 0 and cuts[i] >= low:
+                return int(cuts[i]), level
+    return s + limit, "none"
+
+
 def cut_offsets(by_level: list[np.ndarray], n: int, limit: int = LIMIT * CHARS, overlap: int = OVERLAP * CHARS) -> list[tuple[int, int, str]]:
-    """(start, end, boundary) of the pieces of a text of n characters: each ends at the coarsest boundary in the upper half of what fits, or anywhere in it."""
+    """(start, end, boundary) of the pieces of a text of n characters."""
     out, s = [], 0
     while n - s > limit:
-        end, how = s + limit, "none"
-        for low in (s + limit // 2, s + overlap + 1):
-            for level, cuts in zip(LEVELS, by_level):
-                i = np.searchsorted(cuts, s + limit, "right") - 1
-                if i >= 0 and cuts[i] >= low:
-                    end, how = int(cuts[i]), level
-                    break
-            if how != "none":
-                break
+        end, how = _next_cut(by_level, s, limit, overlap)
         out.append((s, end, how))
         s = end - overlap
     return [*out, (s, n, "end")]
 
 
-def cuts(b: DataFrame, id_type: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """id, pieces (start, end, boundary in order): chosen from the stitched boundary tables; only offsets come together."""
-    def choose(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("range_no")
-        by = [np.concatenate([np.asarray(c) for c in rows.loc[rows["level"] == x, "cuts"]] or [np.array([], dtype=np.int64)]) for x in LEVELS]
-        n = int(rows.loc[rows["level"] == "length", "n_chars"].sum())
-        return pd.DataFrame({"id": [key[0]], "pieces": [[{"start": a, "end": z, "boundary": h} for a, z, h in cut_offsets(by, n, limit * CHARS, overlap * CHARS)]]})
+def chosen(b: DataFrame, id_type: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """id, piece_no, start, end, boundary: cut_offsets() of the stitched boundary tables, read range by range.
 
-    return b.groupBy("id").applyInPandas(choose, f"id {id_type}, pieces array<struct<start: bigint, end: bigint, boundary: string>>")
+    The ranges of a text come in order, and only where its next piece begins, and the offsets from there on, go from one to
+    the next; so a text of any length needs the memory of a range and a batch.
+    """
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, no, s, n = None, 0, 0, 0
+        held = {x: np.array([], dtype=np.int64) for x in LEVELS}
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                if r.id != here:
+                    if here is not None:
+                        out.append((here, no, s, n, "end"))
+                    here, no, s = r.id, 0, 0
+                    held = {x: np.array([], dtype=np.int64) for x in LEVELS}
+                if r.level != "length":
+                    held[r.level] = np.concatenate([held[r.level], r.cuts])
+                    continue
+                n = r.at + r.n_chars
+                by = list(held.values())
+                while n - s > limit * CHARS:  # every boundary up to n is known
+                    end, how = _next_cut(by, s, limit * CHARS, overlap * CHARS)
+                    out.append((here, no, s, end, how))
+                    no, s = no + 1, end - overlap * CHARS
+                held = {x: c[np.searchsorted(c, s) :] for x, c in held.items()}
+            yield pd.DataFrame(out, columns=["id", "piece_no", "start", "end", "boundary"])
+        if here is not None:
+            yield pd.DataFrame([(here, no, s, n, "end")], columns=["id", "piece_no", "start", "end", "boundary"])
+
+    rows = b.where("id is not null").select("id", "range_no", "n_chars", "at", "level", "cuts").repartition(parallelism(b.sparkSession), "id").sortWithinPartitions("id", "range_no", F.col("level") == "length")
+    return rows.mapInPandas(choose, f"id {id_type}, piece_no int, start bigint, end bigint, boundary string")
+
+
+def cuts(b: DataFrame, id_type: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """id, pieces (start, end, boundary in order): chosen() for texts that are columns, a row each."""
+    pieces = F.array_sort(F.collect_list(F.struct("piece_no", "start", "end", "boundary")))
+    return chosen(b, id_type, limit, overlap).groupBy("id").agg(F.transform(pieces, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["boundary"].alias("boundary"))).alias("pieces"))
 
 
 def split(df: DataFrame, id_col: str, text_col: str, keep: list[str], limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
@@ -167,9 +213,9 @@ def split(df: DataFrame, id_col: str, text_col: str, keep: list[str], limit: int
     src = df.where(F.col(text_col).isNotNull()).select(id_col, *keep, text_col)
     over = tokens(F.col(text_col)) > limit
     id_type = dict(df.dtypes)[id_col]
-    chosen = cuts(boundaries(ranges(src.where(over), id_col, text_col), id_type), id_type, limit, overlap)
+    found = cuts(boundaries(ranges(src.where(over), id_col, text_col), id_type), id_type, limit, overlap)
     small = src.where(~over).select(id_col, *keep, F.lit(0).alias("piece_no"), F.lit(0).cast("bigint").alias("piece_start"), F.lit("whole").alias("boundary"), tokens(F.col(text_col)).alias("piece_tokens"), F.col(text_col).alias("piece"))
-    big = src.where(over).join(chosen.withColumnRenamed("id", id_col), id_col)
+    big = src.where(over).join(found.withColumnRenamed("id", id_col), id_col)
     texts = F.transform("pieces", lambda p: F.struct(p["start"].alias("piece_start"), p["boundary"].alias("boundary"), F.substring(F.col(text_col), (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).alias("piece")))
     big = big.select(id_col, *keep, F.posexplode(texts).alias("piece_no", "p")).select(id_col, *keep, "piece_no", "p.piece_start", "p.boundary", tokens(F.col("p.piece")).alias("piece_tokens"), "p.piece")
     return small.unionByName(big)
@@ -180,13 +226,11 @@ def split_file(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int
 
     The prefix sums of the ranges' lengths say in which range a piece begins; its worker seeks there and reads on to its end.
     """
-    ranges_ = file_ranges(spark, path, size, halo)
-    found = boundaries(ranges_, "string")
-    chosen = cuts(found, "string", limit, overlap).select(F.posexplode("pieces").alias("piece_no", "p")).select("piece_no", "p.*")
-    at = found.where("level = 'length'").select("range_no", "at", "n_chars")
+    pieces = chosen(boundaries(file_ranges(spark, path, size, halo), "string"), "string", limit, overlap).drop("id")
+    at = file_offsets(spark, path, size)
     # A range holds at most `size` characters, so it lies in at most two of the equally long buckets that pieces are looked up by.
     at = at.select("*", F.explode(F.expr(f"sequence(at div {size}, (at + greatest(n_chars, 1) - 1) div {size})")).alias("bucket"))
-    placed = chosen.withColumn("bucket", F.expr(f"start div {size}")).join(at, "bucket").where("start >= at and start < at + n_chars").select("piece_no", "start", "end", "boundary", "range_no", (F.col("start") - F.col("at")).alias("skip"))
+    placed = pieces.withColumn("bucket", F.expr(f"start div {size}")).join(at, "bucket").where("start >= at and start < at + n_chars").select("piece_no", "start", "end", "boundary", "range_no", (F.col("start") - F.col("at")).alias("skip"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with open(path, "rb") as f:

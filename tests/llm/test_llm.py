@@ -1,6 +1,7 @@
 """Small tests of the operators for training data: brute force, round trips, and what the docstrings say of odd rows."""
 
 import collections
+import hashlib
 import random
 import unicodedata
 
@@ -101,6 +102,39 @@ def test_file_ranges(spark, tmp_path):
     assert "".join(r["piece"][160 if i else 0 :] for i, r in enumerate(got)) == text
 
 
+def test_cuts_come_range_by_range(spark):
+    """The pieces of texts in many small ranges are those of all offsets at once, and no group of a text's offsets is formed."""
+    r = random.Random(2)
+    texts = [(i, "".join(r.choice(["word ", "Sentence ends. ", "line\n", "para\n\n", "x" * r.randint(1, 300)]) for _ in range(r.randint(1, 900)))) for i in range(12)] + [(99, "y" * 5000)]
+    df = spark.createDataFrame(texts, "k long, t string")
+    b = splitting.boundaries(splitting.ranges(df, "k", "t", 500, 400), "long")
+    rows = {i: collections.defaultdict(list) for i, _ in texts}
+    for x in b.orderBy("range_no").collect():
+        rows[x["id"]][x["level"]] += x["cuts"] or []
+    got = collections.defaultdict(list)
+    found = splitting.chosen(b, "long", 100, 10)
+    for x in found.orderBy("piece_no").collect():
+        got[x["id"]].append((x["start"], x["end"], x["boundary"]))
+    assert got == {i: splitting.cut_offsets([np.array(rows[i][x], dtype=np.int64) for x in splitting.LEVELS], len(t), 400, 40) for i, t in texts}
+    plan = found._jdf.queryExecution().toString()
+    assert "FlatMapGroups" not in plan and "Window" not in plan
+
+
+def test_corpus_as_one_file(spark, tmp_path):
+    from quire.llm import queries
+
+    texts = [(i, f"ሰላም {i}. Next one. " * (40 * i)) for i in range(1, 60)] + [(90, ""), (91, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    whole = "".join(t + "\n" for _, t in texts if t is not None)
+    want = splitting.split(spark.createDataFrame([(1, whole)], "k long, t string"), "k", "t", []).orderBy("piece_no").collect()
+    got = queries.p4_file(spark, str(tmp_path)).orderBy("piece_no").collect()
+    assert sum(x["piece_tokens"] > 900 for x in got) == 0
+    ends = [x["piece_start"] + len(x["piece"]) for x in want]
+    assert ends[-1] == len(whole) and len(got) > 100
+    at = [x["piece_start"] for x in got] + [len(whole) - 0]
+    assert [x["piece_md5"] for x in got] == [hashlib.md5(whole[a : z + 160 if i + 1 < len(got) else z].encode()).hexdigest() for i, (a, z) in enumerate(zip(at, at[1:]))]
+
+
 # ---- 5: percentiles ----
 
 def brute_p99(rows, percent=99):
