@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.functions import text as X
 from quire.operators import tables
@@ -89,13 +93,25 @@ def page_buckets(elements: DataFrame) -> DataFrame:
 def parents(secs: DataFrame) -> DataFrame:
     """doc_id, section_no, parent_no: the last section before it of a smaller level (null: the document), and the depth-ordered path.
 
-    Per level the last section number so far is a running maximum; the parent is the largest of those of smaller levels.
+    A document's sections are folded in order: a stack holds those that are still open, so depth has no bound, and the sections of a
+    document need not come together.
     """
-    w = Window.partitionBy("doc_id").orderBy("section_no").rowsBetween(Window.unboundedPreceding, -1)
-    levels = range(1, 7)
-    s = secs.select("*", *[F.max(F.when(F.col("level") == k, F.col("section_no"))).over(w).alias(f"l{k}") for k in levels])
-    before = F.greatest(*[F.when(F.col("level") > k, F.col(f"l{k}")) for k in levels])
-    return s.withColumn("parent_no", before).drop(*[f"l{k}" for k in levels])
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, stack = None, []
+        for b in batches:
+            found = []
+            for d, no, level in zip(*(b.column(c).to_pylist() for c in ("doc_id", "section_no", "level"))):
+                if d != here:
+                    here, stack = d, []
+                while stack and level is not None and stack[-1][0] >= level:
+                    stack.pop()
+                found.append(stack[-1][1] if stack and level is not None else None)
+                if no is not None and level is not None:
+                    stack.append((level, no))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, b.schema.field("section_no").type)], names=[*b.schema.names, "parent_no"])
+
+    schema = T.StructType([*secs.schema.fields, T.StructField("parent_no", secs.schema["section_no"].dataType)])
+    return secs.repartition("doc_id").sortWithinPartitions("doc_id", "section_no").mapInArrow(fold, schema)
 
 
 def chunk_elements(elements: DataFrame, limit: int = MAX_TOKENS) -> DataFrame:

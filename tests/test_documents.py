@@ -138,6 +138,14 @@ def test_routing(spark):
 
 # ---- sections ----
 
+def test_parents_at_any_depth(spark):
+    levels = [1, 2, 3, 4, 5, 6, 7, 8, 9, 8, 7, 12, 11, 3, 13]
+    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(levels)] + [("e", 0, 9), ("e", 1, 10), (None, 0, 1)], "doc_id string, section_no long, level int")
+    got = {(r["doc_id"], r["section_no"]): r["parent_no"] for r in sections.parents(df).collect()}
+    want = {("d", i): max((j for j in range(i) if levels[j] < x), default=None) for i, x in enumerate(levels)}
+    assert got == want | {("e", 0): None, ("e", 1): 0, (None, 0): None}
+
+
 def test_sections_and_chunks(spark):
     t = (["Item", "Value"], [["Revenue", "4.2"]], None, None)
     rows = [element(0, text="Opening words of the report."), element(1, text="1 Finance", size=18.0), element(2, text="Body one. " * 8), element(3, text="1.1 Revenue", size=14.0), element(4, "table", table=t), element(5, text="Body two. " * 8), element(6, text="2 Operations", size=18.0), element(7, "figure", caption="Figure 3: Trend"), element(8, "furniture", text="Page 1"), element(9, text="Body three. " * 20)]
