@@ -33,7 +33,7 @@ CONFUSIONS = [
     ("ri", "n", .02), ("n", "ri", .01), ("ii", "u", .02), ("ii", "n", .01), ("u", "ii", .004), ("li", "h", .01), ("h", "li", .02), ("cl", "d", .02), ("d", "cl", .02), ("vv", "w", .02), ("w", "vv", .004),
     ("nn", "m", .006), ("m", "nn", .006), ("in", "m", .006), ("m", "in", .01), ("iii", "m", .004), ("ni", "m", .006), ("u", "n", .004), ("n", "u", .004), ("a", "o", .002), ("o", "a", .002), ("c", "o", .004), ("o", "c", .004), ("o", "e", .004), ("e", "o", .004), ("a", "e", .004), ("e", "a", .004), ("y", "v", .004), ("v", "y", .004), ("lc", "k", .01), ("tt", "ll", .002), ("z", "2", .004), ("2", "z", .01), ("@", "a", .02),
 ]
-EDITS, READINGS, LEAST_SEEN = 3, 4, 2
+EDITS, LEAST_SEEN = 3, 2
 TOKEN = re.compile(r"(?:[^\W_]|@)+(?:[-'’\x01](?:[^\W_]|@)+)*")
 JVM_TOKEN = r"[\p{L}\p{N}]+(?:[-'’][\p{L}\p{N}]+)*"
 LETTER = re.compile(r"[^\W\d_]")
@@ -161,7 +161,7 @@ def corrections(text: DataFrame, words: DataFrame, lex: DataFrame) -> DataFrame:
 
     found = unknown.mapInPandas(spell, "word string, printed string, channel double").join(lex.withColumnRenamed("word", "printed"), "printed")
     best = F.sort_array(F.collect_list(F.struct((F.col("channel") + F.log("seen")).alias("score"), "printed", "channel")), asc=False)
-    table = cut(found.groupBy("word").agg(F.slice(best, 1, READINGS).alias("readings")))
+    table = cut(found.groupBy("word").agg(best.alias("readings")))
     place = text.select("element_id", "words", F.posexplode("words").alias("i", "word")).join(hinted(table), "word")
     near = lambda k: F.get("words", F.col("i") + k)
     hits = cut(place.select("element_id", "i", "word", "readings", near(-1).alias("before"), near(1).alias("after")))

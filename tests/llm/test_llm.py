@@ -403,3 +403,13 @@ def test_stretches_left_out_hold_nothing():
         assert (pii.viterbi(m, e, ends) == fast).all() and fast.any()
     finally:
         pii.slack = old
+
+
+def test_every_reading_can_win(spark, monkeypatch):
+    """The least likely of six readings, which only the context asks for."""
+    printed = ["alpha", "bravo", "delta", "gamma", "kappa", "sigma"]
+    monkeypatch.setattr(scannoise, "readings", lambda w: {v: -1.0 - i for i, v in enumerate(printed)} if w == "xyzzy" else {})
+    words = spark.createDataFrame([(["the", "sigma", "end"],)] * 200 + [([v],) for v in printed[:5]] * 20, "words array<string>")
+    text = spark.createDataFrame([(1, ["the", "xyzzy", "end"])], "element_id long, words array<string>")
+    got = [tuple(r) for r in scannoise.corrections(text, words, scannoise.lexicon(words).where("word <> 'sigma'").unionByName(spark.createDataFrame([("sigma", 2)], "word string, seen long"))).collect()]
+    assert got == [(1, 1, "xyzzy", "sigma")]
