@@ -30,17 +30,18 @@ def _id(c: str) -> int:
     return 151 if c.isalpha() else 152 if c.isdigit() else 153
 
 
-class Ids(dict):
-    def __missing__(self, c: str) -> int:
-        v = self[c] = _id(c)
-        return v
-
-
-_IDS = Ids()
+_IDS = np.full(0x110000, -1, np.int16)
 
 
 def encode(text: str) -> np.ndarray:
-    return np.array([_IDS[c] for c in text], dtype=np.int16)
+    """Ids of the characters; those of a character seen for the first time are looked up once."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    ids = _IDS[codes]
+    if len(ids) and ids.min() < 0:
+        for o in np.unique(codes[ids < 0]):
+            _IDS[o] = _id(chr(o))
+        ids = _IDS[codes]
+    return ids
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

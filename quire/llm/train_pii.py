@@ -1,4 +1,6 @@
-"""python -m quire.llm.train_pii DOCUMENTS.parquet OUT.npz: fits the model of personal information on a bounded sample of documents.
+"""python -m quire.llm.train_pii DOCUMENTS.parquet OUT.npz SCREEN.npz: fits the model of personal information on a bounded sample of documents.
+
+An existing OUT.npz is kept, and only the screen is fitted to it.
 
 The labelled spans come from rules for contexts that leave no doubt (a title before a name, a label before a number), applied
 to at most DOCUMENTS texts. They label the training sample only; the operator runs the model. In a part of the windows the names are
@@ -10,9 +12,11 @@ from __future__ import annotations
 import re
 import sys
 import time
+from pathlib import Path
 
 import numpy as np
 
+from quire.llm import pii
 from quire.llm.charmodel import KINDS, SIZE, TAGS, Adam, Model, encode
 
 DOCUMENTS, WINDOW, BATCH, STEPS, SEED = 8000, 160, 64, 2600, 11
@@ -115,20 +119,40 @@ def windows(texts: list[str], r: np.random.Generator) -> tuple[np.ndarray, np.nd
     return np.array(x), np.array(y)
 
 
-def screen_words(text: str) -> list[str]:
-    """Features of a sentence for the screen: its words with digits as 0 and capitalised words by shape."""
-    ws = re.findall(r"[^\W_]+|@|[\[(](?=at|dot)|፦", text)
-    shape = ["<C>" if w[0].isupper() and not w.isupper() else "<U>" if w.isupper() and len(w) > 1 else re.sub(r"\d", "0", w) for w in ws]
-    low = [re.sub(r"\d", "0", w.lower()) for w in ws]
-    return [*low, *[f"{a}_{b}" for a, b in zip(shape, shape[1:])]]
-
-
-def main(path: str, out: str) -> None:
-    import pyarrow.parquet as pq
-
-    t = pq.read_table(path, columns=["doc_id", "text"]).to_pandas().sort_values("doc_id")
-    texts = [x for x in t["text"].head(DOCUMENTS) if x]
-    held = [x for x in t["text"].tail(600) if x]
+def fit_screen(model: Model, texts: list[str], out: str, rounds: int = 15, block: int = 400_000) -> None:
+    """Fits the screen of pii.py to the tags that the network gives the texts: logistic regression over sums of n-gram weights, by AdaGrad.
+
+    Places near a span but outside it are left out. Prints the least score that a span of the sample reaches.
+    """
+    ids, tg = [], []
+    for i in range(0, len(texts), 300):
+        some = [encode(t) for t in texts[i : i + 300]]
+        for x, y in zip(some, pii.tagged(model, some, None)):
+            ids += [np.zeros(pii.GAP, np.int16), x]
+            tg += [np.zeros(pii.GAP, np.int8), y]
+    x, y = np.concatenate(ids), np.concatenate(tg)
+    yes, n = (y > 0).astype(np.float32), 1 << pii.BITS
+    care = (x > 0) & ((yes > 0) | (pii.windowed(yes, 20, 20) == 0))
+    feats, r = pii.features(x), np.random.default_rng(SEED)
+    tables, sums = [np.zeros(n, np.float32) for _ in feats], [np.full(n, 1e-3) for _ in feats]
+    for k in range(rounds):
+        for a in r.permutation(max(1, len(x) // block)) * block:
+            at = slice(a, a + block)
+            p = 1 / (1 + np.exp(-pii.screen_scores(x[at], tables)))
+            error = (p - yes[at]) * care[at] * np.where(yes[at] > 0, 4.0, 1.0)
+            # A place's error belongs to the n-grams that its sum takes in.
+            d = pii.windowed(error, pii.AFTER - 1, pii.BEFORE + 1) * (1000 / block)
+            for f, t, g in zip(feats, tables, sums):
+                grad = np.bincount(f[at], weights=d, minlength=n)
+                g += grad * grad
+                t -= (0.03 * grad / np.sqrt(g)).astype(np.float32)
+        score = pii.screen_scores(x, tables)
+        a, z = pii.runs(yes > 0)
+        print("screen", k, "least span", round(float(min(score[b:c].max() for b, c in zip(a, z))), 2), "read on", round(float((score[x > 0] > pii.SCREEN).mean()), 4), flush=True)
+    np.savez_compressed(out, **{k: t.astype(np.float16) for k, t in zip(("three", "six", "shape"), tables)})
+
+
+def train(texts: list[str], held: list[str], out: str) -> None:
     r = np.random.default_rng(SEED)
     model = Model(hidden=40, dim=20, seed=SEED)
     opt, t0 = Adam(model.p), time.time()
@@ -157,5 +181,16 @@ def main(path: str, out: str) -> None:
     assert SIZE == len(model.p["emb"])
 
 
+def main(path: str, out: str, screen: str) -> None:
+    import pyarrow.parquet as pq
+
+    t = pq.read_table(path, columns=["doc_id", "text"]).to_pandas().sort_values("doc_id")
+    texts = [x for x in t["text"].head(DOCUMENTS) if x]
+    held = [x for x in t["text"].tail(600) if x]
+    if not Path(out).exists():
+        train(texts, held, out)
+    fit_screen(pii.model(out), texts, screen)
+
+
 if __name__ == "__main__":
     main(*sys.argv[1:])
