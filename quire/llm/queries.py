@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import shutil
 import uuid
-from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,15 +77,27 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
 def p4_file(spark: SparkSession, d: str) -> DataFrame:
     """All documents written as one file, in pieces cut by byte ranges of it."""
     folder = f"{shared_folder(spark).removesuffix('/')}/p4-{uuid.uuid4().hex}"
-    local = Path(folder.removeprefix("file://").removeprefix("file:"))
     table(spark, d, "documents").where("text is not null").orderBy("doc_id").select("text").coalesce(1).write.text(folder)
-    path = next(local.glob("part-*"), local / "_SUCCESS")  # no row, no part
-    pieces = splitting.split_file(spark, str(path)).where("piece <> ''").select("piece_no", "piece_start", "boundary", splitting.tokens(F.col("piece")).alias("piece_tokens"), F.md5("piece").alias("piece_md5"))
+    where, name = fs.FileSystem.from_uri(folder) if ":" in folder else (fs.LocalFileSystem(), folder)
+    names = [f.path for f in where.get_file_info(fs.FileSelector(name))]
+    path = next((n for n in names if "/part-" in n), next(n for n in names if n.endswith("/_SUCCESS")))  # no row, no part
+    scheme = folder[: folder.index(name)] if name in folder else ""
+    pieces = splitting.split_file(spark, scheme + path).where("piece <> ''").select("piece_no", "piece_start", "boundary", splitting.tokens(F.col("piece")).alias("piece_tokens"), F.md5("piece").alias("piece_md5"))
     pieces = cut(pieces)
-    shutil.rmtree(local)
+    where.delete_dir(name)
     return pieces
 
 
+def p4_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Per chunk: its pieces without their overlaps put together again, and whether each keeps the limit and repeats the end of the one before."""
+    p = splitting.split(table(spark, d, "chunks"), "chunk_id", "content", [])
+    p = p.groupBy("chunk_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "piece_start", "piece"))).alias("p"), F.max("piece_tokens").alias("most"))
+    over = splitting.OVERLAP * splitting.CHARS
+    joined = F.array_join(F.transform("p", lambda x, i: F.when(i == 0, x["piece"]).otherwise(F.substring(x["piece"], F.lit(over + 1), F.length(x["piece"])))), "")
+    follows = F.forall(F.sequence(F.lit(1), F.size("p")), lambda i: (i == F.size("p")) | (F.substring(F.get("p", i)["piece"], 1, over) == F.substring(F.get("p", i - 1)["piece"], -over, over)))
+    return p.select("chunk_id", F.md5(joined).alias("rejoined"), (F.col("most") <= splitting.LIMIT).alias("within_limit"), follows.alias("overlaps"))
+
+
 _ABBREVIATED = "|".join(sorted(x.replace(".", r"\.") for x in splitting.ABBREVIATIONS))
 _P4_SQL = rf"""with c as (select chunk_id, content, regexp_replace(regexp_replace(content, '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g'), '(^|[\s(\[;,])((?i:{_ABBREVIATED}|\pL))\.([^\S\n]+)', '\1\2_\3', 'g') as hidden
   from chunks where ceil(length(content) / 4) > 900),
@@ -95,8 +106,8 @@ s as (select chunk_id, list_max(list_transform(string_split_regex(content, '\n[^
   list_max(list_transform(string_split_regex(regexp_replace(hidden, '([.!?።]["''”’»)\]]*)\s+', '\1' || chr(10), 'g'), '\n+'), lambda x: length(x))) as t,
   list_max(list_transform(string_split_regex(content, '\s+'), lambda x: length(x))) as w from c)
 select chunk_id, case when p <= 3600 then 'paragraph' when l <= 3600 then 'line' when t <= 3600 then 'sentence' when w <= 3600 then 'word' else 'none' end as boundary from s"""
-QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces, "p4_file": p4_file}
-SQL |= {"p4_found": _P4_SQL}
+QUERIES |= {"p4_found": p4_found, "p4_pieces": p4_pieces, "p4_file": p4_file, "p4_rejoined": p4_rejoined}
+SQL |= {"p4_found": _P4_SQL, "p4_rejoined": "select chunk_id, md5(content) as rejoined, true as within_limit, true as overlaps from chunks where content is not null"}
 
 
 def p8_packed(spark: SparkSession, d: str) -> DataFrame:

@@ -1,24 +1,26 @@
 """Problem 4: items above a size limit, cut at natural boundaries with an overlap.
 
 An oversized text is never handled as a whole. It is cut into ranges; each range, with a halo of its neighbours' text on both
-sides, is searched for boundaries by some worker (boundaries()). The boundary tables are stitched by the prefix sum of the
+sides, is searched for boundaries by some worker (boundaries()). A halo on the right that is white space goes on to the end of the
+white space, so every boundary that starts in a range is seen whole. The boundary tables are stitched by the prefix sum of the
 ranges' lengths, and chosen() picks the cut offsets range by range, from the offsets alone. Pieces are then taken out by offset. Giant files are
-read the same way: file_ranges() has workers seek to their bytes, whole characters only, so no worker holds a file.
+read the same way: file_ranges() has workers seek to their bytes, whole characters only, so no worker holds a file; any file system
+that pyarrow opens by its URI will do (local and mounted folders, HDFS, object stores).
 
 Sizes are characters (code points); a token is CHARS characters, a part of one counting as one. A text of up to `limit` tokens
 is one piece. A null text gives no piece, an empty one an empty piece. Text without any boundary is cut at the limit. Pieces
 put together without their overlaps are the text again, character by character. Ids must be unique; ids that repeat are kept
-apart by nothing, so give another id. The limit must exceed the overlap.
+apart by nothing, so give another id. The overlap must stay under half the limit.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +29,6 @@ from quire.session import parallelism
 CHARS, LIMIT, OVERLAP = 4, 900, 40
 RANGE, HALO = 65_536, 256
 LEVELS = ("paragraph", "line", "sentence", "word")
-#: A word boundary is kept once in so many characters: enough to cut within them, whatever the text's size.
-GRID = 48
 # Words whose dot ends no sentence.
 ABBREVIATIONS = set("no nos nr nrs art arts vol vols incl approx ca cf etc e.g i.e eg ie vs viz fig figs tab pp p para paras sec sect ch chap ed eds rev dr mr mrs ms prof hon gov gen st ltd co corp inc dept est max min avg tel ext ref add cap ann resp núm num pág págs sr sra srta dr dra ing lic av avda aprox ud uds env mme mm mlle bd réf réfs chap z.b bzw usw inkl zzgl ggf abs bspw vgl evtl str hr fr jan feb apr jun jul aug sep sept oct nov dec ref encl excl".split())
 PARAGRAPH, LINE, WORD = re.compile(r"\n[^\S\n]*\n\s*"), re.compile(r"\n+"), re.compile(r"\s+")
@@ -59,15 +59,28 @@ def spans(text: str, level: str) -> np.ndarray:
 
 def ranges(df: DataFrame, id_col: str, text_col: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
     """id, range_no, before, part, n_chars, at (the offset of its first character): the text's ranges; `before` is how much of the part is the halo on the left."""
-    pieces = F.transform(F.sequence(F.lit(0), F.expr(f"cast((length({text_col}) - 1) div {size} as int)")), lambda i: F.struct(
-        i.alias("range_no"), (i * F.lit(size).cast("bigint")).alias("at"), F.least(i * size, F.lit(halo)).alias("before"),
-        F.substring(F.col(text_col), F.greatest(i * size - halo, F.lit(0)) + 1, F.least(i * size, F.lit(halo)) + size + halo).alias("part"),
-        F.least(F.lit(size), F.length(text_col) - i * size).alias("n_chars")))
-    return df.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.explode(pieces).alias("r")).select("id", "r.*")
+    text, n, halo_ = F.col(text_col), F.length(text_col), F.lit(halo)
+
+    def one(i: Column) -> Column:
+        a, z = i * size, F.least(i * size + size, n)
+        tail = F.substring(text, z + 1, halo_)
+        # Only a halo of nothing but white space is followed further.
+        rest = F.when((F.length(tail) == halo) & ~tail.rlike(r"(?U)\S"), F.length(F.regexp_extract(F.substring(text, z + 1, n), r"(?U)^\s*", 0))).otherwise(halo_)
+        left = F.least(a, halo_)
+        return F.struct(i.alias("range_no"), a.cast("bigint").alias("at"), left.alias("before"), F.substring(text, a - left + 1, left + (z - a) + rest + 1).alias("part"), (z - a).alias("n_chars"))
+
+    return df.where(n > 0).select(F.col(id_col).alias("id"), F.explode(F.transform(F.sequence(F.lit(0), F.expr(f"cast((length({text_col}) - 1) div {size} as int)")), one)).alias("r")).select("id", "r.*")
+
+
+def opened(path: str):
+    """The file, for reading anywhere in it."""
+    where, name = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return where.open_input_file(name)
 
 
 def _ranges_of(path: str, size: int) -> int:
-    return max(1, -(-os.path.getsize(path) // size))
+    with opened(path) as f:
+        return max(1, -(-f.size() // size))
 
 
 def file_offsets(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
@@ -75,7 +88,7 @@ def file_offsets(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame
     n = _ranges_of(path, size)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for b in batches:
                 rows = []
                 for i in b["range_no"]:
@@ -89,38 +102,64 @@ def file_offsets(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame
 
 
 def file_ranges(spark: SparkSession, path: str, size: int = RANGE, halo: int = HALO) -> DataFrame:
-    """ranges() of one file on a folder that all workers see, by bytes; a range holds the characters that begin in its bytes."""
+    """ranges() of one file that all workers see, by bytes; a range holds the characters that begin in its bytes."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for b in batches:
                 rows = []
                 for i, first in zip(b["range_no"], b["at"]):
-                    at = max(0, i * size - 4 * halo)
-                    f.seek(at)
-                    raw = f.read(i * size - at + size + 4 * halo)
-                    starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-                    a, z = np.searchsorted(starts, [i * size - at, i * size - at + size])
-                    left, right = max(0, a - halo), min(len(starts), z + halo)
-                    edge = [*starts, len(raw)]
-                    rows.append((path, int(i), int(a - left), raw[edge[left]:edge[right]].decode("utf-8", "replace"), int(z - a), first))
+                    at, more = max(0, i * size - 4 * halo), 4 * halo
+                    while True:
+                        f.seek(at)
+                        raw = f.read(i * size - at + size + more)
+                        starts = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+                        a, z = np.searchsorted(starts, [i * size - at, i * size - at + size])
+                        edge = [*starts, len(raw)]
+                        # The last character may be cut; it counts only at the file's end.
+                        whole = len(starts) if at + len(raw) >= f.size() else max(z, len(starts) - 1)
+                        tail = raw[edge[z] : edge[whole]].decode("utf-8", "replace")
+                        if tail.strip() or at + len(raw) >= f.size():
+                            break
+                        more *= 4
+                    left = max(0, a - halo)
+                    right = z + max(halo, len(tail) - len(tail.lstrip()) + 1)
+                    text = raw[edge[left] : edge[z]].decode("utf-8", "replace") + tail[: right - z]
+                    rows.append((path, int(i), int(a - left), text, int(z - a), first))
                 yield pd.DataFrame(rows, columns=["id", "range_no", "before", "part", "n_chars", "at"])
 
     spread = file_offsets(spark, path, size).select("range_no", "at").repartition(min(_ranges_of(path, size), parallelism(spark)))
     return spread.mapInPandas(read, "id string, range_no int, before int, part string, n_chars int, at bigint")
 
 
-def boundaries(parts: DataFrame, id_type: str) -> DataFrame:
+def useful_words(ends: np.ndarray, coarse: np.ndarray, half: int) -> np.ndarray:
+    """Word ends at which a piece can end: not those with a coarser boundary so near before them that it goes first wherever the piece begins.
+
+    A cut falls on word end w only if the piece's limit lies before the next word end; a coarser boundary within `half` characters (half the
+    limit) before that next end is then in the upper half of the piece, and preferred.
+    """
+    if not len(ends) or not len(coarse):
+        return ends
+    i = np.searchsorted(coarse, ends, "right") - 1
+    near = np.where(i >= 0, coarse[i], -1)
+    onward = np.append(ends[1:], np.iinfo(np.int64).max)  # the next word end is unknown for the range's last
+    return ends[(near < 0) | (near < onward - half)]
+
+
+def boundaries(parts: DataFrame, id_type: str, limit: int = LIMIT) -> DataFrame:
     """id, range_no, n_chars, at, and per level in the range: first start, last end, longest segment between, and cut offsets, counted from the start of the text."""
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for r in b.itertuples(index=False):
+                coarse = np.array([], dtype=np.int64)
                 for level in LEVELS:
                     s = spans(r.part, level) - r.before
                     s = s[(s[:, 0] >= 0) & (s[:, 0] < r.n_chars)]  # those that start here; the halos only show them whole
                     if len(s):
-                        ends = s[:, 1]
-                        cut = ends if level != "word" else ends[np.unique(ends // GRID, return_index=True)[1]]
+                        # A boundary inside another's white space, seen without what came before it, ends no earlier for that.
+                        ends = np.maximum.accumulate(s[:, 1])
+                        cut = np.unique(ends) if level != "word" else useful_words(np.unique(ends), coarse, limit * CHARS // 2)
+                        coarse = np.union1d(coarse, cut)
                         rows.append((r.id, r.range_no, r.n_chars, r.at, level, s[0, 0] + r.at, ends[-1] + r.at, int((s[1:, 0] - ends[:-1]).max(initial=0)), cut + r.at))
                 rows.append((r.id, r.range_no, r.n_chars, r.at, "length", None, None, 0, None))
             yield pd.DataFrame(rows, columns=["id", "range_no", "n_chars", "at", "level", "first", "last", "longest", "cuts"])
@@ -131,9 +170,9 @@ def boundaries(parts: DataFrame, id_type: str) -> DataFrame:
 def finest_needed(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT) -> DataFrame:
     """id, boundary: for each text above the limit the first of LEVELS whose segments all keep it, else none."""
     big = df.where(tokens(F.col(text_col)) > limit).select(id_col, text_col)
-    b = boundaries(ranges(big, id_col, text_col), dict(df.dtypes)[id_col])
-    w = Window.partitionBy("id", "level").orderBy("range_no")
-    b = b.withColumn("gap", F.col("first") - F.coalesce(F.lag("last").over(w), F.lit(0)))
+    b = boundaries(ranges(big, id_col, text_col), dict(df.dtypes)[id_col], limit).drop("cuts")
+    w = Window.partitionBy("id", "level").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("gap", F.col("first") - F.coalesce(F.max("last").over(w), F.lit(0)))
     per = b.groupBy("id", "level").agg(F.max(F.greatest("longest", F.coalesce("gap", F.lit(0)))).alias("inner"), F.max("last").alias("last"), F.sum("n_chars").alias("n"))
     # A level's last segment reaches from its last boundary to the end of the text, which the rows "length" give.
     total = F.max(F.expr("case when level = 'length' then n end"))
@@ -213,7 +252,7 @@ def split(df: DataFrame, id_col: str, text_col: str, keep: list[str], limit: int
     src = df.where(F.col(text_col).isNotNull()).select(id_col, *keep, text_col)
     over = tokens(F.col(text_col)) > limit
     id_type = dict(df.dtypes)[id_col]
-    found = cuts(boundaries(ranges(src.where(over), id_col, text_col), id_type), id_type, limit, overlap)
+    found = cuts(boundaries(ranges(src.where(over), id_col, text_col), id_type, limit), id_type, limit, overlap)
     small = src.where(~over).select(id_col, *keep, F.lit(0).alias("piece_no"), F.lit(0).cast("bigint").alias("piece_start"), F.lit("whole").alias("boundary"), tokens(F.col(text_col)).alias("piece_tokens"), F.col(text_col).alias("piece"))
     big = src.where(over).join(found.withColumnRenamed("id", id_col), id_col)
     texts = F.transform("pieces", lambda p: F.struct(p["start"].alias("piece_start"), p["boundary"].alias("boundary"), F.substring(F.col(text_col), (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).alias("piece")))
@@ -226,14 +265,14 @@ def split_file(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int
 
     The prefix sums of the ranges' lengths say in which range a piece begins; its worker seeks there and reads on to its end.
     """
-    pieces = chosen(boundaries(file_ranges(spark, path, size, halo), "string"), "string", limit, overlap).drop("id")
+    pieces = chosen(boundaries(file_ranges(spark, path, size, halo), "string", limit), "string", limit, overlap).drop("id")
     at = file_offsets(spark, path, size)
     # A range holds at most `size` characters, so it lies in at most two of the equally long buckets that pieces are looked up by.
     at = at.select("*", F.explode(F.expr(f"sequence(at div {size}, (at + greatest(n_chars, 1) - 1) div {size})")).alias("bucket"))
     placed = pieces.withColumn("bucket", F.expr(f"start div {size}")).join(at, "bucket").where("start >= at and start < at + n_chars").select("piece_no", "start", "end", "boundary", "range_no", (F.col("start") - F.col("at")).alias("skip"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(path, "rb") as f:
+        with opened(path) as f:
             for b in batches:
                 rows = []
                 for r in b.itertuples(index=False):
