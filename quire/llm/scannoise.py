@@ -3,7 +3,8 @@
 Three steps. (1) Lines that are no prose go: page numbers by their form, running headers because they spell the title or issuer that
 the document's name or its furniture gives. What remains is joined to one paragraph, and words broken at line ends are marked.
 (2) Words never seen in text that was not scanned are looked up in the channel: every way to read them back through up to EDITS
-character confusions is spelled out and joined with the lexicon, so the search is an equality join whatever the lexicon's size.
+character confusions is spelled out and joined with the lexicon, so the search is an equality join whatever the lexicon's size. Only
+words too long to become any word of the lexicon are spared.
 (3) Viterbi over each run of words picks the reading with the best product of confusion probabilities and bigram likelihood;
 a word stays as it is where no reading is in the lexicon. A broken word is mended unless it is usually written with a hyphen.
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,7 +35,10 @@ CONFUSIONS = [
     ("ri", "n", .02), ("n", "ri", .01), ("ii", "u", .02), ("ii", "n", .01), ("u", "ii", .004), ("li", "h", .01), ("h", "li", .02), ("cl", "d", .02), ("d", "cl", .02), ("vv", "w", .02), ("w", "vv", .004),
     ("nn", "m", .006), ("m", "nn", .006), ("in", "m", .006), ("m", "in", .01), ("iii", "m", .004), ("ni", "m", .006), ("u", "n", .004), ("n", "u", .004), ("a", "o", .002), ("o", "a", .002), ("c", "o", .004), ("o", "c", .004), ("o", "e", .004), ("e", "o", .004), ("a", "e", .004), ("e", "a", .004), ("y", "v", .004), ("v", "y", .004), ("lc", "k", .01), ("tt", "ll", .002), ("z", "2", .004), ("2", "z", .01), ("@", "a", .02),
 ]
+CHANNEL = [(seen, printed, math.log(q)) for seen, printed, q in CONFUSIONS]
 EDITS, LEAST_SEEN = 3, 2
+#: Letters by which one confusion can shorten a word.
+SHORTER = max(len(seen) - len(printed) for seen, printed, _ in CONFUSIONS)
 TOKEN = re.compile(r"(?:[^\W_]|@)+(?:[-'’\x01](?:[^\W_]|@)+)*")
 JVM_TOKEN = r"[\p{L}\p{N}]+(?:[-'’][\p{L}\p{N}]+)*"
 LETTER = re.compile(r"[^\W\d_]")
@@ -66,10 +71,12 @@ def _spelled(line: str) -> tuple[set[str], set[str]]:
     return {f for w in tokens if not w.isdigit() and (f := folded(w))}, {w for w in tokens if w.isdigit()}
 
 
-def clear_lines(text: str, headers: list[str]) -> tuple[str, bool, bool]:
-    """The prose (lines joined, \\x01 where a line end breaks a word), and whether a running header and a page number were in it."""
+def clear_lines(text: str, known: list[tuple[frozenset, frozenset]]) -> tuple[str, bool, bool]:
+    """The prose (lines joined, \\x01 where a line end breaks a word), and whether a running header and a page number were in it.
+
+    `known` has the words of the document's names, as folded() spells them, and the numbers that belong to each.
+    """
     lines, header, page = canonical_text(text).split("\n"), False, False
-    known = [_spelled(h) for h in headers]
     keep = []
     for line in lines:
         s = line.strip()
@@ -79,8 +86,8 @@ def clear_lines(text: str, headers: list[str]) -> tuple[str, bool, bool]:
         if s and len(lines) > 1 and s[-1] not in ".,;:" and all(w[0].isupper() or w[0].isdigit() for w in re.findall(r"[^\W_]+", IN_HEADER.sub(" ", s))):
             plain = IN_HEADER.sub(" ", s)
             mine, numbers = _spelled(plain)
-            hit = [years for theirs, years in known if mine <= theirs]
-            if hit and len(mine) > 1 and sum(map(len, mine)) >= 8:
+            hit = [years for theirs, years in known if mine <= theirs] if len(mine) > 1 and sum(map(len, mine)) >= 8 else []
+            if hit:
                 header = True
                 page |= plain != s or bool(numbers - set().union(*hit))
                 continue
@@ -89,23 +96,21 @@ def clear_lines(text: str, headers: list[str]) -> tuple[str, bool, bool]:
     return re.sub(r"\s*\n\s*", " ", joined).strip(), header, page
 
 
-def readings(word: str, edits: int = EDITS, most: int = 3000) -> dict[str, float]:
-    """All prints the word may be a misreading of, with their log probability; `most` ends the spelling out of freak words."""
+def readings(word: str, edits: int = EDITS) -> dict[str, float]:
+    """All prints the word may be a misreading of, with their log probability."""
     out, edge = {word: 0.0}, {word: 0.0}
     for _ in range(edits):
         new: dict[str, float] = {}
         for w, p in edge.items():
-            for seen, printed, q in CONFUSIONS:
+            for seen, printed, lp1 in CHANNEL:
                 at = w.find(seen)
                 while at >= 0:
                     v = w[:at] + printed + w[at + len(seen) :]
-                    lp = p + math.log(q)
+                    lp = p + lp1
                     if lp > out.get(v, -99.0) and lp > new.get(v, -99.0):
                         new[v] = lp
                     at = w.find(seen, at + 1)
         out |= {k: v for k, v in new.items() if v > out.get(k, -99.0)}
-        if len(out) > most:
-            break
         edge = new
     out.pop(word, None)
     return out
@@ -116,14 +121,41 @@ def clean_words(elements: DataFrame) -> DataFrame:
     return elements.where("kind = 'text' and source_rung = 'A' and text is not null").select(F.regexp_extract_all(F.lower(F.regexp_replace("text", r"[­​‌‍⁠﻿]", "")), F.lit(JVM_TOKEN), F.lit(0)).alias("words"))
 
 
-def lexicon(words: DataFrame) -> DataFrame:
+def bigrams(elements: DataFrame) -> DataFrame:
+    """a, b, together: how often word b follows word a in clean text; b is null where a is an element's last word."""
+    pairs = F.transform("words", lambda w, i: F.struct(w.alias("a"), F.get("words", i + 1).alias("b")))
+    return clean_words(elements).select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("together"))
+
+
+def lexicon(pairs: DataFrame) -> DataFrame:
     """word, seen: words with a letter that clean text has more than once."""
-    return words.select(F.explode("words").alias("word")).where(r"word rlike '\\p{L}'").groupBy("word").agg(F.count("*").alias("seen")).where(F.col("seen") >= LEAST_SEEN)
+    return pairs.where(r"a rlike '\\p{L}'").groupBy(F.col("a").alias("word")).agg(F.sum("together").alias("seen")).where(F.col("seen") >= LEAST_SEEN)
 
 
-def bigrams(words: DataFrame) -> DataFrame:
-    pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.struct(F.get("words", i).alias("a"), F.get("words", i + 1).alias("b")))
-    return words.where("size(words) > 1").select(F.explode(pairs).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("together"))
+def document_names(elements: DataFrame, profiles: DataFrame) -> DataFrame:
+    """doc_id, known: what a document's file name and its furniture spell, each set of words once, as "words|numbers" lines.
+
+    A number belongs to a name if at least half of the name's occurrences have it, so page numbers in furniture do not.
+    """
+    letters = r"length(regexp_replace(h, '[^\\p{L}]', '')) >= 8"
+    files = profiles.select("doc_id", F.col("source_name").alias("h"), F.lit(True).alias("file")).where(letters).distinct().withColumn("n", F.lit(1).cast("bigint"))
+    fixtures = elements.where("kind = 'furniture' and text is not null").select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("h")).where(letters).groupBy("doc_id", "h").agg(F.count("*").alias("n")).select("doc_id", "h", F.lit(False).alias("file"), "n")
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [_spelled(named(h) if f else h) for h, f in zip(b["h"], b["file"])]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "words": [" ".join(sorted(w)) for w, _ in got], "numbers": [sorted(x) for _, x in got], "n": b["n"]})
+
+    spelled = files.unionByName(fixtures).mapInPandas(spell, "doc_id string, words string, numbers array<string>, n bigint").where("words <> ''")
+    times = spelled.select("doc_id", "words", "n", F.explode_outer("numbers").alias("number")).groupBy("doc_id", "words", "number").agg(F.sum("n").alias("n"))
+    whole = spelled.groupBy("doc_id", "words").agg(F.sum("n").alias("whole"))
+    kept = times.join(whole, ["doc_id", "words"]).groupBy("doc_id", "words").agg(F.array_join(F.sort_array(F.collect_list(F.when(2 * F.col("n") >= F.col("whole"), F.col("number")))), " ").alias("numbers"))
+    return kept.groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_list(F.concat_ws("|", "words", "numbers"))), "\n").alias("known"))
+
+
+@lru_cache(maxsize=256)
+def _known(names: str) -> list[tuple[frozenset, frozenset]]:
+    return [(frozenset(w.split()), frozenset(n.split())) for w, n in (line.split("|") for line in names.split("\n"))]
 
 
 def prose(elements: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -131,33 +163,33 @@ def prose(elements: DataFrame, profiles: DataFrame) -> DataFrame:
     scanned_pages = profiles.where("origin_type in ('scanned_image', 'mixed')").select("doc_id", "page").distinct().withColumn("marked", F.lit(True))
     e = elements.where("kind = 'text' and text is not null").select("element_id", "doc_id", F.col("bbox.page").alias("page"), "source_rung", "text")
     e = e.join(scanned_pages, ["doc_id", "page"], "left").where("marked or source_rung in ('B', 'C')")
-    names = profiles.select("doc_id", F.col("source_name").alias("h"), F.lit(True).alias("file")).unionByName(elements.where("kind = 'furniture' and text is not null").select("doc_id", F.regexp_replace("text", r"\s+", " ").alias("h"), F.lit(False).alias("file")))
-    names = names.where(r"length(regexp_replace(h, '[^\\p{L}]', '')) >= 8").distinct().groupBy("doc_id").agg(F.collect_list(F.struct("h", "file")).alias("names"))
-    e = e.drop("page", "source_rung", "marked").join(hinted(cut(names)), "doc_id", "left").repartition(parallelism(elements.sparkSession))
+    e = e.drop("page", "source_rung", "marked").join(hinted(cut(document_names(elements, profiles))), "doc_id", "left").repartition(parallelism(elements.sparkSession))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for r in b.itertuples(index=False):
-                headers = [] if r.names is None else [named(x["h"]) if x["file"] else x["h"] for x in r.names]
-                clear, header, page = clear_lines(r.text, headers)
+            for i, text, names in zip(b["element_id"], b["text"], b["known"]):
+                clear, header, page = clear_lines(text, _known(names) if names else [])
                 tokens = [m.group().lower() for m in TOKEN.finditer(clear)]
                 broken = [(t.replace("\x01", ""), t.replace("\x01", "-")) for t in tokens if "\x01" in t]
-                rows.append((r.element_id, clear, header, page, [t.replace("\x01", "") for t in tokens], [{"joined": j, "hyphened": h} for j, h in broken]))
+                rows.append((i, clear, header, page, [t.replace("\x01", "") for t in tokens], [{"joined": j, "hyphened": h} for j, h in broken]))
             yield pd.DataFrame(rows, columns=["element_id", "clear", "header", "page_number", "words", "breaks"])
 
-    return e.select("element_id", "text", "names").mapInPandas(read, "element_id bigint, clear string, header boolean, page_number boolean, words array<string>, breaks array<struct<joined: string, hyphened: string>>")
+    return e.select("element_id", "text", "known").mapInPandas(read, "element_id bigint, clear string, header boolean, page_number boolean, words array<string>, breaks array<struct<joined: string, hyphened: string>>")
 
 
-def corrections(text: DataFrame, words: DataFrame, lex: DataFrame) -> DataFrame:
+def corrections(text: DataFrame, pairs: DataFrame, lex: DataFrame) -> DataFrame:
     """element_id, i, word, printed: the words (by their place) that the channel reads as others."""
     seen = text.select(F.explode("words").alias("word")).where("word rlike '[a-zà-ÿ]' and length(word) > 1 and 2 * length(regexp_replace(word, '[^0-9]', '')) <= length(word)").distinct()
-    unknown = seen.join(lex, "word", "left_anti").repartition(parallelism(text.sparkSession))
+    # What is longer than the lexicon's longest word even after all its confusions has no reading.
+    longest = lex.agg(F.coalesce(F.max(F.length("word")), F.lit(0))).first()[0] + SHORTER * EDITS
+    unknown = seen.where(F.length("word") <= longest).join(hinted(lex, 500_000), "word", "left_anti").repartition(parallelism(text.sparkSession))
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(w, v, p) for w in b["word"] for v, p in readings(w).items()]
-            yield pd.DataFrame(rows, columns=["word", "printed", "channel"])
+            for i in range(0, len(b), 64):
+                rows = [(w, v, p) for w in b["word"][i : i + 64] for v, p in readings(w).items()]
+                yield pd.DataFrame(rows, columns=["word", "printed", "channel"])
 
     found = unknown.mapInPandas(spell, "word string, printed string, channel double").join(lex.withColumnRenamed("word", "printed"), "printed")
     best = F.sort_array(F.collect_list(F.struct((F.col("channel") + F.log("seen")).alias("score"), "printed", "channel")), asc=False)
@@ -172,7 +204,7 @@ def corrections(text: DataFrame, words: DataFrame, lex: DataFrame) -> DataFrame:
     states = cut(states)
     a, b = states.withColumnsRenamed({"w": "a", "channel": "ca"}), states.withColumnsRenamed({"w": "b", "channel": "cb"}).withColumn("i", F.col("i") - 1)
     steps = a.join(b, ["element_id", "i"])
-    known = steps.select("a", "b").distinct().join(bigrams(words), ["a", "b"])
+    known = steps.select("a", "b").distinct().join(pairs, ["a", "b"])
     single = lex.select(F.col("word").alias("b"), "seen")
     steps = steps.join(hinted(cut(known)), ["a", "b"], "left").join(hinted(single, 500_000), "b", "left").join(hinted(lex.select(F.col("word").alias("a"), F.col("seen").alias("seen_a")), 500_000), "a", "left")
     runs = steps.groupBy("element_id").agg(F.collect_list(F.struct("i", "a", "ca", "b", "cb", F.coalesce("together", F.lit(0)).alias("n"), F.coalesce("seen", F.lit(0)).alias("sb"), F.coalesce("seen_a", F.lit(0)).alias("sa"))).alias("steps"))
@@ -234,9 +266,9 @@ def hyphenations(text: DataFrame, lex: DataFrame) -> DataFrame:
 
 def noise(elements: DataFrame, profiles: DataFrame) -> DataFrame:
     """element_id, noise: the sorts of scan noise in each scanned text."""
-    words = clean_words(elements)
-    lex, text = cut(lexicon(words)), cut(prose(elements, profiles))
-    parts = [hyphenations(text, lex).where("mend").select("element_id", F.lit("hyphenation").alias("noise")), corrections(text, words, lex).select("element_id", F.lit("misread").alias("noise")), text.where("header").select("element_id", F.lit("running_header").alias("noise")), text.where("page_number").select("element_id", F.lit("page_number").alias("noise"))]
+    pairs = cut(bigrams(elements))
+    lex, text = cut(lexicon(pairs)), cut(prose(elements, profiles))
+    parts = [hyphenations(text, lex).where("mend").select("element_id", F.lit("hyphenation").alias("noise")), corrections(text, pairs, lex).select("element_id", F.lit("misread").alias("noise")), text.where("header").select("element_id", F.lit("running_header").alias("noise")), text.where("page_number").select("element_id", F.lit("page_number").alias("noise"))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -245,9 +277,9 @@ def noise(elements: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def repaired(elements: DataFrame, profiles: DataFrame) -> DataFrame:
     """element_id, repaired: the scanned texts as continuous paragraphs."""
-    words = clean_words(elements)
-    lex, text = cut(lexicon(words)), cut(prose(elements, profiles))
-    fixes = corrections(text, words, lex).groupBy("element_id").agg(F.collect_list(F.struct("i", "printed")).alias("fixes"))
+    pairs = cut(bigrams(elements))
+    lex, text = cut(lexicon(pairs)), cut(prose(elements, profiles))
+    fixes = corrections(text, pairs, lex).groupBy("element_id").agg(F.collect_list(F.struct("i", "printed")).alias("fixes"))
     keep = hyphenations(text, lex).where("not mend").groupBy("element_id").agg(F.collect_set("joined").alias("hyphened"))
 
     def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
