@@ -92,8 +92,16 @@ def clear_lines(text: str, known: list[tuple[frozenset, frozenset]]) -> tuple[st
                 page |= plain != s or bool(numbers - set().union(*hit))
                 continue
         keep.append(line)
-    joined = BREAK.sub("\x01", "\n".join(keep))
-    return re.sub(r"\s*\n\s*", " ", joined).strip(), header, page
+    joined = "\n".join(keep)
+    if "-" in joined:
+        joined = BREAK.sub("\x01", joined)
+    return " ".join(filter(None, map(str.strip, joined.split("\n")))), header, page
+
+
+def tokens_of(clear: str) -> list[str]:
+    """The tokens in lower case."""
+    low = clear.lower()
+    return TOKEN.findall(low) if len(low) == len(clear) else [w.lower() for w in TOKEN.findall(clear)]
 
 
 def readings(word: str, edits: int = EDITS) -> dict[str, float]:
@@ -170,9 +178,11 @@ def prose(elements: DataFrame, profiles: DataFrame) -> DataFrame:
             rows = []
             for i, text, names in zip(b["element_id"], b["text"], b["known"]):
                 clear, header, page = clear_lines(text, _known(names) if names else [])
-                tokens = [m.group().lower() for m in TOKEN.finditer(clear)]
-                broken = [(t.replace("\x01", ""), t.replace("\x01", "-")) for t in tokens if "\x01" in t]
-                rows.append((i, clear, header, page, [t.replace("\x01", "") for t in tokens], [{"joined": j, "hyphened": h} for j, h in broken]))
+                tokens, broken = tokens_of(clear), []
+                if "\x01" in clear:
+                    broken = [{"joined": t.replace("\x01", ""), "hyphened": t.replace("\x01", "-")} for t in tokens if "\x01" in t]
+                    tokens = [t.replace("\x01", "") for t in tokens]
+                rows.append((i, clear, header, page, tokens, broken))
             yield pd.DataFrame(rows, columns=["element_id", "clear", "header", "page_number", "words", "breaks"])
 
     return e.select("element_id", "text", "known").mapInPandas(read, "element_id bigint, clear string, header boolean, page_number boolean, words array<string>, breaks array<struct<joined: string, hyphened: string>>")

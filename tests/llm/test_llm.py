@@ -42,6 +42,14 @@ def test_same_looking(spark):
     assert lookalikes.same_looking(df.limit(0), "id", "text", [F.col("doc")]).count() == 0
 
 
+def test_pairs_of_a_hot_place(spark):
+    """Many rows of one spelling and a few of another: every pair across, none within; nulls in the place do not shift."""
+    rows = [(i, "p", None, "TOP") for i in range(300)] + [(1000, "p", None, "ТОР"), (1001, None, "p", "ТОР")]
+    df = spark.createDataFrame(rows, "id long, a string, b string, text string")
+    got = {tuple(r) for r in lookalikes.same_looking(df, "id", "text", [F.col("a"), F.col("b")]).collect()}
+    assert got == {(i, 1000) for i in range(300)}
+
+
 # ---- 4: splitting ----
 
 def brute_pieces(text, limit, overlap):
