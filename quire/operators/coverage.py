@@ -114,7 +114,7 @@ def components(rows: list[tuple[int, int]]) -> list[tuple[int, int, int, int, in
 
 
 def residual_regions(grid: DataFrame, keys: list[str], cell_w: float, cell_h: float, least: float = REGION) -> DataFrame:
-    """keys, region, x0, y0, x1, y1, cells: components of at least the area in the ink that nothing claims, of box_rows() with the sets ink and claimed."""
+    """keys, region, x0, y0, x1, y1, cells: components whose own cells have at least the area, in the ink that nothing claims, of box_rows() with the sets ink and claimed."""
     words = sum(c.startswith("ink") for c in grid.columns)
     left = grid.select(*keys, "r", *[F.col(f"ink{k}").bitwiseAND(F.bitwise_not(F.col(f"claimed{k}"))).alias(f"m{k}") for k in range(words)])
     left = left.where(" or ".join(f"m{k} <> 0" for k in range(words)))
@@ -128,7 +128,7 @@ def residual_regions(grid: DataFrame, keys: list[str], cell_w: float, cell_h: fl
                 n = 0
                 for r0, c0, r1, c1, size in components([(x["r"], sum(x[f"m{k}"] << (BITS * k) for k in range(words))) for x in p.rows]):
                     box = (c0 * cell_w, r0 * cell_h, c1 * cell_w, r1 * cell_h)
-                    if (box[2] - box[0]) * (box[3] - box[1]) >= least:
+                    if size * cell_w * cell_h >= least:
                         out.append((*p[: len(keys)], n, *map(float, box), size))
                         n += 1
             yield pd.DataFrame(out, columns=[*keys, "region", "x0", "y0", "x1", "y1", "cells"])

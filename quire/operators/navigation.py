@@ -1,37 +1,27 @@
-"""Walking the section tree, searching with a fallback, captions of figures, and tallies of what was found."""
+"""Walking the section tree, searching with a fallback, and tallies of what was found."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import vectors
 from quire.operators.answers import LOOKUP_LIMIT, prefix_depth
 
-CAPTION_PT = 40.0
-# Fixed value: how a caption begins.
-FIGURE_CAPTION = r"(?i)^(figure|fig\.|table|chart)\b"
-
-
 def found_sections(tree: DataFrame, wanted: DataFrame) -> DataFrame:
     """doc_id, wanted, section_no, title, how: for each wanted title (doc_id, wanted) the first section of that title, whatever the
-    case; else the first whose title contains it. Not listed where neither is there."""
-    t = tree.select("doc_id", "section_no", "title", F.lower(F.trim("title")).alias("t"))
+    case; else the first whose title contains it; the shallowest goes first. Not listed where neither is there."""
+    t = tree.select("doc_id", "section_no", "depth", "title", F.lower(F.trim("title")).alias("t"))
     j = wanted.select("doc_id", "wanted", F.lower(F.trim("wanted")).alias("w")).join(t, "doc_id").where(F.col("t").contains(F.col("w")))
     how = F.when(F.col("t") == F.col("w"), 0).otherwise(1)
-    best = j.groupBy("doc_id", "wanted").agg(F.min(F.struct(how.alias("how"), "section_no", "title")).alias("b"))
+    best = j.groupBy("doc_id", "wanted").agg(F.min(F.struct(how.alias("how"), "depth", "section_no", "title")).alias("b"))
     return best.select("doc_id", "wanted", F.col("b.section_no").alias("section_no"), F.col("b.title").alias("title"), F.when(F.col("b.how") == 0, "exact").otherwise("contains").alias("how"))
 
 
-def descendants(spark: SparkSession, tree: DataFrame) -> DataFrame:
-    """doc_id, root_no, section_no, depth: every section below each top-level section, by a recursive query."""
-    tree.select("doc_id", "section_no", "parent_no").createOrReplaceTempView("__tree")
-    return spark.sql("""with recursive below(doc_id, root_no, section_no, depth) as (
-      select doc_id, section_no, section_no, 0 from __tree where parent_no is null
-      union all select t.doc_id, b.root_no, t.section_no, b.depth + 1 from below b join __tree t on t.doc_id = b.doc_id and t.parent_no = b.section_no)
-      select * from below""")
+def descendants(tree: DataFrame) -> DataFrame:
+    """doc_id, root_no, section_no, depth: every section below each top-level section (tree of sections.parents())."""
+    return tree.select("doc_id", "root_no", "section_no", "depth")
 
 
 def search(points: DataFrame, query: list[float], k: int, scope: Column | None) -> DataFrame:
@@ -45,29 +35,6 @@ def search(points: DataFrame, query: list[float], k: int, scope: Column | None)
     return inside.unionByName(wide)
 
 
-def figure_captions(elements: DataFrame) -> DataFrame:
-    """element_id, caption_id: figures of a page, in order, each with the first caption text within CAPTION_PT that no figure before it took."""
-    page = F.col("bbox.page").alias("page")
-    f = elements.where("kind = 'figure'").select("doc_id", page, "idx", "element_id", F.col("bbox.y0").alias("y0"), F.col("bbox.y1").alias("y1"))
-    t = elements.where("kind = 'text'").where(F.col("text").rlike(FIGURE_CAPTION)).select("doc_id", page, F.col("idx").alias("t_idx"), F.col("element_id").alias("t_id"), F.col("bbox.y0").alias("a0"), F.col("bbox.y1").alias("a1"))
-    near = f.join(t, ["doc_id", "page"]).where(F.least(F.abs(F.col("y0") - F.col("a1")), F.abs(F.col("a0") - F.col("y1"))) <= CAPTION_PT)
-    per = near.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list(F.struct("idx", "t_idx", "element_id", "t_id"))).alias("pairs"))  # one page's pairs
-
-    def take(batches):
-        for b in batches:
-            out = []
-            for pairs in b["pairs"]:
-                done, used = set(), set()
-                for p in pairs:
-                    if p["element_id"] not in done and p["t_id"] not in used:
-                        done.add(p["element_id"])
-                        used.add(p["t_id"])
-                        out.append((p["element_id"], p["t_id"]))
-            yield pd.DataFrame(out, columns=["element_id", "caption_id"])
-
-    return per.select("pairs").mapInPandas(take, "element_id bigint, caption_id bigint")
-
-
 def printed_elsewhere(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, digits: int = 9) -> DataFrame:
     """claim_id, document: other documents in which the claim's value stands under the longest prefix of its words that the document has."""
     c = claims.select("claim_id", F.col("document").alias("own"), X.claim_value(F.col("claim")).alias("value"), X.claim_words(F.col("claim")).alias("words")).where("value is not null and size(words) > 0")

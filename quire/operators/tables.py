@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -14,9 +10,8 @@ from quire.functions import text as X
 # Limits of the table checks, the repair and the splitting.
 COLUMNS, HEADER_FILL, CELL_FILL, PADDING, NEAR_PT, CONTEXT = 2, 0.5, 0.4, 0.4, 73.0, 300
 MAX_TOKENS = 900
-PERIOD_TOKEN = re.compile(r"(?:(?:19|20)\d{2}(?:\s*[-–/]\s*\d{2,4})?|efy\s*-?\s*\d{2,4}|q[1-4](?:\s*(?:19|20)\d{2})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?(?:\s*(?:19|20)\d{2})?)", re.I)
-NUMBER_CELL = re.compile(r"\(?-?[\d,]+(?:\.\d+)?\)?\s*(?:%|bn|billion|m|million|k|thousand)?", re.I)
-TABLE_SIGN = re.compile(r"table\s*\d+\s*:", re.I)
+PERIOD_TOKEN = r"(?i)^(?:(?:19|20)[0-9]{2}(?:\s*[-–/]\s*[0-9]{2,4})?|efy\s*-?\s*[0-9]{2,4}|q[1-4](?:\s*(?:19|20)[0-9]{2})?|(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?(?:\s*(?:19|20)[0-9]{2})?)$"
+TABLE_SIGN = r"(?i)^table\s*[0-9]+\s*:"
 
 
 def _share(cells: Column) -> Column:
@@ -52,31 +47,49 @@ def single_caption(caption: Column) -> Column:
 
 
 def contexts(elements: DataFrame) -> DataFrame:
-    """element_id, context of each table: its own, its caption, or the nearest caption text on the page, the first of equals."""
-    t = elements.where("kind = 'table'").select("element_id", "doc_id", F.col("bbox.page").alias("page"), F.col("bbox.y0").alias("y0"), F.col("bbox.y1").alias("y1"), F.col("table_data.context").alias("own"), F.substring("caption", 1, CONTEXT).alias("caption"))
-    c = elements.where("kind = 'text'").where(F.col("text").rlike(X.CAPTION)).select("doc_id", F.col("bbox.page").alias("page"), "idx", F.col("bbox.y0").alias("a0"), F.col("bbox.y1").alias("a1"), F.substring("text", 1, CONTEXT).alias("words"))
+    """element_id, context of each table: its own, its caption, or the nearest caption text on the page, the first of equals.
+
+    An empty one counts as none. Captions and caption texts are collapsed and clipped to CONTEXT characters; own contexts and captions
+    lose their welded copies.
+    """
+    some = lambda c: F.when(c != "", c)
+    clip = lambda c: F.substring(X.collapsed(c), 1, CONTEXT)
+    t = elements.where("kind = 'table'").select("element_id", "doc_id", F.col("bbox.page").alias("page"), F.col("bbox.y0").alias("y0"), F.col("bbox.y1").alias("y1"), single_caption(some(F.col("table_data.context"))).alias("own"), single_caption(clip(some(F.col("caption")))).alias("caption"))
+    c = elements.where("kind = 'text'").where(F.trim("text").rlike(X.CAPTION)).select("doc_id", F.col("bbox.page").alias("page"), "idx", F.col("bbox.y0").alias("a0"), F.col("bbox.y1").alias("a1"), clip(F.col("text")).alias("words"))
     lacking = t.where("own is null and caption is null")
     gap = F.least(F.abs(F.col("y0") - F.col("a1")), F.abs(F.col("a0") - F.col("y1")))
     near = lacking.join(c, ["doc_id", "page"]).withColumn("gap", gap).where(F.col("gap") < NEAR_PT).groupBy("element_id").agg(F.min_by("words", F.struct("gap", "idx")).alias("near"))
     return t.join(near, "element_id", "left").select("element_id", F.coalesce("own", "caption", "near").alias("context"))
 
 
-def unpivoted(elements: DataFrame) -> DataFrame:
-    """One row per filled cell of each table with two columns or more: element_id, key, period, value_raw, value, unit.
+def unpivoted(elements: DataFrame, profiles: DataFrame | None = None) -> DataFrame:
+    """One row per filled cell of each table with two columns or more: doc_id, element_id, key, period, value_raw, value, unit, context,
+    document, page, bbox, content_hash, skipped.
 
-    Rows are keys and headers periods, or the other way round where periods run down; a block period of the row goes before
-    both. Of equal (document, key, period, value_raw) the first in reading order stays.
+    Rows are keys and headers periods, or the other way round where periods run down; under a block period the row is the key. Of
+    equal (document, key, period, value_raw) the first in reading order stays, and `skipped` counts the others. White space in keys
+    and periods is collapsed; an empty period is null. A document is called by the name that its profiles give, else by its id.
     """
-    t = elements.where("kind = 'table' and size(table_data.headers) >= 2").select("element_id", "doc_id", "idx", F.col("table_data.headers").alias("headers"), F.col("table_data.rows").alias("rows"), F.col("table_data.row_periods").alias("blocks"))
+    t = elements.where("kind = 'table' and size(table_data.headers) >= 2").select("element_id", "doc_id", "idx", "bbox", F.col("table_data.headers").alias("headers"), F.col("table_data.rows").alias("rows"), F.col("table_data.row_periods").alias("blocks"))
     t = t.withColumn("down", period_major(F.col("headers"), F.col("rows")))
-    r = t.select("element_id", "doc_id", "idx", "headers", "blocks", "down", F.posexplode("rows").alias("row_no", "cells"))
-    r = r.select("*", F.trim(F.col("cells")[0]).alias("label"), F.get("blocks", F.col("row_no")).alias("block")).where("label <> ''")
-    c = r.select("element_id", "doc_id", "idx", "row_no", "label", "block", "down", "headers", F.posexplode(F.slice("cells", 2, 1_000_000)).alias("at", "cell"))
-    head = F.trim(F.get("headers", F.col("at") + 1))
-    c = c.where(X.filled(F.col("cell"))).select("element_id", "doc_id", "idx", "row_no", "at", F.when(F.col("down"), head).otherwise(F.col("label")).alias("key"), F.coalesce("block", F.when(F.col("down"), F.col("label")).otherwise(head)).alias("period"), F.trim("cell").alias("value_raw"))
-    first = c.where("key <> ''").groupBy("doc_id", "key", "period", "value_raw").agg(F.min(F.struct("idx", "row_no", "at", "element_id")).alias("f"), F.count("*").alias("copies"))
+    r = t.select("element_id", "doc_id", "idx", "bbox", "headers", "blocks", "down", F.posexplode("rows").alias("row_no", "cells"))
+    r = r.select("*", X.collapsed(F.get("cells", F.lit(0))).alias("label"), F.get("blocks", F.col("row_no")).alias("block")).where("label <> ''")
+    cells = F.slice("cells", 2, F.greatest(F.least(F.size("cells"), F.size("headers")) - 1, F.lit(0)))
+    c = r.select("element_id", "doc_id", "idx", "bbox", "row_no", "label", F.when(F.col("block") != "", F.col("block")).alias("block"), "down", "headers", F.posexplode(cells).alias("at", "cell"))
+    head = F.coalesce(X.collapsed(F.get("headers", F.col("at") + 1)), F.lit(""))
+    key = F.when(F.col("block").isNotNull() | ~F.col("down"), F.col("label")).otherwise(head)
+    period = F.coalesce("block", F.when(F.col("down"), F.col("label")).otherwise(head))
+    c = c.where(X.filled(F.col("cell"))).select("element_id", "doc_id", "idx", "bbox", "row_no", "at", key.alias("key"), period.alias("period"), F.trim("cell").alias("value_raw"))
+    if profiles is None:
+        c = c.withColumn("document", F.col("doc_id"))
+    else:
+        names = profiles.groupBy("doc_id").agg(F.min("source_name").alias("name"))
+        c = c.join(names, "doc_id", "left").withColumn("document", F.coalesce("name", "doc_id")).drop("name")
+    first = c.where("key <> ''").groupBy("document", "key", "period", "value_raw").agg(F.min(F.struct("idx", "row_no", "at", "element_id", "doc_id", "bbox")).alias("f"), F.count("*").alias("copies"))
+    first = first.join(contexts(elements).withColumnRenamed("element_id", "__element"), F.col("f.element_id") == F.col("__element"), "left")
     value, unit = X.parse_number(F.col("value_raw"))
-    return first.select("doc_id", F.col("f.element_id").alias("element_id"), "key", "period", "value_raw", value.alias("value"), unit.alias("unit"), (F.col("copies") - 1).alias("skipped"))
+    return first.select(F.col("f.doc_id").alias("doc_id"), F.col("f.element_id").alias("element_id"), "key", F.when(F.col("period") != "", F.col("period")).alias("period"), "value_raw", value.alias("value"), unit.alias("unit"), "context",
+        "document", F.col("f.bbox.page").alias("page"), F.col("f.bbox").alias("bbox"), X.content_hash(F.concat_ws("|", "document", "key", "period", "value_raw")).alias("content_hash"), (F.col("copies") - 1).alias("skipped"))
 
 
 def split_parts(headers: Column, rows: Column, limit: int = MAX_TOKENS) -> Column:
@@ -90,77 +103,52 @@ def split_parts(headers: Column, rows: Column, limit: int = MAX_TOKENS) -> Colum
     return F.when(whole <= limit, F.array(rendered(headers, rows))).otherwise(cut)
 
 
-# ---- repair of padded grids: an ordered fold over rows, which column expressions can't carry ----
-
-def _is_number(cell: str) -> bool:
-    return bool(NUMBER_CELL.fullmatch(cell.replace("$", "").strip())) and any(c.isdigit() for c in cell)
-
-
-def _freed(cell: str, caption: list[str]) -> str:
-    """The cell without caption lines that the extraction fused into it; those are added to `caption`."""
-    lines = [x.strip() for x in cell.split("\n") if x.strip()]
-    if len(lines) < 2:
-        return cell
-    at = next((i for i, x in enumerate(lines) if _is_number(x)), None)
-    if at is not None:
-        caption += [x for i, x in enumerate(lines) if i != at]
-        return lines[at]
-    at = next((i for i, x in enumerate(lines) if TABLE_SIGN.match(x)), None)
-    if at is None:
-        return cell
-    caption += lines[at:]
-    return " ".join(lines[:at])
-
-
-def repaired(headers: list[str], rows: list[list[str]], blocks: list | None, context: str | None) -> tuple[list[str], list[list[str]], list | None, str | None]:
-    """A padded grid packed to its measures: empty cells dropped, block periods kept per row, wrapped labels joined. Others only cleaned."""
-    clean = lambda c: " ".join((c or "").split())
-    caption: list[str] = []
-    rows = [[_freed(c or "", caption) for c in r] for r in rows]
-    if caption and not context:
-        context = clean("".join(caption))[:CONTEXT]
-    cells = [c for r in rows for c in r]
-    if not cells or sum(not clean(c) for c in cells) / len(cells) <= PADDING:
-        return [clean(h) for h in headers], [[clean(c) for c in r] for r in rows], blocks, context
-    packed: list[list[str]] = []
-    periods: list[str | None] = []
-    block = None
-    for row in rows:
-        words = [clean(c) for c in row if clean(c)]
-        if not words:
-            continue
-        first = next((i for i, w in enumerate(words) if _is_number(w)), None)
-        if first is None:
-            if all(PERIOD_TOKEN.fullmatch(w) for w in words):
-                block = words[0]
-            elif packed:
-                packed[-1][0] = clean(packed[-1][0] + " " + " ".join(words))
-            continue
-        label = words[:first]
-        if label and PERIOD_TOKEN.fullmatch(label[0]):
-            block, label = label[0], label[1:]
-        packed.append([" ".join(label), *words[first:]])
-        periods.append(block)
-    measures = [clean(h) for h in headers if clean(h)]
-    width = max([len(measures) + 1, *map(len, packed)])
-    return (["", *measures] + [""] * width)[:width], [(r + [""] * width)[:width] for r in packed], periods if any(periods) else None, context
-
-
 def repair(elements: DataFrame) -> DataFrame:
-    """element_id and the repaired table of each table element, in Arrow batches."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for r in b.itertuples(index=False):
-                h, rows, p, c = repaired(list(r.headers), [list(x) for x in r.rows], None if r.blocks is None else list(r.blocks), r.context)
-                out.append((r.element_id, h, rows, p, c))
-            yield pd.DataFrame(out, columns=["element_id", "headers", "rows", "row_periods", "context"])
-
-    t = elements.where("kind = 'table' and table_data.headers is not null and table_data.rows is not null").select("element_id", "table_data.headers", "table_data.rows", F.col("table_data.row_periods").alias("blocks"), "table_data.context")
-    return t.mapInPandas(run, "element_id bigint, headers array<string>, rows array<array<string>>, row_periods array<string>, context string")
-
-
-def forward_filled(rows: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """The last value that isn't null, down to each row."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn(value, F.last(value, ignorenulls=True).over(w))
+    """element_id, headers, rows, row_periods, context: each table with fused captions taken out of its cells and padding taken out of its grid.
+
+    A cell of several lines that holds a value keeps the first one; one that holds the sign of a caption keeps what stands before it. The
+    other lines, joined as they were sliced, are the context, before the table's own. A grid with more than PADDING of its cells
+    empty is packed: every row with a value begins a new row of its label and values; rows without values go on with the label before
+    them, or, where they are periods only, name the block of the rows that follow, as does a period in front of a label. Null
+    headers, rows and cells count as empty; a table without cells stays as it is. All steps are column expressions over one table.
+    """
+    strings, grid = "array<string>", "array<array<string>>"
+    value = lambda c: X.parse_number(c)[0].isNotNull()
+    period = lambda c: F.trim(c).rlike(PERIOD_TOKEN)
+    t = elements.where("kind = 'table'").select("element_id", F.transform(F.coalesce("table_data.headers", F.array().cast(strings)), lambda h: F.coalesce(X.collapsed(h), F.lit(""))).alias("headers"), F.coalesce("table_data.rows", F.array().cast(grid)).alias("rows"), F.col("table_data.row_periods").alias("blocks"), F.col("table_data.context").alias("own"))
+
+    # Cells by lines; which line of a cell to keep, by kind: a value in place `at`, or a caption from place `at` on.
+    lines = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    t = t.withColumn("lines", F.transform("rows", lambda r: F.transform(r, lines)))
+    place = lambda ls, test: F.coalesce(F.array_position(F.transform(ls, test), F.lit(True)), F.lit(0)).cast("int")
+    t = t.withColumn("places", F.transform("lines", lambda r: F.transform(r, lambda ls: F.struct(ls.alias("ls"), F.when(F.size(ls) > 1, place(ls, value)).otherwise(0).alias("v"), F.when(F.size(ls) > 1, place(ls, lambda x: x.rlike(TABLE_SIGN))).otherwise(0).alias("sign")))))
+    kept = lambda p: F.when(p["v"] > 0, F.get(p["ls"], p["v"] - 1)).when(p["sign"] > 0, F.array_join(F.slice(p["ls"], F.lit(1), p["sign"] - 1), " ")).otherwise(F.array_join(p["ls"], " "))
+    freed = lambda p: F.when(p["v"] > 0, F.array_join(F.filter(p["ls"], lambda x, i: i != p["v"] - 1), "")).when(p["sign"] > 0, F.array_join(F.slice(p["ls"], p["sign"], F.size(p["ls"])), "")).otherwise("")
+    caption = X.collapsed(F.array_join(F.transform(F.flatten("places"), freed), ""))
+    t = t.select("element_id", "headers", "blocks", F.coalesce(F.when(caption != "", F.substring(caption, 1, CONTEXT)), F.col("own")).alias("context"), F.transform("places", lambda r: F.transform(r, lambda p: X.collapsed(kept(p)))).alias("grid"))
+    cells = F.flatten("grid")
+    t = t.withColumn("padded", (F.size(cells) > 0) & (F.size(F.filter(cells, lambda c: c == "")) > PADDING * F.size(cells)))
+
+    # Rows by what they are: words, and the place of the first value among them (0: none).
+    words = F.transform("grid", lambda r: F.filter(r, lambda c: c != ""))
+    t = t.withColumn("words", F.when(F.col("padded"), words))
+    t = t.withColumn("rows", F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w"), place(w, value).alias("v"), period(F.get(w, F.lit(0))).alias("dated"), F.forall(w, period).alias("periods"))))
+    data = F.filter("rows", lambda r: r["v"] > 0)
+    # A period in front of the label, which is no value itself, names a block like a row of periods does.
+    marks = F.transform(F.filter("rows", lambda r: F.when(r["v"] > 0, r["dated"] & (r["v"] > 1)).otherwise((F.size(r["w"]) > 0) & r["periods"])), lambda r: F.struct(r["i"].alias("i"), F.when(r["v"] > 0, F.get(r["w"], F.lit(0))).otherwise(F.array_join(r["w"], " ")).alias("name")))
+    t = t.withColumns({"data": data, "marks": marks})
+    t = t.withColumn("periods", F.transform("data", lambda r: F.try_element_at(F.filter("marks", lambda m: m["i"] <= r["i"]), F.lit(-1))["name"]))
+
+    def packed(r: Column, n: Column) -> Column:
+        upto = F.coalesce(F.get("data", n + 1)["i"], F.size("rows"))
+        below = F.flatten(F.transform(F.filter(F.slice("rows", r["i"] + 2, F.greatest(upto - r["i"] - 1, F.lit(0))), lambda m: ~m["periods"]), lambda m: m["w"]))
+        begin = F.when(r["dated"] & (r["v"] > 1), 2).otherwise(1)
+        label = F.array_join(F.concat(F.slice(r["w"], begin, r["v"] - begin), below), " ")
+        return F.concat(F.array(label), F.slice(r["w"], r["v"], F.size("words") + F.size(r["w"])))
+
+    t = t.withColumn("packed", F.transform("data", packed))
+    measures = F.filter("headers", lambda h: h != "")
+    t = t.withColumn("width", F.greatest(F.size(measures) + 1, F.coalesce(F.array_max(F.transform("packed", F.size)), F.lit(0))))
+    wide = lambda a: F.concat(a, F.array_repeat(F.lit(""), F.col("width") - F.size(a)))
+    return t.select("element_id", F.when(F.col("padded"), wide(F.concat(F.array(F.lit("")), measures))).otherwise(F.col("headers")).alias("headers"), F.when(F.col("padded"), F.transform("packed", wide)).otherwise(F.col("grid")).alias("rows"),
+        F.when(~F.col("padded"), F.col("blocks")).when(F.exists("periods", lambda p: p.isNotNull()), F.col("periods")).alias("row_periods"), "context")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
-from quire.operators import navigation
+from quire.operators import navigation, sections
 from quire.plans import answers as claims
 from quire.plans import sections as tree
 from quire.plans.retrieval import _first_vector
@@ -14,13 +14,13 @@ from quire.session import table
 
 
 def sections_found(spark: SparkSession, d: str) -> DataFrame:
-    t = tree.section_tree(spark, d)
+    t = tree.full_tree(spark, d)
     wanted = t.select("doc_id").distinct().select("doc_id", F.explode(F.array(F.lit("annex a"), F.lit("findings"), F.lit("procurement"))).alias("wanted"))
     return navigation.found_sections(t, wanted)
 
 
 def section_descendants(spark: SparkSession, d: str) -> DataFrame:
-    return navigation.descendants(spark, tree.section_tree(spark, d))
+    return navigation.descendants(tree.full_tree(spark, d))
 
 
 def search_with_fallback(spark: SparkSession, d: str) -> DataFrame:
@@ -29,9 +29,10 @@ def search_with_fallback(spark: SparkSession, d: str) -> DataFrame:
 
 
 def figures_captioned(spark: SparkSession, d: str) -> DataFrame:
-    """Figures by page with the nearest titles as captions (this corpus prints no caption lines, so titles of sections stand for them)."""
-    e = table(spark, d, "elements")
-    return navigation.figure_captions(e.withColumn("text", F.when(F.col("label").isin("title", "section_header"), F.concat(F.lit("Figure "), "text"))))
+    """Figures without captions and the caption texts bound to them, section by section (this corpus prints no caption lines, so the lines under its figures stand for them)."""
+    e = sections.with_sections(table(spark, d, "elements").where("kind <> 'furniture'"))
+    e = e.select("element_id", "doc_id", "section_no", "page", "idx", "kind", F.lit(None).cast("string").alias("caption"), F.col("bbox.y0").alias("y0"), F.col("bbox.y1").alias("y1"), F.concat(F.lit("Chart: "), "text").alias("text"))
+    return sections.bound_captions(e).select("figure_id", "caption_id")
 
 
 def claims_elsewhere(spark: SparkSession, d: str) -> DataFrame:
@@ -55,8 +56,11 @@ def routing_accuracy(spark: SparkSession, d: str) -> DataFrame:
 _NORM = lambda c: f"regexp_replace(lower({c}), '[^a-z0-9]', '', 'g')"
 QUERIES = {f.__name__: f for f in (sections_found, section_descendants, search_with_fallback, figures_captioned, claims_elsewhere, cell_accuracy, routing_accuracy)}
 SQL = {
-    "sections_found": f"with {tree._HEAD}, w as (select distinct doc_id, x as wanted from sc, (values ('annex a'), ('findings'), ('procurement')) v(x)), j as (select w.doc_id, wanted, section_no, title, case when lower(trim(title)) = wanted then 0 else 1 end as how from w join sc using (doc_id) where contains(lower(trim(title)), wanted)) select doc_id, wanted, section_no, title, case when how = 0 then 'exact' else 'contains' end as how from j qualify row_number() over (partition by doc_id, wanted order by how, section_no) = 1",
-    "section_descendants": f"with recursive {tree._HEAD}, below(doc_id, root_no, section_no, depth) as (select doc_id, section_no, section_no, 0 from pr where parent_no is null union all select t.doc_id, b.root_no, t.section_no, b.depth + 1 from below b join pr t on t.doc_id = b.doc_id and t.parent_no = b.section_no) select * from below",
+    "figures_captioned": f"""with {tree._HEAD.replace("from elements e left", "from (select * from elements where kind <> 'furniture') e left")}, f as (select doc_id, section_no, page, idx, element_id, bbox.y0 as y0, bbox.y1 as y1 from lv where kind = 'figure'), t as (select doc_id, section_no, page, idx as ti, element_id as te, bbox.y0 as a0, bbox.y1 as a1 from lv where kind = 'text' and text is not null),
+p as (select doc_id, section_no, page, list({{'f': element_id, 't': te}} order by idx, ti) as ps from f join t using (doc_id, section_no, page) where least(abs(a0 - y1), abs(y0 - a1)) <= 40 group by all),
+g as (select unnest(list_reduce(list_transform(ps, lambda y: [y]), lambda got, x: case when len(list_filter(got, lambda y: y.f = x[1].f or y.t = x[1].t)) = 0 then got || x else got end, [])) as x from p) select x.f as figure_id, x.t as caption_id from g""",
+    "sections_found": f"with recursive {tree._HEAD}, {tree._BELOW}, w as (select distinct doc_id, x as wanted from sc, (values ('annex a'), ('findings'), ('procurement')) v(x)), j as (select w.doc_id, wanted, section_no, title, case when lower(trim(title)) = wanted then 0 else 1 end as how, depth from w join sc using (doc_id) join below using (doc_id, section_no) where contains(lower(trim(title)), wanted)) select doc_id, wanted, section_no, title, case when how = 0 then 'exact' else 'contains' end as how from j qualify row_number() over (partition by doc_id, wanted order by how, depth, section_no) = 1",
+    "section_descendants": f"with recursive {tree._HEAD}, {tree._BELOW} select * from below",
     "search_with_fallback": "select b.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) as score, 'nothing in the section; searched everywhere' as note from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 4",
     "claims_elsewhere": "with " + claims._CLAIM.replace("{src}", "cl") + """, f as (select fact_id, document, lower(key) as k, value_num from facts), p as (select distinct claim_id, f.document, value, words from cp join f on round(value, 9) = round(value_num, 9) where cp.document <> f.document and value is not null and len(words) > 0 and contains(k, words[1])),
 h as (select claim_id, p.document, value, value_num, fact_id, len(list_filter(range(1, len(words) + 1), lambda i: len(list_filter(words[1:i], lambda w: not contains(k, w))) = 0)) as depth from p join f on f.document = p.document where contains(k, words[1])),

@@ -55,15 +55,35 @@ def test_checks(spark):
     assert got == {1: ["too_few_columns"], 2: ["empty_headers"], 3: ["mostly_empty_cells"], 4: ["no_rows"], 5: ["too_few_columns", "no_rows"], 6: []}
 
 
-def test_repair_packs_padded_grids_and_is_stable():
+def repaired(spark, *grids):
+    e = spark.createDataFrame([element(i, "table", table=g) for i, g in enumerate(grids)], ELEMENT)
+    return [(r["headers"], r["rows"], r["row_periods"], r["context"]) for r in tables.repair(e).orderBy("element_id").collect()]
+
+
+def test_repair_packs_padded_grids_and_is_stable(spark):
     headers = ["", "", "Imports (CIF value)", "", "", "Total expenditure", "", ""]
-    rows = [["2018/19", "", "", "", "", "", "", ""], ["", "Capital", "", "2065.91", "", "", "711.02", ""], ["", "investment", "", "", "", "", "", ""], ["July", "Second schedule", "", "1", "", "", "2", ""]]
-    h, r, p, c = tables.repaired(headers, rows, None, None)
-    assert h == ["", "Imports (CIF value)", "Total expenditure"] and r[0] == ["Capital investment", "2065.91", "711.02"] and p == ["2018/19", "July"]
-    assert tables.repaired(h, r, p, c) == (h, r, p, c)
-    h, r, p, c = tables.repaired(["a", "b"], [["x\nYear-on-Year\n12.6", "  y  z "]], None, None)
-    assert r == [["12.6", "y z"]] and "Year-on-Year" in c
-    assert tables.repaired([], [], None, None) == ([], [], None, None)
+    rows = [["2018/19", "", "", "", "", "", "", ""], ["", "Capital", "", "2065.91", "", "", "711.02", ""], ["", "investment", "", "", "", "", "", ""], ["July", "Second schedule", "", "1", "", "", "2", ""], ["2019/20", "", "2020/21", "", "", "", "", ""], ["", "", "", "3", "", "", "", ""], ["", "", "of", "", "the rest", "", "", ""]]
+    fused = (["a", "b"], [["x\nYear-on-Year\n12.6", "  y  z "], ["Label\nTable 3: Infla", "tion\n7"]], None, "own")
+    one, two, none, plain = repaired(spark, (headers, rows, None, "kept"), fused, ([], [], None, None), (["a"], [["x\ny", None, "z"]], ["b"], "own"))
+    assert one[0] == ["", "Imports (CIF value)", "Total expenditure"] and one[1][0] == ["Capital investment", "2065.91", "711.02"] and one[3] == "kept"
+    assert one[1][1:] == [["Second schedule", "1", "2"], ["of the rest", "3", ""]] and one[2] == ["2018/19", "July", "2019/20 2020/21"]
+    assert repaired(spark, one)[0] == one
+    assert two[1] == [["12.6", "y z"], ["Label", "7"]] and two[3] == "xYear-on-YearTable 3: Inflation"
+    assert none == ([], [], None, None) and plain == (["a"], [["x y", "", "z"]], ["b"], "own")
+
+
+def test_facts_carry_where_they_stand(spark):
+    """A block period makes the row the key even where periods run down; white space collapses; an empty period is null; names come from profiles."""
+    down = (["Month", "General  index"], [["March", "13.5"], [" ", "9"], ["April", "14"]], [None, None, "2018/19"], "Table 1: aTable 1: a")
+    across = (["Item", ""], [["Cash \n in hand", "(300)"], ["", "1"]], None, None)
+    e = spark.createDataFrame([element(1, "table", table=down, page=4), element(2, "table", table=across, caption="  Two   words ")], ELEMENT)
+    p = spark.createDataFrame([("d", "report.pdf")], "doc_id string, source_name string")
+    got = {(r["key"], r["period"]): r for r in tables.unpivoted(e, p).collect()}
+    assert set(got) == {("General index", "March"), ("April", "2018/19"), ("Cash in hand", None)}
+    assert got["General index", "March"]["context"] == "Table 1: a" and got["General index", "March"]["page"] == 4 and got["Cash in hand", None]["context"] == "Two words"
+    assert got["Cash in hand", None]["value"] == -300.0 and got["Cash in hand", None]["document"] == "report.pdf" and got["Cash in hand", None]["bbox"]["x0"] == 72.0
+    assert got["April", "2018/19"]["content_hash"] == hashlib.sha256(b"report.pdf|April|2018/19|14").hexdigest()[:16]
+    assert got["Cash in hand", None]["content_hash"] == hashlib.sha256(b"report.pdf|Cash in hand||(300)").hexdigest()[:16]
 
 
 def test_captions(spark):
@@ -140,7 +160,7 @@ def test_routing(spark):
 
 def test_parents_at_any_depth(spark):
     levels = [1, 2, 3, 4, 5, 6, 7, 8, 9, 8, 7, 12, 11, 3, 13]
-    df = spark.createDataFrame([("d", i, x) for i, x in enumerate(levels)] + [("e", 0, 9), ("e", 1, 10), (None, 0, 1)], "doc_id string, section_no long, level int")
+    df = spark.createDataFrame([("d", i, x, f"t{i}") for i, x in enumerate(levels)] + [("e", 0, 9, "x"), ("e", 1, 10, None), (None, 0, 1, "y")], "doc_id string, section_no long, level int, title string")
     got = {(r["doc_id"], r["section_no"]): r["parent_no"] for r in sections.parents(df).collect()}
     want = {("d", i): max((j for j in range(i) if levels[j] < x), default=None) for i, x in enumerate(levels)}
     assert got == want | {("e", 0): None, ("e", 1): 0, (None, 0): None}
@@ -153,6 +173,7 @@ def test_sections_and_chunks(spark):
     s = {r["title"]: r for r in sections.parents(sections.sections(e)).collect()}
     assert set(s) == {"Preamble", "1 Finance", "1.1 Revenue", "2 Operations"} and s["1.1 Revenue"]["parent_no"] == s["1 Finance"]["section_no"] and s["2 Operations"]["parent_no"] is None
     c = sections.chunk_elements(e, 40).collect()
+    assert "\n\n" not in c[0]["content"] and {r["parent_section"] for r in c} == {"Preamble", "1 Finance", "1 Finance > 1.1 Revenue", "2 Operations"} and all(r["page_refs"] == [1] and r["bbox"]["page"] == 1 for r in c)
     used = sorted(i for r in c for i in r["elements"])
     assert used == [0, 2, 4, 5, 7, 9]
     assert {r["chunk_type"] for r in c} == {"text", "table", "figure"} and any(r["content"].startswith("Item | Value") for r in c)
@@ -160,7 +181,33 @@ def test_sections_and_chunks(spark):
 
 def test_headless_documents_have_page_sections(spark):
     e = spark.createDataFrame([element(i, text="Plain paragraph.", page=p) for i, p in enumerate((1, 10, 11, 25))], ELEMENT)
-    assert sorted(r["title"] for r in sections.sections(e).collect()) == ["Pages 1-10", "Pages 11-20", "Pages 21-30"]
+    assert sorted(r["title"] for r in sections.sections(e).collect()) == ["Pages 1-10", "Pages 11-20", "Pages 21-25"]
+
+
+def test_tables_split_and_captions_bind(spark):
+    """An oversized table in parts with its header, debris alone as text, captions with the nearest figures in order, each once."""
+    big = (["Item", "Value"], [[f"row {i}", str(i)] for i in range(60)], None, None)
+    debris = (["one"], [["x"]], None, None)
+    rows = [element(0, text="1 Heading", size=18.0), element(1, text="Words."), element(2, "table", table=big), element(3, "table", table=debris), element(4, text="After."), element(5, "figure", y0=100.0, y1=180.0), element(6, text="Figure 3: Trend ", y0=190.0, y1=200.0), element(7, "figure", y0=205.0, y1=260.0), element(8, "figure", y0=400.0, y1=480.0, caption=""), element(9, text="Words.", page=2)]
+    c = sorted(sections.chunk_elements(spark.createDataFrame(rows, ELEMENT), 60).collect(), key=lambda r: r["chunk_no"])
+    parts = [r for r in c if r["content"].startswith("[part ")]
+    assert [r["chunk_no"] for r in c] == list(range(len(c))) and len(parts) == 3 and all(r["content"].split("\n")[1] == "Item | Value" and r["tokens"] <= 75 for r in parts)
+    assert sum(r["content"].count("\nrow ") for r in parts) == 60
+    rest = [(r["chunk_type"], r["content"], r["elements"]) for r in c if r not in parts]
+    assert rest == [("text", "Words.", [1]), ("text", "one\nx", [3]), ("text", "After.", [4]), ("figure", "Figure 3: Trend", [5]), ("figure", "figure", [7]), ("figure", "figure", [8]), ("text", "Words.", [9])]
+    e = spark.createDataFrame(rows, ELEMENT)
+    assert sections.bookkeeping(e, sections.chunk_elements(e, 60)).count() == 0
+    assert sections.chunk_elements(e.limit(0)).count() == 0
+
+
+def test_nodes_and_paths(spark):
+    rows = [element(0, text="Opening by Audit Services Corporation. Two. Three."), element(1, text="1 A", size=18.0), element(2, text="The Audit  Services Corporation met Abebe Bikila. Yes."), element(3, text="1.1 B", size=14.0), element(4, "table", table=(["a", "b"], [["c", "1"]], None, None))]
+    e = spark.createDataFrame(rows, ELEMENT)
+    tree = sections.parents(sections.sections(e))
+    n = {r["title"]: r for r in sections.nodes(sections.chunk_elements(e), tree).collect()}
+    assert n["Preamble"]["summary"] == "Opening by Audit Services Corporation. Two." and n["1 A"]["key_entities"] == ["Audit Services Corporation", "Abebe Bikila"]
+    assert n["1.1 B"]["summary"] == "" and n["1.1 B"]["data_types"] == ["table"] and n["1.1 B"]["key_entities"] == []
+    assert {(r["path"], r["depth"]) for r in tree.collect()} == {("Preamble", 0), ("1 A", 0), ("1 A > 1.1 B", 1)}
 
 
 def test_furniture(spark):
@@ -194,6 +241,10 @@ def test_regions_and_otsu(spark):
     assert (a["inked"], a["covered"], a["escalate"]) == (901, 300, True)
     got = coverage.residual_regions(grid, ["page"], 4.0, 4.0, 1000.0).collect()
     assert len(got) == 1 and (got[0]["x0"], got[0]["y0"], got[0]["x1"], got[0]["y1"], got[0]["cells"]) == (40.0, 80.0, 160.0, 160.0, 600)
+    # An L whose box is large enough and whose cells are not.
+    l_shape = [((0.0, 0.0, 80.0, 4.0, 1), False), ((0.0, 0.0, 4.0, 80.0, 1), False)]
+    grid = coverage.box_rows(spark.createDataFrame([(1, *b) for b in l_shape], f"page int, {BBOX}, claims boolean"), ["page"], 400.0, 400.0, 100, 100, {"ink": F.lit(True), "claimed": F.col("claims")})
+    assert coverage.residual_regions(grid, ["page"], 4.0, 4.0, 900.0).count() == 0 and coverage.residual_regions(grid, ["page"], 4.0, 4.0, 600.0).count() == 1
     levels = [("p", 10)] * 50 + [("p", 200)] * 50 + [("flat", 7)] * 9
     t = {r["k"]: r["threshold"] for r in coverage.otsu(spark.createDataFrame(levels, "k string, bin int"), ["k"]).collect()}
     assert t == {"p": 10, "flat": -1}
@@ -340,10 +391,10 @@ def test_citations(spark, facts):
 # ---- navigation ----
 
 def test_navigation(spark):
-    tree = spark.createDataFrame([("d", 0, "Preamble", None), ("d", 1, "4. Finance", None), ("d", 2, "4.1 Tax", 1), ("d", 3, "Finance", 2)], "doc_id string, section_no long, title string, parent_no long")
+    tree = sections.parents(spark.createDataFrame([("d", 0, "Preamble", 1), ("d", 1, "4. Finance", 1), ("d", 2, "4.1 Tax", 2), ("d", 3, "Finance", 3), ("d", 4, "Tax", 3), ("d", 5, "finance ", 1)], "doc_id string, section_no long, title string, level int"))
     wanted = spark.createDataFrame([("d", " finance "), ("d", "tax"), ("d", "none")], "doc_id string, wanted string")
-    assert {r["wanted"]: (r["section_no"], r["how"]) for r in navigation.found_sections(tree, wanted).collect()} == {" finance ": (3, "exact"), "tax": (2, "contains")}
-    assert {(r["root_no"], r["section_no"], r["depth"]) for r in navigation.descendants(spark, tree).collect()} == {(0, 0, 0), (1, 1, 0), (1, 2, 1), (1, 3, 2)}
+    assert {r["wanted"]: (r["section_no"], r["how"]) for r in navigation.found_sections(tree, wanted).collect()} == {" finance ": (5, "exact"), "tax": (4, "exact")}
+    assert {(r["root_no"], r["section_no"], r["depth"]) for r in navigation.descendants(tree).collect()} == {(0, 0, 0), (1, 1, 0), (1, 2, 1), (1, 3, 2), (1, 4, 2), (5, 5, 0)}
     e = spark.createDataFrame([(i, [1.0, float(i)], i % 2) for i in range(5)], "vec_id long, embedding array<float>, label int")
     inside, wide = (navigation.search(e, [1.0, 4.0], 1, F.col("label") == x).first() for x in (1, 9))
     assert (inside["vec_id"], inside["note"]) == (3, None) and wide["vec_id"] == 4 and wide["note"]
@@ -351,7 +402,8 @@ def test_navigation(spark):
 
 def test_captions_are_taken_once(spark):
     rows = [element(1, "figure", y0=300.0, y1=380.0), element(2, "figure", y0=300.0, y1=380.0), element(3, text="Figure 3: a", y0=390.0, y1=400.0), element(4, text="Fig.4 b", y0=385.0, y1=395.0), element(5, text="prose", y0=381.0, y1=385.0)]
-    assert {tuple(r) for r in navigation.figure_captions(spark.createDataFrame(rows, ELEMENT)).collect()} == {(1, 3), (2, 4)}
+    e = spark.createDataFrame(rows, ELEMENT).selectExpr("*", "0 as section_no", "bbox.page", "bbox.y0", "bbox.y1")
+    assert {tuple(r) for r in sections.bound_captions(e).collect()} == {(1, 3, "Figure 3: a"), (2, 4, "Fig.4 b")}
 
 
 def test_siblings_labels_and_tallies(spark, facts):
