@@ -2,7 +2,8 @@
 
 Everything is column expressions and joins on a fixed table of unit spellings. A cell is cut by one regular expression into
 prefix, sign, number and suffix; what is not the number is looked up as a spelling of a unit, a scale, or both in either order.
-The cell's spelling comes first, then the one of the column `unit`, then the one the table heading (`context`) prints.
+The cell's spelling comes first, then the one of the column `unit`, then the one the table heading (`context`) prints, then, where
+defaults are given, that of the source. Units with an offset (degrees) are converted by factor and offset.
 
 Cases: null or non-numeric `value_raw`, percentages, and rows with no unit anywhere give no row (to_common_units keeps them
 with a null amount). Empty tables give empty results; repeated rows are judged each for itself; other columns pass through.
@@ -14,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.session import cut, hinted
+
 # Spellings of the units of unit_reference, lower case.
 UNIT_SPELLINGS = {
     "birr": "birr birrs birres br br. etb ብር",
@@ -92,14 +95,19 @@ def printed_number(digits: Column) -> Column:
 
 
 def spelling_table(spark: SparkSession, units: DataFrame) -> DataFrame:
-    """The spellings with what unit_reference says of their units; its size is fixed by this module."""
+    """The spellings with what unit_reference says of their units; its size is fixed by this module. A table without `offset` has none: amount * factor + offset is in the common unit."""
     words, scales, names = zip(*unit_spellings())
     known = spark.createDataFrame(pa.table({"spelling": pa.array(words, pa.string()), "scale": pa.array(scales, pa.float64()), "unit_name": pa.array(names, pa.string())}))
-    return known.join(F.broadcast(units.select("unit_name", "family", "common_unit", F.col("factor").cast("double"))), "unit_name", "left").where("unit_name is null or family is not null")
+    offset = F.coalesce(F.col("offset").cast("double"), F.lit(0.0)) if "offset" in units.columns else F.lit(0.0)
+    return known.join(F.broadcast(units.select("unit_name", "family", "common_unit", F.col("factor").cast("double"), offset.alias("offset"))), "unit_name", "left").where("unit_name is null or family is not null")
+
 
+def to_common_units(facts: DataFrame, units: DataFrame, defaults: DataFrame | None = None) -> DataFrame:
+    """All rows of facts with unit_family, common_unit and common_amount (null where the row states no amount of a family).
 
-def to_common_units(facts: DataFrame, units: DataFrame) -> DataFrame:
-    """All rows of facts with unit_family, common_unit and common_amount (null where the row states no amount of a family)."""
+    The unit is what the cell prints, else what `unit` says, else the table heading, else the default of the source (`defaults`: document
+    and spelling, one row each; none by default). A default scales an amount only where nothing nearer does.
+    """
     names = spelling_table(facts.sparkSession, units)
 
     def of(prefix: str) -> DataFrame:
@@ -113,7 +121,12 @@ def to_common_units(facts: DataFrame, units: DataFrame) -> DataFrame:
         "__field": spelled(F.coalesce("unit", F.lit(""))),
         "__head": heading_unit(F.coalesce("context", F.lit(""))),
     })
-    for side in ("cell", "field", "head"):
+    sides = ["cell", "field", "head"]
+    if defaults is not None:
+        named = hinted(cut(defaults.select(F.col("document").alias("__source"), spelled(F.col("spelling")).alias("__default")).where("__source is not null")))
+        df = df.join(named, F.col("document") == F.col("__source"), "left")
+        sides.append("default")
+    for side in sides:
         df = df.join(of(side), F.col(f"__{side}") == F.col(f"__{side}_spelling"), "left")
     # A lone m is metres, unless the amounts are money: then it is a million.
     money = F.coalesce(F.col("__head_family") == "money", F.lit(False))
@@ -123,17 +136,34 @@ def to_common_units(facts: DataFrame, units: DataFrame) -> DataFrame:
     own = F.col("__cell_unit_name").isNotNull()
     field_has = F.col("__field_unit_name").isNotNull()
     scaled = lambda side: F.when(F.coalesce(F.col(f"__{side}_scale"), F.lit(1.0)) != 1.0, F.col(f"__{side}_scale"))
-    chosen = lambda c: F.when(own, F.col(f"__cell_{c}")).when(field_has, F.col(f"__field_{c}")).otherwise(F.col(f"__head_{c}"))
-    scale = F.when(own, F.col("__cell_scale")).otherwise(F.coalesce(scaled("cell"), scaled("field"), scaled("head"), F.lit(1.0)))
+    head_has = F.col("__head_unit_name").isNotNull()
+    last = (lambda c: F.col(f"__default_{c}")) if defaults is not None else (lambda c: F.lit(None))
+    chosen = lambda c: F.when(own, F.col(f"__cell_{c}")).when(field_has, F.col(f"__field_{c}")).when(head_has, F.col(f"__head_{c}")).otherwise(last(c))
+    # A default's own scale goes with its unit only.
+    far = scaled("default") if defaults is not None else F.lit(None)
+    scale = F.when(own, F.col("__cell_scale")).otherwise(F.coalesce(scaled("cell"), scaled("field"), scaled("head"), F.when(~own & ~field_has & ~head_has, far), F.lit(1.0)))
     readable = ((F.col("__cell") == "") | F.col("__cell_spelling").isNotNull()) & ((F.col("__field") == "") | F.col("__field_spelling").isNotNull())
     df = df.withColumns({
         "unit_family": F.when(readable, chosen("family")),
         "common_unit": F.when(readable, chosen("common_unit")),
-        "common_amount": F.when(readable, F.col("__sign") * F.col("__number") * scale * chosen("factor")),
+        "common_amount": F.when(readable, F.col("__sign") * F.col("__number") * scale * chosen("factor") + chosen("offset")),
     })
     return df.drop(*[c for c in df.columns if c.startswith("__")])
 
 
+def source_defaults(facts: DataFrame, units: DataFrame) -> DataFrame:
+    """document, spelling: the unit that most of a document's facts with one print (cell, field or heading; the first in the alphabet of equals)."""
+    names = spelling_table(facts.sparkSession, units).where("unit_name is not null")
+    part = lambda g: F.regexp_extract("value_raw", CELL, g)
+    texts = facts.where("document is not null").select("document", spelled(F.concat_ws(" ", part(1), part(5))).alias("cell"), spelled(F.coalesce("unit", F.lit(""))).alias("field"), heading_unit(F.coalesce("context", F.lit(""))).alias("head"))
+    for side in ("cell", "field", "head"):
+        texts = texts.join(F.broadcast(names.select(F.col("spelling").alias(side), F.col("unit_name").alias(f"{side}_name"))), side, "left")
+    n = texts.select("document", F.coalesce("cell_name", "field_name", "head_name").alias("unit_name")).where("unit_name is not null").groupBy("document", "unit_name").agg(F.count("*").alias("n"))
+    first = {u: next(w for w in part.split("|")[0].split() if len(w) > 1) for u, part in UNIT_SPELLINGS.items()}
+    word = F.create_map(*[F.lit(x) for kv in first.items() for x in kv])
+    return n.groupBy("document").agg(F.min_by("unit_name", F.struct((-F.col("n")).alias("n"), "unit_name")).alias("u")).select("document", word[F.col("u")].alias("spelling"))
+
+
 def unread_spellings(facts: DataFrame, units: DataFrame) -> DataFrame:
     """side (cell, unit), spelling, n_facts: what stands beside a number and is no spelling of the table, so that its facts give no amount."""
     part = lambda g: F.regexp_extract("value_raw", CELL, g)

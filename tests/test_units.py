@@ -73,3 +73,15 @@ def test_claims_and_periods(spark):
 def test_content_hash_ignores_form(spark):
     rows = [("é  x",), ("é x",), (" é\nx ",)]
     assert spark.createDataFrame(rows, "t string").select(X.content_hash(F.col("t")).alias("h")).distinct().count() == 1
+
+
+def test_offsets_and_source_defaults(spark):
+    """Degrees by factor and offset; a source's default only where cell, unit and heading are silent; a nearer scale beats the default's."""
+    reference = spark.createDataFrame([("birr", "money", "birr", 1.0, None), ("kilogram", "mass", "tonne", 0.001, None), ("acre", "temperature", "degree C", 5 / 9, -160 / 9)], "unit_name string, family string, common_unit string, factor double, offset double")
+    rows = [(1, "212 acres", None, None, "a"), (2, "-40", "acre", None, "a"), (3, "5", None, None, "a"), (4, "5", None, None, "b"), (5, "5 million", None, None, "a"), (6, "5 kg", None, None, "a"), (7, "5", None, None, None), (8, "5 zillion", None, None, "a"), (9, None, None, None, "a")]
+    df = spark.createDataFrame(rows, "fact_id long, value_raw string, unit string, context string, document string")
+    defaults = spark.createDataFrame([("a", "thousand birr"), (None, "kg"), ("c", "kg")], "document string, spelling string")
+    got = {r["fact_id"]: r["common_amount"] for r in units.to_common_units(df, reference, defaults).collect()}
+    assert got == {1: pytest.approx(100.0), 2: pytest.approx(-40.0), 3: 5000.0, 4: None, 5: 5e6, 6: pytest.approx(0.005), 7: None, 8: None, 9: None}
+    got = {tuple(r) for r in units.source_defaults(df.union(df.limit(0)), reference).collect()}
+    assert got == {("a", "ac")}
