@@ -1,16 +1,18 @@
 """Problem 7: records that share most of their content, in a collection too large to compare in pairs.
 
 An item is a multiset (a text's words) or a set (a file's facts); its elements are hashed, equal elements numbered, so both are
-sets of 64-bit values and similarity is that of Jaccard. The pivot distance table holds, for each item, the Hamming distances of
-its fingerprint (parity of its elements in BITS positions) to reference fingerprints. One change of an element moves a
-distance by at most 1, so two items of similarity t and sizes n and m differ in each coordinate by at most (n + m)(1 - t)/(1 + t):
-a pair with a larger difference in any coordinate is discarded for certain, before anything else of it is looked at. What survives meets
-the same bound with its whole fingerprints, and then is verified on the full contents, so no reported pair is wrong.
-
-Distances alone give no keys to join on (random contents are nearly equally far from any reference), so the pairs put to
+sets of 64-bit values and similarity is that of Jaccard. The pivot distance table holds, for each item, its Hamming distances to
+reference items: the number of elements that one of the two has and the other has not. The references are items of the
+collection, drawn by a hash of their ids, for texts as many from each octave of length; an item near one of them is far from
+most others in that coordinate. Two items of similarity t and sizes n and m differ by at most (n + m)(1 - t)/(1 + t) elements, and so
+in each coordinate: a pair with a larger difference in any is discarded for certain. What survives meets the same bound with its
+own fingerprints (parity of the elements in BITS positions), and then is verified on the full contents, so no reported pair is wrong.
+
+Distances alone give no keys to join on, so the pairs put to
 the table come from equality joins: texts that share one of BANDS hashes of ROWS minima over their words (a pair of similarity 0.8
 is missed with probability (1 - 0.8^ROWS)^BANDS = 0.7 %, one of 0.9 with 3e-8), and files that share one of their rarest
-facts, which loses nothing: of two files above the threshold, the rarest 1 - t of the one always meets that of the other.
+facts, which loses nothing: of two files above the threshold, the rarest 1 - t of the one always meets that of the other. The join
+itself discards by the first coordinates, and a key of many items is met in blocks (meeting()).
 
 Exact copies are one class, represented by their smallest id; only representatives are compared, so a third of the rows being
 copies of one text costs one comparison; expand() lists the pairs of all members. Items without elements (null, empty, no letters or digits) are similar to none.
@@ -31,8 +33,11 @@ from pyspark.sql import functions as F
 
 from quire.session import cut, hinted, parallelism
 
-BITS, PIVOTS, BANDS, ROWS, SEED = 1024, 8, 34, 9, 7
-#: Members of a class that are paired in one block.
+BITS, BANDS, ROWS, SEED = 1024, 34, 9, 7
+#: References for texts (of REFERENCE_CHARS characters at most, so that all of them are small) and for files (of REFERENCE_PARTS parts
+#: at most), and how many coordinates go into the join.
+PIVOTS, FILE_PIVOTS, INSIDE, REFERENCE_CHARS, REFERENCE_PARTS = 64, 16, 8, 65_536, 2_000
+#: Items of one key, or members of one class, that are paired in one block.
 BLOCK = 1000
 WORDS = re.compile(r"[^\W_]+")
 _MASK = (1 << 64) - 1
@@ -68,11 +73,33 @@ def fingerprint(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
-def pivots() -> np.ndarray:
-    """Reference fingerprints: the empty one, so a coordinate is the (odd) size, and seeded ones of falling density."""
-    r = np.random.default_rng(SEED)
-    rows = [np.zeros(BITS, np.uint8)] + [(r.random(BITS) < d).astype(np.uint8) for d in np.linspace(0.5, 0.5, PIVOTS - 1)]
-    return np.stack([np.packbits(x).view(np.uint64) for x in rows])
+def drawn(df: DataFrame, kind: Column, most: int) -> list:
+    """Ids of at most `most` rows of df (id), as many of each kind as there are, drawn by the hash of the id."""
+    h = F.xxhash64(F.lit(SEED), "id")
+    found = df.select("id", kind.alias("kind"), h.alias("h")).groupBy("kind", F.pmod("h", F.lit(most)).alias("slot")).agg(F.min(F.struct("h", "id")).alias("m")).select("kind", "m.h", "m.id").orderBy("h").collect()
+    kinds = sorted({r["kind"] for r in found})
+    each = max(1, most // max(1, len(kinds)))
+    return [r["id"] for k in kinds for r in [x for x in found if x["kind"] == k][:each]][:most]
+
+
+class References:
+    """Hamming distances to reference sets, looked up element by element."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(x) for x in sets] + [0] * (PIVOTS - len(sets)), np.int64)
+        all_, inverse = np.unique(np.concatenate(sets) if sets else np.array([], np.uint64), return_inverse=True)
+        self.elements, self.mask = all_, np.zeros(len(all_), np.uint64)
+        at = 0
+        for k, x in enumerate(sets):
+            self.mask[inverse[at : at + len(x)]] |= np.uint64(1 << k)
+            at += len(x)
+
+    def distances(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.elements):
+            return len(h) + self.size
+        at = np.minimum(np.searchsorted(self.elements, h), len(self.elements) - 1)
+        have = self.mask[at[self.elements[at] == h]]
+        return len(h) + self.size - 2 * np.unpackbits(have.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -80,19 +107,42 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
     return r.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1), r.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64)
 
 
-def far_apart(a: str, b: str, threshold: float) -> Column:
-    """True where the pivot tables of sides a and b rule a similarity of `threshold` out."""
-    most = (F.col(f"{a}.n") + F.col(f"{b}.n")) * ((1 - threshold) / (1 + threshold)) + 1e-9
+def most_apart(n: Column, m: Column, threshold: float) -> Column:
+    """The most elements by which two items of these sizes can differ and still be similar."""
+    return (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9
+
+
+def far_apart(a: str, b: str, threshold: float, coordinates: int) -> Column:
+    """True where the packed coordinates (d0.., four to a number) or the sizes (n) of sides a and b rule a similarity of `threshold` out."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
     at = lambda s, i: F.shiftright(F.col(f"{s}.d{i // 4}"), 16 * (i % 4)).bitwiseAND(F.lit(0xFFFF))
-    gaps = [F.abs(at(a, i) - at(b, i)) for i in range(PIVOTS)]
-    return (F.greatest(*gaps) > most) | (F.least(f"{a}.n", f"{b}.n") < F.greatest(f"{a}.n", f"{b}.n") * threshold - 1e-9)
+    gaps = [F.abs(at(a, i) - at(b, i)) for i in range(coordinates)]
+    return (F.greatest(*gaps) > most_apart(n, m, threshold)) | (F.least(n, m) < F.greatest(n, m) * threshold - 1e-9)
+
+
+def meeting(rows: DataFrame, key: str, apart: Column) -> DataFrame:
+    """id_a < id_b: the pairs of rows (key, id and more; a and b in `apart`) that share a key and are not apart.
+
+    Keys of one row go first. The rows of a key that more than BLOCK share are dealt to blocks, and each block meets each in a key of its own.
+    """
+    shared = cut(rows.groupBy(key).agg(F.count("*").alias("c")).where("c > 1"))
+    r = rows.join(hinted(shared), key).withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("c")
+    a = r.withColumn("i", F.col("own")).withColumn("j", F.explode(F.expr("sequence(own, blocks - 1)"))).alias("a")
+    b = r.withColumn("j", F.col("own")).withColumn("i", F.explode(F.expr("sequence(0L, own)"))).alias("b")
+    one = (F.col("a.i") < F.col("a.j")) | (F.col("a.id") < F.col("b.id"))
+    met = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j")) & one & (F.col("a.id") != F.col("b.id")) & ~apart)
+    return met.select(F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b")).distinct()
 
 
 def text_signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, content (an order-free hash), n (words), d0.. (pivot distances, four to a number), bands, bits (the fingerprint): one row per text with words."""
+    """id, content (an order-free hash), n (words), d0.. (the coordinates for the join, four to a number), distances (all), bands, bits (the fingerprint): one row per text with words."""
     id_type = dict(df.dtypes)[id_col]
-    packed = PIVOTS // 4
-    pv = pivots()
+    packed, inside = INSIDE // 4, [k * PIVOTS // INSIDE for k in range(INSIDE)]
+    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    short = src.where(F.length("text").between(1, REFERENCE_CHARS))
+    names = drawn(short, F.floor(F.log2(F.length("text"))), PIVOTS)
+    texts = {r["id"]: r["text"] for r in short.where(F.col("id").isin(names)).collect()} if names else {}
+    references = References([np.unique(Hashes().of(texts[i])) for i in names])
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = (x.astype(np.uint32) for x in _permutations())
@@ -108,15 +158,14 @@ def text_signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for s in range(0, len(low), 256):
                     np.minimum(least, (low[s : s + 256, None] * a + b).min(axis=0), out=least)
                 bands = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) - (1 << 63) for k, x in enumerate(least.reshape(BANDS, ROWS))]
-                bits = fingerprint(h)
-                d = np.bitwise_count(pv ^ bits).sum(axis=1).astype(np.uint64)
-                d = [int(sum(int(d[4 * j + k]) << (16 * k) for k in range(4))) for j in range(packed)]
+                far = references.distances(h)
+                d = np.minimum(far, 0x7FFF)  # a clipped difference is no larger than the true one
+                packs = [int(sum(int(d[inside[4 * j + k]]) << (16 * k) for k in range(4))) for j in range(packed)]
                 total = int(np.bitwise_xor.reduce(h * np.uint64(0x9E3779B97F4A7C15))) ^ (int(h.sum(dtype=np.uint64)) * 31 & _MASK)
-                rows.append((i, total - (1 << 63), len(h), *d, bands, bits.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["id", "content", "n", *[f"d{j}" for j in range(packed)], "bands", "bits"])
+                rows.append((i, total - (1 << 63), len(h), *packs, d.astype(np.int16), bands, fingerprint(h).view(np.int64)))
+            yield pd.DataFrame(rows, columns=["id", "content", "n", *[f"d{j}" for j in range(packed)], "distances", "bands", "bits"])
 
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition(parallelism(df.sparkSession))
-    return src.mapInPandas(sign, f"id {id_type}, content bigint, n int, {', '.join(f'd{j} bigint' for j in range(packed))}, bands array<bigint>, bits array<bigint>")
+    return src.repartition(parallelism(df.sparkSession)).mapInPandas(sign, f"id {id_type}, content bigint, n int, {', '.join(f'd{j} bigint' for j in range(packed))}, distances array<smallint>, bands array<bigint>, bits array<bigint>")
 
 
 def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -125,14 +174,14 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     classes = sig.groupBy("content", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     members = sig.select("id", "content", "n").join(classes, ["content", "n"]).select("id", "rep", "copies")
     reps = sig.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    keys = reps.select("id", "n", *[f"d{j}" for j in range(PIVOTS // 4)], F.posexplode("bands").alias("band", "key")).withColumn("key", F.col("key").bitwiseXOR(F.col("band").cast("bigint"))).drop("band")
-    a, b = keys.alias("a"), keys.alias("b")
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & ~far_apart("a", "b", threshold))
-    pairs = pairs.select(F.col("a.id").alias("rep_a"), F.col("b.id").alias("rep_b")).distinct()
-    whole = sig.select("id", F.col("n").alias("m"), "bits")
-    pairs = pairs.join(whole.withColumnsRenamed({"id": "rep_a", "m": "m_a", "bits": "bits_a"}), "rep_a").join(whole.withColumnsRenamed({"id": "rep_b", "m": "m_b", "bits": "bits_b"}), "rep_b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    pairs = cut(pairs.where(apart <= (F.col("m_a") + F.col("m_b")) * ((1 - threshold) / (1 + threshold)) + 1e-9).select("rep_a", "rep_b"))
+    keys = reps.select("id", "n", *[f"d{j}" for j in range(INSIDE // 4)], F.posexplode("bands").alias("band", "key")).withColumn("key", F.col("key").bitwiseXOR(F.col("band").cast("bigint"))).drop("band")
+    pairs = meeting(keys, "key", far_apart("a", "b", threshold, INSIDE)).withColumnsRenamed({"id_a": "rep_a", "id_b": "rep_b"})
+    whole = sig.select("id", F.struct("n", "distances", "bits").alias("s"))
+    pairs = pairs.join(whole.withColumnsRenamed({"id": "rep_a", "s": "a"}), "rep_a").join(whole.withColumnsRenamed({"id": "rep_b", "s": "b"}), "rep_b")
+    most = most_apart(F.col("a.n"), F.col("b.n"), threshold)
+    widest = F.array_max(F.zip_with("a.distances", "b.distances", lambda x, y: F.abs(x - y)))
+    apart = F.aggregate(F.zip_with("a.bits", "b.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    pairs = cut(pairs.where((widest <= most) & (apart <= most)).select("rep_a", "rep_b"))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     both = pairs.join(texts.withColumnsRenamed({"id": "rep_a", "text": "text_a"}), "rep_a").join(texts.withColumnsRenamed({"id": "rep_b", "text": "text_b"}), "rep_b")
     id_type = dict(df.dtypes)[id_col]
@@ -159,13 +208,17 @@ def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float,
     classes = size.groupBy("n", "x", "y").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     members = size.join(classes, ["n", "x", "y"]).select("id", "rep", "copies")
     rows = rows.join(hinted(cut(classes.select(F.col("rep").alias("id"), "n"))), "id")
-    # The pivot table by sums over the bits: a position set in both the item and a pivot is one that is not different.
-    bits = np.stack([np.unpackbits(p.view(np.uint8)) for p in pivots()])
-    table = F.array(*[F.lit(int(sum(int(bits[p, k]) << p for p in range(PIVOTS)))) for k in range(BITS)])
-    odd = rows.groupBy("id", "n", F.pmod("h", F.lit(BITS)).cast("int").alias("bit")).agg(F.count("*").alias("c")).where("c % 2 = 1")
-    odd = odd.withColumn("in", F.get(table, F.col("bit")))
-    dist = odd.groupBy("id", "n").agg(*[(F.count("*") + F.lit(int(bits[p].sum())) - 2 * F.sum(F.shiftright("in", p).bitwiseAND(F.lit(1)))).alias(f"p{p}") for p in range(PIVOTS)])
-    dist = dist.select("id", "n", *[sum((F.shiftleft(F.col(f"p{4 * j + k}").cast("bigint"), 16 * k) for k in range(1, 4)), F.col(f"p{4 * j}").cast("bigint")).alias(f"d{j}") for j in range(PIVOTS // 4)])
+    # The pivot table by sums over the shared parts: each part knows the references that have it.
+    few = classes.where(F.col("n") <= REFERENCE_PARTS).select(F.col("rep").alias("id"))
+    names = drawn(few, F.lit(0), FILE_PIVOTS)
+    number = df.sparkSession.createDataFrame([(i, k) for k, i in enumerate(names)], f"id {dict(df.dtypes)[id_col]}, k int")
+    owned = rows.join(F.broadcast(number), "id")  # FILE_PIVOTS rows
+    masks = owned.groupBy("h").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("mask"))
+    sizes = {r["k"]: r["n"] for r in owned.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    have = [F.sum(F.shiftright(F.coalesce("mask", F.lit(0)), k).bitwiseAND(F.lit(1))).alias(f"s{k}") for k in range(FILE_PIVOTS)]
+    dist = rows.join(hinted(cut(masks), FILE_PIVOTS * REFERENCE_PARTS), "h", "left").groupBy("id", "n").agg(*have)
+    coordinate = lambda k: F.least(F.col("n") + F.lit(sizes.get(k, 0)) - 2 * F.col(f"s{k}"), F.lit(0x7FFF)).cast("bigint")
+    dist = cut(dist.select("id", "n", *[sum((F.shiftleft(coordinate(4 * j + k), 16 * k) for k in range(1, 4)), coordinate(4 * j)).alias(f"d{j}") for j in range(FILE_PIVOTS // 4)]))
     # The rarest parts of each item, enough that two similar items must share one. Parts of equal rarity come in whole, so a file
     # of any size is cut by counts per rarity and never sorted.
     seen = rows.groupBy("h").agg(F.count("*").alias("df"))
@@ -174,10 +227,9 @@ def similar_sets(df: DataFrame, id_col: str, parts: list[str], threshold: float,
     upto = upto.withColumn("before", F.sum("c").over(Window.partitionBy("id").orderBy("df")) - F.col("c"))
     levels = upto.where((F.col("before") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9)) & (F.col("df") > 1)).select("id", "df")
     prefix = rarity.join(levels, ["id", "df"], "left_semi").select("id", "h")
-    a, b = prefix.alias("x"), prefix.alias("y")
-    near = cut(a.join(b, (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b")).distinct())
-    near = near.join(dist.select(F.struct("*").alias("a"), F.col("id").alias("id_a")), "id_a").join(dist.select(F.struct("*").alias("b"), F.col("id").alias("id_b")), "id_b").where(~far_apart("a", "b", threshold))
-    near = near.select("id_a", "id_b", F.col("a.n").alias("n_a"), F.col("b.n").alias("n_b"))
+    near = cut(meeting(prefix.join(hinted(dist), "id"), "h", far_apart("a", "b", threshold, FILE_PIVOTS)))
+    size = dist.select("id", "n")
+    near = near.join(hinted(size).withColumnsRenamed({"id": "id_a", "n": "n_a"}), "id_a").join(hinted(size).withColumnsRenamed({"id": "id_b", "n": "n_b"}), "id_b")
     left = near.join(rows.select(F.col("id").alias("id_a"), "h"), "id_a")
     shared = left.join(rows.select(F.col("id").alias("id_b"), "h"), ["id_b", "h"]).groupBy("id_a", "id_b", "n_a", "n_b").agg(F.count("*").alias("c"))
     return shared.where(F.col("c") >= threshold * (F.col("n_a") + F.col("n_b") - F.col("c")) - 1e-9).select(F.col("id_a").alias("rep_a"), F.col("id_b").alias("rep_b")), members
