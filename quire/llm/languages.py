@@ -4,7 +4,8 @@ A language is known by a zstandard dictionary of raw content: sentences of docum
 compressed with each dictionary (of its script) and belongs to the language that makes it smallest; where the runner-up comes within MARGIN
 of it, the sentence gets no language. The confidence is the part by which the runner-up is larger, scaled so CERTAIN is 1.
 
-The dictionaries are fitted on at most DOCUMENTS documents of each language, those with the smallest hashes of their ids, whole.
+The dictionaries are fitted on at most DOCUMENTS documents of each language, of FIT_CHARS characters at most and whole, drawn by the hashes
+of their ids: the only texts that reach the driver, 20 MB at most.
 Labels are sometimes wrong and documents mixed, so a sentence enters the dictionary of its document's label only if its words are
 used by more of that label's documents than of any other's. Everything else covers all rows and whole texts.
 
@@ -42,7 +43,7 @@ STATED = {
     "pt": "pt por portuguese português portugues portugais portugués portugiesisch",
 }
 #: Documents of each language the dictionaries are fitted on, at most, and bytes of each dictionary.
-DOCUMENTS, DICTIONARY, LEVEL = 120, 48_000, 12
+DOCUMENTS, FIT_CHARS, DICTIONARY, LEVEL = 120, 20_000, 48_000, 12
 MARGIN, CERTAIN, LEAST_WORDS = 0.04, 0.5, 4
 SENTENCE = re.compile(r"[^.!?።\n]*(?:[.!?](?!\s|$)[^.!?።\n]*)*[.!?።]+|[^.!?።\n]+")
 HYPHEN = re.compile(r"(?<=\w)-\n(?=\w)")
@@ -116,13 +117,12 @@ class Classifier:
 
 def fit(docs: DataFrame, id_col: str, text_col: str, label_col: str, documents: int = DOCUMENTS) -> dict[str, str]:
     """The dictionaries' contents, by language, from labelled documents (see above)."""
-    order = docs.select(F.col(id_col).alias("id"), F.get(stated(F.col(label_col)), F.lit(0)).alias("l"), F.size(stated(F.col(label_col))).alias("k")).where("k = 1")
-    chosen = None
-    for lang in LANGUAGES:
-        some = order.where(F.col("l") == lang).orderBy(F.xxhash64("id"), "id").limit(documents).select("id", "l")
-        chosen = some if chosen is None else chosen.unionByName(some)
-    labels = {r["id"]: r["l"] for r in chosen.collect()}  # at most DOCUMENTS rows for each language
-    rows = [(labels[r["id"]], r["id"], flat(r["t"])) for r in docs.where(F.col(id_col).isin(list(labels)) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).collect()]
+    labelled = docs.where(F.length(text_col).between(1, FIT_CHARS)).select(F.col(id_col).alias("id"), F.get(stated(F.col(label_col)), F.lit(0)).alias("l"), F.size(stated(F.col(label_col))).alias("k")).where("k = 1")
+    # One scan: the least hash in each of a fixed number of slots, and of those the least ones of each language.
+    h = F.xxhash64("id")
+    slots = labelled.groupBy("l", F.pmod(h, F.lit(8 * documents)).alias("slot")).agg(F.min(F.struct(h.alias("h"), "id")).alias("m")).select("l", "m.h", "m.id").collect()
+    labels = {r["id"]: lang for lang in LANGUAGES for r in sorted((x for x in slots if x["l"] == lang), key=lambda x: x["h"])[:documents]}
+    rows = [(labels[r["id"]], r["id"], flat(r["t"])) for r in docs.where(F.col(id_col).isin(list(labels)) & F.length(text_col).between(1, FIT_CHARS)).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).collect()]
     rows.sort(key=lambda r: (r[0], str(r[1])))
 
     lists = [(lang, [bare(t[a:z]) for a, z, ended in sentences(t) if ended]) for lang, _, t in rows]

@@ -11,6 +11,7 @@ first, and only the range in which the budget ends is put in order, so a leaf of
 
 Sources without a target, and null sources, take no part. Texts without tokens can be chosen but add nothing. Targets need not
 sum to 1; a null share is none, a null limit of repeats is 1. An empty corpus gives an empty mix. A null or unreadable language counts as "und".
+The tree is a table of sources and their domains; a source that is not in it is of the domain "other".
 """
 
 from __future__ import annotations
@@ -22,15 +23,6 @@ from pyspark.sql import functions as F
 
 from quire.session import cut, hinted
 
-# The domain of each publisher; any other source is of the domain "other".
-DOMAINS = {
-    "finance": "development_bank insurance_corp revenue_office audit_bureau",
-    "utilities": "water_board power_utility telecom_fund",
-    "transport": "roads_authority rail_enterprise port_services",
-    "production": "grain_enterprise sugar_corp",
-    "administration": "city_council court_registry land_bureau housing_agency health_office school_board statistics_office",
-    "publishing": "national_gazette_feed tender_portal parliament_library museum_archive union_newsletter",
-}
 SLOTS_BITS = 12
 LEVELS = ["domain", "language", "source"]
 
@@ -66,16 +58,22 @@ def budgets(leaves: pd.DataFrame, total: float, levels: list[str]) -> np.ndarray
     return out
 
 
-def mix(docs: DataFrame, targets: DataFrame, seed: int = 1, total: int | None = None, exact: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Chosen (id, source, domain, language, n_tokens, repeats) and the report (source, target_share, available, used, share).
+def mix(docs: DataFrame, targets: DataFrame, tree: DataFrame | None = None, seed: int = 1, total: int | None = None, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Chosen (id, source, domain, language, n_tokens, repeats) and the report (source, target_share, available, used, most_repeats, share, reachable).
 
-    docs has id, source, language, n_tokens. total is the size of the mix in tokens: by default all tokens of the corpus; with
-    `exact` the largest size at which every source reaches its target.
+    docs has id, source, language, n_tokens; tree has source, domain. total is the size of the mix in tokens: by default all tokens of
+    the corpus; with `exact` the largest size at which every source that has any tokens can reach its target. A source is reachable if
+    its tokens, at most repeated, make up its target in a mix of that size; one without tokens never is, and its share goes to the others. Whole
+    documents are chosen, so a leaf's use differs from its budget by up to half a document.
     """
     spark = docs.sparkSession
-    domain = F.coalesce(F.create_map(*[F.lit(x) for d, names in DOMAINS.items() for n in names.split() for x in (n, d)])[F.col("source")], F.lit("other"))
     code = F.regexp_extract(F.lower("language"), "^([a-z]{2})([-_ ].*)?$", 1)
-    docs = docs.select("id", "source", domain.alias("domain"), F.when(code != "", code).otherwise("und").alias("language"), "n_tokens")
+    if tree is None:
+        docs = docs.withColumn("domain", F.lit("other"))
+    else:
+        known = tree.where("source is not null").groupBy("source").agg(F.min("domain").alias("domain"))
+        docs = docs.drop("domain").join(hinted(cut(known)), "source", "left")
+    docs = docs.select("id", "source", F.coalesce("domain", F.lit("other")).alias("domain"), F.when(code != "", code).otherwise("und").alias("language"), "n_tokens")
     targets = targets.withColumns({"target_share": F.coalesce("target_share", F.lit(0.0)), "max_repeats": F.coalesce("max_repeats", F.lit(1))})
     docs = cut(docs.join(hinted(targets.select("source", "target_share", "max_repeats")), "source"))
     # One row per leaf: at most the listed sources times two-letter codes.
@@ -108,4 +106,4 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 1, total: int | None =
     have = docs.groupBy("source").agg(F.sum("n_tokens").alias("available"))
     report = targets.select("source", "target_share", "max_repeats").join(have, "source", "left").join(used, "source", "left").fillna(0, ["available", "used", "most_repeats"])
     report = report.withColumn("share", F.coalesce(F.try_divide(F.col("used"), F.sum("used").over(Window.partitionBy())), F.lit(0.0)))
-    return chosen, report
+    return chosen, report.withColumn("reachable", F.col("available") * F.col("max_repeats") >= F.col("target_share") * size - 1e-6)

@@ -17,12 +17,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.session import cut
+from quire.session import cut, parallelism
 
 #: Items that a shard holds about, whatever the number of items.
 SHARD = 20_000
 #: Containers after which the index of pair sums is made anew; entries that have lapsed are noticed when used.
 REFRESH = 200
+#: Lapsed entries met in one search after which the index is made anew at once.
+STALE = 8
 
 
 class Complements:
@@ -53,14 +55,20 @@ class Complements:
             return (gap,)
         if two := self.pair(gap):
             return two
+        # Lengths only go, so the index has every pair sum that there is, and some that were used up since; where many of those are met, it is made anew.
         first = np.arange(gap - 2, 0, -1)
-        ok = np.flatnonzero((self.counts[first] > 0) & self._pair_sums()[gap - first])
-        for a in first[ok][:8]:  # the index may name sums that were used up since; the longest few are tried
+        missed = 0
+        for a in first[(self.counts[first] > 0) & self._pair_sums()[gap - first]]:
+            if missed == STALE and self.age:
+                self.age = REFRESH
+            if missed >= STALE and not self._pair_sums()[gap - a]:
+                continue
             self.counts[a] -= 1
             two = self.pair(int(gap - a))
             self.counts[a] += 1
             if two:
                 return (int(a), *two)
+            missed += 1
         return ()
 
     def longest(self, upto: int) -> int:
@@ -127,6 +135,7 @@ def pack(items: DataFrame, id_col: str, size_col: str, specs: DataFrame, shard_i
         return out[["spec_name", "capacity", "shard", "container", "id", "start_token", "n_tokens"]]
 
     known = known or [F.struct(F.lit("").alias("spec_name"), F.lit(0).cast("bigint").alias("capacity"))]
-    dealt = items.select("id", "size", F.explode(F.array(*known)).alias("s")).select("id", "size", "s.*").where("capacity > 0")
-    return dealt.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int")).groupBy("spec_name", "shard").applyInPandas(
+    dealt = items.select("id", "size", F.explode(F.array(*known)).alias("s")).select("id", "size", "s.*").where("capacity > 0").withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    # A number of tasks of our own keeps few rows that take long from being put into few tasks.
+    return dealt.repartition(parallelism(items.sparkSession), "spec_name", "shard").groupBy("spec_name", "shard").applyInPandas(
         pack_shard, f"spec_name string, capacity bigint, shard int, container bigint, id {id_type}, start_token bigint, n_tokens bigint")

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import unicodedata
 
@@ -253,14 +254,27 @@ def test_large_classes_keep_all_pairs(spark, how):
 
 
 def test_pivots_lose_nothing():
-    """The coordinates of two sets never differ by more than the sets do."""
+    """The coordinates are the differences of the sets, and those of two sets never differ by more than the sets do."""
     r = np.random.default_rng(1)
-    pv = nearduplicates.pivots()
+    draw = lambda n: r.choice(np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), n, replace=False)
+    sets = [draw(k) for k in (1, 30, 200, 390)]
+    refs = nearduplicates.References(sets)
     for _ in range(200):
-        a = r.integers(0, 2**63, 80, dtype=np.uint64)
-        b = np.concatenate([a[: r.integers(40, 80)], r.integers(0, 2**63, 10, dtype=np.uint64)])
-        d = [np.bitwise_count(pv ^ nearduplicates.fingerprint(x)).sum(axis=1).astype(int) for x in (a, b)]
-        assert np.abs(d[0] - d[1]).max() <= len(set(a) ^ set(b))
+        a = draw(80)
+        b = np.union1d(a[: r.integers(40, 80)], draw(10))
+        d = [refs.distances(x) for x in (a, b)]
+        assert d[0][:4].tolist() == [len(set(a.tolist()) ^ set(x.tolist())) for x in sets]
+        assert np.abs(d[0] - d[1]).max() <= len(set(a.tolist()) ^ set(b.tolist()))
+    assert nearduplicates.References([]).distances(draw(5)).tolist() == [5] * nearduplicates.PIVOTS
+
+
+def test_hot_keys_meet_in_blocks(spark, monkeypatch):
+    """A key that many rows share gives all its pairs, once, in keys of several blocks."""
+    monkeypatch.setattr(nearduplicates, "BLOCK", 7)
+    rows = [(i, 1) for i in range(50)] + [(100, 2), (101, 2), (102, 3)]
+    df = spark.createDataFrame(rows, "id long, key long")
+    got = [tuple(x) for x in nearduplicates.meeting(df, "key", F.lit(False)).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in range(50) for b in range(a + 1, 50)} | {(100, 101)}
 
 
 def test_similar_sets(spark):
@@ -303,12 +317,32 @@ def test_complements_are_exact():
     assert c.fill(30) == (30,) and sum(c.fill(50)) == 50 and sum(c.fill(60)) == 60 and c.fill(5) == () and c.fill(100) == ()
 
 
+def test_every_triple_is_tried(monkeypatch):
+    """Against brute force, with an index that is never made anew by itself: what exists is found, also behind many lapsed entries."""
+    monkeypatch.setattr(packing, "REFRESH", 10**9)
+    r = random.Random(9)
+    for _ in range(60):
+        counts = np.bincount([r.randint(1, 90) for _ in range(60)], minlength=301)
+        c = packing.Complements(counts)
+        c.age = packing.REFRESH
+        c._pair_sums()
+        for x in np.flatnonzero(counts)[::2]:
+            counts[x] = 0  # used up behind the index's back
+        have = [int(x) for x in np.flatnonzero(counts) for _ in range(min(3, counts[x]))]
+        for gap in range(3, 200, 7):
+            got = c.fill(gap)
+            sums = {sum(have[i] for i in k) for n in (1, 2, 3) for k in itertools.combinations(range(len(have)), n)}
+            assert (sum(got) == gap) if got else gap not in sums
+            assert not collections.Counter(got) - collections.Counter(have)
+
+
 def test_mixing(spark):
     r = random.Random(4)
     docs = [(i, r.choice(["water_board"] * 6 + ["sugar_corp", "audit_bureau", "unlisted", None]), r.choice(["en", "EN-us", "am", None]), r.randint(0, 90)) for i in range(4000)]
     df = spark.createDataFrame([(*d, 1) for d in docs], "id long, source string, language string, n_tokens long, h int")
     targets = spark.createDataFrame([("water_board", 0.5, 1), ("sugar_corp", 0.3, 4), ("audit_bureau", 0.2, 2), ("nobody", 0.0, 1)], "source string, target_share double, max_repeats int")
-    chosen, report = mixing.mix(df, targets, total=60_000)
+    tree = spark.createDataFrame([("water_board", "utilities"), ("water_board", "other"), (None, "x")], "source string, domain string")
+    chosen, report = mixing.mix(df, targets, tree, total=60_000)
     rows = chosen.collect()
     cap = {"water_board": 1, "sugar_corp": 4, "audit_bureau": 2}
     assert all(1 <= x["repeats"] <= cap[x["source"]] for x in rows) and len({x["id"] for x in rows}) == len(rows)
@@ -317,9 +351,13 @@ def test_mixing(spark):
         assert abs(rep[s]["share"] - want) < 0.01
         assert rep[s]["used"] == sum(x["n_tokens"] * x["repeats"] for x in rows if x["source"] == s)
     assert rep["nobody"]["used"] == 0
-    again = {(x["id"], x["repeats"]) for x in mixing.mix(df, targets, total=60_000)[0].collect()}
+    again = {(x["id"], x["repeats"]) for x in mixing.mix(df, targets, tree, total=60_000)[0].collect()}
     assert again == {(x["id"], x["repeats"]) for x in rows}
     assert mixing.mix(df.limit(0), targets)[0].count() == 0
+    exact = {x["source"]: x for x in mixing.mix(df, targets.unionByName(spark.createDataFrame([("absent", 0.1, 5)], targets.schema)), exact=True)[1].collect()}
+    assert [s for s, x in exact.items() if not x["reachable"]] == ["absent"] and exact["absent"]["available"] == 0
+    for s, want in (("water_board", 0.5), ("sugar_corp", 0.3), ("audit_bureau", 0.2)):
+        assert abs(exact[s]["share"] - want) < 0.01
 
 
 def test_shortage_goes_to_siblings_first():
