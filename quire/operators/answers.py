@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.functions import dialect
 from quire.functions import text as X
 from quire.session import cut, hinted, parallelism
 
@@ -29,28 +30,45 @@ def guarded(sql: str) -> str:
 
 
 def scoped_query(facts: DataFrame, sql: str, documents: list[str] | None = None, limit: int = ROW_LIMIT) -> DataFrame:
-    """The text, unmodified, over a view `facts` that holds only the given documents (None: all; an empty list: none).
+    """The statement over a view `facts` that holds only the given documents (None: all; an empty list: none).
 
-    The view is the only relation of a session of its own; a statement that reaches for anything else is refused.
+    It is read as the dialect that dialect.to_spark() knows, `rowid` being the fact_id. The view is the only relation of a session
+    of its own; a statement that reaches for anything else is refused. No view outlives the call: the rows are bound when it returns.
     """
     guarded(sql)
     spark = facts.sparkSession
+    sql = dialect.to_spark(sql, facts.columns, "fact_id")
     rows = facts if documents is None else facts.where(F.col("document").isin(documents)) if documents else facts.limit(0)
-    name = "facts_" + uuid.uuid4().hex
-    rows.createOrReplaceGlobalTempView(name)
     own = spark.newSession()
     plan = own._jsparkSession.sessionState().sqlParser().parsePlan(sql).toString()
     reached = set(re.findall(r"UnresolvedRelation \[([^\]]*)\]", plan))
     if reached - {"facts"}:
-        spark.catalog.dropGlobalTempView(name)
         raise NotASelect(f"only facts can be queried, not {', '.join(sorted(reached - {'facts'}))}")
-    own.sql(f"create temporary view facts as select * from global_temp.{name}")
-    out = own.sql(sql)
-    return out.limit(limit) if limit else out
+    name = "facts_" + uuid.uuid4().hex
+    rows.createOrReplaceGlobalTempView(name)
+    try:
+        own.sql(f"create temporary view facts as select * from global_temp.{name}")
+        out = own.sql(sql)
+        return out.limit(limit) if limit else out
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
 
+def citable(row: dict) -> bool:
+    """Whether a result row says all of where it stands."""
+    return all(row.get(c) is not None for c in CITED)
 
-def citable(columns: list[str]) -> bool:
-    return set(CITED) <= set(columns)
+
+UNCITABLE = "no row says where it stands (" + ", ".join(CITED) + "), so none can be cited; select all columns to answer from them"
+
+
+def structured(facts: DataFrame, sql: str, documents: list[str] | None = None, limit: int = ROW_LIMIT) -> dict:
+    """{"rows": ...} of scoped_query(), with a note where none of them can be cited; {"error": ...} for a statement that can't be run."""
+    try:
+        rows = [r.asDict() for r in scoped_query(facts, sql, documents, limit).collect()]
+    except Exception as e:
+        return {"error": str(e)}
+    return {"rows": rows} | ({"note": UNCITABLE} if rows and not any(map(citable, rows)) else {})
 
 
 def rows_for(facts: DataFrame, document: str, limit: int = LISTING_LIMIT) -> DataFrame:
@@ -72,7 +90,7 @@ def prefix_depth(words: Column, key: Column) -> Column:
 
 
 def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tolerance: float = 1e-9) -> DataFrame:
-    """claim_id, status, document, fact_id, printed_value for claims (claim_id, claim, document).
+    """claim_id, status, document, fact_id, printed_value, page, x0, y0, x1, y1, detail for claims (claim_id, claim, document).
 
     The longest prefix of the claim's words that some key of the document contains names the candidates (the first `limit`
     in order of entry). One with the claimed value verifies the claim; else it is refuted by the candidate that shares
@@ -87,7 +105,8 @@ def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tole
     hit = asked.join(keys, "document").where(F.col("k").contains(F.col("words")[0]))
     hit = hit.withColumn("size", prefix_depth(F.col("words"), F.col("k")))
     hit = hit.withColumn("best", F.max("size").over(Window.partitionBy("document", "words"))).where("size = best").drop("k")
-    hit = hit.join(facts.select("fact_id", "document", "key", "period", "value_raw", "value_num"), ["document", "key"])
+    place = [x for x in ("page", "x0", "y0", "x1", "y1") if x in facts.columns]
+    hit = hit.join(facts.select("fact_id", "document", "key", "period", "value_raw", "value_num", *place), ["document", "key"])
     hit = hit.withColumn("nth", F.row_number().over(Window.partitionBy("document", "words").orderBy("fact_id"))).where(F.col("nth") <= limit)
     hit = c.where("value is not null").join(hit, ["document", "words"])
     same = F.coalesce(F.abs(F.col("value_num") - F.col("value")) <= tolerance, F.lit(False))
@@ -95,12 +114,41 @@ def audited(claims: DataFrame, facts: DataFrame, limit: int = LOOKUP_LIMIT, tole
     said = F.lower(F.concat_ws(" ", "key", "period"))
     shared = F.size(F.filter(F.array_distinct(F.concat("words", years)), lambda w: said.contains(w)))
     hit = hit.withColumns({"same": same, "shared": shared})
-    receipt = F.struct("fact_id", "document", "value_raw")
-    judged = hit.groupBy("claim_id").agg(F.bool_or("same").alias("ok"), F.min_by(receipt, F.when(F.col("same"), F.col("nth"))).alias("proof"), F.min_by(receipt, F.struct((-F.col("shared")).alias("s"), "nth")).alias("near"))
-    out = c.join(judged, "claim_id", "left")
+    receipt = F.struct("fact_id", "document", "value_raw", "key", "period", *place)
+    at = ["claim_id", "document"]
+    judged = hit.groupBy(*at).agg(F.bool_or("same").alias("ok"), F.min_by(receipt, F.when(F.col("same"), F.col("nth"))).alias("proof"), F.min_by(receipt, F.struct((-F.col("shared")).alias("s"), "nth")).alias("near"))
+    judged = judged.withColumnsRenamed({"claim_id": "__claim", "document": "__of"})
+    out = c.join(judged, (F.col("claim_id") == F.col("__claim")) & (F.col("document") == F.col("__of")), "left")
     status = F.when(F.col("ok").isNull(), "UNVERIFIABLE").when(F.col("ok"), "VERIFIED").otherwise("REFUTED")
     r = F.when(F.col("ok"), F.col("proof")).otherwise(F.col("near"))
-    return out.select("claim_id", status.alias("status"), r["document"].alias("document"), r["fact_id"].alias("fact_id"), r["value_raw"].alias("printed_value"))
+    what = F.concat_ws(", ", r["key"], r["period"])
+    detail = F.when(F.col("value").isNull(), "the claim states no value").when(F.col("ok").isNull(), "no entry carries its words").when(F.col("ok"), F.concat(F.lit("printed for "), what)).otherwise(F.concat(F.lit("printed is "), r["value_raw"], F.lit(" for "), what))
+    return out.select("claim_id", F.col("document").alias("asked"), status.alias("status"), r["document"].alias("document"), r["fact_id"].alias("fact_id"), r["value_raw"].alias("printed_value"), *[r[x].alias(x) for x in place], detail.alias("detail"))
+
+
+def audited_in(claims: DataFrame, facts: DataFrame, others: bool = True) -> DataFrame:
+    """claim_id, status, document, fact_id, printed_value, ..., elsewhere for claims (claim_id, claim, documents), whose documents are in order of rank.
+
+    The first document with an entry for the claim's words decides: what it prints verifies or refutes the claim. `elsewhere` lists, in
+    order, the other documents among them that print the claimed value where the deciding one refutes it. A claim without documents, or
+    with none that has an entry, can't be verified. Documents listed twice count once, at their first place.
+    """
+    ranked = claims.select("claim_id", "claim", F.posexplode(F.array_distinct(F.coalesce("documents", F.array().cast("array<string>")))).alias("rank", "document")).where("document is not null")
+    a = audited(ranked, facts).join(ranked.select("claim_id", F.col("document").alias("asked"), "rank"), ["claim_id", "asked"])
+    fields = [x for x in a.columns if x not in ("claim_id", "asked", "rank")]
+    best = a.groupBy("claim_id").agg(F.min_by(F.struct("rank", *fields), F.when(F.col("status") != "UNVERIFIABLE", F.col("rank"))).alias("b"), F.array_sort(F.collect_list(F.when(F.col("status") == "VERIFIED", F.struct("rank", "asked")))).alias("v"))
+    out = claims.select("claim_id").join(best, "claim_id", "left")
+    note = F.when(F.col("b.status") == "REFUTED", F.transform(F.filter("v", lambda x: x["rank"] != F.col("b.rank")), lambda x: x["asked"]))
+    return out.select("claim_id", F.coalesce("b.status", F.lit("UNVERIFIABLE")).alias("status"), *[F.col(f"b.{x}").alias(x) for x in fields if x != "status"], F.coalesce(note, F.array().cast("array<string>")).alias("elsewhere"))
+
+
+def bound(questions: DataFrame, cards: DataFrame, key: str = "doc_id", name: str = "source_name", top: int = TOP) -> DataFrame:
+    """question_id, doc_ids, documents: the documents that a question is bound to, in order of rank; empty where no card shares a token with it."""
+    r = routed(questions, cards, key, name, top)
+    g = r.groupBy("question_id").agg(F.array_sort(F.collect_list(F.struct("rank", F.col(key).alias("id"), F.col(name).alias("name")))).alias("r"))
+    none = F.array().cast("array<string>")
+    out = questions.select("question_id").join(g, "question_id", "left")
+    return out.select("question_id", F.coalesce(F.transform("r", lambda x: x["id"].cast("string")), none).alias("doc_ids"), F.coalesce(F.transform("r", lambda x: x["name"]), none).alias("documents"))
 
 
 def tokens(text: Column) -> Column:

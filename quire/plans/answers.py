@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
@@ -74,6 +74,32 @@ def sql_any(spark: SparkSession, d: str) -> DataFrame:
     return answers.scoped_query(table(spark, d, "facts"), """SELECT document, n, n_pages, CAST(rank() OVER (ORDER BY n DESC, document) AS BIGINT) AS place FROM (SELECT document, COUNT(*) AS n, COUNT(DISTINCT page) AS n_pages FROM facts WHERE value_num IS NOT NULL AND lower(key) LIKE '%e%' GROUP BY document HAVING COUNT(*) > 5) ORDER BY place""", None, 0)
 
 
+def sql_statements(spark: SparkSession, d: str) -> DataFrame:
+    """Statements in the habits of their users: LIKE whatever the case, row ids, patterns, quoted names and texts."""
+    f, out = table(spark, d, "facts"), None
+    for n, sql in enumerate(STATEMENTS):
+        one = answers.scoped_query(f, sql, None, 0)
+        one = one.select(F.lit(n).alias("statement"), one.columns[0], F.col(one.columns[1]).cast("string").alias("value")).withColumnRenamed(one.columns[0], "id")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+STATEMENTS = [
+    "SELECT rowid, key FROM facts WHERE key LIKE '%FUEL%'", "SELECT rowid, \"value_raw\" FROM facts WHERE key GLOB '*[Ff]uel*stock*' AND value_num > 5", "select f.rowid, f.key from facts f where f.key = \"Fuel stock\" -- like this",
+    "SELECT MIN(rowid) AS first, printf('%d of %s', COUNT(*), unit) AS line FROM facts WHERE unit LIKE 'b%' GROUP BY unit", "SELECT rowid, context FROM facts WHERE context LIKE '%table 1%' AND value_raw NOT LIKE '%''%'",
+]
+
+
+def audit_routed(spark: SparkSession, d: str) -> DataFrame:
+    """Each claim against three documents in order of rank: one that follows its own in the alphabet, its own, and one of no facts."""
+    f = table(spark, d, "facts")
+    c = _claims(spark, d).where("claim_id % 7 = 0")
+    names = f.where("document is not null").select("document").distinct().select("document", F.lead("document").over(Window.orderBy("document")).alias("next"))
+    c = c.join(F.broadcast(names), "document").select("claim_id", "claim", F.array_compact(F.array("next", "document", F.lit("no such file"))).alias("documents"))
+    r = answers.audited_in(c, f)
+    return r.select("claim_id", "status", "document", "fact_id", "printed_value", "page", "x0", F.array_join("elsewhere", "; ").alias("elsewhere"))
+
+
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     """Claims made from the facts: one in three as printed, one with a wrong value, one with unknown words."""
     f = table(spark, d, "facts").where("value_num is not null and value_num >= 0 and period is not null and key rlike '^[A-Za-z ]+$' and abs(value_num) < 1000000")
@@ -91,12 +117,15 @@ def audit_verdicts(spark: SparkSession, d: str) -> DataFrame:
     """One claim per (document, key), judged against all facts of its document."""
     c = _claims(spark, d)
     one = c.groupBy("document", F.regexp_extract("claim", "^(.*) was ", 1).alias("k")).agg(F.min_by(F.struct("claim_id", "claim"), "claim_id").alias("c")).select("document", "c.*")
-    return answers.audited(one, table(spark, d, "facts"))
+    return answers.audited(one, table(spark, d, "facts")).select(*VERDICT)
 
 
 def audit_all(spark: SparkSession, d: str) -> DataFrame:
     """Every claim, judged against all facts of its document."""
-    return answers.audited(_claims(spark, d), table(spark, d, "facts"))
+    return answers.audited(_claims(spark, d), table(spark, d, "facts")).select(*VERDICT)
+
+
+VERDICT = ["claim_id", "status", "document", "fact_id", "printed_value"]
 
 
 _TABLES = "t as (select element_id, doc_id, idx, table_data.headers as h, table_data.rows as r, table_data.row_periods as b, table_data.context as cx from elements where kind = 'table')"
@@ -129,7 +158,7 @@ _CLAIM = r"""cl as (select fact_id as claim_id, document, case when fact_id % 3
 cv as (select *, list_filter(list_transform(regexp_extract_all(lower(claim), '[a-z]{3,}'), lambda w: w), lambda w: w not in (""" + ", ".join(f"'{w}'" for w in X.CLAIM_STOP) + r""")) as words, list_filter(list_transform(regexp_extract_all(claim, '(?i)-?\$?[0-9,]+(?:\.[0-9]+)?\s*(?:%|bn|billion|m|million|k|thousand)?'), lambda x: """ + _PARSE("trim(replace(x, '$', ''))") + r"""), lambda v: v is not null) as vs from {src}),
 cp as (select * exclude (vs), coalesce(list_filter(vs, lambda v: not (v = floor(v) and v between 1900 and 2100))[1], vs[1]) as value from cv)"""
 
-QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, table_repair_padded, facts_listing, facts_lookup, sql_scoped, sql_any, claim_parts, audit_verdicts, audit_all)}
+QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, table_repair_padded, facts_listing, facts_lookup, sql_scoped, sql_any, sql_statements, claim_parts, audit_verdicts, audit_all, audit_routed)}
 SQL = {
     "table_checks": f"with {_TABLES} select element_id, array_to_string(list_filter([case when len(h) < 2 then 'too_few_columns' end, case when len(r) = 0 then 'no_rows' end, case when len(h) > 0 and {_FILL('h')} < 0.5 then 'empty_headers' end, case when len(r) > 0 and {_FILL('flatten(r)')} < 0.4 then 'mostly_empty_cells' end], lambda x: x is not null), ',') as failed, {_DOWN} as down from t",
     "table_contexts": f"with {_CTX} select element_id, context from cz",
@@ -148,7 +177,16 @@ select element_id, array_to_string(list_resize(list_concat([''], m), width, ''),
     "facts_lookup": "select fact_id, key, value_raw from facts where contains(lower(key), 'fuel') and contains(lower(key), 'stock') order by fact_id limit 25",
     "sql_scoped": "select unit, count(*) as n, count(distinct key) as n_keys, max(value_num) as most from facts where document = (select max(document) from facts) group by unit order by n desc, unit nulls first limit 50",
     "sql_any": "select document, n, n_pages, rank() over (order by n desc, document) as place from (select document, count(*) as n, count(distinct page) as n_pages from facts where value_num is not null and lower(key) like '%e%' group by document having count(*) > 5)",
+    "sql_statements": """select 0 as statement, fact_id as id, key as value from facts where key ilike '%fuel%' union all select 1, fact_id, value_raw from facts where regexp_full_match(key, '(?s).*[Ff]uel.*stock.*') and value_num > 5 union all select 2, fact_id, key from facts where key = 'Fuel stock'
+  union all select 3, min(fact_id), count(*) || ' of ' || unit from facts where unit ilike 'b%' group by unit union all select 4, fact_id, context from facts where context ilike '%table 1%' and not contains(value_raw, chr(39))""",
     "claim_parts": "with " + _CLAIM.replace("{src}", "cl") + " select claim_id, round(value, 4) as value, array_to_string(words, ' ') as words from cp",
+    "audit_routed": "with " + _CLAIM.replace("{src}", "ask").replace("cv as (", """nm as (select document, lead(document) over (order by document) as follow from (select distinct document from facts where document is not null)),
+ask as (select claim_id, claim, unnest(list_filter([follow, cl.document], lambda x: x is not null)) as document, generate_subscripts(list_filter([follow, cl.document], lambda x: x is not null), 1) as rank from cl join nm using (document) where claim_id % 7 = 0), cv as (""", 1) + r""",
+h as (select claim_id, claim, words, value, rank, fact_id, f.document, key, period, value_raw, value_num, page, x0, len(list_filter(range(1, len(words) + 1), lambda i: len(list_filter(words[1:i], lambda w: not contains(lower(key), w))) = 0)) as size from cp join facts f using (document) where value is not null and len(words) > 0 and contains(lower(key), words[1])),
+b as (select *, row_number() over (partition by claim_id, document order by fact_id) as nth from (select *, max(size) over (partition by claim_id, document) as best from h) where size = best), k as (select *, coalesce(abs(value_num - value) <= 1e-9, false) as same, len(list_filter(list_distinct(list_concat(words, regexp_extract_all(claim, '\b(?:19|20)[0-9]{2}\b'))), lambda w: contains(lower(concat_ws(' ', key, period)), w))) as shared from b where nth <= 25),
+j as (select claim_id, document, rank, bool_or(same) as ok, arg_min({'f': fact_id, 'v': value_raw, 'p': page, 'x': x0}, nth) filter (same) as proof, arg_min({'f': fact_id, 'v': value_raw, 'p': page, 'x': x0}, (-shared, nth)) as near from k group by 1, 2, 3),
+z as (select claim_id, arg_min({'d': document, 'ok': ok, 'r': case when ok then proof else near end}, rank) as t from j group by 1), el as (select j.claim_id, string_agg(j.document, '; ' order by rank) as elsewhere from j join z using (claim_id) where j.ok and not z.t.ok group by 1)
+select a.claim_id, case when t is null then 'UNVERIFIABLE' when t.ok then 'VERIFIED' else 'REFUTED' end as status, t.d as document, t.r.f as fact_id, t.r.v as printed_value, t.r.p as page, t.r.x as x0, coalesce(elsewhere, '') as elsewhere from (select distinct claim_id from ask) a left join z using (claim_id) left join el using (claim_id)""",
     "audit_verdicts": "with " + _CLAIM.replace("{src}", "one").replace("cv as (", "one as (select document, arg_min(claim_id, claim_id) as claim_id, arg_min(claim, claim_id) as claim from cl group by document, regexp_extract(claim, '^(.*) was ', 1)), cv as (") + r""",
 h as (select claim_id, claim, words, value, fact_id, f.document, key, period, value_raw, value_num, len(list_filter(range(1, len(words) + 1), lambda i: len(list_filter(words[1:i], lambda w: not contains(lower(key), w))) = 0)) as size from cp join facts f using (document) where value is not null and len(words) > 0 and contains(lower(key), words[1])),
 b as (select *, row_number() over (partition by claim_id order by fact_id) as nth from (select *, max(size) over (partition by claim_id) as best from h) where size = best), k as (select *, coalesce(abs(value_num - value) <= 1e-9, false) as same, len(list_filter(list_distinct(list_concat(words, regexp_extract_all(claim, '\b(?:19|20)[0-9]{2}\b'))), lambda w: contains(lower(concat_ws(' ', key, period)), w))) as shared from b where nth <= 25),

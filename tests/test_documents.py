@@ -111,7 +111,22 @@ def test_scoped_sql(facts):
     for bad in ("DELETE FROM facts", "WITH x AS (SELECT 1) SELECT * FROM x", "SELECT * FROM parquet.`/root/testdata/sf0.01/facts.parquet`", "SELECT * FROM global_temp.other"):
         with pytest.raises(answers.NotASelect):
             answers.scoped_query(facts, bad)
-    assert answers.citable(facts.columns) and not answers.citable(["key", "value_num", "content_hash"])
+    views = [t.name for t in facts.sparkSession.catalog.listTables("global_temp") if t.name.startswith("facts_")]
+    assert views == []
+    got = answers.structured(facts, "SELECT * FROM facts WHERE key LIKE 'REVENUE'")
+    assert len(got["rows"]) == 3 and "note" not in got and all(map(answers.citable, got["rows"]))
+    assert "note" in answers.structured(facts, "SELECT key, value_num, content_hash FROM facts") and answers.structured(facts, "SELECT * FROM facts WHERE key = 'x'") == {"rows": []}
+    assert "error" in answers.structured(facts, "DROP TABLE facts") and "error" in answers.structured(facts, "SELECT nothing FROM facts")
+
+
+def test_statements_of_the_other_dialect(spark, facts):
+    ask = lambda q: [tuple(r) for r in answers.scoped_query(facts, q).collect()]
+    assert ask("SELECT rowid, key FROM facts WHERE key LIKE '%cost%' ORDER BY rowid") == [(3, "Costs"), (4, "Costs")] and answers.scoped_query(facts, "SELECT rowid FROM facts").columns == ["rowid"]
+    assert ask("SELECT COUNT(*) FROM facts WHERE key GLOB 'r*'") == [(0,)] and ask("SELECT COUNT(*) FROM facts WHERE key GLOB 'R*[tu]?'") == [(3,)]
+    assert ask("SELECT \"key\" FROM facts WHERE period = \"2024\" AND key = 'Costs' -- LIKE rowid") == [("Costs",)]
+    assert ask("SELECT printf('%s', 'it''s LIKE a \\n rowid') FROM facts LIMIT 1") == [("it's LIKE a \\n rowid",)]
+    assert ask("SELECT group_concat(period) FROM (SELECT period FROM facts WHERE key = 'Costs' ORDER BY rowid)") in ([("2023,2024",)], [("2024,2023",)])
+    assert ask("SELECT MAX(rowid) AS rowid FROM facts WHERE (rowid > 2)") == [(6,)]
     assert [r["fact_id"] for r in answers.lookup(facts, ["REV"], ["report.pdf"]).collect()] == [1, 2]
 
 
@@ -121,6 +136,20 @@ def test_audit(spark, facts):
     assert got == {1: ("VERIFIED", "4,200"), 2: ("REFUTED", "4,200"), 3: ("UNVERIFIABLE", None), 4: ("UNVERIFIABLE", None), 5: ("UNVERIFIABLE", None), 6: ("UNVERIFIABLE", None), 7: ("VERIFIED", "3,300")}
 
 
+def test_audit_in_order_of_rank(spark):
+    """The first document that speaks of it decides; others that print the claimed value are named."""
+    rows = [fact(1, "Revenue", "2023", "4,200", 4200.0, "alpha", 3), fact(2, "Revenue", "2023", "4,200", 4200.0, "beta"), fact(3, "Revenue", "2023", "3,300", 3300.0, "gamma"), fact(4, "Costs", "2023", "9", 9.0, "gamma")]
+    f = spark.createDataFrame(rows, FACT)
+    claims = [(1, "revenue was 4,200 in 2023", ["beta", "alpha"]), (2, "revenue was 3,300 in 2023", ["alpha", "gamma", "alpha"]), (3, "revenue was 9,999 in 2023", ["alpha", "beta", "gamma"]), (4, "costs was 9 in 2023", ["alpha"]), (5, "costs was 9 in 2023", ["alpha", None, "gamma"]), (6, "costs was 9", []), (7, "costs was 9", None), (8, None, ["alpha"])]
+    c = spark.createDataFrame(claims, "claim_id long, claim string, documents array<string>")
+    got = {r["claim_id"]: r for r in answers.audited_in(c, f).collect()}
+    assert {k: (r["status"], r["document"], r["elsewhere"]) for k, r in got.items()} == {1: ("VERIFIED", "beta", []), 2: ("REFUTED", "alpha", ["gamma"]), 3: ("REFUTED", "alpha", []), 4: ("UNVERIFIABLE", None, []), 5: ("VERIFIED", "gamma", []), 6: ("UNVERIFIABLE", None, []), 7: ("UNVERIFIABLE", None, []), 8: ("UNVERIFIABLE", None, [])}
+    assert got[2]["page"] == 3 and got[2]["x1"] == 1.0 and "4,200" in got[2]["detail"]
+    q = spark.createDataFrame([(1, "Costs of gamma?"), (2, "nothing"), (3, None)], "question_id long, question string")
+    cards = spark.createDataFrame([("a", "alpha", ["Revenue"]), ("g", "gamma", ["Revenue", "Costs"])], "doc_id string, source_name string, fact_keys array<string>")
+    assert {r["question_id"]: (r["doc_ids"], r["documents"]) for r in answers.bound(q, cards).collect()} == {1: (["g"], ["gamma"]), 2: ([], []), 3: ([], [])}
+
+
 def brute_audit(claim, document, facts):
     stop, numbers = set(X.CLAIM_STOP), re.findall(r"-?[0-9,]+(?:\.[0-9]+)?", claim)
     values = [float(x.replace(",", "")) for x in numbers if x.strip(",")]
