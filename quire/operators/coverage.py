@@ -166,6 +166,29 @@ def without_twins(elements: DataFrame, ratio: float = TWIN) -> DataFrame:
     return v.join(twin, "element_id", "left_anti").select("element_id")
 
 
+def budgeted(regions: DataFrame, cap: float) -> DataFrame:
+    """doc_id, page, label, cost, gained, regions for regions (doc_id, page, region_no, cost, gained): what the vision rung reads of each page before its document's money is spent.
+
+    Regions are read in order of page and number while less than `cap` is spent. A page of which all regions were read is C(regions); one that
+    the budget ends is C(elements gained)!budget. A null cost or gain (a failed call) counts as 0.
+    """
+    r = regions.select("doc_id", "page", "region_no", F.coalesce("cost", F.lit(0.0)).alias("cost"), F.coalesce("gained", F.lit(0)).alias("gained"))
+    pages = r.groupBy("doc_id", "page").agg(F.sum("cost").alias("c"))
+    pages = pages.withColumn("before", F.coalesce(F.sum("c").over(Window.partitionBy("doc_id").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))).drop("c")
+    inside = F.coalesce(F.sum("cost").over(Window.partitionBy("doc_id", "page").orderBy("region_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    r = r.join(pages, ["doc_id", "page"]).withColumn("read", F.round(F.col("before") + inside, 9) < cap)
+    got = r.groupBy("doc_id", "page").agg(F.count("*").alias("regions"), F.count_if("read").alias("n"), F.round(F.sum(F.when(F.col("read"), F.col("cost")).otherwise(0.0)), 9).alias("cost"), F.sum(F.when(F.col("read"), F.col("gained")).otherwise(0)).alias("gained"))
+    label = F.when(F.col("n") == F.col("regions"), F.format_string("C(%d)", "regions")).otherwise(F.format_string("C(%d)!budget", "gained"))
+    return got.select("doc_id", "page", label.alias("label"), "cost", "gained", "regions")
+
+
+def salvaged(elements: DataFrame) -> DataFrame:
+    """element_id, context of all tables: tables without one of their own take that of the first table of the fast rung (A) on their page that has one."""
+    t = elements.where("kind = 'table'").select("element_id", "doc_id", F.col("bbox.page").alias("page"), "idx", "source_rung", F.when(F.col("table_data.context") != "", F.col("table_data.context")).alias("own"))
+    first = t.where("source_rung = 'A' and own is not null").groupBy("doc_id", "page").agg(F.min_by("own", "idx").alias("saved"))
+    return t.join(first, ["doc_id", "page"], "left").select("element_id", F.coalesce("own", "saved").alias("context"))
+
+
 def escalated(pages: DataFrame, a: DataFrame, b: DataFrame, c: DataFrame, tau: float = TAU) -> DataFrame:
     """doc_id, page, label, coverage: the ladder of rungs. pages has the start rung; a and b (doc_id, page, coverage, insane) what each
     rung gave; c (doc_id, page, regions, coverage) the vision rung. Each stage takes only pages that the stage before left open.

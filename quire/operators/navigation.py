@@ -76,3 +76,25 @@ def ink_cells(pixels: DataFrame, keys: list[str], k: int, least: float = 0.02) -
     t = coverage.otsu(pixels.select(*keys, F.col("gray").alias("bin")), keys).where("threshold >= 0")
     p = pixels.join(t, keys).select(*keys, F.floor(F.col("y") / k).cast("int").alias("r"), F.floor(F.col("x") / k).cast("int").alias("c"), (F.col("gray") <= F.col("threshold")).alias("dark"))
     return p.groupBy(*keys, "r", "c").agg(F.count("*").alias("n"), F.count_if("dark").alias("d")).where((F.col("n") == k * k) & (F.col("d") >= least * k * k)).select(*keys, "r", "c")
+
+
+def corpus_root(nodes: DataFrame) -> DataFrame:
+    """title, page_start, page_end, children, summary, data_types: the one root above all documents' trees (nodes of sections.nodes()); of no documents, one without children."""
+    per = nodes.groupBy("doc_id").agg(F.max("page_end").alias("to"), F.flatten(F.collect_set("data_types")).alias("types"))
+    one = per.agg(F.coalesce(F.max("to"), F.lit(1)).alias("page_end"), F.count("*").alias("children"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("types")))).alias("data_types"))
+    return one.select(F.lit("corpus").alias("title"), F.lit(1).alias("page_start"), "page_end", "children", F.format_string("%d ingested documents", "children").alias("summary"), "data_types")
+
+
+def reread(facts: DataFrame, names: DataFrame, elements: DataFrame) -> DataFrame:
+    """fact_id, printed: whether some element of the fact's page that its box touches still prints the fact's value (names: doc_id, document).
+
+    A fact without a box, or of a file that no page is known of, is not printed. Texts and table cells are read with collapsed white space.
+    """
+    from quire.operators import tables
+
+    h, r = F.col("table_data.headers"), F.col("table_data.rows")
+    text = F.when(F.col("kind") == "table", tables.rendered(h, r)).otherwise(F.coalesce("text", "caption"))
+    e = elements.join(names, "doc_id").select("document", F.col("bbox.page").alias("page"), F.col("bbox").alias("b"), X.collapsed(text).alias("words"))
+    f = facts.where("value_raw is not null").select("fact_id", "document", "page", "x0", "y0", "x1", "y1", X.collapsed(F.col("value_raw")).alias("raw"))
+    hit = f.join(e, ["document", "page"]).where("b.x0 < x1 and b.x1 > x0 and b.y0 < y1 and b.y1 > y0").where(F.col("words").contains(F.col("raw"))).select("fact_id").distinct()
+    return facts.select("fact_id").distinct().join(hit.withColumn("printed", F.lit(True)), "fact_id", "left").fillna({"printed": False})

@@ -211,7 +211,7 @@ def chunk_elements(elements: DataFrame, limit: int = MAX_TOKENS) -> DataFrame:
 
 
 def nodes(chunks: DataFrame, tree: DataFrame) -> DataFrame:
-    """doc_id, section_no, parent_no, title, page_start, page_end, key_entities, summary, data_types: the tree's nodes (of parents()) with what the chunks say
+    """doc_id, section_no, parent_no, depth, title, page_start, page_end, key_entities, summary, data_types: the tree's nodes (of parents()) with what the chunks say
     whose parent_section is the node's path: the five most frequent names and the first two sentences of their text in order, and their types.
 
     Sections of one path share their chunks. A node without text has an empty summary and no names.
@@ -228,7 +228,7 @@ def nodes(chunks: DataFrame, tree: DataFrame) -> DataFrame:
     at = ["doc_id", "path"]
     out = tree.join(own, at, "left").join(heads, at, "left").join(names, at, "left")
     none = F.array().cast("array<string>")
-    return out.select("doc_id", "section_no", "parent_no", "title", "page_start", "page_end", F.coalesce("key_entities", none).alias("key_entities"), F.coalesce(summary(F.col("head")), F.lit("")).alias("summary"), F.coalesce("data_types", none).alias("data_types"))
+    return out.select("doc_id", "section_no", "parent_no", "depth", "title", "page_start", "page_end", F.coalesce("key_entities", none).alias("key_entities"), F.coalesce(summary(F.col("head")), F.lit("")).alias("summary"), F.coalesce("data_types", none).alias("data_types"))
 
 
 def violations(chunks: DataFrame, limit: int = MAX_TOKENS) -> DataFrame:

@@ -92,7 +92,11 @@ def nearest_all(points: DataFrame, queries: DataFrame, k: int = 6, block: int =
                     out += [(x["query_id"], int(ids[j]), float(s[i, j])) for j in best if ids[j] != x["query_id"]]
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    near = pts.join(packed, "block").select("qs", "ps").mapInPandas(score, "query_id bigint, vec_id bigint, score double")
+    # A block goes to each of a fixed number of slices of the points, so that few blocks are not few tasks.
+    slices = parallelism(points.sparkSession)
+    pts = pts.withColumn("slice", F.pmod("part", F.lit(slices)))
+    packed = packed.withColumn("slice", F.explode(F.expr(f"sequence(0L, {slices - 1}L)")))
+    near = pts.join(packed, ["block", "slice"]).select("qs", "ps").mapInPandas(score, "query_id bigint, vec_id bigint, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(w).cast("bigint")).where(F.col("rank") <= k)
 
@@ -101,3 +105,54 @@ def upserted(points: DataFrame) -> DataFrame:
     """One point per (doc_id, content_hash): the last stored."""
     cols = [c for c in points.columns if c not in ("doc_id", "content_hash")]
     return points.groupBy("doc_id", "content_hash").agg(F.max_by(F.struct(*cols), F.struct("created_at", "chunk_id")).alias("p")).select("doc_id", "content_hash", *[F.col(f"p.{c}").alias(c) for c in cols])
+
+
+class OtherModel(ValueError):
+    """A store holds vectors of another model than the one offered."""
+
+
+def guarded(held: dict | None, model: str, dim: int) -> dict:
+    """What a store is to remember of its model; raises OtherModel where it remembers another."""
+    offered = {"model": model, "dim": dim}
+    if held is not None and held != offered:
+        raise OtherModel(f"the store holds {held}, not {offered}")
+    return offered
+
+
+def points(chunks: DataFrame) -> DataFrame:
+    """point_id, doc_id, content_hash, ...: the last stored chunk of each (doc_id, content_hash), under a name-based UUID of the two, with the titles of its section path (ancestors)."""
+    p = upserted(chunks)
+    # A version-5 UUID: SHA-1 over the name space and the name, with the version and variant bits set.
+    name = F.concat(F.unhex(F.lit("6ba7b8129dad11d180b400c04fd430c8")), F.encode(F.concat("doc_id", "content_hash"), "UTF-8"))
+    h = F.sha1(name)
+    part = lambda a, n: F.substring(h, a, n)
+    variant = F.lower(F.hex(F.conv(part(17, 2), 16, 10).cast("int").bitwiseAND(F.lit(0x3F)).bitwiseOR(F.lit(0x80))))
+    uuid5 = F.concat_ws("-", part(1, 8), part(9, 4), F.concat(F.lit("5"), part(14, 3)), F.concat(variant, part(19, 2)), part(21, 12))
+    ancestors = F.transform(F.split(F.coalesce("parent_section", F.lit("")), ">"), lambda x: F.trim(x))
+    return p.select(uuid5.alias("point_id"), *p.columns, ancestors.alias("ancestors"))
+
+
+def scope(section: str | None = None, document: str | None = None, doc_id: str | None = None, doc_ids: list[str] | None = None) -> Column:
+    """The filter of a search: a title among the point's ancestors, a source name, one document, or else one of several; all that are given hold."""
+    c = F.lit(True)
+    if section:
+        c &= F.array_contains("ancestors", section)
+    if document:
+        c &= F.col("document") == document
+    if doc_id:
+        c &= F.col("doc_id") == doc_id
+    elif doc_ids:
+        c &= F.col("doc_id").isin(*doc_ids)
+    return c
+
+
+def search_texts(pts: DataFrame, query: str, k: int = 6, where: Column | None = None, dim: int = DIM) -> DataFrame:
+    """The k points (of points(), with content) whose hash embeddings are nearest to the query's, exactly, after the filter, with score; equals by id. Points that share no gram with it are not listed."""
+    p = pts if where is None else pts.where(where)
+    q = {r["bucket"]: r["weight"] for r in hash_buckets(pts.sparkSession.createDataFrame([(0, query)], "id int, t string"), "id", "t", dim).collect()}
+    if not q:
+        return p.limit(0).withColumn("score", F.lit(0.0))
+    weights = F.create_map(*[F.lit(x) for kv in sorted(q.items()) for x in kv])  # at most `dim` entries
+    score = hash_buckets(p, "point_id", "content", dim).withColumn("w", F.col("weight") * weights[F.col("bucket")]).where("w is not null").groupBy("point_id").agg(F.round(F.sum("w"), 4).alias("score"))
+    best = score.orderBy(F.desc("score"), "point_id").limit(k)
+    return p.join(F.broadcast(best), "point_id").orderBy(F.desc("score"), "point_id")  # k rows

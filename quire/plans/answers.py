@@ -102,7 +102,7 @@ def audit_routed(spark: SparkSession, d: str) -> DataFrame:
 
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     """Claims made from the facts: one in three as printed, one with a wrong value, one with unknown words."""
-    f = table(spark, d, "facts").where("value_num is not null and value_num >= 0 and period is not null and key rlike '^[A-Za-z ]+$' and abs(value_num) < 1000000")
+    f = table(spark, d, "facts").where("value_num is not null and period is not null and key is not null")
     value = F.regexp_replace(F.format_string("%.2f", F.when(F.col("fact_id") % 3 == 1, F.col("value_num") + 7.25).otherwise(F.col("value_num"))), r"\.?0+$", "")
     key = F.when(F.col("fact_id") % 3 == 2, F.lit("Unheard entries")).otherwise(F.col("key"))
     return f.select(F.col("fact_id").alias("claim_id"), "document", F.concat(key, F.lit(" was "), value, F.lit(" in "), "period").alias("claim"))
@@ -114,13 +114,6 @@ def claim_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def audit_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    """One claim per (document, key), judged against all facts of its document."""
-    c = _claims(spark, d)
-    one = c.groupBy("document", F.regexp_extract("claim", "^(.*) was ", 1).alias("k")).agg(F.min_by(F.struct("claim_id", "claim"), "claim_id").alias("c")).select("document", "c.*")
-    return answers.audited(one, table(spark, d, "facts")).select(*VERDICT)
-
-
-def audit_all(spark: SparkSession, d: str) -> DataFrame:
     """Every claim, judged against all facts of its document."""
     return answers.audited(_claims(spark, d), table(spark, d, "facts")).select(*VERDICT)
 
@@ -154,11 +147,11 @@ ce as (select * exclude (cells), unnest(cells[2:len(h)]) as cell, generate_subsc
 nz as (select doc_id, min(source_name) as sn from page_profiles group by 1), kd as (select kv.*, coalesce(sn, doc_id) as document from kv left join nz using (doc_id)),
 g as (select document, key, period, value_raw, arg_min(element_id, (idx, row_no, cn, element_id)) as element_id, count(*) - 1 as skipped from kd where key <> '' group by 1, 2, 3, 4)"""
 _CLAIM = r"""cl as (select fact_id as claim_id, document, case when fact_id % 3 = 2 then 'Unheard entries' else key end || ' was ' || regexp_replace(printf('%.2f', case when fact_id % 3 = 1 then value_num + 7.25 else value_num end), '\.?0+$', '') || ' in ' || period as claim
-  from facts where value_num is not null and value_num >= 0 and period is not null and regexp_matches(key, '^[A-Za-z ]+$') and abs(value_num) < 1000000),
+  from facts where value_num is not null and period is not null and key is not null),
 cv as (select *, list_filter(list_transform(regexp_extract_all(lower(claim), '[a-z]{3,}'), lambda w: w), lambda w: w not in (""" + ", ".join(f"'{w}'" for w in X.CLAIM_STOP) + r""")) as words, list_filter(list_transform(regexp_extract_all(claim, '(?i)-?\$?[0-9,]+(?:\.[0-9]+)?\s*(?:%|bn|billion|m|million|k|thousand)?'), lambda x: """ + _PARSE("trim(replace(x, '$', ''))") + r"""), lambda v: v is not null) as vs from {src}),
 cp as (select * exclude (vs), coalesce(list_filter(vs, lambda v: not (v = floor(v) and v between 1900 and 2100))[1], vs[1]) as value from cv)"""
 
-QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, table_repair_padded, facts_listing, facts_lookup, sql_scoped, sql_any, sql_statements, claim_parts, audit_verdicts, audit_all, audit_routed)}
+QUERIES = {f.__name__: f for f in (table_checks, table_contexts, table_facts, table_parts, captions_single, table_repair, table_repair_padded, facts_listing, facts_lookup, sql_scoped, sql_any, sql_statements, claim_parts, audit_verdicts, audit_routed)}
 SQL = {
     "table_checks": f"with {_TABLES} select element_id, array_to_string(list_filter([case when len(h) < 2 then 'too_few_columns' end, case when len(r) = 0 then 'no_rows' end, case when len(h) > 0 and {_FILL('h')} < 0.5 then 'empty_headers' end, case when len(r) > 0 and {_FILL('flatten(r)')} < 0.4 then 'mostly_empty_cells' end], lambda x: x is not null), ',') as failed, {_DOWN} as down from t",
     "table_contexts": f"with {_CTX} select element_id, context from cz",
@@ -187,7 +180,7 @@ b as (select *, row_number() over (partition by claim_id, document order by fact
 j as (select claim_id, document, rank, bool_or(same) as ok, arg_min({'f': fact_id, 'v': value_raw, 'p': page, 'x': x0}, nth) filter (same) as proof, arg_min({'f': fact_id, 'v': value_raw, 'p': page, 'x': x0}, (-shared, nth)) as near from k group by 1, 2, 3),
 z as (select claim_id, arg_min({'d': document, 'ok': ok, 'r': case when ok then proof else near end}, rank) as t from j group by 1), el as (select j.claim_id, string_agg(j.document, '; ' order by rank) as elsewhere from j join z using (claim_id) where j.ok and not z.t.ok group by 1)
 select a.claim_id, case when t is null then 'UNVERIFIABLE' when t.ok then 'VERIFIED' else 'REFUTED' end as status, t.d as document, t.r.f as fact_id, t.r.v as printed_value, t.r.p as page, t.r.x as x0, coalesce(elsewhere, '') as elsewhere from (select distinct claim_id from ask) a left join z using (claim_id) left join el using (claim_id)""",
-    "audit_verdicts": "with " + _CLAIM.replace("{src}", "one").replace("cv as (", "one as (select document, arg_min(claim_id, claim_id) as claim_id, arg_min(claim, claim_id) as claim from cl group by document, regexp_extract(claim, '^(.*) was ', 1)), cv as (") + r""",
+    "audit_verdicts": "with " + _CLAIM.replace("{src}", "cl") + r""",
 h as (select claim_id, claim, words, value, fact_id, f.document, key, period, value_raw, value_num, len(list_filter(range(1, len(words) + 1), lambda i: len(list_filter(words[1:i], lambda w: not contains(lower(key), w))) = 0)) as size from cp join facts f using (document) where value is not null and len(words) > 0 and contains(lower(key), words[1])),
 b as (select *, row_number() over (partition by claim_id order by fact_id) as nth from (select *, max(size) over (partition by claim_id) as best from h) where size = best), k as (select *, coalesce(abs(value_num - value) <= 1e-9, false) as same, len(list_filter(list_distinct(list_concat(words, regexp_extract_all(claim, '\b(?:19|20)[0-9]{2}\b'))), lambda w: contains(lower(concat_ws(' ', key, period)), w))) as shared from b where nth <= 25),
 j as (select claim_id, bool_or(same) as ok, arg_min({'f': fact_id, 'd': document, 'v': value_raw}, nth) filter (same) as proof, arg_min({'f': fact_id, 'd': document, 'v': value_raw}, (-shared, nth)) as near from k group by 1),

@@ -24,8 +24,10 @@ def section_descendants(spark: SparkSession, d: str) -> DataFrame:
 
 
 def search_with_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """The same vector looked for under a label that there is and under one that there is not."""
     e = table(spark, d, "embeddings")
-    return navigation.search(e, _first_vector(e), 4, F.col("label") == 99).select("vec_id", "score", "note")
+    found = [navigation.search(e, _first_vector(e), 4, F.col("label") == x).select(F.lit(x).alias("wanted"), "vec_id", "score", "note") for x in (3, 99)]
+    return found[0].unionByName(found[1])
 
 
 def figures_captioned(spark: SparkSession, d: str) -> DataFrame:
@@ -40,9 +42,9 @@ def claims_elsewhere(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cell_accuracy(spark: SparkSession, d: str) -> DataFrame:
-    """Labels in another spelling (upper case, dashes for spaces) held against the facts of their document."""
-    f = table(spark, d, "facts").where("value_num is not null and key rlike '^[ -~]*$'")
-    truth = f.select("document", F.when(F.col("fact_id") % 3 == 0, F.replace(F.upper("key"), F.lit(" "), F.lit("-"))).otherwise(F.col("key")).alias("label"), F.when(F.col("fact_id") % 5 == 0, F.col("value_num") + 0.5).otherwise(F.col("value_num")).alias("value")).distinct()
+    """Labels in another spelling (in parentheses, dashes for spaces) held against the facts of their document."""
+    f = table(spark, d, "facts").where("value_num is not null and key is not null")
+    truth = f.select("document", F.when(F.col("fact_id") % 3 == 0, F.concat(F.lit("("), F.replace("key", F.lit(" "), F.lit("-")), F.lit(")"))).otherwise(F.col("key")).alias("label"), F.when(F.col("fact_id") % 5 == 0, F.col("value_num") + 0.5).otherwise(F.col("value_num")).alias("value")).distinct()
     m = navigation.matched_labels(truth, table(spark, d, "facts"))
     return m.groupBy("document").agg(F.count("*").alias("cells"), F.count_if("found").alias("found"), F.count_if("ok").alias("correct"))
 
@@ -61,10 +63,10 @@ p as (select doc_id, section_no, page, list({{'f': element_id, 't': te}} order b
 g as (select unnest(list_reduce(list_transform(ps, lambda y: [y]), lambda got, x: case when len(list_filter(got, lambda y: y.f = x[1].f or y.t = x[1].t)) = 0 then got || x else got end, [])) as x from p) select x.f as figure_id, x.t as caption_id from g""",
     "sections_found": f"with recursive {tree._HEAD}, {tree._BELOW}, w as (select distinct doc_id, x as wanted from sc, (values ('annex a'), ('findings'), ('procurement')) v(x)), j as (select w.doc_id, wanted, section_no, title, case when lower(trim(title)) = wanted then 0 else 1 end as how, depth from w join sc using (doc_id) join below using (doc_id, section_no) where contains(lower(trim(title)), wanted)) select doc_id, wanted, section_no, title, case when how = 0 then 'exact' else 'contains' end as how from j qualify row_number() over (partition by doc_id, wanted order by how, depth, section_no) = 1",
     "section_descendants": f"with recursive {tree._HEAD}, {tree._BELOW} select * from below",
-    "search_with_fallback": "select b.vec_id, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) as score, 'nothing in the section; searched everywhere' as note from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 4",
+    "search_with_fallback": "with s as (select b.vec_id, b.label, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4) as score from embeddings a, embeddings b where a.vec_id = 0) (select 3 as wanted, vec_id, score, null as note from s where label = 3 order by score desc, vec_id limit 4) union all (select 99, vec_id, score, 'nothing in the section; searched everywhere' from s order by score desc, vec_id limit 4)",
     "claims_elsewhere": "with " + claims._CLAIM.replace("{src}", "cl") + """, f as (select fact_id, document, lower(key) as k, value_num from facts), p as (select distinct claim_id, f.document, value, words from cp join f on round(value, 9) = round(value_num, 9) where cp.document <> f.document and value is not null and len(words) > 0 and contains(k, words[1])),
 h as (select claim_id, p.document, value, value_num, fact_id, len(list_filter(range(1, len(words) + 1), lambda i: len(list_filter(words[1:i], lambda w: not contains(k, w))) = 0)) as depth from p join f on f.document = p.document where contains(k, words[1])),
 b as (select *, row_number() over (partition by claim_id, document order by fact_id) as nth from (select *, max(depth) over (partition by claim_id, document) as best from h) where depth = best) select distinct claim_id, document from b where nth <= 25 and round(value_num, 9) = round(value, 9)""",
-    "cell_accuracy": f"with t as (select distinct document, case when fact_id % 3 = 0 then replace(upper(key), ' ', '-') else key end as label, case when fact_id % 5 = 0 then value_num + 0.5 else value_num end as value from facts where value_num is not null and regexp_full_match(key, '[ -~]*')), k as (select distinct document, key, {_NORM('key')} as n from facts where key is not null), o as (select document, n, min(key) as by_form from k group by 1, 2 having count(*) = 1), m as (select t.*, case when k.key is not null then label else by_form end as key from t left join k on k.document = t.document and k.key = label left join o on o.document = t.document and o.n = {_NORM('label')}) select document, count(*) as cells, count(key) as found, count(*) filter (exists (select 1 from facts f where f.document = m.document and f.key = m.key and f.value_num = m.value)) as correct from m group by 1",
+    "cell_accuracy": f"with t as (select distinct document, case when fact_id % 3 = 0 then '(' || replace(key, ' ', '-') || ')' else key end as label, case when fact_id % 5 = 0 then value_num + 0.5 else value_num end as value from facts where value_num is not null and key is not null), k as (select distinct document, key, {_NORM('key')} as n from facts where key is not null), o as (select document, n, min(key) as by_form from k group by 1, 2 having count(*) = 1), m as (select t.*, case when k.key is not null then label else by_form end as key from t left join k on k.document = t.document and k.key = label left join o on o.document = t.document and o.n = {_NORM('label')}) select document, count(*) as cells, count(key) as found, count(*) filter (exists (select 1 from facts f where f.document = m.document and f.key = m.key and f.value_num = m.value)) as correct from m group by 1",
     "routing_accuracy": "with r as (" + tree.SQL["route_questions"] + "), t as (select min(fact_id) as question_id, arg_min(document, fact_id) as document, case when " + claims._PERIOD("period") + " then 'dated' else 'other' end as kind from facts where period is not null group by key, period), h as (select t.question_id, kind, min(rank) as rank from t left join r on r.question_id = t.question_id and r.source_name = t.document group by 1, 2) select coalesce(kind, 'ALL') as kind, count(*) as questions, count(*) filter (rank = 1) as first, count(rank) as among from h group by rollup (kind)",
 }

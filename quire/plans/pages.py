@@ -98,7 +98,7 @@ def budget_cutoff(spark: SparkSession, d: str) -> DataFrame:
 
 def pending_documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents of the profiles that the ledger has no row of: what a resumed run still has to do."""
-    return table(spark, d, "page_profiles").select("doc_id").distinct().join(table(spark, d, "ledger").where("strategy_used = 'none'").select("doc_id").distinct(), "doc_id", "left_anti")
+    return table(spark, d, "page_profiles").select("doc_id").distinct().join(table(spark, d, "ledger").select("doc_id").distinct(), "doc_id", "left_anti")
 
 
 def documents_listing(spark: SparkSession, d: str) -> DataFrame:
@@ -145,6 +145,6 @@ SQL = {
     "ledger_repair": "select doc_id, page, arg_max(entry_id, (arrived_at, entry_id)) as kept, count(*) - 1 as removed from ledger group by 1, 2 having count(*) > 1",
     "ledger_trace": f"with {_LATEST} select profile_id, p.doc_id, p.page, origin_type, strategy_used, cost_estimate_usd from page_profiles p left join lp using (doc_id, page)",
     "budget_cutoff": "with s as (select *, round(coalesce(sum(cost_estimate_usd) over (partition by doc_id, run_id order by run_seq, entry_id rows between unbounded preceding and 1 preceding), 0), 6) as spent_before from ledger) select doc_id, run_id, count(*) as kept, max(spent_before) as spent_before_last from s where spent_before < 0.002 group by 1, 2",
-    "pending_documents": "select distinct doc_id from page_profiles where doc_id not in (select doc_id from ledger where strategy_used = 'none')",
+    "pending_documents": "select distinct doc_id from page_profiles where doc_id not in (select doc_id from ledger where doc_id is not null)",
     "documents_listing": f"with {_LATEST}, {_ROLLUP}, {_DOMINANT}, nm as (select doc_id, min(source_name) as source_name, count(distinct page) as pages from page_profiles group by 1) select nm.doc_id, source_name, nm.pages, dominant_origin, spend, vision_pages, nm.doc_id in (select doc_id from chunks) as ingested from nm join dm using (doc_id) left join rl on rl.doc_id = nm.doc_id",
 }

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import agent, coverage, vectors
+from quire.operators import agent, coverage, navigation, vectors
 from quire.sources import stores
 from quire.streaming import ledger as streams
 from quire.session import table
@@ -17,17 +17,44 @@ ROWS, COLS = 211, 149
 
 
 def hash_embedding(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks of figures only, as the SQL has them; hash_embedding_all takes all."""
-    v = vectors.hash_buckets(table(spark, d, "chunks").where("chunk_type = 'figure'"), "chunk_id", "content")
-    return v.withColumn("weight", F.round("weight", 6))
-
-
-def hash_embedding_all(spark: SparkSession, d: str) -> DataFrame:
     """The embedding of every chunk, whatever its type."""
     v = vectors.hash_buckets(table(spark, d, "chunks"), "chunk_id", "content")
     return v.withColumn("weight", F.round("weight", 6))
 
 
+def _points(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "chunks").select("chunk_id", "doc_id", "chunk_no", "content", "chunk_type", "page_refs", "bbox", "parent_section", "content_hash", "created_at")
+    return vectors.points(c)
+
+
+def search_scoped(spark: SparkSession, d: str) -> DataFrame:
+    """One question asked of a section, of a document and of a set of documents."""
+    p = _points(spark, d)
+    names = [r["doc_id"] for r in p.select("doc_id").distinct().orderBy("doc_id").limit(3).collect()]
+    out = None
+    for how, where in (("section", vectors.scope(section="Findings")), ("document", vectors.scope(doc_id=names[0] if names else "-")), ("documents", vectors.scope(doc_ids=names or ["-"]))):
+        one = vectors.search_texts(p, "annual price index of the second quarter", 5, where).select(F.lit(how).alias("how"), "doc_id", "content_hash", "score")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def vision_budget(spark: SparkSession, d: str) -> DataFrame:
+    """The elements of the vision rung as regions that cost a cent each, under a budget of a quarter a document."""
+    e = table(spark, d, "elements").where("source_rung = 'C'")
+    r = e.select("doc_id", F.col("bbox.page").alias("page"), F.col("idx").alias("region_no"), F.lit(0.01).alias("cost"), F.when(F.length("text") > 0, 1).otherwise(0).alias("gained"))
+    return coverage.budgeted(r, 0.25)
+
+
+def contexts_salvaged(spark: SparkSession, d: str) -> DataFrame:
+    return coverage.salvaged(table(spark, d, "elements"))
+
+
+def receipts_reread(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each fact's value still stands where the fact says."""
+    names = table(spark, d, "page_profiles").select("doc_id", F.col("source_name").alias("document")).distinct()
+    return navigation.reread(table(spark, d, "facts"), names, table(spark, d, "elements"))
+
+
 def _first_vector(e: DataFrame) -> list[float]:
     """The vector with id 0 as the question; zeros, which are near to nothing, where there is none."""
     r = e.where("vec_id = 0").select("embedding").first()
@@ -59,8 +86,7 @@ def knn_hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def vector_points(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "chunks").select("doc_id", "content_hash", "created_at", "chunk_id", "parent_section")
-    return vectors.upserted(c).select("doc_id", "content_hash", "chunk_id", F.array_join(F.transform(F.split(F.coalesce("parent_section", F.lit("")), ">"), lambda x: F.trim(x)), "/").alias("ancestors"))
+    return _points(spark, d).select("point_id", "doc_id", "content_hash", "chunk_id", F.array_join("ancestors", "/").alias("ancestors"))
 
 
 def cache_missing(spark: SparkSession, d: str) -> DataFrame:
@@ -178,14 +204,26 @@ _CELLS = lambda name, where: f"{name} as (select distinct doc_id, page, r, c fro
 _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4)"
 _GOT = lambda n, s: f"{n} as (select doc_id, page, round(1 - arg_max(coverage_residual, (arrived_at, entry_id)), 4) as coverage from ledger where not isnan(coverage_residual) and coverage_residual between 0 and 1 and starts_with(strategy_used, '{s}') group by 1, 2)"
 
-QUERIES = {f.__name__: f for f in (hash_embedding, hash_embedding_all, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
+_SHA = "sha1(unhex('6ba7b8129dad11d180b400c04fd430c8') || encode(doc_id || content_hash))"
+_UUID = f"concat_ws('-', substr({_SHA}, 1, 8), substr({_SHA}, 9, 4), '5' || substr({_SHA}, 14, 3), printf('%02x', (('0x' || substr({_SHA}, 17, 2))::int & 63) | 128) || substr({_SHA}, 19, 2), substr({_SHA}, 21, 12))"
+QUERIES = {f.__name__: f for f in (hash_embedding, search_scoped, vision_budget, contexts_salvaged, receipts_reread, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
 SQL = {n: s for n, (_, s) in SHARED.items()} | {
-    "hash_embedding": r"with t as (select chunk_id, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from chunks where chunk_type = 'figure'), g as (select chunk_id, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select chunk_id, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by 1, 2) select chunk_id, bucket, round(c / sqrt(sum(c * c) over (partition by chunk_id)::double), 6) as weight from b",
+    "hash_embedding": r"with t as (select chunk_id, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from chunks), g as (select chunk_id, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select chunk_id, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by 1, 2) select chunk_id, bucket, round(c / sqrt(sum(c * c) over (partition by chunk_id)::double), 6) as weight from b",
+    "search_scoped": r"""with p as (select doc_id, content_hash, arg_max(content, (created_at, chunk_id)) as content, list_transform(string_split(coalesce(arg_max_null(parent_section, (created_at, chunk_id)), ''), '>'), lambda x: trim(x)) as up from chunks group by 1, 2), n as (select distinct doc_id from p order by 1 limit 3),
+s as (select 'section' as how, * from p where list_contains(up, 'Findings') union all select 'document', * from p where doc_id = (select min(doc_id) from n) union all select 'documents', * from p where doc_id in (from n)), t as (select how, doc_id, content_hash, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from s union all select 'query', '', '', 'annual price index of the second quarter'),
+g as (select how, doc_id, content_hash, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select how, doc_id, content_hash, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by all), w as (select *, c / sqrt(sum(c * c) over (partition by how, doc_id, content_hash)::double) as weight from b),
+r as (select w.how, w.doc_id, w.content_hash, round(sum(w.weight * q.weight), 4) as score from w join w q on q.how = 'query' and q.bucket = w.bucket where w.how <> 'query' group by all)
+select how, doc_id, content_hash, score from r qualify row_number() over (partition by how order by score desc, """ + _UUID + r""") <= 5""",
+    "vision_budget": """with r as (select doc_id, bbox.page as page, idx, 0.01 as cost, (coalesce(length(text), 0) > 0)::int as gained from elements where source_rung = 'C'), x as (select *, row_number() over (partition by doc_id order by page, idx) <= 25 as ok from r)
+select doc_id, page, case when bool_and(ok) then 'C(' || count(*) || ')' else 'C(' || coalesce(sum(gained) filter (ok), 0) || ')!budget' end as label, (count(*) filter (ok) * 0.01)::double as cost, coalesce(sum(gained) filter (ok), 0)::bigint as gained, count(*) as regions from x group by 1, 2""",
+    "contexts_salvaged": "with t as (select element_id, doc_id, bbox.page as page, idx, source_rung, nullif(table_data.context, '') as own from elements where kind = 'table') select t.element_id, coalesce(own, (select arg_min(own, idx) from t a where a.doc_id = t.doc_id and a.page = t.page and a.source_rung = 'A' and a.own is not null)) as context from t",
+    "receipts_reread": r"""with n as (select distinct doc_id, source_name from page_profiles), e as (select source_name as document, bbox.page as page, bbox as b, trim(regexp_replace(case when kind = 'table' then array_to_string(list_concat([array_to_string(table_data.headers, ' | ')], list_transform(table_data.rows, lambda x: array_to_string(x, ' | '))), ' ') else coalesce(text, caption) end, '\s+', ' ', 'g')) as w from elements join n using (doc_id)),
+h as (select distinct fact_id from facts f join e using (document, page) where b.x0 < f.x1 and b.x1 > f.x0 and b.y0 < f.y1 and b.y1 > f.y0 and contains(w, trim(regexp_replace(value_raw, '\s+', ' ', 'g')))) select distinct fact_id, fact_id in (from h) as printed from facts""",
     "knn_one": f"select b.vec_id, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 6",
     "knn_filtered": f"select b.vec_id, b.label, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 and b.label in (1, 2) order by score desc, b.vec_id limit 6",
     "knn_queries": f"select query_id, vec_id, score, rank from (select a.vec_id as query_id, b.vec_id, {_COS} as score, row_number() over (partition by a.vec_id order by {_COS} desc, b.vec_id) as rank from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0) where rank <= 6",
     "knn_hits": f"select count(*) as queries, count(*) filter (hit) as hits from (select q, bool_or(own = label) as hit from (select a.vec_id as q, a.label as own, b.label, row_number() over (partition by a.vec_id order by {_COS} desc, b.vec_id) as rank from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0) where rank <= 6 group by q)",
-    "vector_points": "select doc_id, content_hash, arg_max(chunk_id, (created_at, chunk_id)) as chunk_id, array_to_string(list_transform(string_split(coalesce(arg_max_null(parent_section, (created_at, chunk_id)), ''), '>'), lambda x: trim(x)), '/') as ancestors from chunks group by 1, 2",
+    "vector_points": f"select {_UUID} as point_id, * from (select doc_id, content_hash, arg_max(chunk_id, (created_at, chunk_id)) as chunk_id, array_to_string(list_transform(string_split(coalesce(arg_max_null(parent_section, (created_at, chunk_id)), ''), '>'), lambda x: trim(x)), '/') as ancestors from chunks group by 1, 2)",
     "cache_missing": "select distinct content_hash from chunks where content_hash not in (select content_hash from chunks where chunk_type = 'text')",
     "claims_valid": "select element_id, (bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0) / (595.0::double * 842.0) <= 0.6 or coalesce(source_rung, '') = 'C' or (kind = 'figure' and exists (select 1 from elements t where t.kind = 'text' and t.doc_id = e.doc_id and t.bbox.page = e.bbox.page)) as valid from elements e",
     "coverage_ratio": f"with {_CELLS('ink', 'true')}, {_CELLS('cl', chr(39).join(['kind = ', 'text', '']))} select i.doc_id, i.page, count(*) as inked, count(cl.r) as covered, round(count(cl.r) / count(*), 4) as coverage, count(cl.r) / count(*) < 0.85 as escalate from ink i left join cl on cl.doc_id = i.doc_id and cl.page = i.page and cl.r = i.r and cl.c = i.c group by 1, 2",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import answers, sections
+from quire.operators import answers, navigation, sections
 from quire.session import table
 
 
@@ -42,6 +42,12 @@ def section_children(spark: SparkSession, d: str) -> DataFrame:
     return t.select("doc_id", "section_no", "title").join(kids, ["doc_id", "section_no"], "left")
 
 
+def corpus_root(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "elements").where("kind <> 'furniture'")
+    r = navigation.corpus_root(sections.nodes(sections.chunk_elements(e, 120), sections.parents(sections.sections(e))))
+    return r.withColumn("data_types", F.array_join("data_types", ","))
+
+
 def page_buckets(spark: SparkSession, d: str) -> DataFrame:
     return sections.page_buckets(table(spark, d, "elements"))
 
@@ -154,7 +160,7 @@ cd as (select * from nm join og using (doc_id) join dm using (doc_id) left join
 _TOKENS = lambda x: f"regexp_extract_all(lower(coalesce({x}, '')), '[a-z0-9]+')"
 _JOINED = lambda x: f"array_to_string({x}, ' ')"
 
-QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, tree_nodes, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions, section_paths, card_summaries, chunk_bookkeeping, image_ratio)}
+QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, tree_nodes, corpus_root, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions, section_paths, card_summaries, chunk_bookkeeping, image_ratio)}
 # The packing, written out again: elements without furniture by section, captions bound, rows numbered, and a walk from row to row.
 _PACK = "recursive " + _HEAD.replace("from elements e left", "from (select * from elements where kind <> 'furniture') e left") + r""", pth(doc_id, section_no, path) as (select doc_id, section_no, title from pr where parent_no is null union all select t.doc_id, t.section_no, d.path || ' > ' || t.title from pth d join pr t on t.doc_id = d.doc_id and t.parent_no = d.section_no),
 el as (select doc_id, section_no, idx, element_id, page, bbox, kind, text, caption, heading, table_data.headers as h, table_data.rows as r from lv),
@@ -178,6 +184,7 @@ tx as (select doc_id, path, string_agg(content, ' ' order by section_no, chunk_n
 en as (select doc_id, path, section_no, chunk_no, unnest(l) as x, generate_subscripts(l, 1) as i from (select *, regexp_extract_all(content, '\\b[A-Z][a-z]+(?:\\s+[A-Z][a-z]+)+') as l from cx where chunk_type = 'text')), eg as (select doc_id, path, regexp_replace(regexp_replace(x, '\\s+', ' ', 'g'), '^The ', '') as name, count(*) as n, min((section_no, chunk_no, i)) as f from en group by 1, 2, 3),
 es as (select doc_id, path, array_to_string(list(name order by n desc, f, name)[1:5], '; ') as key_entities from eg group by 1, 2)
 select doc_id, section_no, parent_no, title, page_start, page_end, coalesce(key_entities, '') as key_entities, coalesce(summary, '') as summary, coalesce(data_types, '') as data_types from pr join pth using (doc_id, section_no) left join ty using (doc_id, path) left join sm using (doc_id, path) left join es using (doc_id, path)""",
+    "corpus_root": f"with {_PACK} select 'corpus' as title, 1 as page_start, (select max(page_end) from pr) as page_end, (select count(distinct doc_id) from pr) as children, (select count(distinct doc_id) from pr) || ' ingested documents' as summary, (select array_to_string(list_sort(list(distinct chunk_type)), ',') from ch) as data_types",
     "element_order": _ORDER,
     "furniture_repeats": "with e as (select * replace (case when kind = 'furniture' then 'text' else kind end as kind) from elements), q as (select element_id, doc_id, bbox.page as page, round_even(bbox.x0 / 6, 0)::bigint as a, round_even(bbox.y0 / 6, 0)::bigint as b, round_even(bbox.x1 / 6, 0)::bigint as c, round_even(bbox.y1 / 6, 0)::bigint as f from e where kind = 'text'), p as (select doc_id, count(distinct bbox.page) as pages from elements group by 1), s as (select doc_id, a, b, c, f from q join p using (doc_id) group by all having max(pages) >= 3 and count(distinct page) / max(pages) > 0.6) select element_id, doc_id from q semi join s using (doc_id, a, b, c, f)",
     "body_sizes": f"with {_BODY} select * from bd",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 from pathlib import Path
 
@@ -20,6 +22,7 @@ def build_session(cpus: int = 8, shuffle_partitions: int = 8, memory: str = "8g"
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -43,13 +46,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where none is set (tests, one machine)."""
+    """The folder that all executors share: spark.checkpoint.dir. On one machine without that setting it is a folder of our own, which goes with
+    the process; on a cluster without it there is none, and that is an error."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = sc.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="quire-")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="quire-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = "file://" + own
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import cut
+
 PAYLOAD = "struct<elements: array<struct<kind: string, text: string, headers: array<string>, rows: array<array<string>>, caption: string>>>"
 
 
@@ -82,14 +84,48 @@ class Artifacts:
         return [r["doc_id"] for r in self.all(kind).select("doc_id").distinct().orderBy("doc_id").collect()]
 
 
-def replace_documents(facts: DataFrame, folder: str) -> None:
-    """Facts by document: documents in `facts` are replaced whole, others stay."""
-    facts.repartition("document").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document").parquet(folder)
-
-
-def append_run(rows: DataFrame, folder: str, run_id: str) -> None:
-    """Ledger rows of one run, added to the history."""
-    rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(folder)
+def _held(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What a folder holds, or no rows of the schema where nothing is yet."""
+    try:
+        return spark.read.schema(schema).parquet(folder)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def replace_documents(facts: DataFrame, folder: str) -> DataFrame:
+    """document, inserted, duplicates_skipped, replaced: documents in `facts` are replaced whole, others stay; null documents are left out.
+
+    Of equal (document, key, period, value_raw) the one of the least fact_id is kept.
+    """
+    facts = cut(facts.where("document is not null"))
+    key = ["document", "key", "period", "value_raw"]
+    rest = [c for c in facts.columns if c not in key]
+    one = cut(facts.groupBy(*key).agg(F.min_by(F.struct(*rest), "fact_id").alias("r"), F.count("*").alias("n")).select(*key, "r.*", "n"))
+    old = _held(facts.sparkSession, folder, facts.schema).select("document").groupBy("document").agg(F.count("*").alias("replaced"))
+    counts = one.groupBy("document").agg(F.count("*").alias("inserted"), F.sum(F.col("n") - 1).alias("duplicates_skipped"))
+    counts = cut(counts.join(old, "document", "left").fillna(0, ["replaced"]))  # before the old rows go
+    one.select(*facts.columns).repartition("document").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document").parquet(folder)
+    return counts
+
+
+def append_run(rows: DataFrame, folder: str, run_id: str, order: list[str]) -> DataFrame:
+    """Ledger rows of one run, numbered by `order` (run_seq from 1) and added to the history; a run that it holds already is left as it is. Returns what was added.
+
+    Pages are numbered, then rows within pages, so a document of any size is no single task.
+    """
+    n = rows.groupBy("doc_id", "page").agg(F.count("*").alias("c"))
+    n = n.withColumn("before", F.sum("c").over(Window.orderBy("doc_id", "page").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")).drop("c")
+    within = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy(*order))
+    numbered = rows.join(n, ["doc_id", "page"]).withColumn("run_seq", (F.col("before") + within).cast("int")).drop("before").withColumn("run_id", F.lit(run_id))
+    numbered = cut(numbered)
+    schema = T.StructType([*numbered.drop("run_id").schema.fields, T.StructField("run_id", T.StringType())])
+    if _held(rows.sparkSession, folder, schema).where(F.col("run_id") == run_id).limit(1).count():
+        return numbered.limit(0)
+    # The run's own partition is written whole, so a writer that is run again leaves one copy.
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(folder)
+    return numbered
 
 
 def not_cached(texts: DataFrame, cache: DataFrame, model: str) -> DataFrame:

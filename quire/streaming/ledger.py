@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quire.operators import ledgers
-from quire.session import shared_folder
+from quire.session import cut, shared_folder
+
+
+#: Pages of a document that share a bucket of the merged ledger.
+PAGES = 256
 
 
 def windowed(events: DataFrame, delay: str = "2 days", length: str = "1 day") -> DataFrame:
@@ -18,22 +22,24 @@ def windowed(events: DataFrame, delay: str = "2 days", length: str = "1 day") ->
     return events.withWatermark("ts", delay).groupBy(F.window("ts", length), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def latest_into(stream: DataFrame, target: str, checkpoint: str, buckets: int = 16):
+def latest_into(stream: DataFrame, target: str, checkpoint: str, buckets: int = 1024):
     """Keep `target` as the latest row per (doc_id, page): each batch is merged bucket by bucket, touching only buckets it has rows of.
 
+    A document's pages lie in buckets of hundreds of pages, so a batch of few documents touches few of many buckets.
+
     Versions of a bucket are written beside each other and named in a manifest by batch, so a batch that is run again writes the
     same version and readers never see half of one.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "page"), F.lit(buckets)).cast("int"))
+        b = batch.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.floor(F.col("page") / PAGES)), F.lit(buckets)).cast("int"))
         done = _versions(spark, target, batch_id)
         touched = [r["bucket"] for r in b.select("bucket").distinct().collect()]  # at most `buckets` numbers
         if not touched:
             return
         old = [f"{target}/v{done[k]}/bucket={k}" for k in touched if k in done]
         rows = b if not old else b.unionByName(spark.read.option("basePath", target).parquet(*old).withColumn("bucket", F.col("bucket").cast("int")).select(*b.columns))
-        ledgers.latest_per_page(rows.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "page"), F.lit(buckets)).cast("int")).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{batch_id}")
+        ledgers.latest_per_page(rows.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.floor(F.col("page") / PAGES)), F.lit(buckets)).cast("int")).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{batch_id}")
         _write(spark, f"{target}/manifest-{batch_id:09d}.json", json.dumps({**{str(k): v for k, v in done.items()}, **{str(k): batch_id for k in touched}}))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -79,7 +85,10 @@ def latest_of_files(spark: SparkSession, path: str) -> DataFrame:
     where = path if os.path.isdir(urlparse(path).path) else os.path.join(os.path.dirname(path), os.path.basename(path))
     stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 4).parquet(where if where.endswith("/") or os.path.isdir(urlparse(where).path) else where.replace(".parquet", ".parque[t]"))
     latest_into(stream, f"{base}/latest", f"{base}/checkpoint").awaitTermination()
-    return read_latest(spark, f"{base}/latest", src)
+    out = cut(read_latest(spark, f"{base}/latest", src))
+    fs, p = _fs(spark, base)
+    fs.delete(p, True)
+    return out
 
 
 def latest_by_window(rows: DataFrame) -> DataFrame:
