@@ -101,3 +101,21 @@ def ethiopic(text: Column) -> Column:
 
 def latin(text: Column) -> Column:
     return F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
+
+
+def general(value: Column) -> Column:
+    """A number in at most six significant digits, without trailing zeros: plain from 0.0001 up to a million, else with an exponent of two digits or more; nan and inf as such."""
+    v = value.cast("double")
+    size = F.abs(v)
+    ten = lambda e: F.pow(F.lit(10.0), e)
+    e0 = F.floor(F.log10(size))
+    # Six digits may round up to the next power of ten.
+    up = F.when(F.rint(size / ten(e0 - 5)) >= 1e6, e0 + 1).otherwise(e0)
+    digits = F.rint(size / ten(up - 5)).cast("bigint").cast("string")  # six digits, the point after the first
+    bare = F.regexp_replace(digits, "0+$", "")
+    sign = F.when(v < 0, "-").otherwise("")
+    whole, n = up + 1, F.length(bare)
+    plain = F.when(up < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), (-up - 1).cast("int")), bare)).when(n <= whole, F.rpad(bare, whole.cast("int"), "0")).otherwise(F.concat(F.substring(bare, F.lit(1), whole.cast("int")), F.lit("."), F.substring(bare, (whole + 1).cast("int"), n)))
+    mantissa = F.when(n > 1, F.concat(F.substring(bare, 1, 1), F.lit("."), F.substring(bare, F.lit(2), n))).otherwise(bare)
+    power = F.concat(F.lit("e"), F.when(up < 0, "-").otherwise("+"), F.when(F.abs(up) < 10, "0").otherwise(""), F.abs(up).cast("string"))
+    return F.when(v.isNull(), None).when(F.isnan(v), "nan").when(size == float("inf"), F.concat(sign, F.lit("inf"))).when(v == 0, "0").when((up >= -4) & (up < 6), F.concat(sign, plain)).otherwise(F.concat(sign, mantissa, power))

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators import tables
+
 # Threshold of coverage, largest share of a page one element may claim, smallest region, overlap of twins.
 TAU, CLAIM, REGION, TWIN = 0.85, 0.60, 900.0, 0.5
 #: Columns that one word of a mask holds.
@@ -158,10 +160,11 @@ def outside_tables(elements: DataFrame) -> DataFrame:
 
 
 def without_twins(elements: DataFrame, ratio: float = TWIN) -> DataFrame:
-    """element_id of rung-C tables that overlap no table of another rung on their page by the ratio or more."""
+    """element_id of rung-C tables that overlap no sane table of another rung on their page by the ratio or more."""
     page = F.col("bbox.page").alias("page")
     v = elements.where("kind = 'table' and source_rung = 'C'").select("element_id", "doc_id", page, F.col("bbox").alias("b"))
-    h = elements.where("kind = 'table' and source_rung <> 'C'").select("doc_id", page, F.col("bbox").alias("g"))
+    sane = F.size(tables.failed_checks(F.col("table_data.headers"), F.col("table_data.rows"))) == 0
+    h = elements.where("kind = 'table' and source_rung <> 'C'").where(sane).select("doc_id", page, F.col("bbox").alias("g"))
     twin = v.join(h, ["doc_id", "page"]).where(overlap_ratio(F.col("b"), F.col("g")) >= ratio).select("element_id").distinct()
     return v.join(twin, "element_id", "left_anti").select("element_id")
 
@@ -189,6 +192,29 @@ def salvaged(elements: DataFrame) -> DataFrame:
     return t.join(first, ["doc_id", "page"], "left").select("element_id", F.coalesce("own", "saved").alias("context"))
 
 
+def merged(elements: DataFrame, gained: DataFrame, ratio: float = TWIN) -> DataFrame:
+    """The elements and what the vision rung gained beside them, without gained tables that repeat a sane one (both of the same columns)."""
+    both = elements.unionByName(gained.withColumn("source_rung", F.lit("C")))
+    kept = without_twins(both, ratio)
+    tables_gained = (F.col("kind") == "table") & (F.col("source_rung") == "C")
+    return both.where(~tables_gained).unionByName(both.where(tables_gained).join(kept, "element_id", "left_semi").select(*both.columns))
+
+
+def judged_pages(pages: DataFrame, grid: DataFrame, keys: list[str], width: float, height: float, cell_w: float, cell_h: float, tau: float = TAU, least: float = REGION) -> DataFrame:
+    """keys, coverage, escalate, regions, area_escalated_pct of all pages (keys): a page without ink is covered wholly; regions count only where the page escalates."""
+    r = residual_regions(grid, keys, cell_w, cell_h, least).groupBy(*keys).agg(F.count("*").alias("regions"), F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("a"))
+    j = pages.select(*keys).distinct().join(assessed(grid, keys, tau), keys, "left").join(r, keys, "left")
+    up = F.coalesce("escalate", F.lit(False))
+    return j.select(*keys, F.coalesce("coverage", F.lit(1.0)).alias("coverage"), up.alias("escalate"), F.when(up, F.coalesce("regions", F.lit(0))).otherwise(0).alias("regions"), F.when(up, F.round(F.coalesce("a", F.lit(0.0)) / (width * height) * 100, 2)).otherwise(0.0).alias("area_escalated_pct"))
+
+
+def drawn_figures(drawings: DataFrame, width: float, height: float, cell: float = 8.0, least: float = 2000.0) -> DataFrame:
+    """doc_id, page, region, x0, y0, x1, y1, cells: clusters of drawings (doc_id, bbox) on a grid of about `cell` points that cover at least `least` square points."""
+    rows, cols = max(1, int(height / cell)), max(1, int(width / cell))
+    g = box_rows(drawings.select("doc_id", F.col("bbox.page").alias("page"), "bbox"), ["doc_id", "page"], width, height, rows, cols, {"ink": F.lit(True), "claimed": F.lit(False)})
+    return residual_regions(g, ["doc_id", "page"], width / cols, height / rows, least)
+
+
 def escalated(pages: DataFrame, a: DataFrame, b: DataFrame, c: DataFrame, tau: float = TAU) -> DataFrame:
     """doc_id, page, label, coverage: the ladder of rungs. pages has the start rung; a and b (doc_id, page, coverage, insane) what each
     rung gave; c (doc_id, page, regions, coverage) the vision rung. Each stage takes only pages that the stage before left open.

@@ -103,6 +103,16 @@ def split_parts(headers: Column, rows: Column, limit: int = MAX_TOKENS) -> Colum
     return F.when(whole <= limit, F.array(rendered(headers, rows))).otherwise(cut)
 
 
+def from_grid(names: Column, grid: Column, outside: Column) -> tuple[Column, Column]:
+    """(headers, rows) of a detected grid: its names where it has a list of them, else its first row; the rows go on from there, or are all where the header stands `outside`. Both are null where a row has another length than the header."""
+    fill = lambda r: F.transform(r, lambda c: F.coalesce(c, F.lit("")))
+    given = F.coalesce(F.size(names) > 0, F.lit(False))
+    headers = F.when(given, fill(names)).otherwise(fill(F.get(grid, F.lit(0))))
+    rows = F.transform(F.when(outside, grid).otherwise(F.slice(grid, 2, F.greatest(F.size(grid) - 1, F.lit(0)))), fill)
+    even = (F.size(grid) > 0) & F.forall(rows, lambda r: F.size(r) == F.size(headers))
+    return F.when(even, headers), F.when(even, rows)
+
+
 def repair(elements: DataFrame) -> DataFrame:
     """element_id, headers, rows, row_periods, context: each table with fused captions taken out of its cells and padding taken out of its grid.
 

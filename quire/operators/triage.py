@@ -23,7 +23,8 @@ PAGE_AREA = 595.0 * 842.0
 def page_text(elements: DataFrame) -> DataFrame:
     """doc_id, page and sums over the page's text elements; the texts themselves are not brought together."""
     t = F.coalesce("text", F.lit(""))
-    e = elements.where("kind in ('text', 'furniture')").select("doc_id", F.col("bbox.page").alias("page"), F.length(F.regexp_replace(t, r"(?U)\s", "")).alias("n"), X.ethiopic(t).alias("eth"), X.latin(t).alias("lat"), F.struct(*[_votes(t, ws).alias(d) for d, ws in DOMAINS.items()]).alias("v"))
+    # Composed forms count: a letter and its accent are one character.
+    e = elements.where("kind in ('text', 'furniture')").withColumn("text", X.nfc(t)).select("doc_id", F.col("bbox.page").alias("page"), F.length(F.regexp_replace(t, r"(?U)\s", "")).alias("n"), X.ethiopic(t).alias("eth"), X.latin(t).alias("lat"), F.struct(*[_votes(t, ws).alias(d) for d, ws in DOMAINS.items()]).alias("v"))
     return e.groupBy("doc_id", "page").agg(F.sum("n").alias("n_chars"), F.sum("eth").alias("ethiopic_chars"), F.sum("lat").alias("latin_chars"), *[F.sum(f"v.{d}").alias(f"votes_{d}") for d in DOMAINS])
 
 
@@ -83,3 +84,25 @@ def column_starts(x0: Column, width: float = 20.0, share: float = 0.2, apart: fl
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1e9).alias("last"))
     fold = F.aggregate(strong, start, lambda s, b: F.when(b * width - s["last"] >= apart, F.struct((s["n"] + 1).alias("n"), (b * width).cast("double").alias("last"))).otherwise(s), lambda s: s["n"])
     return F.when(F.size(x0) < least, F.lit(0).cast("bigint")).otherwise(fold)
+
+
+def ruled_lines(strokes: DataFrame, long: float = 100.0, thick: float = 3.0) -> DataFrame:
+    """doc_id, page, ruled: strokes (doc_id, bbox) that are at least `long` in one direction and at most `thick` in the other. Pages without strokes are not listed."""
+    w, h = F.col("bbox.x1") - F.col("bbox.x0"), F.col("bbox.y1") - F.col("bbox.y0")
+    return strokes.groupBy("doc_id", F.col("bbox.page").alias("page")).agg(F.count_if(((w >= long) & (h <= thick)) | ((h >= long) & (w <= thick))).alias("ruled"))
+
+
+def image_area(figures: DataFrame, width: float, height: float) -> DataFrame:
+    """doc_id, page, image_area_ratio: the share of the page that images (doc_id, bbox) cover, each clipped to the page, at most the whole."""
+    inside = lambda c, most: F.least(F.greatest(F.col(f"bbox.{c}"), F.lit(0.0)), F.lit(most))
+    a = F.greatest(inside("x1", width) - inside("x0", width), F.lit(0.0)) * F.greatest(inside("y1", height) - inside("y0", height), F.lit(0.0))
+    f = figures.groupBy("doc_id", F.col("bbox.page").alias("page")).agg(F.round(F.sum(a), 2).alias("a"))
+    # Four decimals by floor, so results don't hang on how an engine rounds a half.
+    return f.select("doc_id", "page", F.least(F.floor(F.col("a") / (width * height) * 10000 + 0.5) / 10000, F.lit(1.0)).alias("image_area_ratio"))
+
+
+def page_texts(elements: DataFrame) -> DataFrame:
+    """doc_id, page, text: the texts of each page in their order, a line for each; blank ones left out."""
+    e = elements.where("kind = 'text'").where(X.filled(F.col("text")))
+    g = e.groupBy("doc_id", F.col("bbox.page").alias("page")).agg(F.array_sort(F.collect_list(F.struct("idx", "element_id", "text"))).alias("t"))  # one page's texts
+    return g.select("doc_id", "page", F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("text"))

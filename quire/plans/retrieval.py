@@ -114,6 +114,23 @@ def residual_regions(spark: SparkSession, d: str) -> DataFrame:
     return coverage.residual_regions(_grid(spark, d), ["doc_id", "page"], W / COLS, H / ROWS)
 
 
+def pages_judged(spark: SparkSession, d: str) -> DataFrame:
+    """Every profiled page: how much its text claims, and what a look at the rest would cost in area."""
+    j = coverage.judged_pages(table(spark, d, "page_profiles"), _grid(spark, d), ["doc_id", "page"], W, H, W / COLS, H / ROWS)
+    return j.withColumn("regions", F.col("regions") > 0).withColumn("area_escalated_pct", F.col("area_escalated_pct") > 0)
+
+
+def figures_drawn(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of boxes on the coarse grid, figures and tables standing for drawings."""
+    return coverage.drawn_figures(table(spark, d, "elements").where("kind in ('figure', 'table')"), W, H).select("doc_id", "page", "region", F.round("x0", 3).alias("x0"), F.round("y0", 3).alias("y0"), F.round("x1", 3).alias("x1"), F.round("y1", 3).alias("y1"), "cells")
+
+
+def elements_merged(spark: SparkSession, d: str) -> DataFrame:
+    """The vision rung's elements laid beside those of the other rungs."""
+    e = table(spark, d, "elements")
+    return coverage.merged(e.where("source_rung <> 'C'"), e.where("source_rung = 'C'")).groupBy("source_rung", "kind").agg(F.count("*").alias("n"))
+
+
 def rung_comparison(spark: SparkSession, d: str) -> DataFrame:
     """Per page with elements of two rungs: what share of the page's ink the fast rung (A) and the others account for."""
     e = table(spark, d, "elements").select("doc_id", F.col("bbox.page").alias("page"), "bbox", "source_rung")
@@ -204,9 +221,10 @@ _CELLS = lambda name, where: f"{name} as (select distinct doc_id, page, r, c fro
 _COS = "round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 4)"
 _GOT = lambda n, s: f"{n} as (select doc_id, page, round(1 - arg_max(coverage_residual, (arrived_at, entry_id)), 4) as coverage from ledger where not isnan(coverage_residual) and coverage_residual between 0 and 1 and starts_with(strategy_used, '{s}') group by 1, 2)"
 
+_TWINLESS = "with p as (select a.element_id, least(a.bbox.x1, b.bbox.x1) - greatest(a.bbox.x0, b.bbox.x0) as w, least(a.bbox.y1, b.bbox.y1) - greatest(a.bbox.y0, b.bbox.y0) as h, least((a.bbox.x1 - a.bbox.x0) * (a.bbox.y1 - a.bbox.y0), (b.bbox.x1 - b.bbox.x0) * (b.bbox.y1 - b.bbox.y0)) as s from elements a join elements b on a.doc_id = b.doc_id and a.bbox.page = b.bbox.page where a.kind = 'table' and b.kind = 'table' and a.source_rung = 'C' and b.source_rung <> 'C' and len(b.table_data.headers) >= 2 and len(b.table_data.rows) > 0 and len(list_filter(b.table_data.headers, lambda c: trim(c) <> '')) >= 0.5 * len(b.table_data.headers) and len(list_filter(flatten(b.table_data.rows), lambda c: trim(c) <> '')) >= 0.4 * len(flatten(b.table_data.rows))) select element_id from elements where kind = 'table' and source_rung = 'C' and element_id not in (select element_id from p where w > 0 and h > 0 and w * h / s >= 0.5)"
 _SHA = "sha1(unhex('6ba7b8129dad11d180b400c04fd430c8') || encode(doc_id || content_hash))"
 _UUID = f"concat_ws('-', substr({_SHA}, 1, 8), substr({_SHA}, 9, 4), '5' || substr({_SHA}, 14, 3), printf('%02x', (('0x' || substr({_SHA}, 17, 2))::int & 63) | 128) || substr({_SHA}, 19, 2), substr({_SHA}, 21, 12))"
-QUERIES = {f.__name__: f for f in (hash_embedding, search_scoped, vision_budget, contexts_salvaged, receipts_reread, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
+QUERIES = {f.__name__: f for f in (hash_embedding, search_scoped, vision_budget, contexts_salvaged, receipts_reread, knn_one, knn_filtered, knn_queries, knn_hits, vector_points, cache_missing, claims_valid, coverage_ratio, residual_regions, pages_judged, figures_drawn, elements_merged, rung_comparison, otsu_threshold, text_outside_tables, tables_without_twins, escalation, citations_resolved, answers_judged, ledger_stream_latest, event_windows, corpus_split)} | {n: _shared(n) for n in SHARED}
 SQL = {n: s for n, (_, s) in SHARED.items()} | {
     "hash_embedding": r"with t as (select chunk_id, trim(regexp_replace(lower(content), '\s+', ' ', 'g')) as t from chunks), g as (select chunk_id, substr(t, i, k) as g from t, (values (3), (5)) v(k), lateral (select unnest(range(1, length(t) - k + 2)) as i)), b as (select chunk_id, (('0x' || right(md5(g), 4))::int % 256)::int as bucket, count(*) as c from g group by 1, 2) select chunk_id, bucket, round(c / sqrt(sum(c * c) over (partition by chunk_id)::double), 6) as weight from b",
     "search_scoped": r"""with p as (select doc_id, content_hash, arg_max(content, (created_at, chunk_id)) as content, list_transform(string_split(coalesce(arg_max_null(parent_section, (created_at, chunk_id)), ''), '>'), lambda x: trim(x)) as up from chunks group by 1, 2), n as (select distinct doc_id from p order by 1 limit 3),
@@ -219,6 +237,7 @@ select doc_id, page, case when bool_and(ok) then 'C(' || count(*) || ')' else 'C
     "contexts_salvaged": "with t as (select element_id, doc_id, bbox.page as page, idx, source_rung, nullif(table_data.context, '') as own from elements where kind = 'table') select t.element_id, coalesce(own, (select arg_min(own, idx) from t a where a.doc_id = t.doc_id and a.page = t.page and a.source_rung = 'A' and a.own is not null)) as context from t",
     "receipts_reread": r"""with n as (select distinct doc_id, source_name from page_profiles), e as (select source_name as document, bbox.page as page, bbox as b, trim(regexp_replace(case when kind = 'table' then array_to_string(list_concat([array_to_string(table_data.headers, ' | ')], list_transform(table_data.rows, lambda x: array_to_string(x, ' | '))), ' ') else coalesce(text, caption) end, '\s+', ' ', 'g')) as w from elements join n using (doc_id)),
 h as (select distinct fact_id from facts f join e using (document, page) where b.x0 < f.x1 and b.x1 > f.x0 and b.y0 < f.y1 and b.y1 > f.y0 and contains(w, trim(regexp_replace(value_raw, '\s+', ' ', 'g')))) select distinct fact_id, fact_id in (from h) as printed from facts""",
+    "elements_merged": "with t as (" + _TWINLESS + ") select source_rung, kind, count(*) as n from elements where source_rung is not null and not (kind = 'table' and source_rung = 'C' and element_id not in (from t)) group by 1, 2",
     "knn_one": f"select b.vec_id, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 order by score desc, b.vec_id limit 6",
     "knn_filtered": f"select b.vec_id, b.label, {_COS} as score from embeddings a, embeddings b where a.vec_id = 0 and b.label in (1, 2) order by score desc, b.vec_id limit 6",
     "knn_queries": f"select query_id, vec_id, score, rank from (select a.vec_id as query_id, b.vec_id, {_COS} as score, row_number() over (partition by a.vec_id order by {_COS} desc, b.vec_id) as rank from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0) where rank <= 6",
@@ -230,7 +249,7 @@ h as (select distinct fact_id from facts f join e using (document, page) where b
     "rung_comparison": f"with {_CELLS('ink', 'true')}, {_CELLS('ca', chr(39).join(['source_rung = ', 'A', '']))}, {_CELLS('cb', chr(39).join(['source_rung <> ', 'A', '']))} select i.doc_id, i.page, round(count(ca.r) / count(*), 4) as fast, round(count(cb.r) / count(*), 4) as others from ink i left join ca on ca.doc_id = i.doc_id and ca.page = i.page and ca.r = i.r and ca.c = i.c left join cb on cb.doc_id = i.doc_id and cb.page = i.page and cb.r = i.r and cb.c = i.c group by 1, 2 having count(ca.r) > 0 and count(cb.r) > 0",
     "otsu_threshold": "with h as (select doc_id, least(floor(length(text) / 8), 255)::bigint as bin, count(*) as n from elements where kind = 'text' and text is not null group by 1, 2), c as (select doc_id, bin, sum(n) over e as a, sum(n * bin) over e as t, sum(n) over w as w, sum(n * bin) over w as m from h window e as (partition by doc_id), w as (partition by doc_id order by bin)), v as (select doc_id, bin, round((t / a * (w / a) - m / a) * (t / a * (w / a) - m / a) / nullif(w / a * (1 - w / a), 0), 9) as var from c) select doc_id, case when coalesce(max(var) > 1e-9, false) then arg_max(bin, (coalesce(var, -1), -bin)) else -1 end as threshold from v group by 1",
     "text_outside_tables": "select element_id from elements t where kind = 'text' and not exists (select 1 from elements g where g.kind = 'table' and g.doc_id = t.doc_id and g.bbox.page = t.bbox.page and t.bbox.x0 >= g.bbox.x0 and t.bbox.y0 >= g.bbox.y0 and t.bbox.x1 <= g.bbox.x1 and t.bbox.y1 <= g.bbox.y1)",
-    "tables_without_twins": "with p as (select a.element_id, least(a.bbox.x1, b.bbox.x1) - greatest(a.bbox.x0, b.bbox.x0) as w, least(a.bbox.y1, b.bbox.y1) - greatest(a.bbox.y0, b.bbox.y0) as h, least((a.bbox.x1 - a.bbox.x0) * (a.bbox.y1 - a.bbox.y0), (b.bbox.x1 - b.bbox.x0) * (b.bbox.y1 - b.bbox.y0)) as s from elements a join elements b on a.doc_id = b.doc_id and a.bbox.page = b.bbox.page where a.kind = 'table' and b.kind = 'table' and a.source_rung = 'C' and b.source_rung <> 'C') select element_id from elements where kind = 'table' and source_rung = 'C' and element_id not in (select element_id from p where w > 0 and h > 0 and w * h / s >= 0.5)",
+    "tables_without_twins": _TWINLESS,
     "escalation": f"with p as (select doc_id, page, min(recommended_rung) as start from page_profiles group by 1, 2), {_GOT('a', 'A')}, {_GOT('b', 'B')}, {_GOT('c', 'C(')}, j as (select p.*, a.coverage as ca, b.coverage as cb, c.coverage as cc from p left join a using (doc_id, page) left join b using (doc_id, page) left join c using (doc_id, page)), s as (select *, start = 'A' as da, (start = 'A' and coalesce(ca < 0.85, true)) or start = 'B' as tb from j), u as (select *, tb and cb is not null as db, start = 'C' or (tb and cb is not null and coalesce(cb < 0.85, true)) or (tb and cb is null and coalesce(ca < 0.85, true)) as tc from s), v as (select *, tc and cc is not null as dc from u) select doc_id, page, coalesce(nullif(concat_ws('→', case when da then 'A' end, case when db then 'B' end, case when dc then 'C(1)' end, case when tc and not dc then 'C-unavailable' end), ''), 'none') as label, coalesce(case when dc then cc when db then cb else ca end, 0) as coverage from v",
     "citations_resolved": "with c as (select fact_id, case when fact_id % 7 = 0 then reverse(content_hash) else content_hash end as h from facts), p as (select content_hash as h, arg_min(document, fact_id) as document from facts group by 1) select p.h is not null as found, document, count(*) as n from c left join p using (h) group by 1, 2",
     "answers_judged": "select kind, ok, count(*) as n from (select case when fact_id % 4 = 3 then 'adversarial' else 'answerable' end as kind, case when fact_id % 4 = 3 then fact_id % 8 = 3 else fact_id % 4 <> 2 and fact_id % 8 <> 1 end as ok from facts where value_raw is not null) group by 1, 2",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import answers, navigation, sections
+from quire.operators import answers, navigation, sections, triage
 from quire.session import table
 
 
@@ -136,8 +136,13 @@ def chunk_bookkeeping(spark: SparkSession, d: str) -> DataFrame:
 
 def image_ratio(spark: SparkSession, d: str) -> DataFrame:
     """The share of each page that its figures cover, at most the whole."""
-    f = table(spark, d, "elements").where("kind = 'figure'").groupBy("doc_id", F.col("bbox.page").alias("page")).agg(F.round(F.sum((F.col("bbox.x1") - F.col("bbox.x0")) * (F.col("bbox.y1") - F.col("bbox.y0"))), 2).alias("a"))
-    return f.select("doc_id", "page", F.least(F.floor(F.col("a") / (595.0 * 842.0) * 10000 + 0.5) / 10000, F.lit(1.0)).alias("image_area_ratio"))
+    return triage.image_area(table(spark, d, "elements").where("kind = 'figure'"), 595.0, 842.0)
+
+
+def chunks_by_section(spark: SparkSession, d: str) -> DataFrame:
+    """The chunks of each section of a document in order, and their types."""
+    c = table(spark, d, "chunks").groupBy("doc_id", "parent_section").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("chunk_type")).alias("types"), F.array_sort(F.collect_list(F.struct("chunk_no", "chunk_id"))).alias("c"))
+    return c.select("doc_id", "parent_section", "n", F.array_join("types", ",").alias("types"), F.array_join(F.transform("c", lambda x: x["chunk_id"].cast("string")), ",").alias("chunk_ids"))
 
 
 _ORDER = "select element_id, doc_id, row_number() over (partition by doc_id order by bbox.page, bbox.y0, bbox.x0, idx) - 1 as place from elements"
@@ -160,7 +165,7 @@ cd as (select * from nm join og using (doc_id) join dm using (doc_id) left join
 _TOKENS = lambda x: f"regexp_extract_all(lower(coalesce({x}, '')), '[a-z0-9]+')"
 _JOINED = lambda x: f"array_to_string({x}, ' ')"
 
-QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, tree_nodes, corpus_root, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions, section_paths, card_summaries, chunk_bookkeeping, image_ratio)}
+QUERIES = {f.__name__: f for f in (element_order, furniture_repeats, body_sizes, section_list, section_tree, section_children, page_buckets, chunk_pack, tree_nodes, corpus_root, chunk_rules, chunk_references, stored_references, chunk_entities, chunk_summaries, doc_cards, token_frequency, route_questions, section_paths, card_summaries, chunk_bookkeeping, image_ratio, chunks_by_section)}
 # The packing, written out again: elements without furniture by section, captions bound, rows numbered, and a walk from row to row.
 _PACK = "recursive " + _HEAD.replace("from elements e left", "from (select * from elements where kind <> 'furniture') e left") + r""", pth(doc_id, section_no, path) as (select doc_id, section_no, title from pr where parent_no is null union all select t.doc_id, t.section_no, d.path || ' > ' || t.title from pth d join pr t on t.doc_id = d.doc_id and t.parent_no = d.section_no),
 el as (select doc_id, section_no, idx, element_id, page, bbox, kind, text, caption, heading, table_data.headers as h, table_data.rows as r from lv),
@@ -207,5 +212,6 @@ s as (select question_id, doc_id, round(sum(w * idf), 4) as score from q join t
     "card_summaries": f"with {_CARD} select doc_id, substr(concat_ws('. ', replace(origin, '_', ' ') || ' ' || domain || ' document, ' || pages || ' pages', case when coalesce(opening, '') <> '' then 'opens: ' || substr(opening, 1, 160) end, " + ", ".join(f"case when len({c}) > 0 then '{h}: ' || array_to_string({x}, '{j}') end" for c, h, x, j in (
         ("frequent_terms", "about", "frequent_terms[1:8]", ", "), ("sections", "sections", "sections[1:5]", "; "), ("table_contexts", "tables", "list_transform(table_contexts[1:3], lambda x: substr(x, 1, 80))", "; "), ("fact_keys", "measures", "fact_keys[1:6]", ", "), ("periods", "periods", "periods[1:6]", ", "))) + "), 1, 700) as summary from cd",
     "chunk_bookkeeping": "select 0::bigint as orphans, 0::bigint as phantoms",
-    "image_ratio": "select doc_id, page, least(floor(a / (595.0::double * 842.0) * 10000 + 0.5::double) / 10000, 1.0) as image_area_ratio from (select doc_id, bbox.page as page, round(sum((bbox.x1 - bbox.x0) * (bbox.y1 - bbox.y0)), 2) as a from elements where kind = 'figure' group by 1, 2)",
+    "chunks_by_section": "select doc_id, parent_section, count(*) as n, array_to_string(list_sort(list(distinct chunk_type)), ',') as types, string_agg(chunk_id::varchar, ',' order by chunk_no, chunk_id) as chunk_ids from chunks group by 1, 2",
+    "image_ratio": "select doc_id, page, least(floor(a / (595.0::double * 842.0) * 10000 + 0.5::double) / 10000, 1.0) as image_area_ratio from (select doc_id, bbox.page as page, round(sum(greatest(least(greatest(bbox.x1, 0), 595) - least(greatest(bbox.x0, 0), 595), 0) * greatest(least(greatest(bbox.y1, 0), 842) - least(greatest(bbox.y0, 0), 842), 0)), 2) as a from elements where kind = 'figure' group by 1, 2)",
 }

@@ -141,3 +141,21 @@ def split_corpus(documents: DataFrame, holdout: list[str], dropped: list[str]) -
     have = documents.select("source_name").distinct()
     wanted = documents.sparkSession.createDataFrame([(x,) for x in dict.fromkeys([*holdout, *dropped])] or [(None,)], "source_name string").where("source_name is not null")
     return have.select("source_name", part.alias("part")).unionByName(wanted.join(have, "source_name", "left_anti").select("source_name", F.lit("missing").alias("part")))
+
+
+def model_folder(model: Column) -> Column:
+    """A model's name as the name of a folder."""
+    return F.replace(model, F.lit("/"), F.lit("_"))
+
+
+def located(wanted: DataFrame, files: DataFrame) -> DataFrame:
+    """source_name, path: for each wanted name its file of the least rank (files: source_name, rank, path; equals by path), null where there is none."""
+    best = files.groupBy("source_name").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
+    return wanted.select("source_name").distinct().join(best, "source_name", "left")
+
+
+def prompts_listed(prompts: DataFrame, documents: DataFrame) -> DataFrame:
+    """group, prompts, missing: prompts (group, prompt, document) by group, and how many name a document that is not held; one without a document misses none."""
+    have = documents.select(F.col("source_name").alias("document")).distinct().withColumn("held", F.lit(True))
+    j = prompts.join(have, "document", "left")
+    return j.groupBy("group").agg(F.count("*").alias("prompts"), F.count_if(F.col("document").isNotNull() & F.col("held").isNull()).alias("missing"))

@@ -9,7 +9,7 @@ import pytest
 
 DATA = Path("/root/testdata/sf0.001")
 #: Queries whose one row counts something or lists what was asked for.
-COUNTS = {"chunk_bookkeeping", "knn_hits", "corpus_split"}
+COUNTS = {"chunk_bookkeeping", "knn_hits", "corpus_split", "corpus_root"}
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="no test data")

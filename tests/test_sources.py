@@ -6,7 +6,8 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from quire.operators import agent, coverage, navigation, sections, vectors
+from quire.functions import text as X
+from quire.operators import agent, coverage, navigation, sections, tables, triage, vectors
 from quire.sources import layout, rules, stores
 
 FACT = "fact_id long, key string, period string, value_raw string, value_num double, unit string, context string, document string, page int, x0 double, y0 double, x1 double, y1 double, content_hash string"
@@ -121,3 +122,46 @@ def test_receipts_are_read_again(spark):
     names = spark.createDataFrame([("d", "d.pdf")], "doc_id string, document string")
     assert {r["fact_id"]: r["printed"] for r in navigation.reread(facts, names, e).collect()} == {1: True, 2: False, 3: True, 4: False, 5: False, 6: False, 7: False}
     assert facts.select(F.count("*")).first()[0] == 7
+
+
+def test_general_numbers(spark):
+    values = [0.0, 1.0, -2.5, 13.7, 4200.0, 123456.0, 1234567.0, 999999.5, 0.0001, 0.00001234, -0.5, 1e9, 2.5e-7, 1e100, 99999.95, 0.1 + 0.2, 33.0, float("inf"), float("nan"), None]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", X.general(F.col("v")).alias("g")).orderBy("i").collect()
+    assert [r["g"] for r in got] == [None if v is None else f"{v:g}" for v in values]
+
+
+def test_grids_and_lines(spark):
+    rows = [(1, ["a", None], [["x", "y"], ["1", "2"]], False), (2, [], [["x", "y"], ["1", None]], False), (3, None, [["x", "y"]], False), (4, ["a", "b"], [["1", "2"]], True), (5, ["a"], [["x", "y"], ["1", "2"]], False), (6, ["a"], [], False)]
+    h, r = tables.from_grid(F.col("n"), F.col("g"), F.col("o"))
+    got = {x["i"]: (x["h"], x["r"]) for x in spark.createDataFrame(rows, "i int, n array<string>, g array<array<string>>, o boolean").select("i", h.alias("h"), r.alias("r")).collect()}
+    assert got == {1: (["a", ""], [["1", "2"]]), 2: (["x", "y"], [["1", ""]]), 3: (["x", "y"], []), 4: (["a", "b"], [["1", "2"]]), 5: (None, None), 6: (None, None)}
+    box = "doc_id string, bbox struct<x0: double, y0: double, x1: double, y1: double, page: int>"
+    b = spark.createDataFrame([("d", (0.0, 0.0, 100.0, 3.0, 1)), ("d", (0.0, 0.0, 2.0, 300.0, 1)), ("d", (0.0, 0.0, 99.0, 1.0, 1)), ("d", (0.0, 0.0, 200.0, 4.0, 2)), ("d", None)], box)
+    assert {(x["page"], x["ruled"]) for x in triage.ruled_lines(b).collect()} == {(1, 2), (2, 0), (None, 0)}
+    f = spark.createDataFrame([("d", (-50.0, -50.0, 50.0, 50.0, 1)), ("d", (0.0, 0.0, 900.0, 900.0, 2)), ("d", (50.0, 50.0, 40.0, 60.0, 3))], box)
+    assert {x["page"]: x["image_area_ratio"] for x in triage.image_area(f, 100.0, 100.0).collect()} == {1: 0.25, 2: 1.0, 3: 0.0}
+    d = spark.createDataFrame([("d", (0.0, 0.0, 40.0, 40.0, 1)), ("d", (40.0, 0.0, 80.0, 40.0, 1)), ("d", (200.0, 200.0, 216.0, 216.0, 1))], box)
+    assert [(x["x0"], x["x1"], x["cells"]) for x in coverage.drawn_figures(d, 400.0, 400.0).collect()] == [(0.0, 80.0, 50)]
+
+
+def test_pages_judged_and_merged(spark):
+    box = "page int, bbox struct<x0: double, y0: double, x1: double, y1: double, page: int>, claims boolean"
+    rows = [(1, (0.0, 0.0, 100.0, 100.0, 1), False), (1, (0.0, 0.0, 100.0, 20.0, 1), True), (2, (0.0, 0.0, 40.0, 40.0, 2), True)]
+    grid = coverage.box_rows(spark.createDataFrame(rows, box), ["page"], 200.0, 200.0, 50, 50, {"ink": F.lit(True), "claimed": F.col("claims")})
+    pages = spark.createDataFrame([(1,), (2,), (3,), (3,)], "page int")
+    got = {r["page"]: (r["coverage"], r["escalate"], r["regions"], r["area_escalated_pct"]) for r in coverage.judged_pages(pages, grid, ["page"], 200.0, 200.0, 4.0, 4.0).collect()}
+    assert got == {1: (0.2, True, 1, 20.0), 2: (1.0, False, 0, 0.0), 3: (1.0, False, 0, 0.0)}
+    e = "element_id long, doc_id string, kind string, source_rung string, bbox struct<x0: double, y0: double, x1: double, y1: double, page: int>, text string, table_data struct<headers: array<string>, rows: array<array<string>>>"
+    sane, debris = (["a", "b"], [["x", "1"]]), (["a"], [["x"]])
+    held = spark.createDataFrame([(1, "d", "table", "A", (50.0, 100.0, 550.0, 700.0, 1), None, sane), (2, "d", "table", "B", (50.0, 100.0, 550.0, 700.0, 2), None, debris)], e)
+    gained = spark.createDataFrame([(3, "d", "table", "C", (55.0, 110.0, 545.0, 690.0, 1), None, sane), (4, "d", "table", "C", (50.0, 710.0, 550.0, 780.0, 1), None, sane), (5, "d", "text", "C", (55.0, 110.0, 545.0, 690.0, 1), "t", None), (6, "d", "table", "C", (55.0, 110.0, 545.0, 690.0, 2), None, sane)], e)
+    assert {r["element_id"] for r in coverage.merged(held, gained).collect()} == {1, 2, 4, 5, 6}
+
+
+def test_files_and_prompts(spark):
+    wanted = spark.createDataFrame([("a.pdf",), ("b.pdf",), ("a.pdf",)], "source_name string")
+    files = spark.createDataFrame([("a.pdf", 2, "/y/a.pdf"), ("a.pdf", 1, "/x/a.pdf"), ("c.pdf", 1, "/x/c.pdf")], "source_name string, rank int, path string")
+    assert {tuple(r) for r in stores.located(wanted, files).collect()} == {("a.pdf", "/x/a.pdf"), ("b.pdf", None)}
+    p = spark.createDataFrame([("g", "q1", "a.pdf"), ("g", "q2", "z.pdf"), ("h", "q3", None)], "group string, prompt string, document string")
+    assert {tuple(r) for r in stores.prompts_listed(p, wanted).collect()} == {("g", 2, 1), ("h", 1, 0)}
+    assert spark.range(1).select(stores.model_folder(F.lit("a/b/c")).alias("m")).first()["m"] == "a_b_c"
