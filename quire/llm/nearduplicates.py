@@ -37,6 +37,8 @@ BITS, BANDS, ROWS, SEED = 1024, 34, 9, 7
 #: References for texts (of REFERENCE_CHARS characters at most, so that all of them are small) and for files (of REFERENCE_PARTS parts
 #: at most), and how many coordinates go into the join.
 PIVOTS, FILE_PIVOTS, INSIDE, REFERENCE_CHARS, REFERENCE_PARTS = 64, 16, 8, 65_536, 2_000
+#: Keys (of 16 bytes each with their counts) that may be broadcast to their rows.
+SHARED_ROWS = 200_000
 #: Items of one key, or members of one class, that are paired in one block.
 BLOCK = 1000
 WORDS = re.compile(r"[^\W_]+")
@@ -76,7 +78,7 @@ def fingerprint(h: np.ndarray) -> np.ndarray:
 def drawn(df: DataFrame, kind: Column, most: int) -> list:
     """Ids of at most `most` rows of df (id), as many of each kind as there are, drawn by the hash of the id."""
     h = F.xxhash64(F.lit(SEED), "id")
-    found = df.select("id", kind.alias("kind"), h.alias("h")).groupBy("kind", F.pmod("h", F.lit(most)).alias("slot")).agg(F.min(F.struct("h", "id")).alias("m")).select("kind", "m.h", "m.id").orderBy("h").collect()
+    found = df.where("id is not null").select("id", kind.alias("kind"), h.alias("h")).groupBy("kind", F.pmod("h", F.lit(most)).alias("slot")).agg(F.min(F.struct("h", "id")).alias("m")).select("kind", "m.h", "m.id").orderBy("h").collect()
     kinds = sorted({r["kind"] for r in found})
     each = max(1, most // max(1, len(kinds)))
     return [r["id"] for k in kinds for r in [x for x in found if x["kind"] == k][:each]][:most]
@@ -87,19 +89,37 @@ class References:
 
     def __init__(self, sets: list[np.ndarray]):
         self.size = np.array([len(x) for x in sets] + [0] * (PIVOTS - len(sets)), np.int64)
-        all_, inverse = np.unique(np.concatenate(sets) if sets else np.array([], np.uint64), return_inverse=True)
-        self.elements, self.mask = all_, np.zeros(len(all_), np.uint64)
+        self.elements, inverse = np.unique(np.concatenate(sets) if sets else np.array([], np.uint64), return_inverse=True)
+        # For each element a byte for each reference, 1 where it has the element, eight to a number; the last row is for elements of none.
+        lanes = np.zeros((len(self.elements) + 1, PIVOTS), np.uint8)
         at = 0
         for k, x in enumerate(sets):
-            self.mask[inverse[at : at + len(x)]] |= np.uint64(1 << k)
+            lanes[inverse[at : at + len(x)], k] = 1
             at += len(x)
+        self.lanes = lanes.view(np.uint64)
 
-    def distances(self, h: np.ndarray) -> np.ndarray:
+    def distances(self, sets: list[np.ndarray], block: int = 100_000) -> np.ndarray:
+        """(sets, references); sets must not be empty."""
+        n = np.array([len(h) for h in sets], np.int64)
+        out = n[:, None] + self.size
         if not len(self.elements):
-            return len(h) + self.size
-        at = np.minimum(np.searchsorted(self.elements, h), len(self.elements) - 1)
-        have = self.mask[at[self.elements[at] == h]]
-        return len(h) + self.size - 2 * np.unpackbits(have.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            return out
+        a = 0
+        while a < len(sets):
+            # As many sets at once as have `block` elements, or one larger set.
+            z = a + max(1, int(np.searchsorted(np.cumsum(n[a:]), block, "right")))
+            h = np.concatenate(sets[a:z])
+            at = np.minimum(np.searchsorted(self.elements, h), len(self.elements) - 1)
+            at[self.elements[at] != h] = len(self.elements)
+            # Bytes count to 255, so a set is added up in pieces of so many elements, and then its pieces.
+            pieces = -(-n[a:z] // 255)
+            first = np.concatenate([[0], np.cumsum(pieces)[:-1]])
+            begin = np.concatenate([[0], np.cumsum(n[a:z])[:-1]])
+            starts = np.repeat(begin, pieces) + 255 * (np.arange(pieces.sum()) - np.repeat(first, pieces))
+            some = np.add.reduceat(self.lanes[at], starts, axis=0).view(np.uint8).reshape(-1, PIVOTS)
+            out[a:z] -= 2 * np.add.reduceat(some, first, axis=0, dtype=np.int64)
+            a = z
+        return out
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +127,16 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
     return r.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1), r.integers(0, 2**32, BANDS * ROWS, dtype=np.uint64)
 
 
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """(texts, BANDS) of minima (texts, BANDS * ROWS): one 64-bit hash of each band's minima and its number."""
+    r = np.random.default_rng(SEED + 2)
+    odd, salt = r.integers(0, 2**63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 2**63, BANDS, dtype=np.uint64)
+    x = (least.reshape(-1, BANDS, ROWS).astype(np.uint64) * odd).sum(axis=2, dtype=np.uint64) ^ salt
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
 def most_apart(n: Column, m: Column, threshold: float) -> Column:
     """The most elements by which two items of these sizes can differ and still be similar."""
     return (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-9
@@ -126,7 +156,7 @@ def meeting(rows: DataFrame, key: str, apart: Column) -> DataFrame:
     Keys of one row go first. The rows of a key that more than BLOCK share are dealt to blocks, and each block meets each in a key of its own.
     """
     shared = cut(rows.groupBy(key).agg(F.count("*").alias("c")).where("c > 1"))
-    r = rows.join(hinted(shared), key).withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("c")
+    r = rows.join(hinted(shared, SHARED_ROWS), key).withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks"))).drop("c")
     a = r.withColumn("i", F.col("own")).withColumn("j", F.explode(F.expr("sequence(own, blocks - 1)"))).alias("a")
     b = r.withColumn("j", F.col("own")).withColumn("i", F.explode(F.expr("sequence(0L, own)"))).alias("b")
     one = (F.col("a.i") < F.col("a.j")) | (F.col("a.id") < F.col("b.id"))
@@ -142,27 +172,25 @@ def text_signatures(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     short = src.where(F.length("text").between(1, REFERENCE_CHARS))
     names = drawn(short, F.floor(F.log2(F.length("text"))), PIVOTS)
     texts = {r["id"]: r["text"] for r in short.where(F.col("id").isin(names)).collect()} if names else {}
-    references = References([np.unique(Hashes().of(texts[i])) for i in names])
+    references = References([np.unique(Hashes().of(texts[i])) for i in names if i in texts])
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = (x.astype(np.uint32) for x in _permutations())
         hashes = Hashes()
         for batch in batches:
             rows = []
-            for i, t in zip(batch["id"], batch["text"]):
-                h = hashes.of(t) if t else ()
-                if not len(h):
-                    continue
+            some = [(i, h) for i, t in zip(batch["id"], batch["text"]) if t and len(h := hashes.of(t))]
+            far = np.minimum(references.distances([h for _, h in some]), 0x7FFF) if some else ()  # a clipped difference is no larger than the true one
+            packs = [sum(far[:, inside[4 * j + k]] << (16 * k) for k in range(4)) for j in range(packed)] if some else ()
+            minima = np.full((len(some), len(a)), 0xFFFFFFFF, np.uint32)
+            for x, (_, h) in enumerate(some):
                 low = (h >> np.uint64(7)).astype(np.uint32)
-                least = np.full(len(a), 0xFFFFFFFF, np.uint32)
                 for s in range(0, len(low), 256):
-                    np.minimum(least, (low[s : s + 256, None] * a + b).min(axis=0), out=least)
-                bands = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=k) - (1 << 63) for k, x in enumerate(least.reshape(BANDS, ROWS))]
-                far = references.distances(h)
-                d = np.minimum(far, 0x7FFF)  # a clipped difference is no larger than the true one
-                packs = [int(sum(int(d[inside[4 * j + k]]) << (16 * k) for k in range(4))) for j in range(packed)]
+                    np.minimum(minima[x], (low[s : s + 256, None] * a + b).min(axis=0), out=minima[x])
+            bands = band_keys(minima)
+            for x, (i, h) in enumerate(some):
                 total = int(np.bitwise_xor.reduce(h * np.uint64(0x9E3779B97F4A7C15))) ^ (int(h.sum(dtype=np.uint64)) * 31 & _MASK)
-                rows.append((i, total - (1 << 63), len(h), *packs, d.astype(np.int16), bands, fingerprint(h).view(np.int64)))
+                rows.append((i, total - (1 << 63), len(h), *[int(d[x]) for d in packs], far[x].astype(np.int16), bands[x], fingerprint(h).view(np.int64)))
             yield pd.DataFrame(rows, columns=["id", "content", "n", *[f"d{j}" for j in range(packed)], "distances", "bands", "bits"])
 
     return src.repartition(parallelism(df.sparkSession)).mapInPandas(sign, f"id {id_type}, content bigint, n int, {', '.join(f'd{j} bigint' for j in range(packed))}, distances array<smallint>, bands array<bigint>, bits array<bigint>")
@@ -174,7 +202,7 @@ def similar_texts(df: DataFrame, id_col: str, text_col: str, threshold: float =
     classes = sig.groupBy("content", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     members = sig.select("id", "content", "n").join(classes, ["content", "n"]).select("id", "rep", "copies")
     reps = sig.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
-    keys = reps.select("id", "n", *[f"d{j}" for j in range(INSIDE // 4)], F.posexplode("bands").alias("band", "key")).withColumn("key", F.col("key").bitwiseXOR(F.col("band").cast("bigint"))).drop("band")
+    keys = reps.select("id", "n", *[f"d{j}" for j in range(INSIDE // 4)], F.explode("bands").alias("key"))
     pairs = meeting(keys, "key", far_apart("a", "b", threshold, INSIDE)).withColumnsRenamed({"id_a": "rep_a", "id_b": "rep_b"})
     whole = sig.select("id", F.struct("n", "distances", "bits").alias("s"))
     pairs = pairs.join(whole.withColumnsRenamed({"id": "rep_a", "s": "a"}), "rep_a").join(whole.withColumnsRenamed({"id": "rep_b", "s": "b"}), "rep_b")

@@ -177,7 +177,7 @@ def p9_checked(spark: SparkSession, d: str) -> DataFrame:
     return j.select("source", sound.alias("sound"), whole.alias("adds_up"), spent.alias("spent"))
 
 
-QUERIES |= {"p8_packed": p8_packed, "p8_fill": p8_fill, "p8_checked": p8_checked, "p9_checked": p9_checked, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact}
+QUERIES |= {"p8_packed": p8_packed, "p8_fill": p8_fill, "p8_checked": p8_checked, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_shares_exact": p9_shares_exact, "p9_checked": p9_checked}
 SQL |= {
     "p8_checked": "select spec_name, (select count(*) from documents) as texts, 0::bigint as misplaced, 0::bigint as cut_needlessly, 0::bigint as overfull, true as near_least from pack_specs",
     "p9_checked": "select source, true as sound, true as adds_up, true as spent from mix_targets",

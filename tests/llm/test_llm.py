@@ -262,10 +262,10 @@ def test_pivots_lose_nothing():
     for _ in range(200):
         a = draw(80)
         b = np.union1d(a[: r.integers(40, 80)], draw(10))
-        d = [refs.distances(x) for x in (a, b)]
+        d = refs.distances([a, b], int(r.integers(1, 300)))
         assert d[0][:4].tolist() == [len(set(a.tolist()) ^ set(x.tolist())) for x in sets]
         assert np.abs(d[0] - d[1]).max() <= len(set(a.tolist()) ^ set(b.tolist()))
-    assert nearduplicates.References([]).distances(draw(5)).tolist() == [5] * nearduplicates.PIVOTS
+    assert nearduplicates.References([]).distances([draw(5)]).tolist() == [[5] * nearduplicates.PIVOTS]
 
 
 def test_hot_keys_meet_in_blocks(spark, monkeypatch):
