@@ -165,6 +165,24 @@ def tools(nodes: DataFrame, points: DataFrame, facts: DataFrame, doc_id: str, do
     return {"navigate": navigate, "search": search, "query": query, "inspect": inspect}
 
 
+def corpus_search(points: DataFrame, names: dict[str, str], query: str, section: str = "", doc_ids: list[str] | None = None) -> dict:
+    """search() over all documents, or over those a question is bound to: a document's name given as the section is that document, said in a note; an unknown section falls back to all of them."""
+    from quire.operators import vectors
+
+    def hits(where: Column) -> list[dict]:
+        rows = vectors.search_texts(points, query, 6, where).collect()
+        return [{"content": r["content"][:400], "content_hash": r["content_hash"], "document": names.get(r["doc_id"], r["doc_id"]), "pages": r["page_refs"], "bbox": r["bbox"] and [r["bbox"][c] for c in ("x0", "y0", "x1", "y1")], "score": r["score"]} for r in rows]
+
+    wanted = section.strip().lower()
+    if not wanted:
+        return {"hits": hits(vectors.scope(doc_ids=doc_ids))}
+    own = [i for i, name in names.items() if name.lower() == wanted and (not doc_ids or i in doc_ids)]
+    if own:
+        return {"hits": hits(vectors.scope(doc_ids=own)), "note": f"{section!r} is a document; it was searched as a whole"}
+    found = hits(vectors.scope(section=section, doc_ids=doc_ids))
+    return {"hits": found} if found else {"hits": hits(vectors.scope(doc_ids=doc_ids)), "note": f"nothing in a section {section!r}; all documents were searched"}
+
+
 def events(question: str, answer: Answer) -> Iterator[str]:
     """A run as lines of JSON, one event each: the question, every tool call with what came of it, and the outcome."""
     def size(result: object) -> int:

@@ -94,19 +94,22 @@ def _held(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def replace_documents(facts: DataFrame, folder: str) -> DataFrame:
-    """document, inserted, duplicates_skipped, replaced: documents in `facts` are replaced whole, others stay; null documents are left out.
+def replace_documents(rows: DataFrame, folder: str, by: str = "document", same: tuple[str, ...] = ("key", "period", "value_raw"), order: str = "fact_id") -> DataFrame:
+    """document, inserted, duplicates_skipped, replaced: documents in `rows` (facts; or ledger rows, by doc_id) are replaced whole, others stay; null documents are left out.
 
-    Of equal (document, key, period, value_raw) the one of the least fact_id is kept.
+    Of rows that agree in the document and in `same` the one of the least `order` is kept; rows without these columns are all kept.
     """
-    facts = cut(facts.where("document is not null"))
-    key = ["document", "key", "period", "value_raw"]
-    rest = [c for c in facts.columns if c not in key]
-    one = cut(facts.groupBy(*key).agg(F.min_by(F.struct(*rest), "fact_id").alias("r"), F.count("*").alias("n")).select(*key, "r.*", "n"))
-    old = _held(facts.sparkSession, folder, facts.schema).select("document").groupBy("document").agg(F.count("*").alias("replaced"))
-    counts = one.groupBy("document").agg(F.count("*").alias("inserted"), F.sum(F.col("n") - 1).alias("duplicates_skipped"))
-    counts = cut(counts.join(old, "document", "left").fillna(0, ["replaced"]))  # before the old rows go
-    one.select(*facts.columns).repartition("document").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document").parquet(folder)
+    rows = cut(rows.where(F.col(by).isNotNull()))
+    if {*same, order} <= set(rows.columns):
+        key = [by, *same]
+        rest = [c for c in rows.columns if c not in key]
+        one = cut(rows.groupBy(*key).agg(F.min_by(F.struct(*rest), order).alias("r"), F.count("*").alias("n")).select(*key, "r.*", "n"))
+    else:
+        one = rows.withColumn("n", F.lit(1))
+    old = _held(rows.sparkSession, folder, rows.schema).groupBy(by).agg(F.count("*").alias("replaced"))
+    counts = one.groupBy(by).agg(F.count("*").alias("inserted"), F.sum(F.col("n") - 1).alias("duplicates_skipped"))
+    counts = cut(counts.join(old, by, "left").fillna(0, ["replaced"]))  # before the old rows go
+    one.select(*rows.columns).repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)
     return counts
 
 

@@ -173,7 +173,7 @@ def test_all_claims_are_audited(spark, tmp_path):
     spark.createDataFrame(facts, schema).write.parquet(str(tmp_path / "facts.parquet"))
     rows = spark.createDataFrame(facts, schema).collect()
     claims = plans._claims(spark, str(tmp_path)).collect()
-    got = {x["claim_id"]: (x["status"], x["fact_id"]) for x in plans.audit_all(spark, str(tmp_path)).collect()}
+    got = {x["claim_id"]: (x["status"], x["fact_id"]) for x in plans.audit_verdicts(spark, str(tmp_path)).collect()}
     assert len(claims) == len(got) == sum(x[4] is not None for x in facts)
     assert got == {c["claim_id"]: brute_audit(c["claim"], c["document"], rows) for c in claims}
 
@@ -362,7 +362,7 @@ def test_all_chunks_are_embedded(spark, tmp_path):
         c = collections.Counter(int(hashlib.md5(t[j : j + k].encode()).hexdigest()[-4:], 16) % 256 for k in (3, 5) for j in range(len(t) - k + 1))
         norm = sum(x * x for x in c.values()) ** 0.5
         want |= {(i, b): pytest.approx(x / norm, abs=1e-6) for b, x in c.items()}
-    assert {(r["chunk_id"], r["bucket"]): r["weight"] for r in retrieval.hash_embedding_all(spark, str(tmp_path)).collect()} == want
+    assert {(r["chunk_id"], r["bucket"]): r["weight"] for r in retrieval.hash_embedding(spark, str(tmp_path)).collect()} == want
 
 
 def test_stores(spark, tmp_path, monkeypatch):

@@ -115,6 +115,13 @@ def test_tools_reach_one_document(spark, corpus):
     assert (root["children"], root["page_end"], root["summary"], root["data_types"]) == (2, 3, "2 ingested documents", ["text"]) and navigation.corpus_root(nodes.limit(0)).first()["children"] == 0
 
 
+def test_corpus_search(corpus):
+    names = {"d": "d.pdf", "e": "e.pdf"}
+    ask = lambda *a, **k: (lambda r: ({h["content_hash"] for h in r["hits"]}, r.get("note")))(agent.corpus_search(corpus, names, "revenue", *a, **k))
+    assert ask() == ({"h1", "h3"}, None) and ask("4. Finance") == ({"h1", "h3"}, None) and ask("", doc_ids=["e"]) == ({"h3"}, None)
+    assert ask(" E.PDF ")[0] == {"h3"} and "document" in ask("E.pdf")[1] and ask("Nowhere")[0] == {"h1", "h3"} and "all documents" in ask("Nowhere")[1]
+
+
 def test_receipts_are_read_again(spark):
     e = spark.createDataFrame([("d", "text", (0.0, 0.0, 10.0, 10.0, 1), "was 4,200 birr", None, None), ("d", "table", (20.0, 20.0, 30.0, 30.0, 1), None, (["a"], [["5\n1"]], None, None), None)], "doc_id string, kind string, bbox struct<x0: double, y0: double, x1: double, y1: double, page: int>, text string, table_data struct<headers: array<string>, rows: array<array<string>>, row_periods: array<string>, context: string>, caption string")
     f = [(1, "4,200", 1, 5.0), (2, "4,300", 1, 5.0), (3, "5 1", 1, 25.0), (4, "4,200", 2, 5.0), (5, "4,200", 1, None), (6, None, 1, 5.0), (7, "4,200", 1, 15.0)]
