@@ -166,6 +166,7 @@ def card_tokens(cards: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def routed(questions: DataFrame, cards: DataFrame, key: str = "doc_id", name: str = "source_name", top: int = TOP) -> DataFrame:
     """question_id, rank, key, name, score: the cards that share the rarest tokens with each question, weighted by field."""
+    cards = cut(cards)  # counted, tokenised and joined again
     t = card_tokens(cards, key)
     n = cards.count()
     df = t.select(key, "token").distinct().groupBy("token").agg(F.count("*").alias("df"))

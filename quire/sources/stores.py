@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -137,6 +138,20 @@ def not_cached(texts: DataFrame, cache: DataFrame, model: str) -> DataFrame:
     return texts.groupBy("content_hash").agg(F.min("text").alias("text")).join(have, "content_hash", "left_anti")
 
 
+def embedded(texts: DataFrame, folder: str, model: str, embed: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """content_hash, embedding of all texts (content_hash, text; null hashes are left out): what the cache of the model lacks is embedded once and written through.
+
+    `embed` is the seam to a model: from (content_hash, text) it makes (content_hash, embedding), each content once.
+    """
+    schema = T.StructType([T.StructField("content_hash", T.StringType()), T.StructField("embedding", T.ArrayType(T.DoubleType())), T.StructField("model", T.StringType())])
+    texts = texts.where("content_hash is not null")
+    cache = _held(texts.sparkSession, folder, schema).where(F.col("model") == model)
+    have = cut(cache.join(texts.select("content_hash").distinct(), "content_hash", "left_semi").select("content_hash", "embedding"))  # before the folder grows
+    new = cut(embed(not_cached(texts, cache, model)).select("content_hash", F.col("embedding").cast("array<double>").alias("embedding")))
+    new.withColumn("model", F.lit(model)).write.mode("append").partitionBy("model").parquet(folder)
+    return have.unionByName(new)
+
+
 def split_corpus(documents: DataFrame, holdout: list[str], dropped: list[str]) -> DataFrame:
     """source_name, part: tune is what is neither held out nor dropped; wanted names that don't exist are listed as missing."""
     named = F.col("source_name")

@@ -172,3 +172,17 @@ def test_files_and_prompts(spark):
     p = spark.createDataFrame([("g", "q1", "a.pdf"), ("g", "q2", "z.pdf"), ("h", "q3", None)], "group string, prompt string, document string")
     assert {tuple(r) for r in stores.prompts_listed(p, wanted).collect()} == {("g", 2, 1), ("h", 1, 0)}
     assert spark.range(1).select(stores.model_folder(F.lit("a/b/c")).alias("m")).first()["m"] == "a_b_c"
+
+
+def test_embeddings_are_made_once(spark, tmp_path):
+    folder, asked = str(tmp_path / "cache"), []
+
+    def embed(df):
+        asked.append(sorted(r["content_hash"] for r in df.collect()))
+        return df.select("content_hash", F.array(F.length("text")).alias("embedding"))
+
+    t = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "yy"), (None, "z")], "content_hash string, text string")
+    assert {(r["content_hash"], r["embedding"][0]) for r in stores.embedded(t, folder, "m/1", embed).collect()} == {("a", 1.0), ("b", 2.0)}
+    more = t.unionByName(spark.createDataFrame([("c", "zzz")], t.schema)).where("content_hash <> 'b'")
+    assert {(r["content_hash"], r["embedding"][0]) for r in stores.embedded(more, folder, "m/1", embed).collect()} == {("a", 1.0), ("c", 3.0)}
+    assert stores.embedded(t, folder, "m/2", embed).count() == 2 and asked == [["a", "b"], ["c"], ["a", "b"]]
