@@ -13,8 +13,8 @@ from quire.operators import ledgers
 from quire.session import cut, shared_folder
 
 
-#: Pages of a document that share a bucket of the merged ledger.
-PAGES = 256
+#: Runs of one level that are merged into one of the next.
+FAN = 8
 
 
 def windowed(events: DataFrame, delay: str = "2 days", length: str = "1 day") -> DataFrame:
@@ -22,25 +22,23 @@ def windowed(events: DataFrame, delay: str = "2 days", length: str = "1 day") ->
     return events.withWatermark("ts", delay).groupBy(F.window("ts", length), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
-def latest_into(stream: DataFrame, target: str, checkpoint: str, buckets: int = 1024):
-    """Keep `target` as the latest row per (doc_id, page): each batch is merged bucket by bucket, touching only buckets it has rows of.
+def latest_into(stream: DataFrame, target: str, checkpoint: str, fan: int = FAN):
+    """Keep `target` as the latest row per (doc_id, page), in runs: each batch writes the latest rows of its own as one run, and `fan` runs of
+    a level become one run of the next. So a row is written once per level, whatever number of batches touch its document.
 
-    A document's pages lie in buckets of hundreds of pages, so a batch of few documents touches few of many buckets.
-
-    Versions of a bucket are written beside each other and named in a manifest by batch, so a batch that is run again writes the
-    same version and readers never see half of one.
+    Runs are written beside each other and named with their levels in a manifest by batch, so a batch that is run again writes the
+    same run and readers never see half of one.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        b = batch.withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.floor(F.col("page") / PAGES)), F.lit(buckets)).cast("int"))
-        done = _versions(spark, target, batch_id)
-        touched = [r["bucket"] for r in b.select("bucket").distinct().collect()]  # at most `buckets` numbers
-        if not touched:
+        if batch.isEmpty():
             return
-        old = [f"{target}/v{done[k]}/bucket={k}" for k in touched if k in done]
-        rows = b if not old else b.unionByName(spark.read.option("basePath", target).parquet(*old).withColumn("bucket", F.col("bucket").cast("int")).select(*b.columns))
-        ledgers.latest_per_page(rows.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.floor(F.col("page") / PAGES)), F.lit(buckets)).cast("int")).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/v{batch_id}")
-        _write(spark, f"{target}/manifest-{batch_id:09d}.json", json.dumps({**{str(k): v for k, v in done.items()}, **{str(k): batch_id for k in touched}}))
+        rows, level, runs = batch, 0, _runs(spark, target, batch_id)
+        while len(same := [n for n, k in runs if k == level]) >= max(fan - 1, 1):
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(*[f"{target}/v{n}" for n in same]))
+            runs, level = [r for r in runs if r[1] != level], level + 1
+        ledgers.latest_per_page(rows).write.mode("overwrite").parquet(f"{target}/v{batch_id}")
+        _write(spark, f"{target}/manifest-{batch_id:09d}.json", json.dumps([*runs, [batch_id, level]]))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -57,25 +55,28 @@ def _write(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
-def _versions(spark: SparkSession, target: str, before: int | None = None) -> dict[int, int]:
-    """The version of each bucket by the last manifest (before a batch, if one is given)."""
+def _runs(spark: SparkSession, target: str, before: int | None = None) -> list[list[int]]:
+    """The batch and level of each run that the last manifest names (before a batch, if one is given)."""
     fs, p = _fs(spark, target)
     if not fs.exists(p):
-        return {}
+        return []
     names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("manifest-"))
     names = [n for n in names if before is None or int(n[9:18]) < before]
     if not names:
-        return {}
-    text = spark.read.text(f"{target}/{names[-1]}", wholetext=True).first()[0]
-    return {int(k): int(v) for k, v in json.loads(text).items()}
+        return []
+    runs = json.loads(spark.read.text(f"{target}/{names[-1]}", wholetext=True).first()[0])
+    if isinstance(runs, dict):
+        raise ValueError(f"{target} is kept in buckets, not in runs: run its stream again into another folder")
+    return runs
 
 
 def read_latest(spark: SparkSession, target: str, empty: DataFrame | None = None) -> DataFrame:
-    """What the last manifest names; `empty` where no batch has brought a row yet."""
-    v = _versions(spark, target)
-    if not v and empty is not None:
+    """The latest rows of the runs that the last manifest names; `empty` where no batch has brought a row yet."""
+    runs = _runs(spark, target)
+    if not runs and empty is not None:
         return empty.limit(0)
-    return spark.read.option("basePath", target).parquet(*[f"{target}/v{n}/bucket={k}" for k, n in sorted(v.items())])
+    rows = spark.read.parquet(*[f"{target}/v{n}" for n, _ in runs])
+    return ledgers.latest_per_page(rows) if len(runs) > 1 else rows
 
 
 def latest_of_files(spark: SparkSession, path: str) -> DataFrame:

@@ -337,6 +337,28 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     assert got == {(r["page"], r["entry_id"]) for r in streams.latest_by_window(df).collect()} == {(1, 5), (2, 4)}
 
 
+def test_stream_writes_few_files(spark, tmp_path):
+    """Batches over many documents: runs are merged, no file per document or bucket, and a batch that is run again changes nothing."""
+    rng = random.Random(7)
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    base, rows = datetime.datetime(2024, 1, 1), []
+    for i in range(12):
+        new = [(i * 1000 + k, f"d{rng.randrange(120)}", rng.randrange(1, 4), base + datetime.timedelta(minutes=rng.randrange(2000)), f"r{i}") for k in range(200)]
+        rows += new
+        spark.createDataFrame(new, "entry_id long, doc_id string, page int, arrived_at timestamp, run_id string").coalesce(1).write.mode("append").parquet(src)
+    df = spark.read.parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    want = {(r["doc_id"], r["page"], r["entry_id"]) for r in streams.latest_by_window(spark.createDataFrame(rows, df.schema)).collect()}
+    for lost in ((), ("11", ".11.crc")):  # as it ended, and with the last batch run again
+        for f in lost:
+            (tmp_path / "ck" / "commits" / f).unlink()
+        streams.latest_into(stream, out, ck).awaitTermination()
+        got = [(r["doc_id"], r["page"], r["entry_id"]) for r in streams.read_latest(spark, out).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert len(list((tmp_path / "out").glob("v*/**/*.parquet"))) <= 12 * 4
+    assert len(json.loads(sorted((tmp_path / "out").glob("manifest-*.json"))[-1].read_text())) < 8
+
+
 # ---- vectors, stores, agent ----
 
 def test_vectors(spark):
