@@ -4,6 +4,7 @@ import collections
 import datetime
 import hashlib
 import json
+import math
 import random
 import re
 
@@ -185,6 +186,48 @@ def test_routing(spark):
     assert [(r["question_id"], r["doc_id"]) for r in got][0] == (1, "b") and got[0]["score"] > got[1]["score"] and {r["question_id"] for r in got} == {1}
 
 
+def most_rows(df):
+    """The most rows that any step of the plan put out when df was collected."""
+    def walk(p):
+        kind = p.getClass().getSimpleName()
+        inner = [p.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [p.plan()] if kind.endswith("QueryStageExec") else []
+        m = p.metrics().get("numOutputRows")
+        children = p.children()
+        return max([m.get().value() if m.isDefined() else 0, *map(walk, inner), *(walk(children.apply(i)) for i in range(children.size()))])
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_routing_in_packs(spark, monkeypatch):
+    """Against brute force over several packs and blocks: equal scores go by name, then key, and missing names first."""
+    monkeypatch.setattr(answers, "CARD_PACK", 9)
+    monkeypatch.setattr(answers, "QUESTION_BLOCK", 6)
+    rng = random.Random(3)
+    words = ["flour", "wheat", "rent", "2019", "2020", "depot", "the"]
+    cards = [(f"k{i:02}", None if i % 11 == 5 else f"file {rng.randrange(6)}", rng.sample(words[:6], rng.randrange(4)) + ["the"], rng.sample(words[3:5], rng.randrange(3))) for i in range(50)]
+    asked = [(i, None if i == 7 else " ".join(rng.sample(words, rng.randrange(5)))) for i in range(40)]
+    got = answers.routed(spark.createDataFrame(asked, "question_id long, question string"), spark.createDataFrame(cards, "doc_id string, source_name string, fact_keys array<string>, periods array<string>"))
+    worth = collections.defaultdict(float)
+    for k, name, *lists in cards:
+        for field, xs in zip(("source_name", "fact_keys", "periods"), ((name or "").split(), *lists), strict=True):
+            for x in set(xs):
+                worth[k, x] += answers.WEIGHTS[field]
+    df = collections.Counter(x for _, x in worth)
+    want = set()
+    for i, text in asked:
+        scores = [(-round(sum(worth.get((k, x), 0) * math.log((1 + len(cards)) / (1 + df[x])) for x in (text or "").split()), 4), name is not None, name or "", k, name) for k, name, *_ in cards]
+        want |= {(i, r + 1, x[3], x[4], -x[0]) for r, x in enumerate(sorted(scores)[:3]) if x[0] < 0}
+    assert {(r["question_id"], r["rank"], r["doc_id"], r["source_name"], r["score"]) for r in got.collect()} == want and len(want) > 60
+
+
+def test_routing_makes_no_row_per_pair(spark):
+    cards = spark.range(300).select(F.col("id").cast("string").alias("doc_id"), F.concat(F.lit("report "), "id").alias("source_name"), F.array(F.lit("2019"), F.when(F.col("id") % 50 > 0, "2020").otherwise("2021")).alias("periods"))
+    q = spark.range(400).select(F.col("id").alias("question_id"), F.concat(F.lit("What was in report "), "id", F.lit(" of 2020?")).alias("question"))
+    got = answers.routed(q, cards)
+    assert most_rows(got) < 10_000 and got.count() == 1200  # of 120,000 pairs
+
+
 # ---- sections ----
 
 def test_parents_at_any_depth(spark):
