@@ -228,6 +228,23 @@ def test_routing_makes_no_row_per_pair(spark):
     assert most_rows(got) < 10_000 and got.count() == 1200  # of 120,000 pairs
 
 
+def test_routing_accuracy_makes_no_row_per_pair(spark, tmp_path):
+    """400 questions over 200 documents of common words, against the SQL."""
+    import duckdb
+
+    from quire.plans import navigation as plans
+
+    facts = [fact(i, f"Net item {i % 200} of part {i % 7}", f"{2019 + i // 200 % 2}" if i % 3 else f"Q{1 + i % 4} 2020", str(i), float(i), doc=f"Report {i * 7 % 190}.pdf") for i in range(400)] + [fact(900, "Net item", None, None, None)]
+    spark.createDataFrame(facts, FACT).coalesce(1).write.parquet(str(tmp_path / "facts.parquet"))
+    spark.createDataFrame([(f"d{i:03}", f"Report {i}.pdf") for i in range(200)], "doc_id string, source_name string").coalesce(1).write.parquet(str(tmp_path / "page_profiles.parquet"))
+    got = plans.routing_accuracy(spark, str(tmp_path))
+    assert most_rows(got) < 10_000  # of 80,000 pairs
+    con = duckdb.connect()
+    for t in ("facts", "page_profiles"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    assert {tuple(r) for r in got.select("kind", "questions", "first", "among").collect()} == set(con.execute(plans.SQL["routing_accuracy"]).fetchall())
+
+
 # ---- sections ----
 
 def test_parents_at_any_depth(spark):
