@@ -245,6 +245,66 @@ def test_routing_accuracy_makes_no_row_per_pair(spark, tmp_path):
     assert {tuple(r) for r in got.select("kind", "questions", "first", "among").collect()} == set(con.execute(plans.SQL["routing_accuracy"]).fetchall())
 
 
+def records_sent(spark, run):
+    """The rows that all stages of run() wrote for a shuffle."""
+    sc = spark.sparkContext._jsc.sc()
+    none = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty()
+        found = sc.statusStore().stageList(None, False, False, none, None)
+        return {(x.stageId(), x.attemptId()): x.shuffleWriteRecords() for x in (found.apply(i) for i in range(found.size()))}
+
+    before = stages().keys()
+    run()
+    return sum(n for k, n in stages().items() if k not in before)
+
+
+def test_routing_accuracy_sends_neither_side_once_per_pack(spark, tmp_path, monkeypatch):
+    """400 questions in 40 blocks over 190 cards in 19 packs: questions are not sent to each pack, nor packs to each block; against the SQL."""
+    import duckdb
+
+    from quire.plans import navigation as plans
+
+    monkeypatch.setattr(answers, "CARD_PACK", 10)
+    monkeypatch.setattr(answers, "QUESTION_BLOCK", 10)
+    facts = [fact(i, f"Net item {i % 200} of part {i % 7}", f"{2019 + i // 200 % 2}" if i % 3 else f"Q{1 + i % 4} 2020", str(i), float(i), doc=f"Report {i * 7 % 190}.pdf") for i in range(400)] + [fact(900, "Net item", None, None, None)]
+    spark.createDataFrame(facts, FACT).coalesce(1).write.parquet(str(tmp_path / "facts.parquet"))
+    spark.createDataFrame([(f"d{i:03}", f"Report {i}.pdf") for i in range(190)], "doc_id string, source_name string").coalesce(1).write.parquet(str(tmp_path / "page_profiles.parquet"))
+    got = []
+    sent = records_sent(spark, lambda: got.extend(plans.routing_accuracy(spark, str(tmp_path)).select("kind", "questions", "first", "among").collect()))
+    assert 0 < sent < 14_000
+    con = duckdb.connect()
+    for t in ("facts", "page_profiles"):
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    assert {tuple(r) for r in got} == set(con.execute(plans.SQL["routing_accuracy"]).fetchall())
+
+
+def test_best_of_a_pack():
+    """Against all scores ordered, over three packs of rare and common tokens, with equal scores."""
+    import numpy as np
+
+    from quire.operators import routing
+
+    rng = np.random.default_rng(5)
+    for size, top in ((3, 3), (64, 1), (700, 5), (3000, 3)):
+        packs = []
+        for _ in range(3):
+            places = {t: np.flatnonzero(rng.random(size) < rng.choice([0.002, 0.05, 0.3, 0.9])).astype(np.int32) for t in range(30)}
+            packs.append({t: (x, rng.choice([1.0, 2.5, 4.0], len(x)) * (1 + t % 4)) for t, x in places.items() if len(x)})
+        for _ in range(40):
+            words = rng.choice(30, rng.integers(1, 9)).tolist()
+            best, every = [], []
+            for k, held in enumerate(packs):
+                total, full = np.empty(-(-size // routing.CHUNK) * routing.CHUNK), np.zeros(size)
+                best = routing.scored([routing.Held(*held[w], len(total)) for w in words if w in held], total, best, k, top)
+                for w in words:
+                    if w in held:
+                        full[held[w][0]] += held[w][1]
+                every += [(-int(x), k << 33 | i) for i, x in enumerate(np.floor(full * 1e4 + 0.5)) if x > 0]
+            assert best == sorted(every)[:top]
+
+
 # ---- sections ----
 
 def test_parents_at_any_depth(spark):
