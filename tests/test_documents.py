@@ -280,6 +280,32 @@ def test_routing_accuracy_sends_neither_side_once_per_pack(spark, tmp_path, monk
     assert {tuple(r) for r in got} == set(con.execute(plans.SQL["routing_accuracy"]).fetchall())
 
 
+def test_routing_accuracy_asks_every_question_of_every_document(spark, tmp_path):
+    """Five documents print one key and period: words of a chunk, a caption and a heading decide among them. Facts without a period ask too."""
+    import duckdb
+
+    from quire.plans import navigation as plans
+
+    captioned = lambda f, text: (*f[:6], text, *f[7:])
+    facts = [fact(i, "Barley stock", "2023", "1", 1.0, f"n{i}.pdf") for i in (1, 2, 3, 5)] + [captioned(fact(4, "Barley stock", "2023", "1", 1.0, "n4.pdf"), "Table 2: Barley by region")]
+    facts += [fact(i, "Rent", "2020", "1", 1.0, f"n{i}.pdf") for i in (6, 7, 8, 9)] + [fact(10, "Oats", None, "1", 1.0, "n2.pdf")]
+    made = {
+        "facts": (facts, FACT),
+        "page_profiles": ([(f"d{i}", f"n{i}.pdf", 1, "native_digital", "") for i in range(1, 10)], "doc_id string, source_name string, page int, origin_type string, domain_hint string"),
+        "elements": ([element(i, text="Barley" if i == 5 else "Findings", label="section_header", doc=f"d{i}") for i in range(1, 10)], ELEMENT),
+        "chunks": ([(i, f"d{i}", 1, "Barley, barley and barley." if i == 3 else "Nothing.", "text") for i in range(1, 10)], "chunk_id long, doc_id string, chunk_no int, content string, chunk_type string"),
+    }
+    con = duckdb.connect()
+    for t, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"{t}.parquet"))
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    got = {tuple(r) for r in plans.routing_accuracy(spark, str(tmp_path)).select("kind", "questions", "first", "among").collect()}
+    assert got == {("dated", 9, 2, 6), ("other", 1, 1, 1), ("ALL", 10, 3, 7)}
+    assert got == set(con.execute(plans.WHOLE_SQL["routing_accuracy"]).fetchall())
+    ranked = answers.routed(spark.createDataFrame([(1, "What was Barley stock in 2023?")], "question_id long, question string"), plans.tree.whole_cards(spark, str(tmp_path)))
+    assert [r["source_name"] for r in ranked.orderBy("rank").collect()] == ["n3.pdf", "n4.pdf", "n5.pdf"]
+
+
 def test_best_of_a_pack():
     """Against all scores ordered, over three packs of rare and common tokens, with equal scores."""
     import numpy as np
